@@ -122,7 +122,7 @@ def parse_yyyymmdd(c) -> Column:
     """Integer / text YYYYMMDD -> date; 0, NULL and invalid -> NULL."""
     s = _col(c).cast("string")
     ok = s.rlike("^[0-9]{8}$")
-    return F.when(ok, F.try_to_date(s, F.lit("yyyyMMdd")))
+    return F.when(ok, F.try_to_date(s, "yyyyMMdd"))
 
 
 def date_check(c, bad: str | None = None, min_year: int | None = None) -> Column:
