@@ -47,14 +47,14 @@ def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec()) -> D
         "PREV_JOB": F.lag(spec.job).over(w),
         "PREV_DIV": F.lag(spec.division).over(w),
         "PREV_EVENT_DATE": F.lag(spec.eff).over(w),
-        "VERSION_NUM": F.row_number().over(w),
+        "_VERSION_SEQ": F.row_number().over(w),
     }
     if spec.supervisor:
         prev["PREV_SUP"] = F.lag(spec.supervisor).over(w)
     v = dim.select("*", *[e.alias(n) for n, e in prev.items()])
     pst = F.col("PREV_STATUS")
     pjob, pdiv = F.col("PREV_JOB"), F.col("PREV_DIV")
-    event = (F.when(F.col("VERSION_NUM") == 1, F.lit("HIRE"))
+    event = (F.when(F.col("_VERSION_SEQ") == 1, F.lit("HIRE"))
              .when(_u(st).isin(*TERM_CODES) & (pst.isNull() | ~_u(pst).isin(*TERM_CODES)), F.lit("TERMINATION"))
              .when((_u(st) == LOA_CODE) & (pst.isNull() | (_u(pst) != LOA_CODE)), F.lit("LOA"))
              .when((_u(pst) == LOA_CODE) & ~_u(st).isin(LOA_CODE, *TERM_CODES), F.lit("RETURN"))

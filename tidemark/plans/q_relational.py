@@ -1,3 +1,391 @@
-"""Registered queries."""
+"""Registered queries: aggregates, sorts/limits, set operations, changed keys, lifecycle
+facts and hashes (G1-G8, S1-S3, U1-U3, K1-K3, F1-F2, H1-H5, C3, A15)."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.hashing import NO_SCD2_TAGGED, PACKAGE_NULL_TOKEN, hash_change, hash_full, surrogate_key
+from tidemark.operators.delta import KeySource, changed_keys, incremental_star, with_reprocess
+from tidemark.operators.dq import summary
+from tidemark.operators.lifecycle import LifecycleSpec, dq_score, lifecycle_events
+from tidemark.operators.merge import propagate_deletes
+from tidemark.plans import standins as S
+from tidemark.plans.q_joins import SQL_ROLLUP, order_rollup, star_left_join
+from tidemark.plans.registry import query
+from tidemark.spec import TableSpec
+
+
+@query("rollup_child", sql=f"WITH {SQL_ROLLUP} SELECT * FROM rollup")
+def rollup_child(spark, sf):
+    return order_rollup(spark, sf)
+
+
+@query("table_counts", sql="""
+SELECT 'orders' AS TABLE_NAME, CAST(count(*) AS BIGINT) AS ROW_COUNT, max(o_orderdate) AS MAX_TS FROM orders
+UNION ALL SELECT 'lineitem', CAST(count(*) AS BIGINT), max(l_shipdate) FROM lineitem
+UNION ALL SELECT 'events', CAST(count(*) AS BIGINT), max(ts) FROM events
+UNION ALL SELECT 'customer', CAST(count(*) AS BIGINT), CAST(NULL AS TIMESTAMP) FROM customer""")
+def table_counts(spark, sf):
+    parts = [("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"), ("customer", None)]
+    out = None
+    for name, ts in parts:
+        df = S.t(spark, sf, name)
+        mx = F.max(ts) if ts else F.lit(None).cast("timestamp_ntz")
+        a = df.agg(F.lit(name).alias("TABLE_NAME"), F.count(F.lit(1)).cast("bigint").alias("ROW_COUNT"),
+                   mx.alias("MAX_TS"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+DIM_FULL = f"WITH {S.sql_dim_history('dim', None, S.BATCH2)}"
+
+
+@query("conditional_counts", sql=DIM_FULL + """
+SELECT CAST(count(*) AS BIGINT) AS TOTAL_ROWS,
+       CAST(count(*) FILTER (WHERE IS_CURRENT) AS BIGINT) AS CURRENT_ROWS,
+       CAST(count(*) FILTER (WHERE NOT IS_CURRENT) AS BIGINT) AS HISTORICAL_ROWS,
+       CAST(count(HASH_SCD2) AS BIGINT) AS HASH_SCD2_POPULATED,
+       CAST(count(DISTINCT HASH_SCD1) AS BIGINT) AS DISTINCT_HASH_SCD1,
+       CAST(sum(CASE WHEN STATUS = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS FULFILLED_VERSIONS,
+       CAST(count(DISTINCT ENTITY_KEY) AS BIGINT) AS KEYS
+FROM dim""")
+def conditional_counts(spark, sf):
+    d = S.dim_history(spark, sf, None, S.BATCH2)
+    return d.agg(F.count(F.lit(1)).cast("bigint").alias("TOTAL_ROWS"),
+                 F.count_if(F.col("IS_CURRENT")).cast("bigint").alias("CURRENT_ROWS"),
+                 F.count_if(~F.col("IS_CURRENT")).cast("bigint").alias("HISTORICAL_ROWS"),
+                 F.count("HASH_SCD2").cast("bigint").alias("HASH_SCD2_POPULATED"),
+                 F.countDistinct("HASH_SCD1").cast("bigint").alias("DISTINCT_HASH_SCD1"),
+                 F.sum(F.when(F.col("STATUS") == "F", 1).otherwise(0)).cast("bigint").alias("FULFILLED_VERSIONS"),
+                 F.countDistinct("ENTITY_KEY").cast("bigint").alias("KEYS"))
+
+
+@query("version_listing", sql=DIM_FULL + """
+SELECT ENTITY_KEY, VERSION_NUM, EFF_DT, DISC_DT, IS_CURRENT, STATUS, PRIORITY FROM dim
+ORDER BY ENTITY_KEY, EFF_DT""")
+def version_listing(spark, sf):
+    d = S.dim_history(spark, sf, None, S.BATCH2)
+    return d.select("ENTITY_KEY", "VERSION_NUM", "EFF_DT", "DISC_DT", "IS_CURRENT", "STATUS", "PRIORITY") \
+        .orderBy("ENTITY_KEY", "EFF_DT")
+
+
+@query("sample_current", sql=DIM_FULL + """
+SELECT ENTITY_KEY, STATUS, PRIORITY, EFF_DT FROM dim WHERE IS_CURRENT AND STATUS = 'O'
+ORDER BY EFF_DT DESC, ENTITY_KEY LIMIT 10""")
+def sample_current(spark, sf):
+    d = S.dim_history(spark, sf, None, S.BATCH2)
+    return (d.filter(F.col("IS_CURRENT") & (F.col("STATUS") == "O"))
+             .select("ENTITY_KEY", "STATUS", "PRIORITY", "EFF_DT")
+             .orderBy(F.col("EFF_DT").desc(), F.col("ENTITY_KEY")).limit(10))
+
+
+@query("latest_one", sql="""
+SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC NULLS FIRST, event_id DESC LIMIT 1""")
+def latest_one(spark, sf):
+    e = S.t(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    return e.orderBy(F.col("ts").desc_nulls_first(), F.col("event_id").desc()).limit(1)
+
+
+# ----------------------------------------------------------------------------- K1-K3
+
+ORDERS_MARK = dt.datetime(2001, 1, 1)
+LINES_MARK = dt.datetime(2001, 6, 1)
+
+SQL_CHANGED = f"""changed AS (
+  SELECT o_custkey AS CUST_KEY FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_MARK}'
+  UNION
+  SELECT o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_shipdate > TIMESTAMP '{LINES_MARK}'
+  UNION
+  SELECT s_suppkey FROM supplier WHERE false
+)"""
+
+
+def _changed(spark, sf):
+    o = S.t(spark, sf, "orders")
+    li = S.t(spark, sf, "lineitem")
+    bridge = o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    branches = [
+        KeySource(o, [F.col("o_custkey").alias("CUST_KEY")], "o_orderdate", ORDERS_MARK),
+        KeySource(li, [F.col("o_custkey").alias("CUST_KEY")], "l_shipdate", LINES_MARK,
+                  bridge=(bridge, ["l_orderkey"])),
+        # a source whose target mark is NULL contributes nothing (strict `>` against NULL)
+        KeySource(S.t(spark, sf, "supplier").withColumn("_ts", F.lit(None).cast("timestamp_ntz")),
+                  [F.col("s_suppkey").alias("CUST_KEY")], "_ts", None),
+    ]
+    return changed_keys(branches, strict=True)
+
+
+@query("changed_keys", sql=f"WITH {SQL_CHANGED} SELECT CUST_KEY FROM changed")
+def q_changed_keys(spark, sf):
+    return _changed(spark, sf)
+
+
+@query("incremental_star", sql=f"""
+WITH {SQL_CHANGED}, {SQL_ROLLUP}
+SELECT c.c_custkey, c.c_name, r.ORDER_COUNT, r.LAST_ORDER_DATE, r.TOTAL_PRICE
+FROM (SELECT * FROM customer WHERE c_custkey IN (SELECT CUST_KEY FROM changed)) c
+LEFT JOIN (SELECT * FROM rollup WHERE o_custkey IN (SELECT CUST_KEY FROM changed)) r ON c.c_custkey = r.o_custkey""")
+def q_incremental_star(spark, sf):
+    keys = _changed(spark, sf).withColumnRenamed("CUST_KEY", "c_custkey")
+    c = S.t(spark, sf, "customer").select("c_custkey", "c_name")
+    r = order_rollup(spark, sf).withColumnRenamed("o_custkey", "c_custkey") \
+        .select("c_custkey", "ORDER_COUNT", "LAST_ORDER_DATE", "TOTAL_PRICE")
+    return incremental_star(c, [(r, ["c_custkey"])], keys, ["c_custkey"])
+
+
+@query("enrich_reprocess", sql=f"""
+WITH first_run AS (
+  SELECT c.c_custkey, r.FIRST_ORDER_DATE
+  FROM customer c LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS FIRST_ORDER_DATE FROM orders
+                             WHERE o_orderdate <= TIMESTAMP '{S.D1} 00:00:00' GROUP BY o_custkey) r
+    ON c.c_custkey = r.o_custkey
+), new_keys AS (
+  SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderdate > TIMESTAMP '{S.D2} 00:00:00'
+), pending AS (
+  SELECT DISTINCT f.c_custkey FROM first_run f
+  WHERE f.FIRST_ORDER_DATE IS NULL AND f.c_custkey IN (SELECT o_custkey FROM orders)
+    AND f.c_custkey NOT IN (SELECT c_custkey FROM new_keys)
+)
+SELECT c_custkey, 'NEW' AS PROCESS_TYPE, 'orders' AS LINEAGE FROM new_keys
+UNION ALL SELECT c_custkey, 'REPROCESS', 'orders,customer' FROM pending""")
+def q_enrich_reprocess(spark, sf):
+    o = S.t(spark, sf, "orders")
+    first = (o.filter(F.col("o_orderdate") <= F.lit(dt.datetime.combine(S.D1, dt.time())))
+             .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("FIRST_ORDER_DATE")))
+    target = S.t(spark, sf, "customer").select("c_custkey").join(first, "c_custkey", "left")
+    delta_keys = o.filter(F.col("o_orderdate") > F.lit(dt.datetime.combine(S.D2, dt.time()))) \
+        .select(F.col("o_custkey").alias("c_custkey"))
+    keys = with_reprocess(delta_keys, target, "c_custkey", "FIRST_ORDER_DATE", o, "o_custkey", "c_custkey")
+    # dynamic lineage text: the second table is named only when its lookup matched (P25)
+    lineage = F.concat(F.lit("orders"), F.when(F.col("PROCESS_TYPE") == "REPROCESS", F.lit(",customer"))
+                       .otherwise(F.lit("")))
+    return keys.select("c_custkey", "PROCESS_TYPE", lineage.alias("LINEAGE"))
+
+
+# ----------------------------------------------------------------------------- F1, F2
+
+LIFE_SPEC = LifecycleSpec(key="ENTITY_KEY", eff="EFF_DT", status="EMPLOYEE_STATUS", job="PRIORITY",
+                          division="PRICE_BAND", supervisor=None, hire_date="HIRE_DATE", sk="ENTITY_SK")
+
+
+def lifecycle_input(spark, sf):
+    d = S.dim_history(spark, sf, None, S.BATCH2)
+    w = Window.partitionBy("ENTITY_KEY")
+    status = F.when(F.col("STATUS") == "F", F.lit("TERM")).when(F.col("STATUS") == "P", F.lit("LOA")) \
+        .otherwise(F.lit("ACTIVE"))
+    return d.select("*", status.alias("EMPLOYEE_STATUS"), F.min("EFF_DT").over(w).alias("HIRE_DATE"))
+
+
+def lifecycle(spark, sf):
+    return lifecycle_events(lifecycle_input(spark, sf), LIFE_SPEC)
+
+
+SQL_LIFE = DIM_FULL + """,
+li AS (
+  SELECT *, CASE WHEN STATUS = 'F' THEN 'TERM' WHEN STATUS = 'P' THEN 'LOA' ELSE 'ACTIVE' END AS EMPLOYEE_STATUS,
+         min(EFF_DT) OVER (PARTITION BY ENTITY_KEY) AS HIRE_DATE
+  FROM dim
+),
+v AS (
+  SELECT *, lag(EMPLOYEE_STATUS) OVER w AS PREV_STATUS, lag(PRIORITY) OVER w AS PREV_JOB,
+         lag(PRICE_BAND) OVER w AS PREV_DIV, lag(EFF_DT) OVER w AS PREV_EVENT_DATE,
+         row_number() OVER w AS VNUM
+  FROM li WINDOW w AS (PARTITION BY ENTITY_KEY ORDER BY EFF_DT)
+),
+life AS (
+  SELECT md5(coalesce(CAST(ENTITY_KEY AS VARCHAR), '') || '-' || coalesce(CAST(EFF_DT AS VARCHAR), '')) AS LIFECYCLE_SK,
+    ENTITY_SK AS EMPLOYEE_SK, ENTITY_KEY AS EMPLOYEE_EIN, CAST(EFF_DT AS DATE) AS EVENT_DATE,
+    CASE WHEN VNUM = 1 THEN 'HIRE'
+         WHEN upper(trim(EMPLOYEE_STATUS)) IN ('TERM', 'T') AND (PREV_STATUS IS NULL OR upper(trim(PREV_STATUS)) NOT IN ('TERM', 'T')) THEN 'TERMINATION'
+         WHEN upper(trim(EMPLOYEE_STATUS)) = 'LOA' AND (PREV_STATUS IS NULL OR upper(trim(PREV_STATUS)) <> 'LOA') THEN 'LOA'
+         WHEN upper(trim(PREV_STATUS)) = 'LOA' AND upper(trim(EMPLOYEE_STATUS)) NOT IN ('LOA', 'TERM', 'T') THEN 'RETURN'
+         WHEN PRICE_BAND <> PREV_DIV THEN 'ORG_TRANSFER'
+         WHEN PRIORITY <> PREV_JOB THEN 'ROLE_CHANGE'
+         ELSE 'PROFILE_UPDATE' END AS EVENT_TYPE,
+    CAST(year(EFF_DT) AS INTEGER) AS EVENT_FISCAL_YEAR, CAST(quarter(EFF_DT) AS INTEGER) AS EVENT_QUARTER,
+    CAST(month(EFF_DT) AS INTEGER) AS EVENT_MONTH,
+    CAST(datediff('day', HIRE_DATE, EFF_DT) AS INTEGER) AS TENURE_DAYS,
+    CAST(round(datediff('day', HIRE_DATE, EFF_DT) / 30.44, 1) AS DECIMAL(10,1)) AS TENURE_MONTHS,
+    CAST(round(datediff('day', HIRE_DATE, EFF_DT) / 365.25, 2) AS DECIMAL(10,2)) AS TENURE_YEARS,
+    CASE WHEN datediff('day', HIRE_DATE, EFF_DT) < 365 THEN '<1 year'
+         WHEN datediff('day', HIRE_DATE, EFF_DT) < 1095 THEN '1-3 years'
+         WHEN datediff('day', HIRE_DATE, EFF_DT) < 1825 THEN '3-5 years' ELSE '5+ years' END AS TENURE_BAND,
+    CAST(datediff('day', PREV_EVENT_DATE, EFF_DT) AS INTEGER) AS DAYS_SINCE_LAST_EVENT,
+    CASE WHEN upper(EMPLOYEE_STATUS) IN ('TERM', 'T') AND (PREV_STATUS IS NULL OR upper(PREV_STATUS) NOT IN ('TERM', 'T'))
+         THEN true ELSE false END AS IS_TERMINATION,
+    PREV_JOB AS PREV_JOB_CODE, PRIORITY AS NEW_JOB_CODE,
+    CASE WHEN PRIORITY IS NOT NULL AND PREV_JOB IS NOT NULL AND PRIORITY <> PREV_JOB AND PRIORITY > PREV_JOB
+         THEN true ELSE false END AS IS_PROMOTION,
+    CASE WHEN PRIORITY IS NOT NULL AND PREV_JOB IS NOT NULL AND PRIORITY <> PREV_JOB AND PRIORITY <= PREV_JOB
+         THEN true ELSE false END AS IS_LATERAL,
+    CAST(PREV_DIV AS INTEGER) AS PREV_DIVISION_NUMBER, CAST(PRICE_BAND AS INTEGER) AS NEW_DIVISION_NUMBER,
+    CASE WHEN PRICE_BAND IS NOT NULL AND PREV_DIV IS NOT NULL AND PRICE_BAND <> PREV_DIV THEN true ELSE false END
+      AS IS_DIVISION_CHANGE,
+    CAST(CASE WHEN ENTITY_KEY IS NOT NULL AND EFF_DT IS NOT NULL AND ENTITY_SK IS NOT NULL THEN 100.00 ELSE 0.00 END
+         AS DECIMAL(5,2)) AS DQ_SCORE,
+    CASE WHEN ENTITY_KEY IS NOT NULL AND EFF_DT IS NOT NULL AND ENTITY_SK IS NOT NULL THEN 'PASSED' ELSE 'FAILED' END
+      AS DQ_STATUS
+  FROM v
+)"""
+
+
+@query("lifecycle_events", headline=True, sql=SQL_LIFE + "\nSELECT * FROM life")
+def q_lifecycle(spark, sf):
+    return lifecycle(spark, sf)
+
+
+@query("tenure_measures", sql=SQL_LIFE + """
+SELECT EMPLOYEE_EIN, EVENT_DATE, TENURE_DAYS, TENURE_MONTHS, TENURE_YEARS, TENURE_BAND, DAYS_SINCE_LAST_EVENT FROM life""")
+def q_tenure(spark, sf):
+    return lifecycle(spark, sf).select("EMPLOYEE_EIN", "EVENT_DATE", "TENURE_DAYS", "TENURE_MONTHS", "TENURE_YEARS",
+                                       "TENURE_BAND", "DAYS_SINCE_LAST_EVENT")
+
+
+@query("event_flags", sql=SQL_LIFE + """
+SELECT EMPLOYEE_EIN, EVENT_DATE, EVENT_TYPE, IS_TERMINATION, IS_PROMOTION, IS_LATERAL, IS_DIVISION_CHANGE FROM life""")
+def q_event_flags(spark, sf):
+    return lifecycle(spark, sf).select("EMPLOYEE_EIN", "EVENT_DATE", "EVENT_TYPE", "IS_TERMINATION", "IS_PROMOTION",
+                                       "IS_LATERAL", "IS_DIVISION_CHANGE")
+
+
+@query("dq_score", sql=f"""
+WITH {SQL_ROLLUP},
+open_orders AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS OPEN_ORDERS FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+SELECT c.c_custkey, r.ORDER_COUNT, oo.OPEN_ORDERS,
+       CAST(CASE WHEN c.c_custkey IS NOT NULL AND r.ORDER_COUNT IS NOT NULL AND oo.OPEN_ORDERS IS NOT NULL
+                 THEN 100.00 ELSE 0.00 END AS DECIMAL(5,2)) AS DQ_SCORE,
+       CASE WHEN c.c_custkey IS NOT NULL AND r.ORDER_COUNT IS NOT NULL AND oo.OPEN_ORDERS IS NOT NULL
+            THEN 'PASSED' ELSE 'FAILED' END AS DQ_STATUS
+FROM customer c LEFT JOIN rollup r ON c.c_custkey = r.o_custkey LEFT JOIN open_orders oo ON c.c_custkey = oo.o_custkey""")
+def q_dq_score(spark, sf):
+    s = star_left_join(spark, sf).select("c_custkey", "ORDER_COUNT", "OPEN_ORDERS")
+    return dq_score(s, ["c_custkey", "ORDER_COUNT", "OPEN_ORDERS"])
+
+
+# ----------------------------------------------------------------------------- H1-H5
+
+_NULLED = "CASE WHEN c_nationkey < 10 THEN NULL ELSE c_mktsegment END"
+
+
+@query("surrogate_key", sql=f"""
+SELECT c_custkey, md5(coalesce(CAST(c_custkey AS VARCHAR), '') || '-' || coalesce(CAST(c_nationkey AS VARCHAR), '')
+                      || '-' || coalesce(CAST({_NULLED} AS VARCHAR), '')) AS CUSTOMER_SK
+FROM customer""")
+def q_surrogate_key(spark, sf):
+    c = S.t(spark, sf, "customer")
+    nulled = F.when(F.col("c_nationkey") < 10, F.lit(None)).otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", surrogate_key("c_custkey", "c_nationkey", nulled).alias("CUSTOMER_SK"))
+
+
+@query("surrogate_key_nulltoken", sql=f"""
+SELECT c_custkey, md5(coalesce(CAST(c_custkey AS VARCHAR), '{PACKAGE_NULL_TOKEN}') || '-' ||
+                      coalesce(CAST(c_nationkey AS VARCHAR), '{PACKAGE_NULL_TOKEN}') || '-' ||
+                      coalesce(CAST({_NULLED} AS VARCHAR), '{PACKAGE_NULL_TOKEN}')) AS CUSTOMER_SK
+FROM customer""")
+def q_surrogate_key_nulltoken(spark, sf):
+    c = S.t(spark, sf, "customer")
+    nulled = F.when(F.col("c_nationkey") < 10, F.lit(None)).otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", surrogate_key("c_custkey", "c_nationkey", nulled, null_token=PACKAGE_NULL_TOKEN)
+                    .alias("CUSTOMER_SK"))
+
+
+ORDER_SPEC = TableSpec(
+    columns=("ORDER_PK", "o_orderkey", "o_custkey", "o_orderstatus", "PRICE", "o_orderdate", "o_orderpriority",
+             "LOAD_TS"),
+    natural_keys=("o_orderkey",), audit=("LOAD_TS",))
+
+
+@query("hash_change", sql="""
+WITH x AS (
+  SELECT md5(CAST(o_orderkey AS VARCHAR)) AS ORDER_PK, o_orderkey, o_custkey, o_orderstatus,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS PRICE, o_orderdate, o_orderpriority, o_orderdate AS LOAD_TS
+  FROM orders
+)
+SELECT o_orderkey,
+  md5(coalesce(CAST(o_custkey AS VARCHAR), '') || '|' || coalesce(CAST(o_orderstatus AS VARCHAR), '') || '|' ||
+      coalesce(CAST(PRICE AS VARCHAR), '') || '|' || coalesce(CAST(o_orderdate AS VARCHAR), '') || '|' ||
+      coalesce(CAST(o_orderpriority AS VARCHAR), '')) AS HASH_CHANGE
+FROM x""")
+def q_hash_change(spark, sf):
+    return _order_hashes(spark, sf).select("o_orderkey", "HASH_CHANGE")
+
+
+@query("hash_full", sql="""
+WITH x AS (
+  SELECT md5(CAST(o_orderkey AS VARCHAR)) AS ORDER_PK, o_orderkey, o_custkey, o_orderstatus,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS PRICE, o_orderdate, o_orderpriority
+  FROM orders
+)
+SELECT o_orderkey,
+  md5(coalesce(CAST(ORDER_PK AS VARCHAR), '') || '|' || coalesce(CAST(o_orderkey AS VARCHAR), '') || '|' ||
+      coalesce(CAST(o_custkey AS VARCHAR), '') || '|' || coalesce(CAST(o_orderstatus AS VARCHAR), '') || '|' ||
+      coalesce(CAST(PRICE AS VARCHAR), '') || '|' || coalesce(CAST(o_orderdate AS VARCHAR), '') || '|' ||
+      coalesce(CAST(o_orderpriority AS VARCHAR), '')) AS HASH_FULL
+FROM x""")
+def q_hash_full(spark, sf):
+    return _order_hashes(spark, sf).select("o_orderkey", "HASH_FULL")
+
+
+def _order_hashes(spark, sf):
+    o = S.t(spark, sf, "orders")
+    x = o.select(F.md5(F.col("o_orderkey").cast("string")).alias("ORDER_PK"), "o_orderkey", "o_custkey",
+                 "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("PRICE"), "o_orderdate",
+                 "o_orderpriority", F.col("o_orderdate").alias("LOAD_TS"))
+    return x.select("*", hash_change(ORDER_SPEC).alias("HASH_CHANGE"), hash_full(ORDER_SPEC).alias("HASH_FULL"))
+
+
+@query("hash_scd", sql=f"""
+WITH {S.sql_snapshot_source("src", S.D2, S.BATCH2)}
+SELECT ENTITY_KEY, HASH_SCD2, HASH_SCD1, md5('{NO_SCD2_TAGGED}') AS HASH_UNTAGGED FROM src""")
+def q_hash_scd(spark, sf):
+    s = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
+    return s.select("ENTITY_KEY", "HASH_SCD2", "HASH_SCD1", F.md5(F.lit(NO_SCD2_TAGGED)).alias("HASH_UNTAGGED"))
+
+
+# ----------------------------------------------------------------------------- C3, A15
+
+@query("propagate_deletes", sql=DIM_FULL + """,
+latest AS (
+  SELECT o_custkey, o_orderstatus FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) = 1
+)
+SELECT d.ENTITY_SK, d.ENTITY_KEY, d.EFF_DT, d.DISC_DT, d.IS_CURRENT,
+       CASE WHEN EXISTS (SELECT 1 FROM latest l WHERE l.o_custkey = d.ENTITY_KEY AND l.o_orderstatus = 'F')
+            THEN true ELSE false END AS IS_DELETED
+FROM dim d""")
+def q_propagate_deletes(spark, sf):
+    from tidemark.plans.q_changes import dedup_latest
+    d = S.dim_history(spark, sf, None, S.BATCH2).select(
+        "ENTITY_SK", "ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT", F.lit(False).alias("IS_DELETED"))
+    deleted = dedup_latest(spark, sf).filter(F.col("o_orderstatus") == "F") \
+        .select(F.col("o_custkey").alias("ENTITY_KEY"))
+    return propagate_deletes(d, deleted, "ENTITY_KEY")
+
+
+@query("dim_backfill", sql=DIM_FULL + f"""
+SELECT md5(coalesce(CAST(d.ENTITY_KEY AS VARCHAR), '') || '-' || coalesce(CAST(d.EFF_DT AS VARCHAR), '')) AS ENTITY_SK,
+       d.ENTITY_KEY, substr(c.c_name, 1, 25) AS CUSTOMER_NAME, c.c_mktsegment AS SEGMENT, d.STATUS, d.PRIORITY,
+       d.EFF_DT, d.DISC_DT, d.IS_CURRENT, d.HASH_SCD2, d.HASH_SCD1,
+       md5(coalesce(CAST(d.ENTITY_KEY AS VARCHAR), '') || '|' || coalesce(CAST(substr(c.c_name, 1, 25) AS VARCHAR), '') || '|' ||
+           coalesce(CAST(c.c_mktsegment AS VARCHAR), '') || '|' || coalesce(CAST(d.STATUS AS VARCHAR), '') || '|' ||
+           coalesce(CAST(d.PRIORITY AS VARCHAR), '')) AS HASH_FULL,
+       'HISTORICAL' AS OPERATION_TYPE
+FROM dim d LEFT JOIN customer c ON d.ENTITY_KEY = c.c_custkey""")
+def q_dim_backfill(spark, sf):
+    d = S.dim_history(spark, sf, None, S.BATCH2)
+    c = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("ENTITY_KEY"),
+                                          F.substring("c_name", 1, 25).alias("CUSTOMER_NAME"),
+                                          F.col("c_mktsegment").alias("SEGMENT"))
+    j = d.join(c, "ENTITY_KEY", "left")
+    spec = TableSpec(columns=("ENTITY_KEY", "CUSTOMER_NAME", "SEGMENT", "STATUS", "PRIORITY"))
+    return j.select(surrogate_key("ENTITY_KEY", "EFF_DT").alias("ENTITY_SK"), "ENTITY_KEY", "CUSTOMER_NAME",
+                    "SEGMENT", "STATUS", "PRIORITY", "EFF_DT", "DISC_DT", "IS_CURRENT", "HASH_SCD2", "HASH_SCD1",
+                    hash_full(spec).alias("HASH_FULL"), F.lit("HISTORICAL").alias("OPERATION_TYPE"))
+
+
+_ = summary
