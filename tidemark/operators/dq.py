@@ -86,8 +86,7 @@ def not_null(df, cols):                           # Q22
 
 
 def contains_parts(df, full, parts):              # Q27: ILIKE '%part%' per part
-    conds = [~F.lower(_c(full)).like(F.concat(F.lit("%"), F.lower(_c(p)), F.lit("%")))
-             for p in parts]
+    conds = [~F.ilike(_c(full), F.concat(F.lit("%"), _c(p), F.lit("%"))) for p in parts]
     return df.filter(reduce(lambda a, b: a | b, conds))
 
 

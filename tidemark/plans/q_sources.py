@@ -1,3 +1,111 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.merge import ACTION, append
+from tidemark.plans import standins as S
+from tidemark.plans.q_joins import star_left_join
+from tidemark.plans.registry import query
+from tidemark.sources.sinks import AUDIT_SCHEMA, append_run_audit, conform, enforce_contract
+from tidemark.sources.tables import lookup_values
+
+# Inline status lookup (code, label, sort order).
+STATUS_ROWS = [("F", "Fulfilled", 1), ("O", "Open", 2), ("P", "Partial", 3)]
+
+
+@query("values_lookup", sql="""
+WITH lk AS (SELECT * FROM (VALUES ('F', 'Fulfilled', 1), ('O', 'Open', 2), ('P', 'Partial', 3)) AS v(STATUS_CODE, STATUS_LABEL, SORT_ORDER))
+SELECT o.o_orderkey, o.o_orderstatus, lk.STATUS_LABEL, CAST(lk.SORT_ORDER AS INTEGER) AS SORT_ORDER
+FROM orders o LEFT JOIN lk ON o.o_orderstatus = lk.STATUS_CODE""")
+def values_lookup(spark, sf):
+    lk = lookup_values(spark, STATUS_ROWS, "STATUS_CODE string, STATUS_LABEL string, SORT_ORDER int")
+    o = S.t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return o.join(lk, o.o_orderstatus == lk.STATUS_CODE, "left").select(
+        "o_orderkey", "o_orderstatus", "STATUS_LABEL", "SORT_ORDER")
+
+
+@query("append_only", sql=f"""
+SELECT o_orderkey, o_custkey, o_orderdate, 'unchanged' AS MERGE_ACTION FROM orders WHERE o_orderdate <= TIMESTAMP '{S.D1} 00:00:00'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderdate, 'insert' FROM orders WHERE o_orderdate > TIMESTAMP '{S.D1} 00:00:00'""")
+def append_only(spark, sf):
+    o = S.t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cut = F.lit(dt.datetime.combine(S.D1, dt.time()))
+    return append(o.filter(F.col("o_orderdate") <= cut), o.filter(F.col("o_orderdate") > cut)) \
+        .withColumnRenamed(ACTION, "MERGE_ACTION")
+
+
+@query("schema_append", sql="""
+SELECT c_custkey AS PARTY_KEY, c_name AS PARTY_NAME, CAST(c_nationkey AS BIGINT) AS NATION_KEY,
+       CAST(NULL AS DECIMAL(18,2)) AS BALANCE
+FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier""")
+def schema_append(spark, sf):
+    target = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("PARTY_KEY"),
+                                               F.col("c_name").alias("PARTY_NAME"),
+                                               F.col("c_nationkey").alias("NATION_KEY"))          # int
+    source = S.t(spark, sf, "supplier").select(F.col("s_suppkey").alias("PARTY_KEY"),
+                                               F.col("s_name").alias("PARTY_NAME"),
+                                               F.col("s_nationkey").cast("bigint").alias("NATION_KEY"),  # wider
+                                               F.col("s_acctbal").cast("decimal(18,2)").alias("BALANCE"))  # new
+    t2, s2 = conform(target, source)
+    return t2.unionByName(s2)
+
+
+CONTRACT = T.StructType([
+    T.StructField("c_custkey", T.LongType(), False),
+    T.StructField("ORDER_COUNT", T.LongType(), False),
+    T.StructField("OPEN_ORDERS", T.LongType(), False),
+    T.StructField("LINE_COUNT", T.LongType(), True),
+])
+
+
+@query("contract_violations", sql="""
+WITH rollup AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS ORDER_COUNT FROM orders GROUP BY o_custkey),
+open_orders AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS OPEN_ORDERS FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey),
+s AS (
+  SELECT c.c_custkey, r.ORDER_COUNT, oo.OPEN_ORDERS
+  FROM customer c LEFT JOIN rollup r ON c.c_custkey = r.o_custkey LEFT JOIN open_orders oo ON c.c_custkey = oo.o_custkey
+)
+SELECT CAST(count(*) FILTER (WHERE c_custkey IS NULL) AS BIGINT) AS c_custkey,
+       CAST(count(*) FILTER (WHERE ORDER_COUNT IS NULL) AS BIGINT) AS ORDER_COUNT,
+       CAST(count(*) FILTER (WHERE OPEN_ORDERS IS NULL) AS BIGINT) AS OPEN_ORDERS
+FROM s""")
+def contract_violations(spark, sf):
+    shaped, counts = enforce_contract(star_left_join(spark, sf), CONTRACT)
+    return counts
+
+
+AUDIT_AS_OF = dt.datetime(2001, 8, 1)
+AUDIT_CUT = dt.datetime(2001, 6, 30)
+
+
+def _audit_rows(df):
+    return df.select(
+        F.col("o_orderkey").cast("string").alias("RUN_ID"), F.col("o_custkey").cast("string").alias("NODE_ID"),
+        F.lit("orders").alias("MODEL_NAME"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("success")).otherwise(F.lit("error")).alias("STATUS"),
+        F.col("o_orderdate").alias("STARTED_AT"), F.col("o_orderdate").alias("COMPLETED_AT"),
+        F.lit(0.0).alias("EXECUTION_TIME"), F.lit(1).cast("bigint").alias("ROWS_INSERTED"),
+        F.lit(0).cast("bigint").alias("ROWS_UPDATED"), F.lit(0).cast("bigint").alias("ROWS_DELETED"),
+        F.lit(None).cast("string").alias("MESSAGE"), F.col("o_orderdate").alias("CREATED_AT"))
+
+
+@query("retention_purge", sql=f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS RUN_ID, CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS STATUS,
+       o_orderdate AS CREATED_AT
+FROM orders
+WHERE o_orderdate >= TIMESTAMP '{AUDIT_AS_OF}' - INTERVAL 60 DAY""")
+def retention_purge(spark, sf):
+    o = S.t(spark, sf, "orders")
+    cut = F.lit(AUDIT_CUT)
+    audit = _audit_rows(o.filter(F.col("o_orderdate") <= cut)).to(AUDIT_SCHEMA)
+    new = _audit_rows(o.filter(F.col("o_orderdate") > cut)).to(AUDIT_SCHEMA)
+    kept = append_run_audit(audit, new, AUDIT_AS_OF, keep_days=60)
+    return kept.select("RUN_ID", "STATUS", "CREATED_AT")

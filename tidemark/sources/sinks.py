@@ -78,9 +78,12 @@ def conform(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def enforce_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Enforce a declared contract (A10): names, order and types via `to(schema)`, plus a
-    one-row count of NULLs in every non-nullable column."""
-    shaped = df.to(schema)
+    """Enforce a declared contract (A10): names, order and types (a missing column fails),
+    plus a one-row count of NULLs in every non-nullable column."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"contract: missing columns {missing}")
+    shaped = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     req = [f.name for f in schema.fields if not f.nullable]
     counts = shaped.agg(*[F.count(F.when(F.col(c).isNull(), 1)).cast("bigint").alias(c) for c in req]) \
         if req else shaped.limit(0).agg(F.lit(0).alias("none"))
