@@ -145,10 +145,14 @@ def mark_deleted(target: DataFrame, staging: DataFrame, keys, ts_col: str = "STG
     latest = (attach_scalar(staging.select(*keys, ts_col), latest_ts)
               .filter(F.col(ts_col) == F.col("_max_ts")).select(*keys))
     maxima = target.agg(F.max(upd_batch).alias("_mb"), F.max(upd_ts).alias("_mt"))
-    present = target.join(latest, _trimmed_key_cond(target, latest, keys), "left_semi") \
-        .select(*keys).distinct().withColumn("_present", F.lit(True))
-    lab = target.join(present, keys, "left")
-    lab = attach_scalar(lab, maxima)
+    # keys of the latest load, normalised like the target's (trimmed strings), one row each
+    ttypes = dict(target.dtypes)
+    present = latest.select(*[(F.trim(F.col(k)) if ttypes[k] == "string" else F.col(k)).alias(f"_p{i}")
+                              for i, k in enumerate(keys)]).distinct().withColumn("_present", F.lit(True))
+    cond = reduce(lambda a, b: a & b,
+                  [(F.trim(target[k]) if ttypes[k] == "string" else target[k]) == present[f"_p{i}"]
+                   for i, k in enumerate(keys)])
+    lab = attach_scalar(target.join(present, cond, "left"), maxima)
     hit = F.col("_present").isNull() & F.coalesce(F.col(op_col) != F.lit("DELETE"), F.lit(False))
     out = []
     for c in target.columns:

@@ -7,8 +7,9 @@ EFF_DT, DISC_DT (9999-12-31 = open), IS_CURRENT, INS_BATCH_ID, UPD_BATCH_ID.
 one lazy plan:
   * dim LEFT JOIN source on the key (source is unique per key) labels every existing
     version with its fate (keep / intra-day overwrite / close / type-1 overwrite);
-  * a per-key aggregate of that join (partial aggregation, skew safe) decides which
-    source rows are inserted, so the dimension is scanned once and shuffled once;
+  * a per-key aggregate over a narrow projection (key, dates, SCD2 hash) joined to the
+    source decides which source rows are inserted (partial aggregation, skew safe), so
+    the wide join is evaluated once and the second pass reads four columns;
   * type-6 change detection is a global one-row aggregate, attached as a scalar.
 Decision table (d = source batch day = first 8 digits of INS_BATCH_ID):
   new key                      -> insert with EFF_DT 1900-01-01
@@ -99,10 +100,19 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
            .when(F.col("_fate") == "close", F.lit("close")).otherwise(F.lit("update")))
     existing = labelled.select(*out, act.alias(ACTION))
 
-    # per key: does any open row match (d <= EFF_DT), does any open row carry the source hash
-    per_key = labelled.filter(has_src).groupBy(key).agg(
-        F.max(F.when(matched, 1).otherwise(0)).alias("_any_matched"),
-        F.max(F.when(is_open & ~h2_diff, 1).otherwise(0)).alias("_same_open"))
+    # Per key: does any open row match (d <= EFF_DT), does any open row carry the source
+    # hash. Computed from narrow projections (key, dates, hash) so the wide join above is
+    # evaluated once; the aggregate is partial (map side), so a hot key ships one row per
+    # map task, and the small source side lets AQE broadcast it at runtime.
+    nd = dim.select(key, "DISC_DT", "EFF_DT", hash2)
+    ns = src.select(F.col(key).alias(f"s__{key}"), _batch_day("INS_BATCH_ID").alias("_sd"),
+                    F.col(hash2).alias("_sh2"))
+    nj = nd.join(ns, nd[key] == ns[f"s__{key}"], "inner")
+    n_open = F.col("DISC_DT") == opened
+    per_key = nj.groupBy(key).agg(
+        F.max(F.when(n_open & (F.col("_sd") <= F.col("EFF_DT")), 1).otherwise(0)).alias("_any_matched"),
+        F.max(F.when(n_open & ~F.coalesce(F.col(hash2) != F.col("_sh2"), F.lit(False)), 1).otherwise(0))
+         .alias("_same_open"))
     ins = src.join(per_key, key, "left")
     new_key = F.col("_any_matched").isNull()
     new_version = (F.col("_any_matched") == 0) & (F.col("_same_open") == 0)

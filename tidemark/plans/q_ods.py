@@ -24,6 +24,7 @@ from tidemark.operators.merge import (ACTION, delete_insert, drop_action, mark_d
 from tidemark.plans import sqlgen as Q
 from tidemark.plans import standins as S
 from tidemark.plans.registry import query
+from tidemark.sources.sinks import cut_lineage
 from tidemark.sources.tables import load
 from tidemark.spec import TableSpec
 
@@ -304,20 +305,30 @@ def purged_staging(spark, sf) -> DataFrame:
     return purge_duplicates(S.staging_loads(spark, sf), PURGE_EXCLUDE)
 
 
-def snap_first(spark, sf) -> DataFrame:
-    stg = purged_staging(spark, sf).filter(F.col("STG_INSERT_TIMESTAMP") < F.lit(SNAP_FIRST_CUT))
+def purged_staging_table(spark, sf) -> DataFrame:
+    """The reference purges the staging table in place before the load; here the purged
+    staging is written once (reliable checkpoint in the shared folder) and every later
+    step reads that copy instead of recomputing the purge."""
+    return cut_lineage(purged_staging(spark, sf))
+
+
+def snap_first(spark, sf, stg: DataFrame | None = None) -> DataFrame:
+    stg = stg if stg is not None else purged_staging(spark, sf)
+    stg = stg.filter(F.col("STG_INSERT_TIMESTAMP") < F.lit(SNAP_FIRST_CUT))
     return snap_transform(latest_per_key(stg, "ENTITY_KEY", ["SYS_LAST_UPDATE_DTM"], ["SRC_ORDERKEY"]),
                           SNAP_BATCH1, SNAP_RUN1)
 
 
 def snap_second(spark, sf) -> DataFrame:
-    ods0 = snap_first(spark, sf)
-    stg = purged_staging(spark, sf)
+    stg = purged_staging_table(spark, sf)
+    ods0 = snap_first(spark, sf, stg)
     d = delta(stg, ods0, "STG_INSERT_TIMESTAMP", "STG_INSERT_TIMESTAMP", overlap_minutes=3)
     src = snap_transform(latest_per_key(d, "ENTITY_KEY", ["SYS_LAST_UPDATE_DTM"], ["SRC_ORDERKEY"]),
                          SNAP_BATCH2, SNAP_RUN2)
     merged = merge_upsert(ods0, src, "ODS_PK", no_update=["ODS_INS_BATCH_ID", "ODS_INSERT_TIMESTAMP"])
-    merged = merged.withColumnRenamed(ACTION, "MERGE_ACTION")
+    # the merged target is written before delete marking reads it twice (maxima + rows),
+    # as the reference's post-hook runs on the written table
+    merged = cut_lineage(merged.withColumnRenamed(ACTION, "MERGE_ACTION"))
     marked = mark_deleted(merged, stg, ["ENTITY_KEY"], "STG_INSERT_TIMESTAMP")
     return marked.withColumnRenamed(ACTION, "DELETE_ACTION")
 

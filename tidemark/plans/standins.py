@@ -65,7 +65,9 @@ def daily_states(spark, sf, cutoff: dt.date | None = None) -> DataFrame:
     o = t(spark, sf, "orders")
     if cutoff is not None:
         o = o.filter(F.col("o_orderdate") <= F.lit(dt.datetime.combine(cutoff, dt.time())))
-    e = o.select(*_entity_cols())
+    # one hash partitioning on the entity key serves the daily collapse and every later
+    # window of the history build: a single shuffle of the orders
+    e = o.select(*_entity_cols()).repartition("ENTITY_KEY")
     daily = latest_per_key(e, ["ENTITY_KEY", "SNAP_DT"], ["SRC_ORDERKEY"])
     return _with_scd_hashes(daily)
 
