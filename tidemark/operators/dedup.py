@@ -7,8 +7,9 @@ Scale notes
 * `purge_duplicates` pre-aggregates the top ordering per content hash (partial
   aggregation before the shuffle) and joins it back; the join sees one row per hash
   on the build side, and AQE splits a skewed probe side.
-* `cdc_resolve` removes renamed-away keys with one anti join whose residual compares
-  log ids, so no key set is collected or broadcast unchecked.
+* `cdc_resolve` pre-aggregates rename records to the largest log id per before-key and
+  removes renamed-away keys with one anti join on that (one row per key on both sides),
+  so no key set is collected or broadcast unchecked.
 """
 
 from __future__ import annotations
@@ -93,9 +94,13 @@ def cdc_resolve(log: DataFrame, keys, before_keys, ts: str, log_id: str,
         *[F.col(b).alias(f"_bk{i}") for i, b in enumerate(before_keys)],
         F.col(log_id).alias("_chg_id"))
     if keyed:
-        cond = [dedup[k] == changes[f"_bk{i}"] for i, k in enumerate(keys)]
-        cond.append((changes["_chg_id"] >= dedup[log_id]) | dedup[log_id].isNull())
-        return dedup.join(changes, reduce(lambda a, b: a & b, cond), "left_anti")
+        # "some rename of this key has id >= the kept id" <=> max(rename id) >= kept id:
+        # pre-aggregate the renames per before-key (partial aggregation, so a hot before-key
+        # costs one row per map task) and anti join one row per key
+        top = changes.groupBy(*[f"_bk{i}" for i in range(len(keys))]).agg(F.max("_chg_id").alias("_chg_id"))
+        cond = [dedup[k] == top[f"_bk{i}"] for i, k in enumerate(keys)]
+        cond.append((top["_chg_id"] >= dedup[log_id]) | dedup[log_id].isNull())
+        return dedup.join(top, reduce(lambda a, b: a & b, cond), "left_anti")
     # unkeyed: a rename suppresses its before key when its id >= min(kept id) (or a kept id
     # is NULL, or nothing was kept); one-row scalar, no cartesian product
     stats = dedup.agg(F.min(log_id).alias("_min_id"),
