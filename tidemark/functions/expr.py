@@ -119,10 +119,19 @@ def try_number(c, to: str = "decimal(38,0)") -> Column:
 
 
 def parse_yyyymmdd(c) -> Column:
-    """Integer / text YYYYMMDD -> date; 0, NULL and invalid -> NULL."""
+    """Integer / text YYYYMMDD -> date; 0, NULL and invalid -> NULL.
+
+    Validated arithmetically (month 1-12, day within the month) and built with
+    make_date, so invalid inputs never go through a throwing parser: this runs on
+    every row of wide tables."""
     s = _col(c).cast("string")
     ok = s.rlike("^[0-9]{8}$")
-    return F.when(ok, F.try_to_date(s, "yyyyMMdd"))
+    y = F.substring(s, 1, 4).try_cast("int")
+    m = F.substring(s, 5, 2).try_cast("int")
+    d = F.substring(s, 7, 2).try_cast("int")
+    month_ok = ok & (y >= 1) & m.between(1, 12)
+    month_end = F.dayofmonth(F.last_day(F.when(month_ok, F.make_date(y, m, F.lit(1)))))
+    return F.when(month_ok & (d >= 1) & (d <= month_end), F.make_date(y, m, d))
 
 
 def date_check(c, bad: str | None = None, min_year: int | None = None) -> Column:

@@ -141,8 +141,12 @@ def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame
     else:
         flags = dim.limit(0).agg(*[F.lit(1).alias(f"_chg_{c}") for c in cols])
     opened = F.lit(OPEN_DATE)
-    curr = dim.filter(F.col("DISC_DT") == opened).select(key, *[F.col(c).alias(f"o__{c}") for c in cols])
-    j = attach_scalar(dim.join(curr, key, "left"), flags)
+    # the open row's value reaches every row of its key through one key window (a single
+    # pass over the dimension instead of a self-join); with several open rows, a Q32
+    # violation, the largest value is taken
+    w = Window.partitionBy(key)
+    curr = [F.max(F.when(F.col("DISC_DT") == opened, F.col(c))).over(w).alias(f"o__{c}") for c in cols]
+    j = attach_scalar(dim.select("*", *curr), flags)
     out = []
     for c in dim.columns:
         if c in cols:

@@ -164,14 +164,17 @@ flags AS (
                       THEN 1 ELSE 0 END), 0) AS chg
   FROM src s JOIN cur c ON s.ENTITY_KEY = c.ENTITY_KEY
 ),
-opened AS (SELECT ENTITY_KEY, PRIORITY AS o_PRIORITY FROM merged WHERE DISC_DT = DATE '9999-12-31')
+opened AS (
+  SELECT *, max(CASE WHEN DISC_DT = DATE '9999-12-31' THEN PRIORITY END) OVER (PARTITION BY ENTITY_KEY) AS o_PRIORITY
+  FROM merged
+)
 SELECT m.ENTITY_SK, m.ENTITY_KEY, m.STATUS,
-       CASE WHEN f.chg = 1 AND m.DISC_DT <> DATE '9999-12-31' AND o.o_PRIORITY IS NOT NULL
-            THEN o.o_PRIORITY ELSE m.PRIORITY END AS PRIORITY,
+       CASE WHEN f.chg = 1 AND m.DISC_DT <> DATE '9999-12-31' AND m.o_PRIORITY IS NOT NULL
+            THEN m.o_PRIORITY ELSE m.PRIORITY END AS PRIORITY,
        m.PRICE_BAND, m.HASH_SCD2, m.HASH_SCD1, m.EFF_DT, m.DISC_DT, m.IS_CURRENT, m.INS_BATCH_ID,
        m.UPD_BATCH_ID, m.MERGE_ACTION
-FROM merged m LEFT JOIN opened o ON m.ENTITY_KEY = o.ENTITY_KEY CROSS JOIN flags f
-""".replace("SELECT * FROM merged", ""))
+FROM opened m CROSS JOIN flags f
+""")
 def q_scd6(spark, sf):
     dim = S.dim_history(spark, sf, S.D1, S.BATCH1).select(*S.DIM_COLS)
     src = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
