@@ -42,12 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the cluster's `spark.checkpoint.dir`. Only when it is unset (tests, local
     runs) a scratch folder is created and registered on the session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        sc_dir = sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc, sc_dir = None, None
+    if conf_dir or sc_dir:
+        if sc is not None and sc_dir is None:
+            sc.setCheckpointDir(conf_dir)      # the cluster's shared folder, set at runtime
+        return sc_dir or conf_dir
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
