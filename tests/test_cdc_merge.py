@@ -157,3 +157,19 @@ def test_latest_per_key_matches_brute_force(spark, rows):
     pdf = pd.DataFrame(rows, columns=["K", "O", "T"]).sort_values(["O", "T"], ascending=False)
     want = sorted(tuple(int(x) for x in r) for r in pdf.groupby("K").head(1).itertuples(index=False))
     assert got == want
+
+
+def test_merge_rejects_duplicate_source_keys(spark):
+    import pytest
+    tgt = spark.createDataFrame([("A", "a", "h1", "INSERT", 1, "N")], TGT)
+    src = spark.createDataFrame([("B", "b", "h2", "INSERT", 2, "N"), ("B", "c", "h3", "INSERT", 2, "N")], TGT)
+    with pytest.raises(ValueError):
+        merge_upsert(tgt, src, "K", check_unique=True)
+
+
+def test_active_only_and_recent(spark):
+    from tidemark.functions.expr import active_only, recent
+    df = spark.createDataFrame([("a", False, t(1)), ("b", True, dt.datetime(2010, 1, 1))],
+                               "K string, IS_DELETED boolean, TS timestamp_ntz")
+    assert [r["K"] for r in active_only(df, "IS_DELETED").collect()] == ["a"]
+    assert [r["K"] for r in recent(df, "TS", 8, dt.date(2025, 6, 1)).collect()] == ["a"]

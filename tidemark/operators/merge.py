@@ -39,7 +39,7 @@ def assert_unique_source(source: DataFrame, key) -> DataFrame:
 
 def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[str] = (),
                  gate: str | None = "HASH_CHANGE", update_cols: Sequence[str] | None = None,
-                 op_col: str = "OPERATION_TYPE") -> DataFrame:
+                 op_col: str = "OPERATION_TYPE", check_unique: bool = False) -> DataFrame:
     """Hash-gated upsert.
 
     matched and gate differs (NULL never differs)  -> update every column except the key,
@@ -49,8 +49,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     target only                                     -> unchanged
     source only                                     -> inserted as is
     gate=None is the ungated form: every matched row is updated.
+    check_unique=True first runs one aggregate over the source and raises when a key
+    occurs twice (trap T9: a duplicated source key would update a row twice).
     """
     keys = _listify(key)
+    if check_unique:
+        dup = assert_unique_source(source, keys).limit(1).collect()
+        if dup:
+            raise ValueError(f"merge source has duplicate keys, e.g. {dup[0].asDict()}")
     cols = target.columns
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("_s"))

@@ -179,3 +179,29 @@ def scd2_from_history(daily: DataFrame, key: str, day: str, scd2_hash: str,
     disc = F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_DATE))
     return versions.select(
         key, "_last.*", "EFF_DT", disc.alias("DISC_DT"), F.col("_ver").cast("int").alias("VERSION_NUM"))
+
+
+def backfill_dim(history: DataFrame, lookup: DataFrame | None, key: str, lookup_key: str,
+                 columns: Sequence[tuple], spec, exclude_ids: Sequence = ()) -> DataFrame:
+    """One-off history migration into a dimension.
+
+    `history` already carries EFF_DT / DISC_DT per version; the lookup enriches it (LEFT
+    JOIN on key = lookup_key, optionally leaving `exclude_ids` unenriched), `columns`
+    renames / casts / truncates (see functions.expr.project), then the surrogate key
+    (key, EFF_DT), the SCD1 / SCD2 / full hashes from `spec` are added, the source
+    validity dates are kept and OPERATION_TYPE is 'HISTORICAL'."""
+    from tidemark.functions.expr import project
+    from tidemark.functions.hashing import hash_full, hash_scd1, hash_scd2, surrogate_key
+
+    src = history
+    if lookup is not None:
+        lk = lookup
+        if exclude_ids:
+            lk = lk.filter(~F.col(lookup_key).isin(list(exclude_ids)))
+        src = src.join(lk, src[key] == lk[lookup_key], "left")
+    shaped = project(src, list(columns) + [("EFF_DT", "EFF_DT", None, None), ("DISC_DT", "DISC_DT", None, None)])
+    return shaped.select(
+        surrogate_key(key, "EFF_DT").alias(f"{key}_SK"), "*",
+        (F.col("DISC_DT") == F.lit(OPEN_DATE)).alias("IS_CURRENT"),
+        hash_scd2(spec).alias("HASH_SCD2"), hash_scd1(spec).alias("HASH_SCD1"), hash_full(spec).alias("HASH_FULL"),
+        F.lit("HISTORICAL").alias("OPERATION_TYPE"))

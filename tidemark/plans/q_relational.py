@@ -368,24 +368,26 @@ def q_propagate_deletes(spark, sf):
 
 
 @query("dim_backfill", sql=DIM_FULL + f"""
-SELECT md5(coalesce(CAST(d.ENTITY_KEY AS VARCHAR), '') || '-' || coalesce(CAST(d.EFF_DT AS VARCHAR), '')) AS ENTITY_SK,
+SELECT md5(coalesce(CAST(d.ENTITY_KEY AS VARCHAR), '') || '-' || coalesce(CAST(d.EFF_DT AS VARCHAR), '')) AS ENTITY_KEY_SK,
        d.ENTITY_KEY, substr(c.c_name, 1, 25) AS CUSTOMER_NAME, c.c_mktsegment AS SEGMENT, d.STATUS, d.PRIORITY,
-       d.EFF_DT, d.DISC_DT, d.IS_CURRENT, d.HASH_SCD2, d.HASH_SCD1,
+       d.EFF_DT, d.DISC_DT, d.DISC_DT = DATE '9999-12-31' AS IS_CURRENT,
+       md5(coalesce(CAST(d.STATUS AS VARCHAR), '')) AS HASH_SCD2,
+       md5(coalesce(CAST(c.c_mktsegment AS VARCHAR), '') || '||' || coalesce(CAST(d.PRIORITY AS VARCHAR), '')) AS HASH_SCD1,
        md5(coalesce(CAST(d.ENTITY_KEY AS VARCHAR), '') || '|' || coalesce(CAST(substr(c.c_name, 1, 25) AS VARCHAR), '') || '|' ||
            coalesce(CAST(c.c_mktsegment AS VARCHAR), '') || '|' || coalesce(CAST(d.STATUS AS VARCHAR), '') || '|' ||
            coalesce(CAST(d.PRIORITY AS VARCHAR), '')) AS HASH_FULL,
        'HISTORICAL' AS OPERATION_TYPE
 FROM dim d LEFT JOIN customer c ON d.ENTITY_KEY = c.c_custkey""")
 def q_dim_backfill(spark, sf):
+    from tidemark.operators.scd import backfill_dim
     d = S.dim_history(spark, sf, None, S.BATCH2)
-    c = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("ENTITY_KEY"),
-                                          F.substring("c_name", 1, 25).alias("CUSTOMER_NAME"),
-                                          F.col("c_mktsegment").alias("SEGMENT"))
-    j = d.join(c, "ENTITY_KEY", "left")
-    spec = TableSpec(columns=("ENTITY_KEY", "CUSTOMER_NAME", "SEGMENT", "STATUS", "PRIORITY"))
-    return j.select(surrogate_key("ENTITY_KEY", "EFF_DT").alias("ENTITY_SK"), "ENTITY_KEY", "CUSTOMER_NAME",
-                    "SEGMENT", "STATUS", "PRIORITY", "EFF_DT", "DISC_DT", "IS_CURRENT", "HASH_SCD2", "HASH_SCD1",
-                    hash_full(spec).alias("HASH_FULL"), F.lit("HISTORICAL").alias("OPERATION_TYPE"))
+    c = S.t(spark, sf, "customer")
+    spec = TableSpec(columns=("ENTITY_KEY", "CUSTOMER_NAME", "SEGMENT", "STATUS", "PRIORITY"),
+                     scd2=("STATUS",), scd1=("PRIORITY", "SEGMENT"))
+    cols = [("ENTITY_KEY", "ENTITY_KEY", None, None), ("c_name", "CUSTOMER_NAME", "string", 25),
+            ("c_mktsegment", "SEGMENT", None, None), ("STATUS", "STATUS", None, None),
+            ("PRIORITY", "PRIORITY", None, None)]
+    return backfill_dim(d, c, "ENTITY_KEY", "c_custkey", cols, spec)
 
 
 _ = summary
