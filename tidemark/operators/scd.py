@@ -53,10 +53,18 @@ def scd_init(src: DataFrame, as_of: _dt.date, batch: int) -> DataFrame:
 
 def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch: int,
               late_closeout: bool = False, preserve: Sequence[str] = (),
-              type6: Sequence[str] = (), hash2: str = "HASH_SCD2", hash1: str = "HASH_SCD1") -> DataFrame:
+              type6: Sequence[str] = (), hash2: str = "HASH_SCD2", hash1: str = "HASH_SCD1",
+              stage_source: bool = True) -> DataFrame:
     """SCD 1/2/6 merge of a source batch into a dimension (E3-E6). Returns the new
     dimension with an `_action` column. `preserve` lists columns a type-1 / intra-day
-    overwrite keeps from the target (default: none, as in the reference)."""
+    overwrite keeps from the target (default: none, as in the reference).
+
+    stage_source=True writes the source batch once (reliable checkpoint in the shared
+    folder), as the reference stages its temp table before the MERGE: the batch is read
+    three times below, and its exact size lets AQE broadcast it when it is small."""
+    if stage_source:
+        from tidemark.sources.sinks import cut_lineage
+        src = cut_lineage(src)
     cols = dim.columns
     opened = F.lit(OPEN_DATE)
     run_day = F.lit(as_of)
@@ -165,20 +173,24 @@ def scd2_from_history(daily: DataFrame, key: str, day: str, scd2_hash: str,
     A version starts on a day whose SCD2 hash differs from the previous day's; the
     version's attributes come from its last day (type-1 columns overwritten in place);
     DISC_DT is the next version's EFF_DT - 1, open versions end 9999-12-31.
-    Both windows share one partitioning and ordering on (key, day)."""
+
+    A version is a contiguous run of days, so no aggregation is needed: on the last
+    day of each run, the run's start is the running max of change days and the next
+    version starts on the next day. Every window shares one partitioning and one sort
+    on (key, day)."""
     w = Window.partitionBy(key).orderBy(day)
     marked = daily.select(
         "*", F.coalesce(F.col(scd2_hash) != F.lag(scd2_hash).over(w), F.lit(True)).alias("_chg"))
-    grouped = marked.select("*", F.sum(F.col("_chg").cast("int")).over(w).alias("_ver"))
-    payload = F.struct(*[F.col(c) for c in keep])
-    versions = grouped.groupBy(key, "_ver").agg(
-        F.min(day).alias("EFF_DT"),
-        F.max_by(payload, F.col(day)).alias("_last"))
-    wv = Window.partitionBy(key).orderBy("EFF_DT")
-    nxt = F.lead("EFF_DT").over(wv)
-    disc = F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_DATE))
-    return versions.select(
-        key, "_last.*", "EFF_DT", disc.alias("DISC_DT"), F.col("_ver").cast("int").alias("VERSION_NUM"))
+    runs = marked.select(
+        "*",
+        F.max(F.when(F.col("_chg"), F.col(day))).over(w).alias("_start"),
+        F.sum(F.col("_chg").cast("int")).over(w).alias("_ver"),
+        F.lead("_chg").over(w).alias("_next_chg"),
+        F.lead(day).over(w).alias("_next_day"))
+    last = runs.filter(F.coalesce(F.col("_next_chg"), F.lit(True)))
+    disc = F.coalesce(F.date_sub(F.col("_next_day"), 1), F.lit(OPEN_DATE))
+    return last.select(key, *keep, F.col("_start").alias("EFF_DT"), disc.alias("DISC_DT"),
+                       F.col("_ver").cast("int").alias("VERSION_NUM"))
 
 
 def backfill_dim(history: DataFrame, lookup: DataFrame | None, key: str, lookup_key: str,

@@ -127,8 +127,14 @@ merged AS (
 )""".strip()
 
 
+def dim_after_run1(spark, sf):
+    """The dimension as stored after the first run (a table, so it is materialised)."""
+    from tidemark.sources.sinks import cut_lineage
+    return cut_lineage(S.dim_history(spark, sf, S.D1, S.BATCH1).select(*S.DIM_COLS))
+
+
 def _merge_d2(spark, sf, late_closeout=False):
-    dim = S.dim_history(spark, sf, S.D1, S.BATCH1).select(*S.DIM_COLS)
+    dim = dim_after_run1(spark, sf)
     src = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
     return scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2, late_closeout=late_closeout)
 
@@ -176,7 +182,7 @@ SELECT m.ENTITY_SK, m.ENTITY_KEY, m.STATUS,
 FROM opened m CROSS JOIN flags f
 """)
 def q_scd6(spark, sf):
-    dim = S.dim_history(spark, sf, S.D1, S.BATCH1).select(*S.DIM_COLS)
+    dim = dim_after_run1(spark, sf)
     src = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
     m = scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2)
     return scd6_propagate(m, "ENTITY_KEY", ["PRIORITY"], src=src, before=dim) \
