@@ -1,8 +1,9 @@
 """Join helpers: bounded lookups, star joins, one-row scalars, semi/anti joins.
 
 Broadcast policy: a side is broadcast explicitly only when its size is bounded by
-construction (a global aggregate = one row; a constant lookup of known length; a
-domain table such as nation/region whose cardinality does not grow with the data).
+construction (a constant lookup of known length; a domain table such as nation/region
+whose cardinality does not grow with the data). One-row aggregates are attached as
+scalar subqueries, not joins.
 Every other join is left to the planner: AQE reads the real shuffle sizes and turns a
 sort-merge join into a broadcast join only when the built side fits
 `spark.sql.adaptive.autoBroadcastJoinThreshold`, and splits skewed partitions otherwise.
@@ -20,9 +21,13 @@ from pyspark.sql import functions as F
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row relation (a global aggregate) to every row.
 
-    The right side is a global aggregate, so it has exactly one row; it is broadcast and
-    no row pairs are formed beyond one per input row."""
-    return df.crossJoin(F.broadcast(one_row))
+    Expressed as one scalar subquery returning a struct: Spark evaluates the aggregate
+    once and hands the value to every task, with no join at all (the reference's
+    `(SELECT MAX(...))` / `JOIN ... ON 1=1` with a one-row CTE). Spark enforces the bound:
+    a subquery returning more than one row fails the query instead of multiplying rows."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_scalar")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in cols])
 
 
 def lookup(df: DataFrame, lk: DataFrame, on, how: str = "left", bounded: bool = False) -> DataFrame:
