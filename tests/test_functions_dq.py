@@ -189,3 +189,14 @@ def test_streaming_cdc_driver(spark, scratch):
     run()
     out = {r["K"]: r["V"] for r in sinks.read_current(spark, tgt).collect()}
     assert out == {"A": "a1", "B": "b2", "C": "a1"}
+
+
+def test_date_order_sentinels_and_contains_nulls(spark):
+    rows = [(dt.date(2020, 1, 1), dt.date(2019, 1, 1)), (dt.date(1900, 1, 1), dt.date(1899, 1, 1)),
+            (dt.date(9999, 12, 31), dt.date(9999, 12, 31))]
+    df = spark.createDataFrame(rows, "HIRE date, TERM date")
+    assert dq.date_order(df, "HIRE", "TERM").count() == 3
+    assert dq.date_order(df, "HIRE", "TERM", dt.date(1900, 1, 1), dt.date(9999, 12, 31)).count() == 1
+    names = spark.createDataFrame([("Ann Lee", "ann", "LEE"), ("Ann Lee", None, "Kim"), ("Bo Wu", "al", "wu")],
+                                  "FULL string, F string, L string")
+    assert [r["FULL"] for r in dq.contains_parts(names, "FULL", ["F", "L"]).collect()] == ["Bo Wu"]

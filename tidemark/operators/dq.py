@@ -67,8 +67,15 @@ def self_reference(df, a, b):                     # Q15, Q31
     return df.filter(_c(a).isNotNull() & _c(b).isNotNull() & (_c(a) == _c(b)))
 
 
-def date_order(df, start, end):                   # Q20, Q34
-    return df.filter(_c(start).isNotNull() & _c(end).isNotNull() & (_c(end) <= _c(start)))
+def date_order(df, start, end, start_sentinel=None, end_sentinel=None):   # Q20, Q34
+    """end <= start, both set; the sentinel-aware form (Q34) ignores rows whose end is the
+    open sentinel (9999-12-31) or whose start is the unknown sentinel (1900-01-01)."""
+    cond = _c(start).isNotNull() & _c(end).isNotNull() & (_c(end) <= _c(start))
+    if end_sentinel is not None:
+        cond = cond & (_c(end) != F.lit(end_sentinel))
+    if start_sentinel is not None:
+        cond = cond & (_c(start) != F.lit(start_sentinel))
+    return df.filter(cond)
 
 
 def status_consistency(df, status, end, as_of, ended="TERMINATED", active="ACTIVE"):   # Q19
@@ -86,8 +93,11 @@ def not_null(df, cols):                           # Q22
 
 
 def contains_parts(df, full, parts):              # Q27: ILIKE '%part%' per part
+    """The full value must contain every part, case-insensitively (parts act as LIKE
+    patterns, so % and _ inside them are wildcards); rows with a NULL are not checked."""
+    set_ = reduce(lambda a, b: a & b, [_c(full).isNotNull()] + [_c(p).isNotNull() for p in parts])
     conds = [~F.ilike(_c(full), F.concat(F.lit("%"), _c(p), F.lit("%"))) for p in parts]
-    return df.filter(reduce(lambda a, b: a | b, conds))
+    return df.filter(set_ & reduce(lambda a, b: a | b, conds))
 
 
 def exclusive_flags(df, a, b):                    # Q38
@@ -228,17 +238,28 @@ def scd_integrity(dim, key, eff="EFF_DT", disc="DISC_DT", cur="IS_CURRENT"):   #
     return hits.select("KEY", eff_out.alias("EFF_DT"), F.col("_disc").alias("DISC_DT"), "ERROR")
 
 
-def model_coefficients(df, trained_at, xlevels, coef, as_of, max_age_days=30):   # Q42
-    """Single-row model table: exactly one row, trained recently, baseline coefficient 0.
-    The baseline is the first level of `xlevels`, used as a key into the `coef` map."""
-    n = df.agg(F.count(F.lit(1)).cast("bigint").alias("N"))
-    rows_bad = n.filter(F.col("N") != 1).select(F.lit("ROW_COUNT_NOT_ONE").alias("ISSUE"))
-    stale = df.filter(F.col(trained_at) < F.lit(as_of) - F.expr(f"INTERVAL {int(max_age_days)} DAYS")) \
-        .select(F.lit("STALE_MODEL").alias("ISSUE"))
-    base = F.try_element_at(F.col(coef), F.element_at(F.col(xlevels), 1))
-    missing = df.filter(base.isNull()).select(F.lit("BASELINE_MISSING").alias("ISSUE"))
-    nonzero = df.filter(base.isNotNull() & (base != 0)).select(F.lit("BASELINE_NOT_ZERO").alias("ISSUE"))
-    return rows_bad.unionByName(stale).unionByName(missing).unionByName(nonzero)
+def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q42
+    """Single-row model table check; one row per failure (FAILURE, DETAILS):
+    'row_count_not_1' when the table does not hold exactly one row,
+    'trained_at_stale_or_null' when max(trained_at) is NULL or older than max_age_days,
+    '<name>_baseline_missing_or_nonzero' per row and per (name, levels, coefficients)
+    in `baselines` when the coefficient of the first level is missing, not numeric or not 0.
+    All from one aggregate and plain filters."""
+    stats = df.agg(F.count(F.lit(1)).alias("_n"), F.max(trained_at).alias("_mx"))
+    parts = [
+        stats.filter(F.col("_n") != 1).select(F.lit("row_count_not_1").alias("FAILURE"),
+                                              F.col("_n").cast("string").alias("DETAILS")),
+        stats.filter(F.col("_mx").isNull()
+                     | (F.col("_mx") < F.lit(as_of) - F.expr(f"INTERVAL {int(max_age_days)} DAYS")))
+             .select(F.lit("trained_at_stale_or_null").alias("FAILURE"), F.col("_mx").cast("string").alias("DETAILS")),
+    ]
+    for name, levels, coef in baselines:
+        first = F.try_element_at(F.col(levels), F.lit(1))
+        base = F.try_element_at(F.col(coef), first).try_cast("double")
+        parts.append(df.filter(base.isNull() | (base != 0))
+                       .select(F.lit(f"{name}_baseline_missing_or_nonzero").alias("FAILURE"),
+                               first.cast("string").alias("DETAILS")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # ------------------------------------------------------------------ suite

@@ -407,8 +407,10 @@ MODEL_AS_OF = dt.datetime(2024, 2, 1)
 
 
 def model_table(spark, sf):
-    """One model row per embedding label, built from the embeddings table: the first
-    level is the label itself, its coefficient the smallest vector id of the label."""
+    """Model-coefficient rows built from the embeddings table, one per label: the
+    division levels start with the label, whose coefficient is the label's smallest
+    vector id (zero only for the label holding vector 0); the service levels start
+    with 'all', whose coefficient is always 0."""
     e = S.t(spark, sf, "embeddings")
     g = e.groupBy("label").agg(F.min("vec_id").alias("_min"), F.max("vec_id").alias("_max"))
     lvl = F.col("label").cast("string")
@@ -416,19 +418,26 @@ def model_table(spark, sf):
         "label",
         (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(days=(F.col("_max") % 60).cast("int"))).alias("TRAINED_AT"),
         F.array(lvl, F.lit("other")).alias("DIVISION_XLEVELS"),
-        F.create_map(lvl, F.col("_min").cast("double")).alias("DIVISION_COEF"))
+        F.create_map(lvl, F.col("_min").cast("double")).alias("DIVISION_COEF"),
+        F.array(F.lit("all")).alias("SERVICE_XLEVELS"),
+        F.create_map(F.lit("all"), F.lit(0.0)).alias("SERVICE_COEF"))
 
 
 @query("dq_model_coefficients", sql=f"""
 WITH g AS (SELECT label, min(vec_id) AS mn, max(vec_id) AS mx FROM embeddings GROUP BY label),
 m AS (SELECT label, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(mx % 60 AS INTEGER)) AS TRAINED_AT,
-             CAST(mn AS DOUBLE) AS BASE FROM g)
-SELECT 'ROW_COUNT_NOT_ONE' AS ISSUE FROM (SELECT count(*) AS n FROM m) WHERE n <> 1
-UNION ALL SELECT 'STALE_MODEL' FROM m WHERE TRAINED_AT < TIMESTAMP '{MODEL_AS_OF}' - INTERVAL 30 DAY
-UNION ALL SELECT 'BASELINE_MISSING' FROM m WHERE BASE IS NULL
-UNION ALL SELECT 'BASELINE_NOT_ZERO' FROM m WHERE BASE IS NOT NULL AND BASE <> 0""")
+             CAST(label AS VARCHAR) AS DIV_LEVEL, CAST(mn AS DOUBLE) AS DIV_BASE,
+             'all' AS SRV_LEVEL, CAST(0.0 AS DOUBLE) AS SRV_BASE FROM g),
+c AS (SELECT count(*) AS row_count, max(TRAINED_AT) AS max_trained_at FROM m)
+SELECT 'row_count_not_1' AS FAILURE, CAST(row_count AS VARCHAR) AS DETAILS FROM c WHERE row_count <> 1
+UNION ALL SELECT 'trained_at_stale_or_null', CAST(max_trained_at AS VARCHAR) FROM c
+  WHERE max_trained_at IS NULL OR max_trained_at < TIMESTAMP '{MODEL_AS_OF}' - INTERVAL 30 DAY
+UNION ALL SELECT 'division_baseline_missing_or_nonzero', DIV_LEVEL FROM m WHERE DIV_BASE IS NULL OR DIV_BASE <> 0
+UNION ALL SELECT 'service_baseline_missing_or_nonzero', SRV_LEVEL FROM m WHERE SRV_BASE IS NULL OR SRV_BASE <> 0""")
 def q_model_coefficients(spark, sf):
-    return dq.model_coefficients(model_table(spark, sf), "TRAINED_AT", "DIVISION_XLEVELS", "DIVISION_COEF",
+    return dq.model_coefficients(model_table(spark, sf), "TRAINED_AT",
+                                 [("division", "DIVISION_XLEVELS", "DIVISION_COEF"),
+                                  ("service", "SERVICE_XLEVELS", "SERVICE_COEF")],
                                  MODEL_AS_OF, 30)
 
 
