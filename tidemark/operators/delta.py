@@ -60,13 +60,23 @@ def delta_any(joined: DataFrame, marks: Sequence[tuple[str, object]]) -> DataFra
     return joined.filter(reduce(lambda a, b: a | b, preds))
 
 
+ALL_ROWS = object()   # a changed-key branch without a watermark: every row counts
+
+
+def target_mark(target: DataFrame, col: str) -> Column:
+    """`(SELECT MAX(col) FROM target)` as a scalar subquery: evaluated once, no join."""
+    return target.agg(F.max(col)).scalar()
+
+
 @dataclass
 class KeySource:
     """One branch of a changed-key union: a source, its key expressions (aliased to
-    the output key names), its update column and the target column holding its mark."""
+    the output key names), its update column and its mark: a literal, a Column such as
+    `target_mark(target, col)` (the target column holding this source's watermark),
+    None (no mark known), or ALL_ROWS (the branch has no watermark)."""
     df: DataFrame
     keys: Sequence[Column]
-    ts: str
+    ts: str | None
     mark: object
     bridge: tuple[DataFrame, Sequence[str]] | None = None
 
@@ -74,14 +84,20 @@ class KeySource:
 def changed_keys(branches: Sequence[KeySource], strict: bool = True) -> DataFrame:
     """UNION DISTINCT of the keys each source changed past its own watermark (K1).
     A branch with a bridge maps its rows to the output key through a join first.
-    A NULL mark selects nothing in strict mode (the reference's `> (SELECT MAX ...)`)."""
+    A NULL mark selects nothing in strict mode (the reference's `> (SELECT MAX ...)`
+    against an empty target). The distinct is a partial aggregation, so each branch
+    ships at most one row per key and map task."""
     parts = []
     for b in branches:
+        if b.mark is ALL_ROWS:
+            parts.append((b.df.join(b.bridge[0], list(b.bridge[1]), "inner") if b.bridge else b.df).select(*b.keys))
+            continue
         c = F.col(b.ts)
         if b.mark is None:
             pred = F.lit(False) if strict else F.lit(True)
         else:
-            pred = c > F.lit(b.mark) if strict else c >= F.lit(b.mark)
+            m = b.mark if isinstance(b.mark, Column) else F.lit(b.mark)
+            pred = F.coalesce(c > m if strict else c >= m, F.lit(False))
         rows = b.df.filter(pred)
         if b.bridge is not None:
             bdf, on = b.bridge

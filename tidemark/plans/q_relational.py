@@ -92,30 +92,53 @@ def latest_one(spark, sf):
 
 # ----------------------------------------------------------------------------- K1-K3
 
-ORDERS_MARK = dt.datetime(2001, 1, 1)
-LINES_MARK = dt.datetime(2001, 6, 1)
+FIRST_RUN = dt.datetime(2001, 1, 1)   # position of the target's previous run
 
-SQL_CHANGED = f"""changed AS (
-  SELECT o_custkey AS CUST_KEY FROM orders WHERE o_orderdate > TIMESTAMP '{ORDERS_MARK}'
+
+def first_run_target(spark, sf):
+    """The customer-level target as written by the previous run: per customer, the
+    latest order time and the latest ship time it had absorbed (its per-source marks)."""
+    o = S.t(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit(FIRST_RUN))
+    li = S.t(spark, sf, "lineitem")
+    lo = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("LAST_ORDER_TS"))
+    ls = (li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+          .groupBy("o_custkey").agg(F.max("l_shipdate").alias("LAST_SHIP_TS")))
+    return (S.t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+            .join(lo, "o_custkey", "left").join(ls, "o_custkey", "left")
+            .withColumn("LAST_SUPPLY_TS", F.lit(None).cast("timestamp_ntz")))
+
+
+SQL_CHANGED = f"""target AS (
+  SELECT c.c_custkey, lo.LAST_ORDER_TS, ls.LAST_SHIP_TS, CAST(NULL AS TIMESTAMP) AS LAST_SUPPLY_TS
+  FROM customer c
+  LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS LAST_ORDER_TS FROM orders
+             WHERE o_orderdate < TIMESTAMP '{FIRST_RUN}' GROUP BY o_custkey) lo ON c.c_custkey = lo.o_custkey
+  LEFT JOIN (SELECT o.o_custkey, max(l.l_shipdate) AS LAST_SHIP_TS FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+             WHERE o.o_orderdate < TIMESTAMP '{FIRST_RUN}' GROUP BY o.o_custkey) ls ON c.c_custkey = ls.o_custkey
+),
+changed AS (
+  SELECT o_custkey AS CUST_KEY FROM orders WHERE o_orderdate > (SELECT max(LAST_ORDER_TS) FROM target)
   UNION
   SELECT o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_shipdate > TIMESTAMP '{LINES_MARK}'
+  WHERE l.l_shipdate > (SELECT max(LAST_SHIP_TS) FROM target)
   UNION
-  SELECT s_suppkey FROM supplier WHERE false
+  SELECT s_suppkey FROM supplier WHERE CAST(NULL AS TIMESTAMP) > (SELECT max(LAST_SUPPLY_TS) FROM target)
 )"""
 
 
 def _changed(spark, sf):
+    from tidemark.operators.delta import target_mark
     o = S.t(spark, sf, "orders")
     li = S.t(spark, sf, "lineitem")
+    tgt = first_run_target(spark, sf)
     bridge = o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     branches = [
-        KeySource(o, [F.col("o_custkey").alias("CUST_KEY")], "o_orderdate", ORDERS_MARK),
-        KeySource(li, [F.col("o_custkey").alias("CUST_KEY")], "l_shipdate", LINES_MARK,
+        KeySource(o, [F.col("o_custkey").alias("CUST_KEY")], "o_orderdate", target_mark(tgt, "LAST_ORDER_TS")),
+        KeySource(li, [F.col("o_custkey").alias("CUST_KEY")], "l_shipdate", target_mark(tgt, "LAST_SHIP_TS"),
                   bridge=(bridge, ["l_orderkey"])),
-        # a source whose target mark is NULL contributes nothing (strict `>` against NULL)
+        # a source whose mark in the target is NULL contributes nothing (strict `>` against NULL)
         KeySource(S.t(spark, sf, "supplier").withColumn("_ts", F.lit(None).cast("timestamp_ntz")),
-                  [F.col("s_suppkey").alias("CUST_KEY")], "_ts", None),
+                  [F.col("s_suppkey").alias("CUST_KEY")], "_ts", target_mark(tgt, "LAST_SUPPLY_TS")),
     ]
     return changed_keys(branches, strict=True)
 
