@@ -5,9 +5,10 @@ target as a lazy plan; `sources.sinks.write_staged` writes it to a new directory
 Each result carries an `_action` column (insert / update / delete / unchanged) that the
 audit counts (A13) read; `drop_action` removes it before writing.
 
-Plans: the upsert is one full outer join on the key (one shuffle per side, both hash
-partitioned on the key); delete-marking and tombstones are anti/semi joins plus a
-`when`; nothing is collected on the driver.
+Plans: the upsert is a left join of the target with the (small, staged) source plus an
+anti join on the key column for the inserts, so a small batch never shuffles the target;
+delete-marking and tombstones are anti/semi joins plus a `when`; nothing is collected
+on the driver.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ def assert_unique_source(source: DataFrame, key) -> DataFrame:
 
 def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[str] = (),
                  gate: str | None = "HASH_CHANGE", update_cols: Sequence[str] | None = None,
-                 op_col: str = "OPERATION_TYPE", check_unique: bool = False) -> DataFrame:
+                 op_col: str = "OPERATION_TYPE", check_unique: bool = False,
+                 stage_source: bool = False) -> DataFrame:
     """Hash-gated upsert.
 
     matched and gate differs (NULL never differs)  -> update every column except the key,
@@ -51,23 +53,31 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     gate=None is the ungated form: every matched row is updated.
     check_unique=True first runs one aggregate over the source and raises when a key
     occurs twice (trap T9: a duplicated source key would update a row twice).
+
+    Plan: `target LEFT JOIN source` for the existing rows plus `source LEFT ANTI target`
+    (key column only) for the inserts, instead of one full outer join. When the source
+    batch is small it is broadcast and the target is not shuffled at all; otherwise only
+    the target's key column is shuffled for the anti join. stage_source=True writes the
+    batch once first (reliable checkpoint), so its exact size is known to the planner and
+    it is not recomputed for the two joins.
     """
     keys = _listify(key)
     if check_unique:
         dup = assert_unique_source(source, keys).limit(1).collect()
         if dup:
             raise ValueError(f"merge source has duplicate keys, e.g. {dup[0].asDict()}")
+    if stage_source:
+        from tidemark.sources.sinks import cut_lineage
+        source = cut_lineage(source)
     cols = target.columns
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("_t"))
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("_s"))
-    cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys])
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    src_only = F.col("_t").isNull()
+    cond = reduce(lambda a, b: a & b, [target[k] == s[f"s__{k}"] for k in keys])
+    j = target.join(s, cond, "left")
+    matched = F.col("_s").isNotNull()
     if gate is None:
         do_update = matched
     else:
-        do_update = matched & F.coalesce(F.col(f"t__{gate}") != F.col(f"s__{gate}"), F.lit(False))
+        do_update = matched & F.coalesce(F.col(gate) != F.col(f"s__{gate}"), F.lit(False))
     if update_cols is None:
         upd = [c for c in cols if c not in set(no_update) | {op_col} | set(keys)]
     else:
@@ -79,13 +89,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
         elif c in upd:
             new = F.col(f"s__{c}")
         else:
-            new = F.col(f"t__{c}")
-        out.append(F.when(src_only, F.col(f"s__{c}"))
-                   .when(do_update, new)
-                   .otherwise(F.col(f"t__{c}")).alias(c))
-    action = (F.when(src_only, F.lit("insert")).when(do_update, F.lit("update"))
-              .otherwise(F.lit("unchanged")))
-    return j.select(*out, action.alias(ACTION))
+            new = F.col(c)
+        out.append(F.when(do_update, new).otherwise(F.col(c)).alias(c))
+    existing = j.select(*out, F.when(do_update, F.lit("update")).otherwise(F.lit("unchanged")).alias(ACTION))
+    inserts = (source.join(target.select(*keys), keys, "left_anti")
+               .select(*cols, F.lit("insert").alias(ACTION)))
+    return existing.unionByName(inserts)
 
 
 def delete_insert(target: DataFrame, source: DataFrame, key) -> DataFrame:

@@ -90,7 +90,8 @@ def cdc_second_run(spark, sf) -> DataFrame:
     mark = cdc_mark(ods0)
     tomb = drop_action(cdc_tombstoned(spark, sf, ods0, mark))
     delta_ods = ods_transform(_resolve(S.cdc_log(spark, sf), mark), S.CDC_BATCH, S.CDC_RUN)
-    return merge_upsert(tomb, delta_ods, "ODS_PK", no_update=CDC_NO_UPDATE, gate="HASH_CHANGE")
+    return merge_upsert(tomb, delta_ods, "ODS_PK", no_update=CDC_NO_UPDATE, gate="HASH_CHANGE",
+                        stage_source=True)
 
 
 # ----------------------------------------------------------------------------- CDC, SQL
