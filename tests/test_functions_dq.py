@@ -191,6 +191,33 @@ def test_streaming_cdc_driver(spark, scratch):
     assert out == {"A": "a1", "B": "b2", "C": "a1"}
 
 
+def test_streaming_tombstones_renamed_keys(spark, scratch):
+    from tidemark.functions.hashing import md5_concat
+    from tidemark.streaming.cdc_stream import start_cdc_stream
+    src, tgt = os.path.join(scratch, "log"), os.path.join(scratch, "ods")
+    schema = "K string, BK string, TS timestamp_ntz, ID bigint, PKC string, V string"
+    ddl = spark.createDataFrame([], schema).schema
+    spark.createDataFrame([("A", "A", dt.datetime(2025, 1, 1), 1, "N", "a1")], schema).write.parquet(src + "/p1")
+
+    def transform(df, batch):
+        return df.select("K", "V", md5_concat(["V"], "|").alias("HASH_CHANGE"),
+                         F.lit("INSERT").alias("OPERATION_TYPE"), F.lit("N").alias("SRC_DEL_IND"),
+                         F.lit("I").alias("SRC_ACTION_CD"), F.lit(batch).cast("bigint").alias("ODS_UPD_BATCH_ID"),
+                         F.lit(None).cast("timestamp_ntz").alias("ODS_UPDATE_TIMESTAMP"))
+
+    def run():
+        start_cdc_stream(spark, src + "/*", ddl, tgt, ["K"], ["BK"], "TS", "ID", lambda: F.col("PKC") == "Y",
+                         transform, "K", name="t_tomb",
+                         renamed_keys=lambda b: b.filter(F.col("PKC") == "Y").select(F.col("BK").alias("K")),
+                         tombstone_ts=lambda e: dt.datetime(2025, 1, 3)).awaitTermination(120)
+
+    run()
+    spark.createDataFrame([("C", "A", dt.datetime(2025, 1, 2), 2, "Y", "a1")], schema).write.parquet(src + "/p2")
+    run()
+    out = {r["K"]: r["OPERATION_TYPE"] for r in sinks.read_current(spark, tgt).collect()}
+    assert out == {"A": "DELETE", "C": "INSERT"}
+
+
 def test_date_order_sentinels_and_contains_nulls(spark):
     rows = [(dt.date(2020, 1, 1), dt.date(2019, 1, 1)), (dt.date(1900, 1, 1), dt.date(1899, 1, 1)),
             (dt.date(9999, 12, 31), dt.date(9999, 12, 31))]

@@ -20,11 +20,12 @@ import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.dedup import cdc_resolve
-from tidemark.operators.merge import drop_action, merge_upsert
+from tidemark.operators.merge import drop_action, merge_upsert, tombstone_renamed
 from tidemark.session import checkpoint_dir
 from tidemark.sources.sinks import read_current, write_staged
 
@@ -34,9 +35,16 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
                      change_flag: Callable[[], Column], transform: Callable[[DataFrame, int], DataFrame],
                      merge_key: str, no_update: Sequence[str] = (), gate: str | None = "HASH_CHANGE",
                      name: str = "cdc", available_now: bool = True,
-                     processing_time: str | None = None) -> StreamingQuery:
+                     processing_time: str | None = None,
+                     renamed_keys: Callable[[DataFrame], DataFrame] | None = None,
+                     tombstone_ts: Callable[[int], object] | None = None) -> StreamingQuery:
     """Start the streaming load. `transform(resolved, batch_id)` shapes resolved log rows
-    into target rows (keys, attributes, lineage and hash columns)."""
+    into target rows (keys, attributes, lineage and hash columns).
+
+    `renamed_keys(batch)` (optional) maps the batch's PK-change records to target keys
+    (column `merge_key`); those target rows are tombstoned before the upsert, like the
+    reference's pre-hook (C6). `tombstone_ts(batch_id)` gives the load time written on
+    them."""
     ckpt = os.path.join(checkpoint_dir(spark), f"stream-{name}")
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -45,6 +53,13 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
         resolved = cdc_resolve(batch, list(keys), list(before_keys), ts, log_id, change_flag())
         rows = transform(resolved, int(epoch_id))
         current = read_current(batch.sparkSession, target_dir)
+        if current is not None and renamed_keys is not None:
+            # deterministic per epoch (a replay writes the same values): the caller's load
+            # time, else the batch's latest capture time (one-row aggregate)
+            load_ts = (tombstone_ts(int(epoch_id)) if tombstone_ts
+                       else batch.agg(F.max(ts)).first()[0])
+            current = drop_action(tombstone_renamed(current, renamed_keys(batch), merge_key, load_ts,
+                                                    int(epoch_id)))
         new = rows if current is None else drop_action(
             merge_upsert(current, rows, merge_key, no_update=no_update, gate=gate))
         write_staged(new, target_dir)
