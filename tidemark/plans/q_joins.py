@@ -39,7 +39,7 @@ def order_rollup(spark, sf):
     return o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).cast("bigint").alias("ORDER_COUNT"),
         F.min("o_orderdate").alias("FIRST_ORDER_DATE"), F.max("o_orderdate").alias("LAST_ORDER_DATE"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("TOTAL_PRICE"))
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("TOTAL_PRICE"))
 
 
 SQL_ROLLUP = """rollup AS (
@@ -74,7 +74,7 @@ def star_left_join(spark, sf):
     lr = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
           .groupBy(F.col("o_custkey").alias("KEY"))
           .agg(F.count(F.lit(1)).cast("bigint").alias("LINE_COUNT"),
-               F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("TOTAL_QTY")))
+               F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(38,2)").alias("TOTAL_QTY")))
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     r = S.t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     # the customer-keyed sources share one hash partitioning on KEY; the domain lookups broadcast
