@@ -130,3 +130,51 @@ def log_event(log: DataFrame, spark: SparkSession, name: str, ts: _dt.datetime,
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+BUCKET_COL = "_bucket"
+
+
+def with_bucket(df: DataFrame, key, buckets: int) -> DataFrame:
+    """Add the storage bucket of each row: pmod(xxhash64(key...), buckets)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def write_bucketed(df: DataFrame, table_dir: str, key, buckets: int) -> None:
+    """Initial write of a table stored as `<table_dir>/_bucket=<n>/` partitions."""
+    with_bucket(df, key, buckets).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_dir)
+
+
+def upsert_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int,
+                    extra_keys: DataFrame | None = None, pre=None, **merge_kw) -> None:
+    """Hash-gated upsert that rewrites only the buckets the batch touches.
+
+    The target is stored partitioned by pmod(xxhash64(key), buckets). The batch is staged
+    once; its distinct buckets (at most `buckets` integers, a proven bound) prune the
+    target scan to those partitions; `merge_upsert` runs on them and Spark's dynamic
+    partition overwrite replaces exactly those partitions at job commit. Untouched
+    buckets are neither read nor rewritten, so the cost follows the batch, not the
+    table. The new files are written to a staging folder and only moved in at commit,
+    so a failed job leaves the table as it was.
+
+    `extra_keys` (a frame with the key columns) adds buckets to rewrite and `pre(current)`
+    transforms the touched rows before the merge, e.g. tombstoning renamed keys."""
+    from tidemark.operators.merge import drop_action, merge_upsert
+
+    keys = [key] if isinstance(key, str) else list(key)
+    staged = cut_lineage(with_bucket(source, key, buckets))
+    ids = staged.select(BUCKET_COL)
+    if extra_keys is not None:
+        ids = ids.unionByName(with_bucket(extra_keys.select(*keys), key, buckets).select(BUCKET_COL))
+    touched = [r[0] for r in ids.distinct().collect()]
+    if len(touched) > buckets:
+        raise AssertionError("bucket ids out of range")
+    if not touched:
+        return
+    current = spark.read.parquet(table_dir).filter(F.col(BUCKET_COL).isin(touched))
+    if pre is not None:
+        current = pre(current)
+    merged = drop_action(merge_upsert(current, staged.select(*current.columns), key, **merge_kw))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(table_dir))
