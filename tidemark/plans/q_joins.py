@@ -7,8 +7,6 @@ runtime sizes.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import anti, attach_scalar, lookup, not_in, semi, star_join
@@ -238,5 +236,3 @@ def in_subquery_case(spark, sf):
     return c.join(keys, "c_custkey", "left").select(
         "c_custkey", F.when(F.col("_hit").isNotNull(), F.lit("Y")).otherwise(F.lit("N")).alias("HAS_URGENT_PARTIAL"))
 
-
-_ = dt

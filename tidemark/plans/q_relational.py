@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import NO_SCD2_TAGGED, PACKAGE_NULL_TOKEN, hash_change, hash_full, surrogate_key
 from tidemark.operators.delta import KeySource, changed_keys, incremental_star, with_reprocess
-from tidemark.operators.dq import summary
 from tidemark.operators.lifecycle import LifecycleSpec, dq_score, lifecycle_events
 from tidemark.operators.merge import propagate_deletes
 from tidemark.plans import standins as S
@@ -412,5 +411,3 @@ def q_dim_backfill(spark, sf):
             ("PRIORITY", "PRIORITY", None, None)]
     return backfill_dim(d, c, "ENTITY_KEY", "c_custkey", cols, spec)
 
-
-_ = summary
