@@ -196,7 +196,10 @@ LIFE_SPEC = LifecycleSpec(key="ENTITY_KEY", eff="EFF_DT", status="EMPLOYEE_STATU
 
 
 def lifecycle_input(spark, sf):
-    d = S.dim_history(spark, sf, None, S.BATCH2)
+    """The fact reads the dimension's non-deleted rows (P20): deletes are propagated to
+    every version of a key (C3) and the fact drops those keys (trap T19)."""
+    from tidemark.functions.expr import active_only
+    d = active_only(deleted_dim(spark, sf), "IS_DELETED")
     w = Window.partitionBy("ENTITY_KEY")
     status = F.when(F.col("STATUS") == "F", F.lit("TERM")).when(F.col("STATUS") == "P", F.lit("LOA")) \
         .otherwise(F.lit("ACTIVE"))
@@ -208,10 +211,15 @@ def lifecycle(spark, sf):
 
 
 SQL_LIFE = DIM_FULL + """,
+latest_status AS (
+  SELECT o_custkey, o_orderstatus FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) = 1
+),
 li AS (
   SELECT *, CASE WHEN STATUS = 'F' THEN 'TERM' WHEN STATUS = 'P' THEN 'LOA' ELSE 'ACTIVE' END AS EMPLOYEE_STATUS,
          min(EFF_DT) OVER (PARTITION BY ENTITY_KEY) AS HIRE_DATE
   FROM dim
+  WHERE NOT EXISTS (SELECT 1 FROM latest_status l WHERE l.o_custkey = dim.ENTITY_KEY AND l.o_orderstatus = 'F')
 ),
 v AS (
   SELECT *, lag(EMPLOYEE_STATUS) OVER w AS PREV_STATUS, lag(PRIORITY) OVER w AS PREV_JOB,
@@ -371,6 +379,16 @@ def q_hash_scd(spark, sf):
 
 # ----------------------------------------------------------------------------- C3, A15
 
+def deleted_dim(spark, sf):
+    """The full-history dimension with IS_DELETED propagated from the source (C3): a key
+    whose latest order is fulfilled counts as deleted at the source."""
+    from tidemark.plans.q_changes import dedup_latest
+    d = S.dim_history(spark, sf, None, S.BATCH2).withColumn("IS_DELETED", F.lit(False))
+    deleted = dedup_latest(spark, sf).filter(F.col("o_orderstatus") == "F") \
+        .select(F.col("o_custkey").alias("ENTITY_KEY"))
+    return propagate_deletes(d, deleted, "ENTITY_KEY")
+
+
 @query("propagate_deletes", sql=DIM_FULL + """,
 latest AS (
   SELECT o_custkey, o_orderstatus FROM orders
@@ -381,12 +399,7 @@ SELECT d.ENTITY_SK, d.ENTITY_KEY, d.EFF_DT, d.DISC_DT, d.IS_CURRENT,
             THEN true ELSE false END AS IS_DELETED
 FROM dim d""")
 def q_propagate_deletes(spark, sf):
-    from tidemark.plans.q_changes import dedup_latest
-    d = S.dim_history(spark, sf, None, S.BATCH2).select(
-        "ENTITY_SK", "ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT", F.lit(False).alias("IS_DELETED"))
-    deleted = dedup_latest(spark, sf).filter(F.col("o_orderstatus") == "F") \
-        .select(F.col("o_custkey").alias("ENTITY_KEY"))
-    return propagate_deletes(d, deleted, "ENTITY_KEY")
+    return deleted_dim(spark, sf).select("ENTITY_SK", "ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT", "IS_DELETED")
 
 
 @query("dim_backfill", sql=DIM_FULL + f"""
