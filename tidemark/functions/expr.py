@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -194,7 +196,7 @@ def batch_id(ts) -> Column:
 
 def stamp_columns(as_of: _dt.datetime) -> list[Column]:
     """Batch id + batch timestamp constant for a run (P3); literals, no join needed."""
-    ts = F.lit(as_of).cast("timestamp_ntz")
+    ts = lit(as_of).cast("timestamp_ntz")
     return [batch_id(ts).alias("BATCH_ID"), ts.alias("BATCH_TIMESTAMP")]
 
 
@@ -268,4 +270,4 @@ def action_code(deleted, created, modified) -> Column:
 
 def status_asof(ts, as_of, active="ACTIVE", inactive="INACTIVE") -> Column:
     """Compare with a fixed run time; NULL goes to the ELSE side."""
-    return F.when(_col(ts) >= F.lit(as_of), F.lit(active)).otherwise(F.lit(inactive))
+    return F.when(_col(ts) >= lit(as_of), F.lit(active)).otherwise(F.lit(inactive))

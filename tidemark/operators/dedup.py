@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.operators.joins import attach_scalar
 
 
@@ -87,7 +88,7 @@ def cdc_resolve(log: DataFrame, keys, before_keys, ts: str, log_id: str,
     Rows with a NULL key part are dropped (the reference's IN / CONCAT_WS semantics).
     """
     keys, before_keys = _listify(keys), _listify(before_keys)
-    src = log if mark is None else log.filter(F.col(ts) >= F.lit(mark))
+    src = log if mark is None else log.filter(F.col(ts) >= lit(mark))
     dedup = latest_per_key(src, keys, [ts], tiebreak if tiebreak is not None else [log_id])
     dedup = dedup.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     changes = src.filter(change_flag).select(

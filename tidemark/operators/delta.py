@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.operators.joins import attach_scalar
 
 DEFAULT_MARK = _dt.datetime(1900, 1, 1)
@@ -40,14 +41,14 @@ def delta(source: DataFrame, target: DataFrame | None, src_ts: str, tgt_ts: str,
     """Rows of `source` at or past the target's watermark (P18); strict uses `>`."""
     mark = watermark_value(target, tgt_ts, overlap_minutes, default)
     c = F.col(src_ts)
-    return source.filter(c > F.lit(mark) if strict else c >= F.lit(mark))
+    return source.filter(c > lit(mark) if strict else c >= lit(mark))
 
 
 def delta_lazy(source: DataFrame, target: DataFrame, src_ts: str, tgt_ts: str,
                overlap_minutes: int = 3, strict: bool = False, default=DEFAULT_MARK) -> DataFrame:
     """Same as `delta` but with the watermark kept in the plan as a one-row scalar."""
     mark = target.agg(F.coalesce(F.max(tgt_ts) - F.expr(f"INTERVAL {int(overlap_minutes)} MINUTES"),
-                                 F.lit(default).cast("timestamp_ntz")).alias("_mark"))
+                                 lit(default)).alias("_mark"))
     c = F.col(src_ts)
     j = attach_scalar(source, mark)
     return j.filter(c > F.col("_mark") if strict else c >= F.col("_mark")).drop("_mark")
@@ -56,7 +57,7 @@ def delta_lazy(source: DataFrame, target: DataFrame, src_ts: str, tgt_ts: str,
 def delta_any(joined: DataFrame, marks: Sequence[tuple[str, object]]) -> DataFrame:
     """Keep a joined row if any side is newer than its own mark.
     Each mark names its own (source column, literal mark) pair (trap T17)."""
-    preds = [F.coalesce(F.col(c) > F.lit(m), F.lit(False)) for c, m in marks]
+    preds = [F.coalesce(F.col(c) > lit(m), F.lit(False)) for c, m in marks]
     return joined.filter(reduce(lambda a, b: a | b, preds))
 
 
@@ -96,7 +97,7 @@ def changed_keys(branches: Sequence[KeySource], strict: bool = True) -> DataFram
         if b.mark is None:
             pred = F.lit(False) if strict else F.lit(True)
         else:
-            m = b.mark if isinstance(b.mark, Column) else F.lit(b.mark)
+            m = lit(b.mark)
             pred = F.coalesce(c > m if strict else c >= m, F.lit(False))
         rows = b.df.filter(pred)
         if b.bridge is not None:

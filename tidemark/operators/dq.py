@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.operators.joins import attach_scalar, not_in
 
 OPEN_DATE = _dt.date(9999, 12, 31)
@@ -52,7 +53,7 @@ def pattern_mismatch(df, col, pattern):           # Q12-Q14, Q16, Q18, Q28
 
 
 def date_not_future(df, col, as_of):              # Q11
-    return df.filter(_c(col).isNotNull() & (_c(col) > F.lit(as_of)))
+    return df.filter(_c(col).isNotNull() & (_c(col) > lit(as_of)))
 
 
 def positive_values(df, col):                     # Q17
@@ -80,7 +81,7 @@ def date_order(df, start, end, start_sentinel=None, end_sentinel=None):   # Q20,
 
 def status_consistency(df, status, end, as_of, ended="TERMINATED", active="ACTIVE"):   # Q19
     return df.filter(((_c(status) == ended) & _c(end).isNull())
-                     | ((_c(status) == active) & _c(end).isNotNull() & (_c(end) <= F.lit(as_of))))
+                     | ((_c(status) == active) & _c(end).isNotNull() & (_c(end) <= lit(as_of))))
 
 
 def accepted_values(df, col, values, case_insensitive=False):   # Q21, Q35
@@ -250,7 +251,7 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
         stats.filter(F.col("_n") != 1).select(F.lit("row_count_not_1").alias("FAILURE"),
                                               F.col("_n").cast("string").alias("DETAILS")),
         stats.filter(F.col("_mx").isNull()
-                     | (F.col("_mx") < F.lit(as_of) - F.expr(f"INTERVAL {int(max_age_days)} DAYS")))
+                     | (F.col("_mx") < lit(as_of) - F.expr(f"INTERVAL {int(max_age_days)} DAYS")))
              .select(F.lit("trained_at_stale_or_null").alias("FAILURE"), F.col("_mx").cast("string").alias("DETAILS")),
     ]
     for name, levels, coef in baselines:

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.operators.joins import attach_scalar
 
 ACTION = "_action"
@@ -185,7 +186,7 @@ def tombstone_renamed(target: DataFrame, renamed_keys: DataFrame, key: str, run_
     hit = F.col("_renamed").isNotNull()
     repl = {"SRC_ACTION_CD": F.lit("D"), "SRC_DEL_IND": F.lit("Y"),
             "ODS_UPD_BATCH_ID": F.lit(batch).cast("bigint"),
-            "ODS_UPDATE_TIMESTAMP": F.lit(run_ts).cast("timestamp_ntz"),
+            "ODS_UPDATE_TIMESTAMP": lit(run_ts).cast("timestamp_ntz"),
             "OPERATION_TYPE": F.lit("DELETE")}
     out = [F.when(hit, repl[c]).otherwise(F.col(c)).alias(c) if c in repl else F.col(c)
            for c in target.columns]

@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.functions.expr import trim_string
 from tidemark.functions.hashing import hash_change, hash_full, surrogate_key
 from tidemark.operators.dedup import cdc_resolve, latest_per_key, purge_duplicates
@@ -50,7 +51,7 @@ def _cdc_key(c):
 
 def ods_transform(resolved: DataFrame, batch: int, run_ts: dt.datetime) -> DataFrame:
     deleted = F.trim(F.col("CAPTURE_ACTION")) == F.lit("D")
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = lit(run_ts)
     shaped = resolved.select(
         _cdc_key("USER_KEY").alias("ODS_PK"),
         F.substring(trim_string(F.col("USER_KEY").cast("string")), 1, 50).alias("ODS_COMPOSITE_KEY"),
@@ -70,7 +71,7 @@ def _resolve(log, mark, keyed=True):
 
 
 def cdc_history_ods(spark, sf) -> DataFrame:
-    log = S.cdc_log(spark, sf).filter(F.col("CAPTURE_TS") < F.lit(S.CDC_FIRST_LOAD))
+    log = S.cdc_log(spark, sf).filter(F.col("CAPTURE_TS") < lit(S.CDC_FIRST_LOAD))
     return ods_transform(_resolve(log, None), CDC_HIST_BATCH, S.CDC_FIRST_LOAD)
 
 
@@ -80,7 +81,7 @@ def cdc_mark(ods0: DataFrame):
 
 def cdc_tombstoned(spark, sf, ods0, mark) -> DataFrame:
     log = S.cdc_log(spark, sf)
-    renamed = (log.filter((F.col("PRIMARY_KEY_CHANGE") == "Y") & (F.col("CAPTURE_TS") >= F.lit(mark)))
+    renamed = (log.filter((F.col("PRIMARY_KEY_CHANGE") == "Y") & (F.col("CAPTURE_TS") >= lit(mark)))
                .select(_cdc_key("BEFORE_KEY").alias("ODS_PK")))
     return tombstone_renamed(ods0, renamed, "ODS_PK", S.CDC_RUN, S.CDC_BATCH)
 
@@ -292,7 +293,7 @@ SNAP_BATCH2 = 20011231060000000
 
 
 def snap_transform(rows: DataFrame, batch: int, run_ts: dt.datetime) -> DataFrame:
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = lit(run_ts)
     shaped = rows.select(
         surrogate_key(trim_string(F.col("ENTITY_KEY").cast("string"))).alias("ODS_PK"), "ENTITY_KEY",
         trim_string("STATUS").alias("STATUS"), trim_string("PRIORITY").alias("PRIORITY"), "AMOUNT",
@@ -315,7 +316,7 @@ def purged_staging_table(spark, sf) -> DataFrame:
 
 def snap_first(spark, sf, stg: DataFrame | None = None) -> DataFrame:
     stg = stg if stg is not None else purged_staging(spark, sf)
-    stg = stg.filter(F.col("STG_INSERT_TIMESTAMP") < F.lit(SNAP_FIRST_CUT))
+    stg = stg.filter(F.col("STG_INSERT_TIMESTAMP") < lit(SNAP_FIRST_CUT))
     return snap_transform(latest_per_key(stg, "ENTITY_KEY", ["SYS_LAST_UPDATE_DTM"], ["SRC_ORDERKEY"]),
                           SNAP_BATCH1, SNAP_RUN1)
 

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.operators import dq
 from tidemark.operators.merge import ACTION
 from tidemark.plans import standins as S
@@ -416,7 +417,7 @@ def model_table(spark, sf):
     lvl = F.col("label").cast("string")
     return g.select(
         "label",
-        (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(days=(F.col("_max") % 60).cast("int"))).alias("TRAINED_AT"),
+        (lit(dt.datetime(2024, 1, 1)) + F.make_interval(days=(F.col("_max") % 60).cast("int"))).alias("TRAINED_AT"),
         F.array(lvl, F.lit("other")).alias("DIVISION_XLEVELS"),
         F.create_map(lvl, F.col("_min").cast("double")).alias("DIVISION_COEF"),
         F.array(F.lit("all")).alias("SERVICE_XLEVELS"),

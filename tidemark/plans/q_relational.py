@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.functions.hashing import NO_SCD2_TAGGED, PACKAGE_NULL_TOKEN, hash_change, hash_full, surrogate_key
 from tidemark.operators.delta import KeySource, changed_keys, incremental_star, with_reprocess
 from tidemark.operators.lifecycle import LifecycleSpec, dq_score, lifecycle_events
@@ -97,7 +98,7 @@ FIRST_RUN = dt.datetime(2001, 1, 1)   # position of the target's previous run
 def first_run_target(spark, sf):
     """The customer-level target as written by the previous run: per customer, the
     latest order time and the latest ship time it had absorbed (its per-source marks)."""
-    o = S.t(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit(FIRST_RUN))
+    o = S.t(spark, sf, "orders").filter(F.col("o_orderdate") < lit(FIRST_RUN))
     li = S.t(spark, sf, "lineitem")
     lo = o.groupBy("o_custkey").agg(F.max("o_orderdate").alias("LAST_ORDER_TS"))
     ls = (li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
@@ -177,10 +178,10 @@ SELECT c_custkey, 'NEW' AS PROCESS_TYPE, 'orders' AS LINEAGE FROM new_keys
 UNION ALL SELECT c_custkey, 'REPROCESS', 'orders,customer' FROM pending""")
 def q_enrich_reprocess(spark, sf):
     o = S.t(spark, sf, "orders")
-    first = (o.filter(F.col("o_orderdate") <= F.lit(dt.datetime.combine(S.D1, dt.time())))
+    first = (o.filter(F.col("o_orderdate") <= lit(dt.datetime.combine(S.D1, dt.time())))
              .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("FIRST_ORDER_DATE")))
     target = S.t(spark, sf, "customer").select("c_custkey").join(first, "c_custkey", "left")
-    delta_keys = o.filter(F.col("o_orderdate") > F.lit(dt.datetime.combine(S.D2, dt.time()))) \
+    delta_keys = o.filter(F.col("o_orderdate") > lit(dt.datetime.combine(S.D2, dt.time()))) \
         .select(F.col("o_custkey").alias("c_custkey"))
     keys = with_reprocess(delta_keys, target, "c_custkey", "FIRST_ORDER_DATE", o, "o_custkey", "c_custkey")
     # dynamic lineage text: the second table is named only when its lookup matched (P25)

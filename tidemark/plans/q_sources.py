@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import lit
 from tidemark.operators.merge import ACTION, append
 from tidemark.plans import standins as S
 from tidemark.plans.q_joins import star_left_join
@@ -35,7 +36,7 @@ UNION ALL
 SELECT o_orderkey, o_custkey, o_orderdate, 'insert' FROM orders WHERE o_orderdate > TIMESTAMP '{S.D1} 00:00:00'""")
 def append_only(spark, sf):
     o = S.t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cut = F.lit(dt.datetime.combine(S.D1, dt.time()))
+    cut = lit(dt.datetime.combine(S.D1, dt.time()))
     return append(o.filter(F.col("o_orderdate") <= cut), o.filter(F.col("o_orderdate") > cut)) \
         .withColumnRenamed(ACTION, "MERGE_ACTION")
 
@@ -104,7 +105,7 @@ FROM orders
 WHERE o_orderdate >= TIMESTAMP '{AUDIT_AS_OF}' - INTERVAL 60 DAY""")
 def retention_purge(spark, sf):
     o = S.t(spark, sf, "orders")
-    cut = F.lit(AUDIT_CUT)
+    cut = lit(AUDIT_CUT)
     audit = _audit_rows(o.filter(F.col("o_orderdate") <= cut)).to(AUDIT_SCHEMA)
     new = _audit_rows(o.filter(F.col("o_orderdate") > cut)).to(AUDIT_SCHEMA)
     kept = append_run_audit(audit, new, AUDIT_AS_OF, keep_days=60)

@@ -20,6 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import lit
 from tidemark.functions.expr import batch_id
 from tidemark.functions.hashing import md5_concat, surrogate_key
 from tidemark.operators.dedup import latest_per_key
@@ -64,7 +65,7 @@ def _with_scd_hashes(df: DataFrame) -> DataFrame:
 def daily_states(spark, sf, cutoff: dt.date | None = None) -> DataFrame:
     o = t(spark, sf, "orders")
     if cutoff is not None:
-        o = o.filter(F.col("o_orderdate") <= F.lit(dt.datetime.combine(cutoff, dt.time())))
+        o = o.filter(F.col("o_orderdate") <= lit(dt.datetime.combine(cutoff, dt.time())))
     # The daily collapse is partitioned by (key, day) on purpose: its partial top-1 runs
     # map side, so a hot key reaches the key-partitioned history windows as at most one
     # row per day (bounded by the calendar, not by the data volume).
@@ -86,7 +87,7 @@ def dim_history(spark, sf, cutoff: dt.date | None = None, batch: int = BATCH1) -
 
 def snapshot_source(spark, sf, day: dt.date, batch: int) -> DataFrame:
     """Dimension source rows for a run on `day`: the latest state per customer."""
-    o = t(spark, sf, "orders").filter(F.col("o_orderdate") <= F.lit(dt.datetime.combine(day, dt.time())))
+    o = t(spark, sf, "orders").filter(F.col("o_orderdate") <= lit(dt.datetime.combine(day, dt.time())))
     e = o.select(*_entity_cols(), F.col("o_orderdate").alias("_od"))
     snap = _with_scd_hashes(latest_per_key(e, ["ENTITY_KEY"], ["_od"], ["SRC_ORDERKEY"]))
     return snap.select(
@@ -211,4 +212,4 @@ staging AS (
 
 
 def batch_literal(ts: dt.datetime):
-    return batch_id(F.lit(ts))
+    return batch_id(lit(ts))

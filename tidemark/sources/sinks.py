@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import lit
 from tidemark.session import checkpoint_dir
 
 
@@ -104,7 +105,7 @@ AUDIT_SCHEMA = T.StructType([
 def append_run_audit(audit: DataFrame, rows: DataFrame, as_of: _dt.datetime, keep_days: int = 60) -> DataFrame:
     """Run audit (A12): append the new rows, then drop rows created before
     as_of - keep_days (a timestamp comparison, not a date one)."""
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(keep_days)} DAYS")
+    cutoff = lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(keep_days)} DAYS")
     both = audit.unionByName(rows.select(*audit.columns))
     return both.filter(F.col("CREATED_AT") >= cutoff)
 
