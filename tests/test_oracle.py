@@ -31,3 +31,14 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+@pytest.mark.parametrize("key", ["cdc_to_ods", "snapshot_to_ods", "watermark_delta", "retention_purge"])
+def test_time_zone_independent(spark, con, key):
+    """Driver timestamps are timestamp_ntz: results must not move with the session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, con, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
