@@ -177,13 +177,22 @@ def eff_after_disc(dim, eff="EFF_DT", disc="DISC_DT"):   # Q3
     return dim.filter(F.col(disc) < F.col(eff))
 
 
-def gaps(dim, key, eff="EFF_DT", disc="DISC_DT", as_written=False):   # Q4
+def _with_next_eff(dim, key, eff, skew_safe):
+    if skew_safe:
+        from tidemark.operators.windows import neighbours
+        return neighbours(dim, [key], [eff], [eff], prefix_prev="_PREV_").drop(f"_PREV_{eff}") \
+            .withColumnRenamed(f"NEXT_{eff}", "NEXT_EFF_DT")
+    w = Window.partitionBy(key).orderBy(eff)
+    return dim.select("*", F.lead(eff).over(w).alias("NEXT_EFF_DT"))
+
+
+def gaps(dim, key, eff="EFF_DT", disc="DISC_DT", as_written=False, skew_safe=False):   # Q4
     """LEAD(EFF_DT) per key. Default: a true gap, next - disc > 1 day.
     as_written=True reproduces the reference: `next <= disc OR disc - next > 1`, whose
-    second branch is implied by the first, so only overlaps are reported."""
-    w = Window.partitionBy(key).orderBy(eff)
-    nxt = F.lead(eff).over(w)
-    v = dim.select("*", nxt.alias("NEXT_EFF_DT"))
+    second branch is implied by the first, so only overlaps are reported.
+    skew_safe=True takes the next version from `operators.windows.neighbours` (range sort)
+    instead of a per-key window, for dimensions with very long histories per key."""
+    v = _with_next_eff(dim, key, eff, skew_safe)
     n, d = F.col("NEXT_EFF_DT"), F.col(disc)
     if as_written:
         bad = n.isNotNull() & ((n <= d) | (F.datediff(d, n) > 1))
@@ -192,9 +201,8 @@ def gaps(dim, key, eff="EFF_DT", disc="DISC_DT", as_written=False):   # Q4
     return v.filter(bad)
 
 
-def overlaps(dim, key, eff="EFF_DT", disc="DISC_DT"):    # Q33
-    w = Window.partitionBy(key).orderBy(eff)
-    v = dim.select("*", F.lead(eff).over(w).alias("NEXT_EFF_DT"))
+def overlaps(dim, key, eff="EFF_DT", disc="DISC_DT", skew_safe=False):    # Q33
+    v = _with_next_eff(dim, key, eff, skew_safe)
     return v.filter(F.col("NEXT_EFF_DT").isNotNull() & (F.col("NEXT_EFF_DT") <= F.col(disc)))
 
 

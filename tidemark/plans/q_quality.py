@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import lit
@@ -28,14 +27,16 @@ def merged_dim(spark, sf):
 
 def order_versions(spark, sf):
     """One version per order (no intra-day collapse): ties on the order date give
-    versions that end before they start, which Q3 reports."""
-    o = S.t(spark, sf, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    eff = F.col("o_orderdate").cast("date")
-    disc = F.coalesce(F.date_sub(F.lead(eff).over(w), 1), F.lit(dt.date(9999, 12, 31)))
-    v = o.select(F.col("o_custkey").alias("ENTITY_KEY"), F.col("o_orderkey").alias("ORDER_KEY"),
-                 eff.alias("EFF_DT"), disc.alias("DISC_DT"))
-    return v.select("*", (F.col("DISC_DT") == F.lit(dt.date(9999, 12, 31))).alias("IS_CURRENT"))
+    versions that end before they start, which Q3 reports. A customer's orders are not
+    bounded by the calendar, so the next order comes from the skew-safe `neighbours`
+    (range sort) instead of a per-customer window."""
+    from tidemark.operators.windows import neighbours
+    o = S.t(spark, sf, "orders").select(F.col("o_custkey").alias("ENTITY_KEY"), F.col("o_orderkey").alias("ORDER_KEY"),
+                                        F.col("o_orderdate").cast("date").alias("EFF_DT"), "o_orderdate")
+    v = neighbours(o, ["ENTITY_KEY"], ["o_orderdate", "ORDER_KEY"], ["EFF_DT"])
+    disc = F.coalesce(F.date_sub(F.col("NEXT_EFF_DT"), 1), F.lit(dt.date(9999, 12, 31)))
+    return v.select("ENTITY_KEY", "ORDER_KEY", "EFF_DT", disc.alias("DISC_DT"),
+                    (disc == F.lit(dt.date(9999, 12, 31))).alias("IS_CURRENT"))
 
 
 SQL_VERSIONS = """versions AS (
