@@ -173,3 +173,9 @@ def test_active_only_and_recent(spark):
                                "K string, IS_DELETED boolean, TS timestamp_ntz")
     assert [r["K"] for r in active_only(df, "IS_DELETED").collect()] == ["a"]
     assert [r["K"] for r in recent(df, "TS", 8, dt.date(2025, 6, 1)).collect()] == ["a"]
+
+
+def test_merge_counts_fresh_table(spark):
+    fresh = spark.createDataFrame([("A",), ("B",)], "K string")
+    c = merge_counts(fresh).collect()[0]
+    assert (c["rows_inserted"], c["rows_updated"], c["rows_total"]) == (2, 0, 2)

@@ -126,7 +126,11 @@ def upsert(target: DataFrame, source: DataFrame, key, strategy: str = "merge", *
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:
-    """DML counts of a merge result (A13): one row with inserted / updated / deleted."""
+    """DML counts of a merge result (A13): one row with inserted / updated / deleted.
+    A fresh load (no `_action` column: the table was created by this run) counts every
+    row as inserted."""
+    if ACTION not in merged.columns:
+        merged = merged.withColumn(ACTION, F.lit("insert"))
     a = F.col(ACTION)
     return merged.agg(
         F.count(F.when(a == "insert", 1)).cast("bigint").alias("rows_inserted"),
