@@ -23,15 +23,18 @@ from tidemark.session import build_session  # noqa: E402
 from tidemark.sources.tables import DRIVER_TABLES  # noqa: E402
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # exact float / decimal text, no rounding
+
+
 def norm(v):
     if v is None:
         return "None"
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if STRICT else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 6))
+        return str(v) if STRICT else repr(round(float(v), 6))
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
