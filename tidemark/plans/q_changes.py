@@ -56,8 +56,9 @@ def q_scd_init(spark, sf):
 
 # ----------------------------------------------------------------------------- E3-E6
 
-def sql_scd_merge(dim: str, src: str, run_day: dt.date, batch: int, late_closeout: bool = False) -> str:
-    """Oracle CTEs `merged` for scd_merge over the stand-in dimension columns."""
+def sql_scd_merge(dim: str, src: str, run_day: dt.date, batch: int, late_closeout: bool = False,
+                  p: str = "") -> str:
+    """Oracle CTEs `{p}merged` for scd_merge over the stand-in dimension columns."""
     cols = S.DIM_COLS
     s_cols = ", ".join(f"s.{c} AS s_{c}" for c in cols)
     day = f"DATE '{run_day.isoformat()}'"
@@ -77,53 +78,53 @@ def sql_scd_merge(dim: str, src: str, run_day: dt.date, batch: int, late_closeou
         "CASE WHEN pk.any_matched IS NULL THEN DATE '1900-01-01' ELSE s.EFF_DT END AS EFF_DT" if c == "EFF_DT"
         else f"s.{c}" for c in cols)
     return f"""
-mj AS (
+{p}mj AS (
   SELECT d.*, {s_cols}, s.ENTITY_KEY IS NOT NULL AS has_src
   FROM {dim} d LEFT JOIN {src} s ON d.ENTITY_KEY = s.ENTITY_KEY
 ),
-mf0 AS (
+{p}mf0 AS (
   SELECT *,
     DISC_DT = DATE '9999-12-31' AS is_open,
     CAST(strptime(substr(CAST(s_INS_BATCH_ID AS VARCHAR), 1, 8), '%Y%m%d') AS DATE) AS sd,
     CAST(strptime(substr(CAST(INS_BATCH_ID AS VARCHAR), 1, 8), '%Y%m%d') AS DATE) = {day} AS ins_today,
     coalesce(HASH_SCD2 <> s_HASH_SCD2, false) AS h2_diff,
     coalesce(HASH_SCD1 <> s_HASH_SCD1, false) AS h1_diff
-  FROM mj
+  FROM {p}mj
 ),
-mf1 AS (
-  SELECT *, has_src AND is_open AND sd <= EFF_DT AS matched FROM mf0
+{p}mf1 AS (
+  SELECT *, has_src AND is_open AND sd <= EFF_DT AS matched FROM {p}mf0
 ),
-mf2 AS (
+{p}mf2 AS (
   SELECT *,
     matched AND (sd = EFF_DT OR ins_today) AND h2_diff AS intraday,
     matched AND NOT (sd = EFF_DT OR ins_today) AND h2_diff AS late
-  FROM mf1
+  FROM {p}mf1
 ),
-mf AS (
+{p}mf AS (
   SELECT *,
     CASE WHEN intraday THEN 'intraday'
          WHEN (has_src AND is_open AND h2_diff AND NOT intraday AND NOT matched){close_late} THEN 'close'
          WHEN has_src AND is_open AND NOT h2_diff AND h1_diff THEN 'type1'
          ELSE 'keep' END AS fate
-  FROM mf2
+  FROM {p}mf2
 ),
-existing AS (
+{p}existing AS (
   SELECT {out_sql},
        CASE fate WHEN 'keep' THEN 'unchanged' WHEN 'close' THEN 'close' ELSE 'update' END AS MERGE_ACTION
-  FROM mf
+  FROM {p}mf
 ),
-per_key AS (
+{p}per_key AS (
   SELECT ENTITY_KEY, max(CASE WHEN matched THEN 1 ELSE 0 END) AS any_matched,
          max(CASE WHEN is_open AND NOT h2_diff THEN 1 ELSE 0 END) AS same_open
-  FROM mf WHERE has_src GROUP BY ENTITY_KEY
+  FROM {p}mf WHERE has_src GROUP BY ENTITY_KEY
 ),
-inserts AS (
+{p}inserts AS (
   SELECT {ins_cols}, 'insert' AS MERGE_ACTION
-  FROM {src} s LEFT JOIN per_key pk ON s.ENTITY_KEY = pk.ENTITY_KEY
+  FROM {src} s LEFT JOIN {p}per_key pk ON s.ENTITY_KEY = pk.ENTITY_KEY
   WHERE pk.any_matched IS NULL OR (pk.any_matched = 0 AND pk.same_open = 0)
 ),
-merged AS (
-  SELECT * FROM existing UNION ALL SELECT * FROM inserts
+{p}merged AS (
+  SELECT * FROM {p}existing UNION ALL SELECT * FROM {p}inserts
 )""".strip()
 
 
@@ -187,3 +188,57 @@ def q_scd6(spark, sf):
     m = scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2)
     return scd6_propagate(m, "ENTITY_KEY", ["PRIORITY"], src=src, before=dim) \
         .withColumnRenamed(ACTION, "MERGE_ACTION")
+
+
+# ----------------------------------------------------------------------------- E3 on later runs
+# The dimension after the D2 run is merged again: a second batch of the same day (the
+# intra-day overwrite) and a batch whose data day lies before the open rows (a late
+# source), run one day later, once with the default and once reproducing the close-out.
+
+SAME_DAY_DATA = dt.date(1999, 6, 30)      # data as of this day, stamped as a second D2 batch
+SAME_DAY_BATCH = 19990101120000000
+LATE_DATA = dt.date(1998, 6, 1)           # late data, stamped with its own day
+LATE_BATCH = 19980601060000000
+NEXT_RUN = dt.date(1999, 1, 2)
+NEXT_BATCH = 19990102060000000
+
+
+def dim_after_run2(spark, sf):
+    from tidemark.sources.sinks import cut_lineage
+    return cut_lineage(_merge_d2(spark, sf).drop(ACTION))
+
+
+RUN3_PREFIX = (
+    MERGE_PREFIX.rstrip() + ",\n"
+    + "dim2 AS (SELECT * EXCLUDE (MERGE_ACTION) FROM merged),\n"
+)
+
+
+@query("scd2_intraday", sql=RUN3_PREFIX
+       + S.sql_snapshot_source("src3", SAME_DAY_DATA, SAME_DAY_BATCH, stamp_day=S.D2) + ",\n"
+       + sql_scd_merge("dim2", "src3", S.D2, SAME_DAY_BATCH, p="r3_") + "\nSELECT * FROM r3_merged")
+def scd2_intraday(spark, sf):
+    src = S.snapshot_source(spark, sf, SAME_DAY_DATA, SAME_DAY_BATCH, stamp_day=S.D2)
+    return scd_merge(dim_after_run2(spark, sf), src, "ENTITY_KEY", S.D2, SAME_DAY_BATCH) \
+        .withColumnRenamed(ACTION, "MERGE_ACTION")
+
+
+def _late(spark, sf, closeout):
+    src = S.snapshot_source(spark, sf, LATE_DATA, LATE_BATCH)
+    return scd_merge(dim_after_run2(spark, sf), src, "ENTITY_KEY", NEXT_RUN, NEXT_BATCH,
+                     late_closeout=closeout).withColumnRenamed(ACTION, "MERGE_ACTION")
+
+
+@query("scd2_late_source", sql=RUN3_PREFIX
+       + S.sql_snapshot_source("src3", LATE_DATA, LATE_BATCH) + ",\n"
+       + sql_scd_merge("dim2", "src3", NEXT_RUN, NEXT_BATCH, p="r3_") + "\nSELECT * FROM r3_merged")
+def scd2_late_source(spark, sf):
+    return _late(spark, sf, False)
+
+
+@query("scd2_late_closeout", sql=RUN3_PREFIX
+       + S.sql_snapshot_source("src3", LATE_DATA, LATE_BATCH) + ",\n"
+       + sql_scd_merge("dim2", "src3", NEXT_RUN, NEXT_BATCH, late_closeout=True, p="r3_")
+       + "\nSELECT * FROM r3_merged")
+def scd2_late_closeout(spark, sf):
+    return _late(spark, sf, True)

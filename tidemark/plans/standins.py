@@ -85,14 +85,16 @@ def dim_history(spark, sf, cutoff: dt.date | None = None, batch: int = BATCH1) -
         "VERSION_NUM")
 
 
-def snapshot_source(spark, sf, day: dt.date, batch: int) -> DataFrame:
-    """Dimension source rows for a run on `day`: the latest state per customer."""
+def snapshot_source(spark, sf, day: dt.date, batch: int, stamp_day: dt.date | None = None) -> DataFrame:
+    """Dimension source rows: the latest state per customer as of `day`, stamped as a run
+    on `stamp_day` (default `day`): EFF_DT and the surrogate key use the stamp day."""
+    stamp = stamp_day or day
     o = t(spark, sf, "orders").filter(F.col("o_orderdate") <= lit(dt.datetime.combine(day, dt.time())))
     e = o.select(*_entity_cols(), F.col("o_orderdate").alias("_od"))
     snap = _with_scd_hashes(latest_per_key(e, ["ENTITY_KEY"], ["_od"], ["SRC_ORDERKEY"]))
     return snap.select(
-        surrogate_key("ENTITY_KEY", F.lit(day)).alias("ENTITY_SK"), "ENTITY_KEY", "STATUS", "PRIORITY",
-        "PRICE_BAND", "HASH_SCD2", "HASH_SCD1", F.lit(day).alias("EFF_DT"), F.lit(OPEN_DATE).alias("DISC_DT"),
+        surrogate_key("ENTITY_KEY", F.lit(stamp)).alias("ENTITY_SK"), "ENTITY_KEY", "STATUS", "PRIORITY",
+        "PRICE_BAND", "HASH_SCD2", "HASH_SCD1", F.lit(stamp).alias("EFF_DT"), F.lit(OPEN_DATE).alias("DISC_DT"),
         F.lit(True).alias("IS_CURRENT"), F.lit(batch).cast("bigint").alias("INS_BATCH_ID"),
         F.lit(batch).cast("bigint").alias("UPD_BATCH_ID"))
 
@@ -142,16 +144,17 @@ def sql_dim_history(name: str = "dim", cutoff: dt.date | None = None, batch: int
     return SQL_DAILY.format(n=n or name, where=where, name=name, batch=batch).strip()
 
 
-def sql_snapshot_source(name: str, day: dt.date, batch: int) -> str:
+def sql_snapshot_source(name: str, day: dt.date, batch: int, stamp_day: dt.date | None = None) -> str:
+    stamp = stamp_day or day
     return f"""
 {name} AS (
-  SELECT md5(coalesce(CAST(o_custkey AS VARCHAR), '') || '-' || '{day.isoformat()}') AS ENTITY_SK,
+  SELECT md5(coalesce(CAST(o_custkey AS VARCHAR), '') || '-' || '{stamp.isoformat()}') AS ENTITY_SK,
          o_custkey AS ENTITY_KEY, o_orderstatus AS STATUS, o_orderpriority AS PRIORITY,
          CAST(FLOOR(o_totalprice / 100000) AS INTEGER) AS PRICE_BAND,
          md5(coalesce(CAST(o_orderstatus AS VARCHAR), '')) AS HASH_SCD2,
          md5(coalesce(CAST(o_orderpriority AS VARCHAR), '') || '||' ||
              coalesce(CAST(CAST(FLOOR(o_totalprice / 100000) AS INTEGER) AS VARCHAR), '')) AS HASH_SCD1,
-         DATE '{day.isoformat()}' AS EFF_DT, DATE '9999-12-31' AS DISC_DT, true AS IS_CURRENT,
+         DATE '{stamp.isoformat()}' AS EFF_DT, DATE '9999-12-31' AS DISC_DT, true AS IS_CURRENT,
          CAST({batch} AS BIGINT) AS INS_BATCH_ID, CAST({batch} AS BIGINT) AS UPD_BATCH_ID
   FROM orders WHERE o_orderdate <= TIMESTAMP '{day.isoformat()} 00:00:00'
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST,
