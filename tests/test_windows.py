@@ -51,3 +51,10 @@ def test_gap_checks_skew_safe_equal(spark):
     dim = spark.createDataFrame(rows, "K long, EFF_DT date, DISC_DT date")
     for fn in (dq.gaps, dq.overlaps):
         assert rows_of(fn(dim, "K")) == rows_of(fn(dim, "K", skew_safe=True))
+
+
+def test_lifecycle_skew_safe_equal(spark):
+    from tidemark.operators.lifecycle import lifecycle_events
+    from tidemark.plans.q_relational import LIFE_SPEC, lifecycle_input
+    dim = lifecycle_input(spark, "/root/testdata/sf0.001")
+    assert rows_of(lifecycle_events(dim, LIFE_SPEC)) == rows_of(lifecycle_events(dim, LIFE_SPEC, skew_safe=True))

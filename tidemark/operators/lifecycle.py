@@ -38,20 +38,31 @@ def _u(c: Column) -> Column:
     return F.upper(F.trim(c))
 
 
-def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec()) -> DataFrame:
-    """Compare every version with the previous one of the same key and label it."""
+def _previous_versions(dim: DataFrame, spec: LifecycleSpec, skew_safe: bool) -> DataFrame:
+    """Previous version's status / job / division / date and whether the row is the first
+    version of its key: one shared key window, or the range-sort `neighbours`."""
+    src = {"PREV_STATUS": spec.status, "PREV_JOB": spec.job, "PREV_DIV": spec.division,
+           "PREV_EVENT_DATE": spec.eff}
+    if spec.supervisor:
+        src["PREV_SUP"] = spec.supervisor
+    if skew_safe:
+        from tidemark.operators.windows import neighbours
+        cols = list(dict.fromkeys(list(src.values()) + ["_ONE"]))
+        n = neighbours(dim.withColumn("_ONE", F.lit(1)), [spec.key], [spec.eff], cols,
+                       prefix_prev="_P_", prefix_next="_N_")
+        return n.select(*dim.columns, *[F.col(f"_P_{c}").alias(a) for a, c in src.items()],
+                        F.when(F.col("_P__ONE").isNull(), 1).otherwise(2).alias("_VERSION_SEQ"))
     w = Window.partitionBy(spec.key).orderBy(spec.eff)
+    return dim.select("*", *[F.lag(c).over(w).alias(a) for a, c in src.items()],
+                      F.row_number().over(w).alias("_VERSION_SEQ"))
+
+
+def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec(), skew_safe: bool = False) -> DataFrame:
+    """Compare every version with the previous one of the same key and label it.
+    skew_safe=True takes the previous version from `operators.windows.neighbours`
+    (range sort) instead of a per-key window, for keys with very long histories."""
     st, job, div = F.col(spec.status), F.col(spec.job), F.col(spec.division)
-    prev = {
-        "PREV_STATUS": F.lag(spec.status).over(w),
-        "PREV_JOB": F.lag(spec.job).over(w),
-        "PREV_DIV": F.lag(spec.division).over(w),
-        "PREV_EVENT_DATE": F.lag(spec.eff).over(w),
-        "_VERSION_SEQ": F.row_number().over(w),
-    }
-    if spec.supervisor:
-        prev["PREV_SUP"] = F.lag(spec.supervisor).over(w)
-    v = dim.select("*", *[e.alias(n) for n, e in prev.items()])
+    v = _previous_versions(dim, spec, skew_safe)
     pst = F.col("PREV_STATUS")
     pjob, pdiv = F.col("PREV_JOB"), F.col("PREV_DIV")
     event = (F.when(F.col("_VERSION_SEQ") == 1, F.lit("HIRE"))
