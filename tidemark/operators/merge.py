@@ -59,7 +59,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     (key column only) for the inserts, instead of one full outer join. When the source
     batch is small it is broadcast and the target is not shuffled at all; otherwise only
     the target's key column is shuffled for the anti join. stage_source=True writes the
-    batch once first (reliable checkpoint), so its exact size is known to the planner and
+    batch once first (a table in the shared checkpoint folder), so its exact size is known to the planner and
     it is not recomputed for the two joins.
     """
     keys = _listify(key)

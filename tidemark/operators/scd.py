@@ -59,7 +59,7 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
     dimension with an `_action` column. `preserve` lists columns a type-1 / intra-day
     overwrite keeps from the target (default: none, as in the reference).
 
-    stage_source=True writes the source batch once (reliable checkpoint in the shared
+    stage_source=True writes the source batch once (a table in the shared checkpoint
     folder), as the reference stages its temp table before the MERGE: the batch is read
     three times below, and its exact size lets AQE broadcast it when it is small."""
     if stage_source:

@@ -12,7 +12,7 @@ computes the same values without that concentration:
    non-empty partition through an edge table with one row per partition (its size is
    bounded by the partition count, not by the data), joined as a broadcast.
 A neighbour is kept only when it has the same key. The sorted layout is written once
-(reliable checkpoint) so positions stay fixed if tasks are retried.
+(a table in the shared checkpoint folder) so positions stay fixed if tasks are retried.
 """
 
 from __future__ import annotations

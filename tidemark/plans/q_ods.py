@@ -309,7 +309,7 @@ def purged_staging(spark, sf) -> DataFrame:
 
 def purged_staging_table(spark, sf) -> DataFrame:
     """The reference purges the staging table in place before the load; here the purged
-    staging is written once (reliable checkpoint in the shared folder) and every later
+    staging is written once (a table in the shared checkpoint folder) and every later
     step reads that copy instead of recomputing the purge."""
     return cut_lineage(purged_staging(spark, sf))
 

@@ -48,9 +48,14 @@ def read_current(spark: SparkSession, table_dir: str) -> DataFrame | None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder named by spark.checkpoint.dir."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise `df` as a Parquet table in the shared folder named by
+    spark.checkpoint.dir and read it back: the lineage is cut (a lost executor re-reads
+    files instead of recomputing the plan), the copy is columnar and compressed, and the
+    planner sees its real size, so a small staged input is broadcast without guessing."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"t-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 _WIDER = {
