@@ -145,12 +145,21 @@ def test_conform_and_contract(spark):
 
 def test_audit_retention_boundaries(spark):
     as_of = dt.datetime(2025, 3, 1, 12, 0)
-    rows = [(str(d), as_of - dt.timedelta(days=d)) for d in (59, 60, 61)]
-    base = spark.createDataFrame([], sinks.AUDIT_SCHEMA)
-    new = spark.createDataFrame([(r, None, None, "success", None, None, None, None, None, None, None, ts)
-                                 for r, ts in rows], sinks.AUDIT_SCHEMA)
-    kept = sorted(r["RUN_ID"] for r in sinks.append_run_audit(base, new, as_of, 60).collect())
-    assert kept == ["59", "60"]
+    names = [f.name for f in sinks.AUDIT_SCHEMA.fields]
+    assert len(names) == 25
+
+    def rows(days, prefix):
+        out = []
+        for d in days:
+            r = dict.fromkeys(names)
+            r.update(model_execution_id=f"{prefix}{d}", status="success", created_at=as_of - dt.timedelta(days=d))
+            out.append(tuple(r[n] for n in names))
+        return spark.createDataFrame(out, sinks.AUDIT_SCHEMA)
+
+    kept = sorted(r["model_execution_id"] for r in
+                  sinks.append_run_audit(rows((59, 60, 61), "old"), rows((61,), "new"), as_of, 60).collect())
+    # existing rows older than 60 days go; the new batch is appended after the clean-up
+    assert kept == ["new61", "old59", "old60"]
 
 
 def test_sources_helpers(spark):
@@ -275,3 +284,12 @@ def test_streaming_bucketed_target(spark, scratch):
     run()
     out = {r["K"]: (r["V"], r["OPERATION_TYPE"]) for r in spark.read.parquet(tgt).collect()}
     assert out == {"A": ("a1", "DELETE"), "B": ("b2", "UPDATE"), "C": ("a1", "INSERT")}
+
+
+def test_event_log_widens_old_table(spark):
+    old = spark.createDataFrame([("run started", dt.datetime(2025, 1, 1))], "event_name string, event_timestamp timestamp_ntz")
+    log = sinks.log_event(old, spark, "model deployment completed", dt.datetime(2025, 1, 2), schema="ODS",
+                          model="ODS_T", full_refresh=True, query_id="q1")
+    assert log.count() == 2 and "query_id" in log.columns
+    r = log.filter("event_name = 'model deployment completed'").collect()[0]
+    assert r["event_is_full_refresh"] is True and r["event_model"] == "ODS_T"

@@ -88,25 +88,38 @@ AUDIT_CUT = dt.datetime(2001, 6, 30)
 
 
 def _audit_rows(df):
+    """Orders as executed steps: one audit row per order, created at the order date."""
+    n = F.lit(None)
     return df.select(
-        F.col("o_orderkey").cast("string").alias("RUN_ID"), F.col("o_custkey").cast("string").alias("NODE_ID"),
-        F.lit("orders").alias("MODEL_NAME"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("success")).otherwise(F.lit("error")).alias("STATUS"),
-        F.col("o_orderdate").alias("STARTED_AT"), F.col("o_orderdate").alias("COMPLETED_AT"),
-        F.lit(0.0).alias("EXECUTION_TIME"), F.lit(1).cast("bigint").alias("ROWS_INSERTED"),
-        F.lit(0).cast("bigint").alias("ROWS_UPDATED"), F.lit(0).cast("bigint").alias("ROWS_DELETED"),
-        F.lit(None).cast("string").alias("MESSAGE"), F.col("o_orderdate").alias("CREATED_AT"))
+        F.col("o_orderkey").cast("string").alias("model_execution_id"),
+        F.concat(F.lit("model.orders."), F.col("o_orderkey").cast("string")).alias("unique_id"),
+        F.col("o_custkey").cast("string").alias("invocation_id"),
+        F.col("o_orderdate").alias("generated_at"), F.col("o_orderdate").alias("created_at"),
+        F.lit("orders").alias("name"), n.cast("string").alias("message"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.lit("model").alias("resource_type"), F.lit(0.0).alias("execution_time"),
+        F.col("o_orderdate").alias("execute_started_at"), F.col("o_orderdate").alias("execute_completed_at"),
+        n.cast("timestamp_ntz").alias("compile_started_at"), n.cast("timestamp_ntz").alias("compile_completed_at"),
+        F.lit(1).cast("decimal(38,0)").alias("rows_affected"), F.lit(1).cast("decimal(38,0)").alias("rows_inserted"),
+        F.lit(0).cast("decimal(38,0)").alias("rows_updated"), F.lit(0).cast("decimal(38,0)").alias("rows_deleted"),
+        F.lit(False).alias("full_refresh"), n.cast("string").alias("compiled_code"),
+        F.lit(0).cast("decimal(38,0)").alias("failures"), n.cast("string").alias("query_id"),
+        n.cast("string").alias("thread_id"), F.lit("incremental").alias("materialization"),
+        n.cast("string").alias("adapter_response"))
 
 
 @query("retention_purge", sql=f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS RUN_ID, CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS STATUS,
-       o_orderdate AS CREATED_AT
+SELECT CAST(o_orderkey AS VARCHAR) AS model_execution_id,
+       CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS status, o_orderdate AS created_at
 FROM orders
-WHERE o_orderdate >= TIMESTAMP '{AUDIT_AS_OF}' - INTERVAL 60 DAY""")
+WHERE o_orderdate <= TIMESTAMP '{AUDIT_CUT}' AND o_orderdate >= TIMESTAMP '{AUDIT_AS_OF}' - INTERVAL 60 DAY
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END, o_orderdate
+FROM orders WHERE o_orderdate > TIMESTAMP '{AUDIT_CUT}'""")
 def retention_purge(spark, sf):
     o = S.t(spark, sf, "orders")
     cut = lit(AUDIT_CUT)
     audit = _audit_rows(o.filter(F.col("o_orderdate") <= cut)).to(AUDIT_SCHEMA)
     new = _audit_rows(o.filter(F.col("o_orderdate") > cut)).to(AUDIT_SCHEMA)
     kept = append_run_audit(audit, new, AUDIT_AS_OF, keep_days=60)
-    return kept.select("RUN_ID", "STATUS", "CREATED_AT")
+    return kept.select("model_execution_id", "status", "created_at")

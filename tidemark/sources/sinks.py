@@ -96,30 +96,53 @@ def enforce_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Da
     return shaped, counts
 
 
+# The run-audit table's columns and types, in the reference's order
+# (bare NUMBER = DECIMAL(38,0)).
 AUDIT_SCHEMA = T.StructType([
-    T.StructField("RUN_ID", T.StringType()), T.StructField("NODE_ID", T.StringType()),
-    T.StructField("MODEL_NAME", T.StringType()), T.StructField("STATUS", T.StringType()),
-    T.StructField("STARTED_AT", T.TimestampNTZType()), T.StructField("COMPLETED_AT", T.TimestampNTZType()),
-    T.StructField("EXECUTION_TIME", T.DoubleType()),
-    T.StructField("ROWS_INSERTED", T.LongType()), T.StructField("ROWS_UPDATED", T.LongType()),
-    T.StructField("ROWS_DELETED", T.LongType()), T.StructField("MESSAGE", T.StringType()),
-    T.StructField("CREATED_AT", T.TimestampNTZType()),
+    T.StructField("model_execution_id", T.StringType()),
+    T.StructField("unique_id", T.StringType()),
+    T.StructField("invocation_id", T.StringType()),
+    T.StructField("generated_at", T.TimestampNTZType()),
+    T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("resource_type", T.StringType()),
+    T.StructField("execution_time", T.DoubleType()),
+    T.StructField("execute_started_at", T.TimestampNTZType()),
+    T.StructField("execute_completed_at", T.TimestampNTZType()),
+    T.StructField("compile_started_at", T.TimestampNTZType()),
+    T.StructField("compile_completed_at", T.TimestampNTZType()),
+    T.StructField("rows_affected", T.DecimalType(38, 0)),
+    T.StructField("rows_inserted", T.DecimalType(38, 0)),
+    T.StructField("rows_updated", T.DecimalType(38, 0)),
+    T.StructField("rows_deleted", T.DecimalType(38, 0)),
+    T.StructField("full_refresh", T.BooleanType()),
+    T.StructField("compiled_code", T.StringType()),
+    T.StructField("failures", T.DecimalType(38, 0)),
+    T.StructField("query_id", T.StringType()),
+    T.StructField("thread_id", T.StringType()),
+    T.StructField("materialization", T.StringType()),
+    T.StructField("adapter_response", T.StringType()),
 ])
 
 
 def append_run_audit(audit: DataFrame, rows: DataFrame, as_of: _dt.datetime, keep_days: int = 60) -> DataFrame:
-    """Run audit (A12): append the new rows, then drop rows created before
-    as_of - keep_days (a timestamp comparison, not a date one)."""
+    """Run audit (A12): drop existing rows created before as_of - keep_days (a timestamp
+    comparison, not a date one), then append the new rows. As in the reference, the
+    clean-up runs before the insert, so the new rows are always kept."""
     cutoff = lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(keep_days)} DAYS")
-    both = audit.unionByName(rows.select(*audit.columns))
-    return both.filter(F.col("CREATED_AT") >= cutoff)
+    kept = audit.filter(F.col("created_at") >= cutoff)
+    return kept.unionByName(rows.select(*audit.columns))
 
 
+# The event-log columns and the four event kinds written around a run.
 EVENT_SCHEMA = T.StructType([
-    T.StructField("EVENT_NAME", T.StringType()), T.StructField("EVENT_TIMESTAMP", T.TimestampNTZType()),
-    T.StructField("EVENT_SCHEMA", T.StringType()), T.StructField("EVENT_MODEL", T.StringType()),
-    T.StructField("EVENT_USER", T.StringType()), T.StructField("EVENT_TARGET", T.StringType()),
-    T.StructField("EVENT_IS_FULL_REFRESH", T.BooleanType()), T.StructField("INVOCATION_ID", T.StringType()),
+    T.StructField("event_name", T.StringType()), T.StructField("event_timestamp", T.TimestampNTZType()),
+    T.StructField("event_schema", T.StringType()), T.StructField("event_model", T.StringType()),
+    T.StructField("event_user", T.StringType()), T.StructField("event_target", T.StringType()),
+    T.StructField("event_is_full_refresh", T.BooleanType()), T.StructField("invocation_id", T.StringType()),
+    T.StructField("query_id", T.StringType()),
 ])
 
 EVENT_KINDS = ("run started", "run completed", "model deployment started", "model deployment completed")
@@ -127,10 +150,12 @@ EVENT_KINDS = ("run started", "run completed", "model deployment started", "mode
 
 def log_event(log: DataFrame, spark: SparkSession, name: str, ts: _dt.datetime, schema: str = None,
               model: str = None, user: str = None, target: str = None, full_refresh: bool = False,
-              invocation_id: str = None) -> DataFrame:
-    """Event log append (A14): one row per event."""
-    row = spark.createDataFrame([(name, ts, schema, model, user, target, full_refresh, invocation_id)],
-                                EVENT_SCHEMA)
+              invocation_id: str = None, query_id: str = None) -> DataFrame:
+    """Event log append (A14): one row per event. A log table missing some of these
+    columns is widened first (`conform`), like the reference's create-or-alter step."""
+    row = spark.createDataFrame([(name, ts, schema, model, user, target, bool(full_refresh), invocation_id,
+                                  query_id)], EVENT_SCHEMA)
+    log, row = conform(log, row)
     return log.unionByName(row)
 
 
