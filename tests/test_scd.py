@@ -167,3 +167,11 @@ def test_upsert_unknown_strategy_raises(spark):
     t = spark.createDataFrame([("A",)], "K string")
     with pytest.raises(ValueError):
         upsert(t, t, "K", strategy="append")
+
+
+def test_merge_counts_include_closeouts(spark):
+    from tidemark.operators.merge import merge_counts
+    out = scd_merge(dim(spark, [row("A", "J1", "X", dt.date(2024, 1, 1))]), src(spark, [("A", "J2", "X"), ("B", "J1", "X")]),
+                    "EIN", RUN, RUN_BATCH)
+    c = merge_counts(out).collect()[0]
+    assert (c["rows_inserted"], c["rows_updated"], c["rows_deleted"]) == (2, 1, 0)

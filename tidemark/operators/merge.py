@@ -126,7 +126,8 @@ def upsert(target: DataFrame, source: DataFrame, key, strategy: str = "merge", *
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:
-    """DML counts of a merge result (A13): one row with inserted / updated / deleted.
+    """DML counts of a merge result (A13): one row with inserted / updated / deleted
+    (an SCD close-out is an UPDATE of the closed row).
     A fresh load (no `_action` column: the table was created by this run) counts every
     row as inserted."""
     if ACTION not in merged.columns:
@@ -134,7 +135,7 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     a = F.col(ACTION)
     return merged.agg(
         F.count(F.when(a == "insert", 1)).cast("bigint").alias("rows_inserted"),
-        F.count(F.when(a == "update", 1)).cast("bigint").alias("rows_updated"),
+        F.count(F.when(a.isin("update", "close"), 1)).cast("bigint").alias("rows_updated"),
         F.count(F.when(a == "delete", 1)).cast("bigint").alias("rows_deleted"),
         F.count(F.lit(1)).cast("bigint").alias("rows_total"))
 
