@@ -64,19 +64,26 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def star_left_join(spark, sf):
     c = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("KEY"), "c_custkey", "c_name", "c_nationkey")
-    ro = order_rollup(spark, sf).withColumnRenamed("o_custkey", "KEY")
     o = S.t(spark, sf, "orders")
-    oo = (o.filter(F.col("o_orderstatus") == "O").groupBy(F.col("o_custkey").alias("KEY"))
-          .agg(F.count(F.lit(1)).cast("bigint").alias("OPEN_ORDERS")))
-    li = S.t(spark, sf, "lineitem")
-    lr = (li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
+    # one pass over orders feeds both order measures; a customer without open orders gets
+    # NULL, as from a separate filtered aggregate
+    ro = o.groupBy(F.col("o_custkey").alias("KEY")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("ORDER_COUNT"),
+        F.min("o_orderdate").alias("FIRST_ORDER_DATE"), F.max("o_orderdate").alias("LAST_ORDER_DATE"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("TOTAL_PRICE"),
+        F.nullif(F.count_if(F.col("o_orderstatus") == "O"), F.lit(0)).cast("bigint").alias("OPEN_ORDERS"))
+    # lines are pre-aggregated per order (partial aggregation map side) before they meet
+    # the orders, then rolled up per customer: the join sees one row per order, not per line
+    li = S.t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_qty"))
+    lr = (li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
           .groupBy(F.col("o_custkey").alias("KEY"))
-          .agg(F.count(F.lit(1)).cast("bigint").alias("LINE_COUNT"),
-               F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(38,2)").alias("TOTAL_QTY")))
+          .agg(F.sum("_lines").cast("bigint").alias("LINE_COUNT"),
+               F.sum("_qty").cast("decimal(38,2)").alias("TOTAL_QTY")))
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     r = S.t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     # the customer-keyed sources share one hash partitioning on KEY; the domain lookups broadcast
-    out = star_join(c, [(ro, "KEY", False), (oo, "KEY", False), (lr, "KEY", False),
+    out = star_join(c, [(ro, "KEY", False), (lr, "KEY", False),
                         (n, "c_nationkey", True), (r, "n_regionkey", True)])
     return out.select("c_custkey", "c_name", "n_name", "r_name", "ORDER_COUNT", "FIRST_ORDER_DATE",
                       "LAST_ORDER_DATE", "TOTAL_PRICE", "OPEN_ORDERS", "LINE_COUNT", "TOTAL_QTY")
