@@ -175,3 +175,9 @@ def test_merge_counts_include_closeouts(spark):
                     "EIN", RUN, RUN_BATCH)
     c = merge_counts(out).collect()[0]
     assert (c["rows_inserted"], c["rows_updated"], c["rows_deleted"]) == (2, 1, 0)
+
+
+def test_scd_merge_rejects_duplicate_source_keys(spark):
+    with pytest.raises(ValueError):
+        scd_merge(dim(spark, [row("A", "J1", "X", dt.date(2024, 1, 1))]), src(spark, [("A", "J2", "X"), ("A", "J3", "X")]),
+                  "EIN", RUN, RUN_BATCH, check_unique=True)

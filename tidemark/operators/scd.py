@@ -54,14 +54,20 @@ def scd_init(src: DataFrame, as_of: _dt.date, batch: int) -> DataFrame:
 def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch: int,
               late_closeout: bool = False, preserve: Sequence[str] = (),
               type6: Sequence[str] = (), hash2: str = "HASH_SCD2", hash1: str = "HASH_SCD1",
-              stage_source: bool = True) -> DataFrame:
+              stage_source: bool = True, check_unique: bool = False) -> DataFrame:
     """SCD 1/2/6 merge of a source batch into a dimension (E3-E6). Returns the new
     dimension with an `_action` column. `preserve` lists columns a type-1 / intra-day
     overwrite keeps from the target (default: none, as in the reference).
 
     stage_source=True writes the source batch once (a table in the shared checkpoint
     folder), as the reference stages its temp table before the MERGE: the batch is read
-    three times below, and its exact size lets AQE broadcast it when it is small."""
+    three times below, and its exact size lets AQE broadcast it when it is small.
+    check_unique=True fails when the source holds a key twice (trap T9)."""
+    if check_unique:
+        from tidemark.operators.merge import assert_unique_source
+        dup = assert_unique_source(src, [key]).limit(1).collect()
+        if dup:
+            raise ValueError(f"SCD source has duplicate keys, e.g. {dup[0].asDict()}")
     if stage_source:
         from tidemark.sources.sinks import cut_lineage
         src = cut_lineage(src)
