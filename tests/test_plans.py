@@ -31,10 +31,11 @@ def test_latest_per_key_limits_map_side(spark):
     assert rows[0] == 2997 and len(rows) == 2001
 
 
-def test_purge_pre_aggregates_per_content(spark):
+def test_purge_limits_copies_map_side_without_join(spark):
     df = hot_rows(spark).select(F.lit("same").alias("V"), "TS", "ID")
     out = purge_duplicates(df, ["TS", "ID"])
-    assert "partial_max" in physical(out)
+    plan = physical(out)
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "Join" not in plan
     assert [r["ID"] for r in out.collect()] == [2999]
 
 

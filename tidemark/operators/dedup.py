@@ -4,9 +4,9 @@ Scale notes
 * `latest_per_key` is `row_number() = 1` over a key window; Catalyst plans it as a
   partial `WindowGroupLimit` before the shuffle, so every map task ships at most one
   row per key: a hot key costs one row per input partition, not a third of the table.
-* `purge_duplicates` pre-aggregates the top ordering per content hash (partial
-  aggregation before the shuffle) and joins it back; the join sees one row per hash
-  on the build side, and AQE splits a skewed probe side.
+* `purge_duplicates` keeps `rank() = 1` per content hash (a map-side partial
+  WindowGroupLimit, so a hot group of copies ships only its top rows) plus the rows the
+  reference cannot delete (NULL in an exclude column); no join back.
 * `cdc_resolve` pre-aggregates rename records to the largest log id per before-key and
   removes renamed-away keys with one anti join on that (one row per key on both sides),
   so no key set is collected or broadcast unchecked.
@@ -53,20 +53,21 @@ def purge_duplicates(df: DataFrame, exclude: Sequence[str], hash_col: str = "_co
     content hash, rows are ranked by the exclude columns DESC NULLS FIRST; rows ranked
     below the top are removed, except rows with a NULL in any exclude column (the
     reference deletes by tuple equality, which never matches NULL). Ties at the top stay.
-    """
+
+    Plan: the kept rows are {rank = 1 and no NULL} + {any NULL}, two disjoint sets. The
+    first is a `rank() = 1` filter, which Spark runs as a map-side partial
+    WindowGroupLimit (a hot group of copies ships only its top rows per map task); the
+    second is a plain filter. No join back and no sort aggregate."""
     from tidemark.functions.hashing import content_hash
 
     exclude = list(exclude)
     h = content_hash(df, exclude)
-    # ordering struct with DESC NULLS FIRST semantics: (is_null, value) per column, max wins
-    ordkey = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(c)
-                        for c in exclude])
-    hashed = df.select("*", h.alias(hash_col), ordkey.alias("_ord"))
-    top = hashed.groupBy(hash_col).agg(F.max("_ord").alias("_top"))
+    hashed = df.select("*", h.alias(hash_col))
+    w = Window.partitionBy(hash_col).orderBy(*order_desc(exclude, nulls_first=True))
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in exclude])
-    kept = (hashed.join(top, hash_col, "inner")
-                  .filter(any_null | (F.col("_ord") == F.col("_top"))))
-    return kept.select(*df.columns)
+    top = (hashed.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1)
+           .filter(~any_null).select(*df.columns))
+    return top.unionByName(df.filter(any_null))
 
 
 def duplicates_removed(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
