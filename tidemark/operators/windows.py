@@ -46,11 +46,17 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: S
         F.lag("_seq").over(w).isNull().alias("_is_first"),
         F.lead("_seq").over(w).isNull().alias("_is_last"))
 
+    # edge rows without sorting the data: a hash aggregate finds each partition's first and
+    # last position (one row per partition), broadcast semi joins pick those rows out
+    ends = srt.groupBy("_pid").agg(F.min("_seq").alias("_fs"), F.max("_seq").alias("_ls"))
     edge_row = F.struct(*[F.col(c) for c in carried])
-    edges = srt.groupBy("_pid").agg(F.min_by(edge_row, "_seq").alias("_first"),
-                                    F.max_by(edge_row, "_seq").alias("_last"))
+    firsts = (srt.join(F.broadcast(ends.select(F.col("_fs").alias("_seq"))), "_seq", "left_semi")
+              .select("_pid", edge_row.alias("_first")))
+    lasts = (srt.join(F.broadcast(ends.select(F.col("_ls").alias("_seq"))), "_seq", "left_semi")
+             .select("_pid", edge_row.alias("_last")))
     ew = Window.orderBy("_pid")      # one row per partition: a bounded, single-task window
-    edges = edges.select("_pid", F.lag("_last").over(ew).alias("_before"), F.lead("_first").over(ew).alias("_after"))
+    edges = firsts.join(lasts, "_pid").select(
+        "_pid", F.lag("_last").over(ew).alias("_before"), F.lead("_first").over(ew).alias("_after"))
 
     j = inner.join(F.broadcast(edges), "_pid", "left")
     same_prev = reduce(lambda a, b: a & b, [F.col(f"_before.{k}").eqNullSafe(F.col(k)) for k in keys])
