@@ -8,6 +8,8 @@ from tidemark.plans.registry import load_all
 from .conftest import SF_SMALL
 
 REG = load_all()
+SLOW_OPERATORS = ("SortAggregate", "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                  "ArrowEvalPython")
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +33,10 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
+    # the final (adaptive) plan stays JVM-side and pair-free
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for op in SLOW_OPERATORS:
+        assert op not in plan, f"{key}: {op} in the final plan"
 
 
 @pytest.mark.parametrize("key", ["cdc_to_ods", "snapshot_to_ods", "watermark_delta", "retention_purge"])
