@@ -62,3 +62,18 @@ def test_fold_independent_of_input_order(spark):
     a = sorted(tuple(r) for r in fold(spark).collect())
     b = sorted(tuple(r) for r in fold(spark, shuffle_input=True).collect())
     assert a == b
+
+
+def test_bucketed_scd_fold_equals_whole_table_fold(spark, scratch):
+    import os
+    from tidemark.sources import sinks
+    tbl = os.path.join(scratch, "dim")
+    first = S.snapshot_source(spark, SF_SMALL, RUNS[0], batch_of(RUNS[0]))
+    init = scd_init(first.drop("EFF_DT", "DISC_DT", "IS_CURRENT", "INS_BATCH_ID", "UPD_BATCH_ID"),
+                    RUNS[0], batch_of(RUNS[0])).select(*S.DIM_COLS)
+    sinks.write_bucketed(init, tbl, "ENTITY_KEY", 16)
+    for day in RUNS[1:]:
+        src = S.snapshot_source(spark, SF_SMALL, day, batch_of(day))
+        sinks.scd_merge_bucketed(spark, tbl, src, "ENTITY_KEY", 16, day, batch_of(day))
+    got = sorted(tuple(r) for r in spark.read.parquet(tbl).select(*S.DIM_COLS).collect())
+    assert got == sorted(tuple(r) for r in fold(spark).collect())

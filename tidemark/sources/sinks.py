@@ -177,22 +177,21 @@ def write_bucketed(df: DataFrame, table_dir: str, key, buckets: int) -> None:
     with_bucket(df, key, buckets).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_dir)
 
 
-def upsert_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int,
-                    extra_keys: DataFrame | None = None, pre=None, **merge_kw) -> None:
-    """Hash-gated upsert that rewrites only the buckets the batch touches.
+def rewrite_buckets(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int, merge_fn,
+                    extra_keys: DataFrame | None = None, pre=None) -> None:
+    """Apply `merge_fn(current_rows, staged_source) -> new_rows` to the buckets a batch
+    touches and replace exactly those partitions.
 
-    The target is stored partitioned by pmod(xxhash64(key), buckets). The batch is staged
+    The table is stored partitioned by pmod(xxhash64(key), buckets). The batch is staged
     once; its distinct buckets (at most `buckets` integers, a proven bound) prune the
-    target scan to those partitions; `merge_upsert` runs on them and Spark's dynamic
-    partition overwrite replaces exactly those partitions at job commit. Untouched
-    buckets are neither read nor rewritten, so the cost follows the batch, not the
-    table. The new files are written to a staging folder and only moved in at commit,
-    so a failed job leaves the table as it was.
+    table scan to those partitions; Spark's dynamic partition overwrite replaces exactly
+    those partitions at job commit. Untouched buckets are neither read nor rewritten, so
+    the cost follows the batch, not the table. New files go to a staging folder and are
+    only moved in at commit, so a failed job leaves the table as it was. Valid for
+    merges whose result for a key depends only on that key's rows (upserts, SCD 1/2).
 
     `extra_keys` (a frame with the key columns) adds buckets to rewrite and `pre(current)`
     transforms the touched rows before the merge, e.g. tombstoning renamed keys."""
-    from tidemark.operators.merge import drop_action, merge_upsert
-
     keys = [key] if isinstance(key, str) else list(key)
     staged = cut_lineage(with_bucket(source, key, buckets))
     ids = staged.select(BUCKET_COL)
@@ -206,6 +205,26 @@ def upsert_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key,
     current = spark.read.parquet(table_dir).filter(F.col(BUCKET_COL).isin(touched))
     if pre is not None:
         current = pre(current)
-    merged = drop_action(merge_upsert(current, staged.select(*current.columns), key, **merge_kw))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged = merge_fn(current, staged.select(*current.columns))
+    (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(table_dir))
+
+
+def upsert_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int,
+                    extra_keys: DataFrame | None = None, pre=None, **merge_kw) -> None:
+    """Hash-gated upsert (`merge_upsert`) that rewrites only the touched key buckets."""
+    from tidemark.operators.merge import merge_upsert
+    rewrite_buckets(spark, table_dir, source, key, buckets,
+                    lambda cur, src: merge_upsert(cur, src, key, **merge_kw), extra_keys, pre)
+
+
+def scd_merge_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key: str, buckets: int,
+                       as_of, batch: int, **scd_kw) -> None:
+    """SCD 1/2 merge (`scd_merge`) that rewrites only the touched key buckets. Type-6
+    propagation decides its columns from the whole batch and touches every key, so it is
+    not offered here."""
+    from tidemark.operators.scd import scd_merge
+    if scd_kw.get("type6"):
+        raise ValueError("type-6 propagation rewrites every key; use scd_merge on the whole table")
+    rewrite_buckets(spark, table_dir, source, key, buckets,
+                    lambda cur, src: scd_merge(cur, src, key, as_of, batch, **scd_kw))
