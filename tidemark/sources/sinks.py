@@ -55,7 +55,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"t-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _WIDER = {
