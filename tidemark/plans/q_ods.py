@@ -411,3 +411,95 @@ def q_snapshot_to_ods(spark, sf):
 @query("mark_deleted", sql=SQL_SNAP + "\nSELECT * FROM marked WHERE DELETE_ACTION = 'delete'")
 def q_mark_deleted(spark, sf):
     return snap_second(spark, sf).filter(F.col("DELETE_ACTION") == "delete")
+
+
+# ----------------------------------------------------------------------------- API-extract kind
+# An API extract lands full records with created / modified stamps and a deleted flag.
+# Stand-in: orders as account records (ID = o_custkey, CREATEDDATE = the customer's first
+# order time, SYSTEMMODSTAMP = the order time, ISDELETED = fulfilled). The first load takes
+# records modified before 2001; the second run takes SYSTEMMODSTAMP >= max(target) with no
+# overlap, keeps the latest record per ID, derives the action code and flags, hashes and
+# upserts with only the insert timestamp protected (trap T14: the insert batch id is not).
+
+API_SPEC = TableSpec(
+    columns=("ODS_PK", "ID", "STATUS", "PRIORITY", "AMOUNT", "IS_DELETED_FLAG", "CREATEDDATE", "SYSTEMMODSTAMP",
+             "SRC_ACTION_CD", "SRC_DEL_IND", "ODS_INS_BATCH_ID", "ODS_UPD_BATCH_ID", "ODS_INSERT_TIMESTAMP",
+             "ODS_UPDATE_TIMESTAMP", "OPERATION_TYPE"),
+    natural_keys=("ID",),
+    audit=("CREATEDDATE", "SYSTEMMODSTAMP", "SRC_ACTION_CD", "SRC_DEL_IND", "ODS_INS_BATCH_ID", "ODS_UPD_BATCH_ID",
+           "ODS_INSERT_TIMESTAMP", "ODS_UPDATE_TIMESTAMP", "OPERATION_TYPE"),
+)
+API_COLS = list(API_SPEC.columns) + ["HASH_CHANGE", "HASH_FULL"]
+API_FIRST_CUT = dt.datetime(2001, 1, 1)
+API_RUN1, API_BATCH1 = dt.datetime(2001, 1, 1, 6, 0, 0), 20010101060000000
+API_RUN2, API_BATCH2 = dt.datetime(2001, 9, 1, 6, 0, 0), 20010901060000000
+
+
+def api_extract(spark, sf) -> DataFrame:
+    o = S.t(spark, sf, "orders")
+    created = o.groupBy(F.col("o_custkey").alias("ID")).agg(F.min("o_orderdate").alias("CREATEDDATE"))
+    rec = o.select(F.col("o_custkey").alias("ID"), F.col("o_orderkey").alias("REC_ID"),
+                   F.col("o_orderstatus").alias("STATUS"), F.col("o_orderpriority").alias("PRIORITY"),
+                   F.col("o_totalprice").cast("decimal(18,2)").alias("AMOUNT"),
+                   (F.col("o_orderstatus") == "F").alias("ISDELETED"), F.col("o_orderdate").alias("SYSTEMMODSTAMP"))
+    return rec.join(created, "ID", "left")
+
+
+def api_transform(rows: DataFrame, batch: int, run_ts: dt.datetime) -> DataFrame:
+    from tidemark.functions.expr import action_code
+    ts = lit(run_ts)
+    deleted = F.col("ISDELETED") == F.lit(True)
+    shaped = rows.select(
+        surrogate_key(trim_string(F.col("ID").cast("string"))).alias("ODS_PK"), "ID", "STATUS", "PRIORITY", "AMOUNT",
+        F.when(deleted, F.lit(1)).otherwise(F.lit(0)).alias("IS_DELETED_FLAG"),
+        "CREATEDDATE", "SYSTEMMODSTAMP",
+        action_code("ISDELETED", "CREATEDDATE", "SYSTEMMODSTAMP").alias("SRC_ACTION_CD"),
+        F.when(deleted, F.lit("Y")).otherwise(F.lit("N")).alias("SRC_DEL_IND"),
+        F.lit(batch).cast("bigint").alias("ODS_INS_BATCH_ID"), F.lit(batch).cast("bigint").alias("ODS_UPD_BATCH_ID"),
+        ts.alias("ODS_INSERT_TIMESTAMP"), ts.alias("ODS_UPDATE_TIMESTAMP"),
+        F.when(deleted, F.lit("DELETE")).otherwise(F.lit("INSERT")).alias("OPERATION_TYPE"))
+    return shaped.select("*", hash_change(API_SPEC).alias("HASH_CHANGE"), hash_full(API_SPEC).alias("HASH_FULL"))
+
+
+def _sql_api_transform(name: str, src: str, batch: int, run_ts: dt.datetime) -> str:
+    ts = f"TIMESTAMP '{run_ts.isoformat(sep=' ')}'"
+    key = Q.trim_string("CAST(ID AS VARCHAR)")
+    return f"""{name}_x AS (
+  SELECT md5(coalesce(CAST({key} AS VARCHAR), '')) AS ODS_PK, ID, STATUS, PRIORITY, AMOUNT,
+         CASE WHEN ISDELETED = true THEN 1 ELSE 0 END AS IS_DELETED_FLAG, CREATEDDATE, SYSTEMMODSTAMP,
+         CASE WHEN ISDELETED = true THEN 'D' WHEN CREATEDDATE = SYSTEMMODSTAMP THEN 'I'
+              WHEN CREATEDDATE <> SYSTEMMODSTAMP THEN 'U' ELSE 'I' END AS SRC_ACTION_CD,
+         CASE WHEN ISDELETED = true THEN 'Y' ELSE 'N' END AS SRC_DEL_IND,
+         CAST({batch} AS BIGINT) AS ODS_INS_BATCH_ID, CAST({batch} AS BIGINT) AS ODS_UPD_BATCH_ID,
+         {ts} AS ODS_INSERT_TIMESTAMP, {ts} AS ODS_UPDATE_TIMESTAMP,
+         CASE WHEN ISDELETED = true THEN 'DELETE' ELSE 'INSERT' END AS OPERATION_TYPE
+  FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY ID ORDER BY SYSTEMMODSTAMP DESC NULLS FIRST, REC_ID DESC NULLS FIRST) = 1
+),
+{name} AS (SELECT *, {Q.md5_concat(API_SPEC.change_columns(), '|')} AS HASH_CHANGE,
+                  {Q.md5_concat(API_SPEC.full_columns(), '|')} AS HASH_FULL FROM {name}_x)"""
+
+
+@query("api_to_ods", sql=f"""WITH api AS (
+  SELECT o.o_custkey AS ID, o.o_orderkey AS REC_ID, o.o_orderstatus AS STATUS, o.o_orderpriority AS PRIORITY,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS AMOUNT, o.o_orderstatus = 'F' AS ISDELETED,
+         o.o_orderdate AS SYSTEMMODSTAMP, c.CREATEDDATE
+  FROM orders o LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS CREATEDDATE FROM orders GROUP BY o_custkey) c
+    ON o.o_custkey = c.o_custkey
+),
+first_rows AS (SELECT * FROM api WHERE SYSTEMMODSTAMP < TIMESTAMP '{API_FIRST_CUT.isoformat(sep=' ')}'),
+{_sql_api_transform("ods0", "first_rows", API_BATCH1, API_RUN1)},
+delta_rows AS (SELECT * FROM api WHERE SYSTEMMODSTAMP >= (SELECT coalesce(max(SYSTEMMODSTAMP), TIMESTAMP '1900-01-01') FROM ods0)),
+{_sql_api_transform("src", "delta_rows", API_BATCH2, API_RUN2)},
+merged AS (
+{Q.upsert("ods0", "src", API_COLS, "ODS_PK", ["ODS_INSERT_TIMESTAMP"])}
+)
+SELECT * FROM merged""")
+def q_api_to_ods(spark, sf):
+    api = api_extract(spark, sf)
+    first = api.filter(F.col("SYSTEMMODSTAMP") < lit(API_FIRST_CUT))
+    ods0 = api_transform(latest_per_key(first, "ID", ["SYSTEMMODSTAMP"], ["REC_ID"]), API_BATCH1, API_RUN1)
+    d = delta(api, ods0, "SYSTEMMODSTAMP", "SYSTEMMODSTAMP", overlap_minutes=0)     # `>=` max, no overlap
+    src = api_transform(latest_per_key(d, "ID", ["SYSTEMMODSTAMP"], ["REC_ID"]), API_BATCH2, API_RUN2)
+    return merge_upsert(ods0, src, "ODS_PK", no_update=["ODS_INSERT_TIMESTAMP"], stage_source=True) \
+        .withColumnRenamed(ACTION, "MERGE_ACTION")
