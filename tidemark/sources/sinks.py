@@ -1,15 +1,15 @@
 """Sinks: staged overwrite, schema evolution, contracts, run audit and event log.
 
 Parquet tables cannot be overwritten while being read, so a new version of a table is
-written to a fresh directory under the shared checkpoint folder and then published by
-swapping a pointer directory name (`write_staged`). A failed or lost executor only
-retries tasks of the write job; readers never see a half-written table.
+written to a fresh directory and then published by appending to the table's versions log
+(`write_staged`); all of it goes through Spark jobs, so it works on the cluster's shared
+file system. A failed or lost executor only retries tasks of the write job; readers
+never see a half-written table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -22,29 +22,53 @@ from tidemark.functions.literals import lit
 from tidemark.session import checkpoint_dir
 
 
+VERSIONS = "_versions"
+
+
+def _join(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), *parts])
+
+
 def write_staged(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (),
                  mode: str = "overwrite") -> str:
-    """Full rebuild sink (A4): write the new version to `<table_dir>/v-<uuid>` and point
-    `<table_dir>/_CURRENT` at it. Returns the new version's path."""
-    version = os.path.join(table_dir, f"v-{uuid.uuid4().hex}")
+    """Full rebuild sink (A4): write the new version to `<table_dir>/v-<time>-<uuid>`, then
+    publish it by appending one row to the table's `_versions` log. Both steps are Spark
+    jobs, so this works on any file system the cluster uses; each job's commit makes its
+    files appear whole, so readers see either the previous or the new version, never a
+    half-written one. Returns the new version's path."""
+    spark = df.sparkSession
+    stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    version = _join(table_dir, f"v-{stamp.strftime('%Y%m%d%H%M%S%f')}-{uuid.uuid4().hex[:12]}")
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    os.makedirs(table_dir, exist_ok=True)
-    tmp = os.path.join(table_dir, f"_CURRENT.{uuid.uuid4().hex}")
-    with open(tmp, "w") as fh:
-        fh.write(version)
-    os.replace(tmp, os.path.join(table_dir, "_CURRENT"))
+    (spark.createDataFrame([(version, stamp)], "path string, published_at timestamp_ntz")
+     .write.mode("append").parquet(_join(table_dir, VERSIONS)))
     return version
 
 
+def _try_read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
+    except AnalysisException:            # the path does not exist (yet)
+        return None
+
+
 def read_current(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    ptr = os.path.join(table_dir, "_CURRENT")
-    if not os.path.exists(ptr):
+    """The latest published version of a table written by `write_staged` (None if none)."""
+    log = _try_read(spark, _join(table_dir, VERSIONS), "path string, published_at timestamp_ntz")
+    if log is None:
         return None
-    with open(ptr) as fh:
-        return spark.read.parquet(fh.read().strip())
+    latest = log.orderBy(F.col("published_at").desc(), F.col("path").desc()).limit(1).collect()
+    return spark.read.parquet(latest[0]["path"]) if latest else None
+
+
+def table_path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table exists at `path`, asked through Spark (any file system)."""
+    return _try_read(spark, path) is not None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -53,7 +77,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     files instead of recomputing the plan), the copy is columnar and compressed, and the
     planner sees its real size, so a small staged input is broadcast without guessing."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"t-{uuid.uuid4().hex}")
+    path = _join(checkpoint_dir(spark), "tables", f"t-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan a landed Parquet table (A1). Projection and filters applied later are pushed
     into the scan by Catalyst (ReadSchema / PushedFilters)."""
-    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, root: str, names: Sequence[str] = DRIVER_TABLES) -> None:
@@ -35,8 +34,11 @@ def load(target_exists: bool, delta_df: DataFrame, history_df: DataFrame) -> Dat
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
-    if os.path.sep in name_or_path:
-        return os.path.exists(name_or_path)
+    """Whether the target exists (the two-path decision): a catalog table name, or a path
+    checked through Spark so that any cluster file system works."""
+    if "/" in name_or_path:
+        from tidemark.sources.sinks import table_path_exists
+        return table_path_exists(spark, name_or_path)
     return spark.catalog.tableExists(name_or_path)
 
 

@@ -6,8 +6,8 @@ Spark form is a Structured Streaming query over the landed log files:
   * each micro-batch is resolved with `cdc_resolve` (latest image per key, renamed-away
     keys removed), shaped by the caller's `transform`, and upserted into the current
     version of the target with `merge_upsert` (hash gated);
-  * the new target version is written to a fresh directory and published by pointer
-    swap (`write_staged`), so a failed batch leaves the previous version intact;
+  * the new target version is written to a fresh directory and published through the
+    table's versions log (`write_staged`), so a failed batch leaves the previous version intact;
   * the batch id used for lineage columns is derived from the epoch id, so a replayed
     epoch (after an executor or driver loss) produces the same rows, and the hash-gated
     upsert makes the replay a no-op: the effect is exactly once.
@@ -16,7 +16,6 @@ The query checkpoint lives in the shared checkpoint folder, never on local disk.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +26,8 @@ from pyspark.sql.types import StructType
 from tidemark.operators.dedup import cdc_resolve
 from tidemark.operators.merge import drop_action, merge_upsert, tombstone_renamed
 from tidemark.session import checkpoint_dir
-from tidemark.sources.sinks import read_current, upsert_bucketed, write_bucketed, write_staged
+from tidemark.sources.sinks import (read_current, table_path_exists, upsert_bucketed, write_bucketed,
+                                    write_staged)
 
 
 def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, target_dir: str,
@@ -50,7 +50,7 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
     buckets=N stores the target partitioned by key bucket (sinks.write_bucketed) and
     rewrites only the buckets a micro-batch touches (sinks.upsert_bucketed) instead of
     publishing a full new version per batch."""
-    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{name}")
+    ckpt = checkpoint_dir(spark).rstrip("/") + f"/stream-{name}"
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
@@ -74,7 +74,7 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
 
     def _apply_bucketed(batch: DataFrame, rows: DataFrame, epoch: int) -> None:
         sess = batch.sparkSession
-        if not os.path.exists(target_dir):
+        if not table_path_exists(sess, target_dir):
             write_bucketed(rows, target_dir, merge_key, buckets)
             return
         extra, pre = None, None
