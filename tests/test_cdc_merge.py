@@ -179,3 +179,10 @@ def test_merge_counts_fresh_table(spark):
     fresh = spark.createDataFrame([("A",), ("B",)], "K string")
     c = merge_counts(fresh).collect()[0]
     assert (c["rows_inserted"], c["rows_updated"], c["rows_total"]) == (2, 0, 2)
+
+
+def test_cdc_resolve_rejects_mismatched_keys(spark):
+    import pytest
+    df = spark.createDataFrame([], LOG)
+    with pytest.raises(ValueError):
+        cdc_resolve(df, ["K", "V"], ["BK"], "TS", "ID", F.col("PKC") == "Y")

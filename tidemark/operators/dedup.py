@@ -89,6 +89,8 @@ def cdc_resolve(log: DataFrame, keys, before_keys, ts: str, log_id: str,
     Rows with a NULL key part are dropped (the reference's IN / CONCAT_WS semantics).
     """
     keys, before_keys = _listify(keys), _listify(before_keys)
+    if len(keys) != len(before_keys):
+        raise ValueError(f"cdc_resolve: {len(keys)} key columns but {len(before_keys)} before-image key columns")
     src = log if mark is None else log.filter(F.col(ts) >= lit(mark))
     dedup = latest_per_key(src, keys, [ts], tiebreak if tiebreak is not None else [log_id])
     dedup = dedup.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
