@@ -293,3 +293,41 @@ def test_event_log_widens_old_table(spark):
     assert log.count() == 2 and "query_id" in log.columns
     r = log.filter("event_name = 'model deployment completed'").collect()[0]
     assert r["event_is_full_refresh"] is True and r["event_model"] == "ODS_T"
+
+
+def test_geo_point_and_corrected_address(spark):
+    from decimal import Decimal as D
+    geo = spark.createDataFrame([(D("45.5"), D("-73.6")), (D("91"), D("10")), (None, D("10")), (D("-90"), D("180"))],
+                                "LAT decimal(11,6), LON decimal(11,6)")
+    pts = [r["p"] for r in geo.select(X.geo_point("LAT", "LON").alias("p")).collect()]
+    assert pts[0] is not None and pts[1] is None and pts[2] is None and pts[3] is not None
+    addr = spark.createDataFrame([("1 Main", "Apt 2", "Bldg 3", "N", None, None, None),
+                                  ("  ", "Apt 2", "Bldg 3", "N", None, None, None),
+                                  (None, " ", "Bldg 3", "N", None, None, None),
+                                  ("1 Main", "", "Bldg 3", "N", None, None, None),
+                                  ("x", "y", "z", "Y", "V1", "V2", "V3")],
+                                 "L1 string, L2 string, L3 string, OK string, V1 string, V2 string, V3 string")
+    a1, a2, a3 = X.corrected_address("L1", "L2", "L3", "OK", "V1", "V2", "V3")
+    got = [(r["a"], r["b"], r["c"]) for r in addr.select(a1.alias("a"), a2.alias("b"), a3.alias("c")).collect()]
+    assert got == [("1 Main", "Apt 2", "Bldg 3"), ("Apt 2", "Bldg 3", ""), ("Bldg 3", "", ""),
+                   ("1 Main", "Bldg 3", ""), ("V1", "V2", "V3")]
+
+
+def test_model_coefficient_cases(spark):
+    import datetime as _d
+    schema = "TRAINED_AT timestamp_ntz, DX array<string>, DC map<string,double>, SX array<string>, SC map<string,double>"
+    as_of = _d.datetime(2025, 3, 1)
+    good = (_d.datetime(2025, 2, 20), ["base", "b"], {"base": 0.0, "b": 1.2}, ["s0"], {"s0": 0.0})
+    bl = [("division", "DX", "DC"), ("service", "SX", "SC")]
+
+    def issues(rows):
+        df = spark.createDataFrame(rows, schema)
+        return sorted(r["FAILURE"] for r in dq.model_coefficients(df, "TRAINED_AT", bl, as_of, 30).collect())
+
+    assert issues([]) == ["row_count_not_1", "trained_at_stale_or_null"]           # 0 rows
+    assert issues([good]) == []                                                      # 1 good row
+    assert issues([good, good]) == ["row_count_not_1"]                              # 2 rows
+    stale = (_d.datetime(2025, 1, 1),) + good[1:]
+    assert issues([stale]) == ["trained_at_stale_or_null"]
+    bad = (good[0], ["x"], {"base": 0.0}, ["s0"], {"s0": 0.5})                      # missing / non-zero
+    assert issues([bad]) == ["division_baseline_missing_or_nonzero", "service_baseline_missing_or_nonzero"]
