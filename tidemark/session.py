@@ -61,28 +61,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cluster_conf(total_input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8,
-                 executor_memory_gb: int = 32) -> dict[str, str]:
+                 executor_memory_gb: int = 32, largest_shuffle_tb: float = 20.0) -> dict[str, str]:
     """Spark settings for the production scale (defaults: 100 TB over 1000 executors).
 
     The numbers follow from the data volume, not from local tests:
     * scan splits of 512 MB keep a 100 TB scan at ~200k tasks (about 25 waves of 8k cores);
-    * AQE starts every shuffle with enough partitions (`initialPartitionNum`) for the
-      largest stage, ~10x the cores, and coalesces towards 256 MB per reducer, which fits
-      well inside the execution memory of a core (32 GB / 8 cores, ~60 % usable) so that
-      sorts and hash tables spill rarely;
+    * AQE coalesces small shuffle partitions but never splits large ones, so the initial
+      partition count comes from the largest expected shuffle divided by the 256 MB
+      reducer target: 20 TB (a full-width dimension or target after column pruning and
+      map-side aggregation) / 256 MB ~ 80k partitions. 256 MB per reducer fits well inside
+      a core's execution memory (32 GB / 8 cores, ~60 % usable), so sorts and hash tables
+      spill rarely, and smaller shuffles are coalesced down by AQE;
     * skewed partitions over 4x the median and 1 GB are split by the skew-join rule;
     * runtime broadcast only below 64 MB of measured shuffle data; the planner's static
       threshold stays at 32 MB so that estimates alone never broadcast large sides;
     * dynamic partition overwrite for bucket-scoped rewrites.
     """
-    cores = executors * cores_per_executor
-    initial = max(2000, 10 * cores)
+    advisory_mb = 256
+    initial = max(2 * executors * cores_per_executor, int(largest_shuffle_tb * 1024 * 1024 / advisory_mb))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
         "spark.sql.files.maxPartitionBytes": "512m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
