@@ -108,9 +108,14 @@ def changed_keys(branches: Sequence[KeySource], strict: bool = True) -> DataFram
 
 
 def incremental_star(driving: DataFrame, sources: Sequence[tuple[DataFrame, Sequence[str]]],
-                     keys: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+                     keys: DataFrame, key_cols: Sequence[str], stage_keys: bool = True) -> DataFrame:
     """Semi-join the driving table and each source to the changed keys, then star LEFT
-    JOIN on the key (K2). The key set is not broadcast unless AQE finds it small."""
+    JOIN on the key (K2). stage_keys=True writes the key set once (a key-only table in the
+    shared checkpoint folder) since every branch reads it; its real size then decides
+    whether the semi joins broadcast it. It is never broadcast on an estimate."""
+    if stage_keys:
+        from tidemark.sources.sinks import cut_lineage
+        keys = cut_lineage(keys)
     drv = driving.join(keys, list(key_cols), "left_semi")
     out = drv
     for src, on in sources:

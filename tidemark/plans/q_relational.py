@@ -149,16 +149,33 @@ def q_changed_keys(spark, sf):
 
 
 @query("incremental_star", sql=f"""
-WITH {SQL_CHANGED}, {SQL_ROLLUP}
-SELECT c.c_custkey, c.c_name, r.ORDER_COUNT, r.LAST_ORDER_DATE, r.TOTAL_PRICE
+WITH {SQL_CHANGED}, {SQL_ROLLUP},
+line_rollup AS (
+  SELECT o.o_custkey, CAST(count(*) AS BIGINT) AS LINE_COUNT, sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS TOTAL_QTY
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey
+)
+SELECT c.c_custkey, c.c_name, r.ORDER_COUNT, r.LAST_ORDER_DATE, r.TOTAL_PRICE, lr.LINE_COUNT,
+       CAST(lr.TOTAL_QTY AS DECIMAL(38,2)) AS TOTAL_QTY, n.n_name
 FROM (SELECT * FROM customer WHERE c_custkey IN (SELECT CUST_KEY FROM changed)) c
-LEFT JOIN (SELECT * FROM rollup WHERE o_custkey IN (SELECT CUST_KEY FROM changed)) r ON c.c_custkey = r.o_custkey""")
+LEFT JOIN (SELECT * FROM rollup WHERE o_custkey IN (SELECT CUST_KEY FROM changed)) r ON c.c_custkey = r.o_custkey
+LEFT JOIN (SELECT * FROM line_rollup WHERE o_custkey IN (SELECT CUST_KEY FROM changed)) lr ON c.c_custkey = lr.o_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def q_incremental_star(spark, sf):
+    """K2: the driving table and every customer-keyed source are semi-joined to the changed
+    keys before the star join; the nation lookup is a bounded domain table."""
     keys = _changed(spark, sf).withColumnRenamed("CUST_KEY", "c_custkey")
-    c = S.t(spark, sf, "customer").select("c_custkey", "c_name")
+    c = S.t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     r = order_rollup(spark, sf).withColumnRenamed("o_custkey", "c_custkey") \
         .select("c_custkey", "ORDER_COUNT", "LAST_ORDER_DATE", "TOTAL_PRICE")
-    return incremental_star(c, [(r, ["c_custkey"])], keys, ["c_custkey"])
+    o = S.t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    li = S.t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_qty"))
+    lr = li.join(o, "l_orderkey").groupBy("c_custkey").agg(
+        F.sum("_lines").cast("bigint").alias("LINE_COUNT"), F.sum("_qty").cast("decimal(38,2)").alias("TOTAL_QTY"))
+    star = incremental_star(c, [(r, ["c_custkey"]), (lr, ["c_custkey"])], keys, ["c_custkey"])
+    n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return star.join(F.broadcast(n), "c_nationkey", "left").select(
+        "c_custkey", "c_name", "ORDER_COUNT", "LAST_ORDER_DATE", "TOTAL_PRICE", "LINE_COUNT", "TOTAL_QTY", "n_name")
 
 
 @query("enrich_reprocess", sql=f"""
