@@ -75,3 +75,13 @@ def test_backfill_dim(spark):
     assert [r["IS_CURRENT"] for r in rows] == [False, True, True]
     assert rows[0]["K_SK"] == md5("1-2020-01-01") and {r["OPERATION_TYPE"] for r in rows} == {"HISTORICAL"}
     assert rows[1]["HASH_SCD2"] == md5("F")
+
+
+def test_incremental_star_semi_joins_every_source(spark):
+    from tidemark.operators.delta import incremental_star
+    drv = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "K int, NAME string")
+    s1 = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "K int, X int")
+    s2 = spark.createDataFrame([(2, "x2"), (3, "x3")], "K int, Y string")
+    keys = spark.createDataFrame([(2,), (3,), (3,), (9,)], "K int")        # duplicates and unknown keys
+    out = sorted(tuple(r) for r in incremental_star(drv, [(s1, ["K"]), (s2, ["K"])], keys, ["K"]).collect())
+    assert out == [(2, "b", 20, "x2"), (3, "c", 30, "x3")]                 # one row per changed driving key
