@@ -85,3 +85,20 @@ def test_incremental_star_semi_joins_every_source(spark):
     keys = spark.createDataFrame([(2,), (3,), (3,), (9,)], "K int")        # duplicates and unknown keys
     out = sorted(tuple(r) for r in incremental_star(drv, [(s1, ["K"]), (s2, ["K"])], keys, ["K"]).collect())
     assert out == [(2, "b", 20, "x2"), (3, "c", 30, "x3")]                 # one row per changed driving key
+
+
+def test_dq_score_and_cdc_delete_flags(spark):
+    import decimal
+    from tidemark.operators.lifecycle import dq_score
+    from tidemark.plans.q_ods import ods_transform
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "K int, V string")
+    got = sorted((r["K"] or 0, r["DQ_SCORE"], r["DQ_STATUS"]) for r in dq_score(df, ["K", "V"]).collect())
+    assert got == [(0, decimal.Decimal("0.00"), "FAILED"), (1, decimal.Decimal("100.00"), "PASSED"),
+                   (3, decimal.Decimal("0.00"), "FAILED")]
+    log = spark.createDataFrame([(7, dt.datetime(2024, 1, 5), " D ", "click", decimal.Decimal("1.00")),
+                                 (8, dt.datetime(2024, 1, 5), "U", "view", decimal.Decimal("2.00"))],
+                                "USER_KEY long, CAPTURE_TS timestamp_ntz, CAPTURE_ACTION string, EVENT_TYPE string, "
+                                "AMOUNT decimal(18,2)")
+    rows = {r["USER_KEY"]: r for r in ods_transform(log, 1, dt.datetime(2024, 2, 1)).collect()}
+    assert (rows[7]["SRC_ACTION_CD"], rows[7]["SRC_DEL_IND"], rows[7]["OPERATION_TYPE"]) == ("D", "Y", "DELETE")
+    assert (rows[8]["SRC_DEL_IND"], rows[8]["OPERATION_TYPE"]) == ("N", "INSERT")
