@@ -6,15 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import shard, sql
+from tidemark.llm import dac, packing, quality_rules, secret_scan, shard, sql
 from tidemark.llm.common import documents
 
 
+def op4_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
+def op7_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.read(spark, dac.write(documents(spark, sf_dir)))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_rows(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_rule_votes": op4_rule_votes,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_secret_ownership": op6_secret_ownership,
+    "op7_addressable_codes": op7_addressable_codes,
     "op8_feistel_shards": op8_feistel_shards,
 }
 
