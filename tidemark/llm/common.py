@@ -3,10 +3,11 @@ numbers, connected components and numpy word hashing for whole texts."""
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.sources.sinks import cut_lineage
 
@@ -16,9 +17,20 @@ ROW_BITS = 33     # monotonically_increasing_id keeps the row's place in its par
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Put the folder that holds this package on the Python workers' path (where it is not
+    installed there; on a cluster ship the package with --py-files or install it)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    have = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def narrow(docs: DataFrame, **casts: str) -> DataFrame:
     """Only the named columns of `docs`, cast: extra columns, whatever their names, are left
     behind before the operator adds its own."""
@@ -38,7 +50,6 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_no") -> DataFr
                          .withColumn("_at", F.monotonically_increasing_id()))
     placed = (placed.withColumn("_task", F.shiftright("_at", ROW_BITS))
               .withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))))
-    from pyspark.sql import Window
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
                .select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
@@ -85,7 +96,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
-_MASK = (1 << 64) - 1
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -147,7 +157,3 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         h = h * np.uint64(0x9FB21C651E98DF25) + words[i:i + n]
     return mix64(h)
-
-
-def long_type() -> T.DataType:
-    return T.LongType()

@@ -6,10 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import dac, packing, quality_rules, secret_scan, shard, sql
+from tidemark.llm import (
+    dac, decontaminate, minhash, packing, pii, quality_model, quality_rules, secret_scan, shard, sql, substring_dedup,
+)
 from tidemark.llm.common import documents
 
 
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
+def op2_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op4_rule_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -31,12 +45,25 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_rows(documents(spark, sf_dir))
 
 
+def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_skip_chain_pii": op1_skip_chain_pii,
+    "op2_minhash_bayes": op2_minhash_bayes,
+    "op3_rule_ensemble": op3_rule_ensemble,
     "op4_rule_votes": op4_rule_votes,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_ownership": op6_secret_ownership,
     "op7_addressable_codes": op7_addressable_codes,
     "op8_feistel_shards": op8_feistel_shards,
+    "op9_seed_extend": op9_seed_extend,
+    "op10_positional_index": op10_positional_index,
 }
 
 ORACLES: dict[str, str] = {
