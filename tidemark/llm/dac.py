@@ -112,29 +112,33 @@ def _write(path: str, end_id: int, segment: int):
     def run(batches):
         from pyspark import TaskContext
         task, enc = TaskContext.get().partitionId(), tokens.encoder(path)
-        end = np.array([end_id], tokens.ID).tobytes()
-        held: list[bytes] = []
-        ids, lengths, before, number = [], [], 0, 0
+        held: list[np.ndarray] = []
+        docs: list = []
+        lengths: list[int] = []
+        before, number, size = 0, 0, 0
 
         def row():
             return pa.RecordBatch.from_arrays([
                 pa.array([task], pa.int64()), pa.array([number], pa.int32()), pa.array([before], pa.int64()),
-                pa.array([sum(lengths)], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                pa.array([lengths], pa.list_(pa.int64())),
-                pa.array([pack_ids(np.frombuffer(b"".join(held), tokens.ID))], pa.binary())],
+                pa.array([size], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
+                pa.array([lengths], pa.list_(pa.int64())), pa.array([pack_ids(np.concatenate(held))], pa.binary())],
                 ["task", "segment", "before", "n_tokens", "doc_ids", "lengths", "codes"])
 
-        size = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held.append(enc.encode(text.as_py() or "") + end)
-                ids.append(doc)
-                lengths.append(len(held[-1]) // 4)
-                size += lengths[-1]
-                if size >= segment:
-                    yield row()
-                    before, number, held, ids, lengths, size = before + size, number + 1, [], [], [], 0
-        if ids:
+            names = batch.column(0).to_pylist()
+            for first, ids, at in enc.encode_column(batch.column(1), end_id):
+                lo = 0
+                while lo < len(at) - 1:      # documents until the segment is full
+                    hi = min(len(at) - 1, max(lo + 1, int(np.searchsorted(at, at[lo] + segment - size))))
+                    held.append(ids[at[lo]:at[hi]])
+                    docs += names[first + lo:first + hi]
+                    lengths += np.diff(at[lo:hi + 1]).tolist()
+                    size += int(at[hi] - at[lo])
+                    lo = hi
+                    if size >= segment:
+                        yield row()
+                        before, number, held, docs, lengths, size = before + size, number + 1, [], [], [], 0
+        if docs:
             yield row()
     return run
 

@@ -66,22 +66,24 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches):
         enc = tokens.encoder(path)
-        end = np.array([end_id], tokens.ID).tobytes()
         for batch in batches:
-            cols: list[list] = [[] for _ in range(5 + with_ids)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                at, piece = 0, 0
-                while at < n:
-                    size = n % capacity or capacity if at == 0 else capacity
-                    part = ids[4 * at:4 * (at + size)]
-                    for c, v in zip(cols, (doc, piece, at, size, tokens.crc(part), part)):
-                        c.append(v)
-                    at, piece = at + size, piece + 1
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names[:len(cols)])
+            docs = batch.column(0).to_pylist()
+            for first, ids, at in enc.encode_column(batch.column(1), end_id):
+                sizes = np.diff(at)
+                count = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), count)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                head = sizes - (count - 1) * capacity           # the first piece is the short one
+                start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
+                length = np.where(piece == 0, head[doc], capacity)
+                parts = [ids[a:a + n].tobytes() for a, n in zip((at[doc] + start).tolist(), length.tolist())]
+                cols = [pa.array([docs[first + d] for d in doc.tolist()], pa.int64()), pa.array(piece.astype(np.int32)),
+                        pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                        pa.array([tokens.crc(x) for x in parts], pa.int64())]
+                if with_ids:
+                    cols.append(pa.array(parts, pa.binary()))
+                yield pa.RecordBatch.from_arrays(
+                    cols, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(cols)])
     return run
 
 

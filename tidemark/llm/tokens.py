@@ -3,23 +3,31 @@
 Calling the tokenizer on every text costs about 4 microseconds a word; most words of a corpus
 come again and again. A byte-level BPE without normaliser works on pre-tokens independently,
 and a space between two non-space characters always starts a new pre-token, so a text can be
-cut at such spaces, each piece encoded once per worker, and the ids joined. The result equals
-`Tokenizer.encode(text, add_special_tokens=False).ids`; `tests/llm` compare the two.
+cut at such spaces, each piece encoded once, and the ids joined. `encode_column` cuts a slice of
+an Arrow column, numbers its distinct pieces, and puts the ids of all its texts together with
+numpy. The result equals `Tokenizer.encode(text, add_special_tokens=False).ids`; `tests/llm`
+compare the two.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 ID = np.dtype("<u4")
-#: entries per worker and cache; a full cache is emptied and filled anew.
-CACHE = 400_000
-_BESIDE = re.compile(r"\s | \s")
+#: entries per worker in each of two generations
+CACHE = 300_000
+#: bytes of text whose distinct pieces are numbered at once, and words put together at once
+SLICE = 24 << 20
+WORDS = 1 << 18
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII punctuation but the apostrophe, which starts pre-tokens of its own
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _byte_chars() -> list[str]:
@@ -34,6 +42,25 @@ def _byte_chars() -> list[str]:
     return out
 
 
+class _Beside(Exception):
+    """A piece that is empty, or has white space at an end: the cut was not between words."""
+
+
+class _Pieces(dict):
+    """Ids of what follows a space, the space's included. Two generations: when the young one
+    is full it becomes the old one, so common words stay and memory is bounded."""
+
+    def __init__(self, encode, old=None):
+        self.encode, self.old = encode, old
+
+    def __missing__(self, s: str) -> bytes:
+        got = self.old.get(s) if self.old is not None else None
+        if got is None:
+            got = self.encode(s)
+        self[s] = got
+        return got
+
+
 class Encoder:
     """Encodes texts with the tokenizer file at `path`; `encode` returns little-endian
     unsigned 32-bit ids as bytes."""
@@ -41,46 +68,127 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.table = {i: c for i, c in enumerate(_byte_chars())}
-        self.whole: dict[str, bytes] = {}     # piece after a space -> ids
-        self.parts: dict[str, bytes] = {}     # pre-token -> ids
+        self.space = self.table[32]
+        self.pieces = _Pieces(self._piece)
+        self.line_end = self._full("\n")
 
     def _full(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _part(self, s: str) -> bytes:
-        got = self.parts.get(s)
-        if got is None:
-            if len(self.parts) >= CACHE:
-                self.parts.clear()
-            mapped = s.encode().decode("latin-1").translate(self.table)
-            got = self.parts[s] = np.array([t.id for t in self.model.tokenize(mapped)], ID).tobytes()
-        return got
+    def _token(self, s: str) -> bytes:
+        """Ids of one pre-token, given in the byte-level alphabet."""
+        return array("I", [t.id for t in self.tokenize(s)]).tobytes()
 
     def _piece(self, s: str) -> bytes:
-        """Ids of a space and `s`. Letters followed by ASCII punctuation are two pre-tokens;
-        anything else goes through the tokenizer as it is."""
-        m = _PLAIN.fullmatch(s)
-        letters, marks = m.groups() if m else ("", "")
-        if not s or not m or (letters and not letters.isalpha()):
+        """Ids of a space and `s`. Letters are one pre-token with the space before them, ASCII
+        punctuation after letters is another one; anything else goes through the tokenizer."""
+        if s.isalpha():
+            return self._token(self.space + self._mapped(s))
+        if not s or s[-1].isspace():
+            raise _Beside
+        if s[0] == "\n":                    # see _slice: a line's first piece, with the line end before it
+            if len(s) == 1 or s[1].isspace():
+                raise _Beside
+            return self.line_end + self._head(s[1:])
+        if s[0].isspace():
+            raise _Beside
+        letters = s.rstrip(_MARKS)
+        if not letters.isalpha():
             return self._full(" " + s)
-        if not letters:
-            return self._part(" " + marks)
-        return self._part(" " + letters) + (self._part(marks) if marks else b"")
+        return self.pieces[letters] + self._token(s[len(letters):])
+
+    def _mapped(self, s: str) -> str:
+        return s if s.isascii() else s.encode().decode("latin-1").translate(self.table)
+
+    def _head(self, s: str) -> bytes:
+        """Ids of a piece without a space before it."""
+        letters = s.rstrip(_MARKS)
+        if not letters.isalpha():
+            return self._full(s)
+        marks = s[len(letters):]
+        return self._token(self._mapped(letters)) + (self._token(marks) if marks else b"")
 
     def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
         if "<|endoftext|>" in text:
             return self._full(text)
-        pieces = text.split(" ") if not _BESIDE.search(text) else _CUT.split(text)
-        known = self.whole
-        if len(known) >= CACHE:
-            known.clear()
-        rest = pieces[1:]
-        for p in set(rest):
-            if p not in known:
-                known[p] = self._piece(p)
-        return self._full(pieces[0]) + b"".join(map(known.__getitem__, rest)) if pieces[0] or rest else b""
+        if len(self.pieces) >= CACHE:
+            self.pieces = _Pieces(self._piece, dict(self.pieces))
+        pieces = text.split(" ")
+        try:
+            if not pieces[0] or pieces[0][-1].isspace():
+                raise _Beside
+            return self._full(pieces[0]) + b"".join(map(self.pieces.__getitem__, pieces[1:]))
+        except _Beside:                     # cut only between two characters other than white space
+            first, *rest = _CUT.split(text)
+            return self._full(first) + b"".join([self._spaced(p) for p in rest])
+
+    def _spaced(self, s: str) -> bytes:
+        try:
+            return self.pieces[s]
+        except _Beside:
+            return self._full(" " + s)
+
+    def encode_column(self, column: pa.Array, end_id: int):
+        """Ids of the texts of an Arrow string column (NULL: empty), `end_id` after each, in slices:
+        yields (first row, ids, offsets of the rows' ids)."""
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+        row = 0
+        while row < len(column):
+            before = ends[row - 1] if row else 0
+            stop = max(row + 1, int(np.searchsorted(ends, before + SLICE)))
+            for first, ids, at in self._slice(column.slice(row, stop - row), end_id):
+                yield row + first, ids, at
+            row = stop
+
+    def _slice(self, texts: pa.Array, end_id: int):
+        if len(self.pieces) >= CACHE:
+            self.pieces = _Pieces(self._piece, dict(self.pieces))
+        # a line end between two characters other than white space is a pre-token: cut there too
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        at = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        first, n = at[:-1], len(texts)
+        words = cut.flatten().dictionary_encode()
+        del cut
+        codes = words.indices.to_numpy().copy()
+        distinct = words.dictionary.to_pylist()
+        del words
+        ids, odd = [], np.zeros(len(distinct), bool)
+        for i, p in enumerate(distinct):
+            try:
+                if "<|endoftext|>" in p:
+                    raise _Beside
+                ids.append(self.pieces[p])
+            except _Beside:                 # such texts are encoded one by one
+                ids.append(b"")
+                odd[i] = True
+        whole = np.logical_or.reduceat(odd[codes], first)
+        for i, (head, one_by_one) in enumerate(zip(codes[first].tolist(), whole.tolist())):
+            ids.append(self.encode(texts[i].as_py()) if one_by_one else self._head(distinct[head]))
+        ids.append(np.array([end_id], ID).tobytes())
+        # per text: its head (or all its ids), the other pieces, the end id
+        codes[first] = len(distinct) + np.arange(n)
+        del distinct
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), ID)
+        last, lo = len(ids) - 1, 0
+        del ids
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(at, at[lo] + WORDS))))
+            own = at[lo:hi + 1] - at[lo]
+            part = np.insert(codes[at[lo]:at[hi]], own[1:], last)
+            count = sizes[part]
+            for i in np.flatnonzero(whole[lo:hi]).tolist():        # only the head, which holds all ids
+                count[own[i] + i + 1:own[i + 1] + i] = 0
+            total = np.cumsum(count)
+            out = flat[np.repeat(starts[part] - (total - count), count) + np.arange(int(total[-1]))]
+            yield lo, out, np.concatenate([[0], total[own[1:] + np.arange(hi - lo)]])
+            lo = hi
 
 
 _ENCODERS: dict[str, Encoder] = {}
