@@ -71,13 +71,14 @@ def signature(s: np.ndarray) -> np.ndarray:
 def _features(batches):
     for batch in batches:
         n, keys, sigs = [], [], []
-        for data in _texts(batch.column(1)):
+        for data in _texts(batch.column(2)):
             s = shingles(data)
             n.append(len(s))
             keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                                          pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "key", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()),
+                                          pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
+                                         ["_row", "doc_id", "n_shingles", "key", "sig"])
 
 
 def _fixed(column: pa.Array, width: int, dtype) -> np.ndarray:
@@ -260,18 +261,16 @@ def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: flo
                                                                     "a binary, b binary"))
 
 
-def groups(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, and key: the class of the row's shingle set."""
-    rows = narrow(docs, **{id_col: "bigint", text_col: "string"}).select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    feats = cut_lineage(rows.mapInArrow(_features, "doc_id bigint, n_shingles bigint, key binary, sig binary"))
+def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """Staged _row, doc_id, n_shingles, root (of the class's component; NULL without shingles)
+    and component_id. `rows` has _row, doc_id and text."""
+    feats = cut_lineage(rows.select("_row", "doc_id", "text").mapInArrow(
+        _features, "_row bigint, doc_id bigint, n_shingles bigint, key binary, sig binary"))
     classes = cut_lineage(feats.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     members = _members(classes)
     pairs = cut_lineage(_candidates(members, classes, None, threshold, miss, True))
-    links = _links(pairs, classes, rows, threshold)
-    found = cut_lineage(components(links))
+    found = cut_lineage(components(_links(pairs, classes, rows, threshold)))
     comp = classes.select("key").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "key", F.coalesce("root", "key").alias("comp"))
     rest = cut_lineage(_candidates(members, classes, comp, threshold, miss, False)
@@ -283,8 +282,34 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id
     named = classes.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "rep", F.coalesce("root", "key").alias("root"))
     names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = named.select("key", "root").join(names, "root").select("key", "component_id")
-    out = feats.select("doc_id", "n_shingles", "key").join(of, "key", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key")
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of = named.select("key", "root").join(names, "root").select("key", "root", "component_id")
+    return cut_lineage(feats.select("_row", "doc_id", "n_shingles", "key").join(of, "key", "left").select(
+        "_row", "doc_id", "n_shingles", "root",
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def groups(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept."""
+    rows = narrow(docs, **{id_col: "bigint", text_col: "string"}).select(
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return _grouped(rows, threshold, miss).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """The input with one row of each component: the one with the smallest id, the first of those
+    that share it. Texts without words all stay."""
+    staged = cut_lineage(docs.select(F.monotonically_increasing_id().alias("_row"),
+                                     F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")))
+    rows = staged.select("_row", F.col(f"_in.`{id_col}`").cast("bigint").alias("doc_id"),
+                         F.coalesce(F.col(f"_in.`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    placed = _grouped(rows, threshold, miss).filter(F.col("root").isNotNull())
+    first = placed.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("x")).select(
+        "root", F.col("x._row").alias("stays"))
+    gone = cut_lineage(placed.join(first, "root").filter("_row <> stays").select("_row"))
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return staged.join(gone, "_row", "left_anti").select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])

@@ -67,5 +67,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_minhash_bayes": sql.near_duplicates(),
+    "op4_rule_votes": sql.rule_votes(),
+    "op6_secret_ownership": sql.secrets(),
     "op8_feistel_shards": sql.shards(),
+    "op9_seed_extend": sql.substring_dedup(),
+    "op10_positional_index": sql.contamination(),
 }

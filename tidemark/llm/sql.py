@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import shard
+from tidemark.llm import quality_rules, secret_scan, shard
 
 
 def shards(shards: int = 8, seed: int = 20240607) -> str:
@@ -48,3 +48,153 @@ SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (
        (place // {shards})::BIGINT AS slot, NULL::INT AS grown_shard
 FROM numbered JOIN placed USING (u)
 """
+
+
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def rule_votes() -> str:
+    """Statistics per text, votes, and expectation-maximisation on the counted vote patterns with
+    its rounds written one after the other."""
+    votes = quality_rules.votes_sql()
+    rules = quality_rules.RULES
+    pattern = " || ".join(f"(CASE ({votes[r]}) WHEN 1 THEN '+' WHEN -1 THEN '-' ELSE '0' END)" for r in rules)
+    start = ", ".join(f"({r}, '{v}', {quality_rules.START['g', v]}::DOUBLE, {quality_rules.START['b', v]}::DOUBLE)"
+                      for r in range(len(rules)) for v in "+-0")
+    share = quality_rules.PRIOR_SHARE
+
+    def posterior(k: int) -> str:
+        return f"""
+post{k} AS MATERIALIZED (
+  SELECT s, c, 1 / (1 + exp(least(700, ln(1 - any_value(prior)) + sum(ln(b)) - ln(any_value(prior)) - sum(ln(g))))) AS q
+  FROM pat CROSS JOIN range({len(rules)}) AS x(i) JOIN par{k} ON r = i AND v = substr(s, i::INT + 1, 1) CROSS JOIN prior{k}
+  GROUP BY s, c)"""
+
+    rounds = ""
+    for k in range(quality_rules.ROUNDS):
+        rounds += f""",{posterior(k)},
+tot{k} AS MATERIALIZED (SELECT sum(c * q) AS t, sum(c) AS n, {share} * sum(c) AS w FROM post{k}),
+par{k + 1} AS MATERIALIZED (
+  SELECT p.r, p.v, (coalesce(sum(c * q), 0) + any_value(w) * any_value(p.g)) / (any_value(t) + any_value(w)) AS g,
+         (coalesce(sum(c * (1 - q)), 0) + any_value(w) * any_value(p.b)) / (any_value(n) - any_value(t) + any_value(w)) AS b
+  FROM par0 p CROSS JOIN tot{k} LEFT JOIN post{k} ON substr(s, p.r + 1, 1) = p.v GROUP BY p.r, p.v),
+prior{k + 1} AS MATERIALIZED (SELECT (t + 0.9 * w) / (n + w) AS prior FROM tot{k})"""
+    last = quality_rules.ROUNDS
+    return f"""
+WITH words AS MATERIALIZED (
+  SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t, {WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents),
+win AS (SELECT u, i, w[i:i + 7] AS g FROM words, unnest(range(1, len(w) - 6)) AS r(i)),
+again AS (SELECT u, i FROM win JOIN (SELECT u, g FROM win GROUP BY u, g HAVING count(*) > 1) USING (u, g)),
+cover AS (SELECT u, sum(least(8, coalesce(nxt - i, 8))) AS n FROM (
+            SELECT u, i, lead(i) OVER (PARTITION BY u ORDER BY i) AS nxt FROM again) GROUP BY u),
+stat AS MATERIALIZED (
+  SELECT u, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+         length(t) - length(regexp_replace(t, '[!?]', '', 'g')) AS n_bangs
+  FROM words LEFT JOIN cover USING (u)),
+voted AS MATERIALIZED (SELECT *, {pattern} AS s FROM stat),
+pat AS MATERIALIZED (SELECT s, count(*)::DOUBLE AS c FROM voted GROUP BY s),
+par0 AS MATERIALIZED (SELECT * FROM (VALUES {start}) AS p(r, v, g, b)),
+prior0 AS MATERIALIZED (SELECT 0.9::DOUBLE AS prior){rounds},{posterior(last)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       (NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND q >= {quality_rules.MIN_POSTERIOR}) AS kept
+FROM voted JOIN post{last} USING (s)
+"""
+
+
+def near_duplicates() -> str:
+    """Shared shingles are counted per pair; links are closed by recursion."""
+    return r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i:i + 4] END AS g
+  FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sh a JOIN sh b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN size USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
+def substring_dedup(length: int = 13) -> str:
+    """The smallest document of every window, and the words that later documents' windows cover."""
+    return f"""
+WITH words AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents),
+win AS MATERIALIZED (SELECT doc_id, i, w[i:i + {length - 1}] AS g FROM words, unnest(range(1, len(w) - {length - 2})) AS r(i)),
+first AS (SELECT g, min(doc_id) AS d FROM win GROUP BY g),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, p FROM win JOIN first USING (g), unnest(range(i, i + {length})) AS r(p) WHERE d < doc_id),
+word AS (SELECT doc_id, p, w[p] AS x FROM words, unnest(range(1, len(w) + 1)) AS r(p)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
+def contamination(size: int = 13) -> str:
+    """All windows of the items joined to all runs of words of the same length."""
+    cut = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, {cut} AS w FROM documents),
+item AS (SELECT item_id::VARCHAR AS item_id, {cut} AS w FROM benchmark),
+win AS MATERIALIZED (SELECT DISTINCT item_id, w[i:i + {size - 1}] AS g, least(len(w), {size}) AS n
+  FROM item, unnest(range(1, greatest(len(w) - {size - 1}, 1) + 1)) AS r(i) WHERE len(w) > 0),
+run AS (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM doc, (SELECT DISTINCT n FROM win), unnest(range(1, len(w) - n + 2)) AS r(i)),
+hit AS MATERIALIZED (SELECT doc_id, i, n, item_id FROM run JOIN win USING (g, n)),
+word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+def secrets() -> str:
+    """Matches and the text between them give places; owners per value; spans joined per text."""
+    kinds = [("assign", secret_scan.ASSIGN, 2), ("access", secret_scan.ACCESS, 0), ("hex", secret_scan.HEX, 0),
+             ("other", secret_scan.OTHER, 0)]
+    parts = " UNION ALL ".join(f"""
+  SELECT u, {k} AS k, regexp_extract_all(t, {_text(p)}, 0) AS m, regexp_extract_all(t, {_text(p)}, {g}) AS v,
+         string_split_regex(t, {_text(p)}) AS gap FROM doc WHERE regexp_matches(t, {_text(p)})"""
+                               for k, (_, p, g) in enumerate(kinds))
+    n = [f"count(*) FILTER (WHERE k = {i})" for i in range(3)]
+    return f"""
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS u, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+found AS ({parts}),
+one AS (SELECT u, k, m[i] AS m, v[i] AS v,
+          list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
+        FROM found, unnest(range(1, len(m) + 1)) AS r(i)),
+cand AS MATERIALIZED (SELECT u, k, v, s, s + length(m) AS e FROM one
+  WHERE (k = 0 AND length(v) >= 6) OR k IN (1, 2) OR (k = 3 AND (NOT regexp_matches(v, {_text(secret_scan.MIXED_ONLY)})
+        OR (regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]'))))),
+own AS (SELECT v, count(DISTINCT owner) AS n FROM cand JOIN doc USING (u) GROUP BY v),
+told AS (SELECT u, k, s, e, n <= {secret_scan.MAX_OWNERS} AS live,
+           {_text(secret_scan.KINDS)}[k + 1] || ':' || s::BIGINT || ':' || e::BIGINT AS span
+         FROM cand JOIN own USING (v) WHERE k < 3 OR n <= {secret_scan.MAX_OWNERS}),
+per AS (SELECT u, {n[0]} AS a, {n[1]} AS b, {n[2]} AS c, string_agg(span, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base,
+          string_agg(span, ',' ORDER BY s, k) AS spans, count(*) FILTER (WHERE live) AS n_live,
+          count(*) FILTER (WHERE NOT live) AS n_copied FROM told GROUP BY u)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live,
+       coalesce(n_copied, 0)::BIGINT AS n_copied
+FROM doc LEFT JOIN per USING (u)
+"""
+
+
+def _text(x) -> str:
+    if isinstance(x, list):
+        return "[" + ", ".join(_text(y) for y in x) + "]"
+    return "'" + x.replace("'", "''") + "'"
