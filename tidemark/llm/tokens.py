@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 
 ID = np.dtype("<u4")
 #: entries per worker in each of two generations
-CACHE = 300_000
+CACHE = 100_000
 #: bytes of text whose distinct pieces are numbered at once, and words put together at once
-SLICE = 24 << 20
-WORDS = 1 << 18
+SLICE = 12 << 20
+WORDS = 1 << 17
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: ASCII punctuation but the apostrophe, which starts pre-tokens of its own
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -143,6 +143,7 @@ class Encoder:
             stop = max(row + 1, int(np.searchsorted(ends, before + SLICE)))
             for first, ids, at in self._slice(column.slice(row, stop - row), end_id):
                 yield row + first, ids, at
+            pa.default_memory_pool().release_unused()
             row = stop
 
     def _slice(self, texts: pa.Array, end_id: int):
