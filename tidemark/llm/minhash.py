@@ -195,7 +195,8 @@ def _bucket_pairs(threshold: float, miss: float, forest: bool):
 def _members(classes: DataFrame) -> DataFrame:
     """Staged (band, lo, hi, side, key): the buckets with several classes, in blocks."""
     bands = classes.select("key", "sig").mapInArrow(_bands, "band bigint, key binary")
-    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # staged, so the join with it has shuffles on both sides and a hot bucket can be split
+    sizes = cut_lineage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
     blocks = F.ceil(F.col("m") / BLOCK)
     mine = F.pmod(F.xxhash64("key"), blocks)
     rows = bands.join(sizes, "band").select("band", "key", mine.alias("mine"), F.explode(
@@ -282,7 +283,7 @@ def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
     named = classes.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "rep", F.coalesce("root", "key").alias("root"))
     names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = named.select("key", "root").join(names, "root").select("key", "root", "component_id")
+    of = cut_lineage(named.select("key", "root").join(names, "root").select("key", "root", "component_id"))
     return cut_lineage(feats.select("_row", "doc_id", "n_shingles", "key").join(of, "key", "left").select(
         "_row", "doc_id", "n_shingles", "root",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))

@@ -87,7 +87,8 @@ def ownership(rows: DataFrame) -> DataFrame:
     one = rows.select("owner", "repo", F.explode("spans").alias("x")).select(F.col("x.v").alias("v"), "owner", "repo")
     owners = one.select("v", "owner").distinct().groupBy("v").agg(F.count(F.lit(1)).alias("n_owners"))
     repos = one.select("v", "repo").distinct().groupBy("v").agg(F.count(F.lit(1)).alias("n_repos"))
-    return owners.join(repos, "v")
+    # staged: the join with it then has shuffles on both sides, and a hot value can be split
+    return cut_lineage(owners.join(repos, "v"))
 
 
 def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
