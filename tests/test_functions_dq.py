@@ -139,7 +139,8 @@ def test_conform_and_contract(spark):
     assert a2.schema == b2.schema and dict(a2.dtypes)["id"] == "bigint"
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("v", T.StringType(), False)])
-    shaped, counts = sinks.enforce_contract(a2.unionByName(spark.createDataFrame([(3, None, None)], a2.schema)), schema)
+    more = a2.unionByName(spark.createDataFrame([(3, None, None)], a2.schema)).drop("extra")
+    shaped, counts = sinks.enforce_contract(more, schema)
     assert shaped.columns == ["id", "v"] and counts.collect()[0]["v"] == 1
 
 
@@ -189,7 +190,7 @@ def test_streaming_cdc_driver(spark, scratch):
 
     def run():
         q = start_cdc_stream(spark, src + "/*", spark.createDataFrame([], schema).schema, tgt, ["K"], ["BK"], "TS", "ID",
-                             lambda: F.col("PKC") == "Y", transform, "K", no_update=["BATCH"], name="t_stream")
+                             lambda: F.col("PKC") == "Y", transform, "K", no_update=["BATCH"], name="t_stream", buckets=None)
         q.awaitTermination(120)
 
     run()
@@ -216,7 +217,7 @@ def test_streaming_tombstones_renamed_keys(spark, scratch):
 
     def run():
         start_cdc_stream(spark, src + "/*", ddl, tgt, ["K"], ["BK"], "TS", "ID", lambda: F.col("PKC") == "Y",
-                         transform, "K", name="t_tomb",
+                         transform, "K", name="t_tomb", buckets=None,
                          renamed_keys=lambda b: b.filter(F.col("PKC") == "Y").select(F.col("BK").alias("K")),
                          tombstone_ts=lambda e: dt.datetime(2025, 1, 3)).awaitTermination(120)
 
@@ -286,6 +287,109 @@ def test_streaming_bucketed_target(spark, scratch):
     assert out == {"A": ("a1", "DELETE"), "B": ("b2", "UPDATE"), "C": ("a1", "INSERT")}
 
 
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_streaming_replay_and_late_files(spark, scratch, buckets):
+    """A key is renamed away and used again in one batch; the epoch is replayed, and an older file
+    lands late: the newest row stays live."""
+    from tidemark.functions.hashing import md5_concat
+    from tidemark.streaming.cdc_stream import start_cdc_stream
+    src, tgt = os.path.join(scratch, "log"), os.path.join(scratch, "ods")
+    schema = "K string, BK string, TS timestamp_ntz, ID bigint, PKC string, V string"
+    ddl = spark.createDataFrame([], schema).schema
+
+    def day(n):
+        return dt.datetime(2025, 1, n)
+
+    def transform(df, batch):
+        return df.select("K", "V", "TS", "ID", md5_concat(["V"], "|").alias("HASH_CHANGE"),
+                         F.lit("INSERT").alias("OPERATION_TYPE"), F.lit("N").alias("SRC_DEL_IND"),
+                         F.lit("I").alias("SRC_ACTION_CD"), F.lit(batch).cast("bigint").alias("ODS_UPD_BATCH_ID"),
+                         F.lit(None).cast("timestamp_ntz").alias("ODS_UPDATE_TIMESTAMP"))
+
+    def run(name):
+        start_cdc_stream(spark, src + "/*", ddl, tgt, ["K"], ["BK"], "TS", "ID", lambda: F.col("PKC") == "Y",
+                         transform, "K", name=name, buckets=buckets, order_cols=["TS", "ID"],
+                         renamed_keys=lambda b: b.filter(F.col("PKC") == "Y").select(F.col("BK").alias("K"), "TS", "ID"),
+                         tombstone_ts=lambda e: day(9)).awaitTermination(120)
+
+    def state():
+        df = spark.read.parquet(tgt) if buckets else sinks.read_current(spark, tgt)
+        return {r["K"]: (r["V"], r["OPERATION_TYPE"], r["SRC_DEL_IND"]) for r in df.collect()}
+
+    spark.createDataFrame([("A", "A", day(1), 1, "N", "a1"), ("B", "B", day(3), 5, "N", "b3")], schema).write.parquet(src + "/p1")
+    run("t_replay" + scratch[-6:])
+    spark.createDataFrame([("C", "A", day(2), 2, "Y", "a1"), ("A", "A", day(2), 3, "N", "a2")], schema).write.parquet(src + "/p2")
+    run("t_replay" + scratch[-6:])
+    want = {"A": ("a2", "UPDATE", "N"), "B": ("b3", "INSERT", "N"), "C": ("a1", "INSERT", "N")}
+    assert state() == want
+    # a stream of another name starts over: every file once more, as after a lost checkpoint
+    run("t_again" + scratch[-6:])
+    assert state() == want
+    spark.createDataFrame([("B", "B", day(1), 4, "N", "b1"), ("X", "A", day(1), 0, "Y", "x")], schema).write.parquet(src + "/p3")
+    run("t_replay" + scratch[-6:])
+    assert state() == want | {"X": ("x", "INSERT", "N")}
+
+
+def test_published_epoch_is_skipped(spark, scratch):
+    tbl = os.path.join(scratch, "t")
+    df = spark.range(3)
+    sinks.write_staged(df, tbl)
+    assert sinks.last_epoch(spark, tbl, "s") is None
+    sinks.write_staged(df, tbl, stream="s", epoch=4)
+    sinks.write_staged(df, tbl, stream="other", epoch=9)
+    assert sinks.last_epoch(spark, tbl, "s") == 4
+
+
+def test_vacuum_and_staged_clean_up(spark, scratch):
+    tbl = os.path.join(scratch, "t")
+    for i in range(1, 5):
+        sinks.write_staged(spark.range(i), tbl)
+    assert sinks.vacuum(spark, tbl, keep=2) == 2 and sinks.read_current(spark, tbl).count() == 4
+    assert len([d for d in os.listdir(tbl) if d.startswith("v-")]) == 2 and sinks.vacuum(spark, tbl, keep=2) == 0
+    sinks.cut_lineage(spark.range(2))
+    assert sinks.remove_staged(spark, dt.timedelta(days=1)) == 0
+
+
+def test_conform_never_narrows(spark):
+    from decimal import Decimal as D
+    t = spark.createDataFrame([(D("12.75"), dt.datetime(2025, 1, 1, 6), 5_000_000_000, 1.5, "x")],
+                              "d decimal(18,2), ts timestamp_ntz, b bigint, f double, s string")
+    s = spark.createDataFrame([(7, dt.date(2025, 1, 2), 3, 2, 9, "new")], "d int, ts date, b smallint, f int, s int, n string")
+    a, b = sinks.conform(t, s)
+    assert a.schema == b.schema and a.columns == ["d", "ts", "b", "f", "s", "n"]
+    x, y = a.collect()[0], b.collect()[0]
+    assert (x["d"], x["ts"], x["b"], x["f"], x["s"], x["n"]) == (D("12.75"), dt.datetime(2025, 1, 1, 6), 5_000_000_000, 1.5, "x", None)
+    assert (y["d"], y["ts"], y["b"], y["f"], y["s"], y["n"]) == (D("7"), dt.datetime(2025, 1, 2), 3, 2.0, "9", "new")
+
+
+def test_contract_breaches(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType()),
+                           T.StructField("c", T.IntegerType())])
+    df = spark.createDataFrame([("x", None, 1.0), ("y", 2, 1.0)], "b string, a bigint, z double")
+    got = sorted(map(tuple, sinks.contract_violations(df, schema).collect()), key=str)
+    assert got == sorted([("c", "missing", "int", "-", None), ("z", "extra", "-", "double", None), ("a", "order", "0", "1", None),
+                          ("b", "order", "1", "0", None), ("a", "null", "not null", "null", 1)], key=str)
+    with pytest.raises(ValueError, match="extra: z"):
+        sinks.enforce_contract(df, schema)
+    typed = spark.createDataFrame([(1, "x", "3")], "a bigint, b string, c string")
+    assert [tuple(r) for r in sinks.contract_violations(typed, schema).collect()] == [("c", "type", "int", "string", None)]
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+    from tidemark.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)
+
+
+def test_keys_are_padded_but_never_cut(spark):
+    df = spark.createDataFrame([("7",), ("1000",), ("123456789",), (None,)], "k string")
+    assert [r[0] for r in df.select(X.pad_left("k", 3)).collect()] == ["007", "1000", "123456789", None]
+
+
 def test_event_log_widens_old_table(spark):
     old = spark.createDataFrame([("run started", dt.datetime(2025, 1, 1))], "event_name string, event_timestamp timestamp_ntz")
     log = sinks.log_event(old, spark, "model deployment completed", dt.datetime(2025, 1, 2), schema="ODS",

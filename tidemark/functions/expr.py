@@ -33,15 +33,21 @@ def concat_strict(sep: str, *cols) -> Column:
     return F.concat(*[x for c in cols for x in (F.lit(sep), _col(c))][1:])
 
 
+def pad_left(c, width: int, fill: str = "0") -> Column:
+    """Pad a text to `width` characters; a longer one stays whole (`lpad` would cut it)."""
+    c = _col(c).cast("string")
+    return F.when(F.length(c) < width, F.lpad(c, width, fill)).otherwise(c)
+
+
 def composite_key(cols: Sequence, sep: str = "-", pads: Mapping | None = None) -> Column:
-    """Composite string key; `pads` maps a position to (width, fill) for lpad. NULL propagates."""
+    """Composite string key; `pads` maps a position to (width, fill) for `pad_left`. NULL propagates."""
     pads = pads or {}
     parts = []
     for i, c in enumerate(cols):
         e = _col(c).cast("string")
         if i in pads:
             w, fill = pads[i]
-            e = F.lpad(e, w, fill)
+            e = pad_left(e, w, fill)
         parts.append(e)
     return concat_strict(sep, *parts)
 
@@ -202,13 +208,18 @@ def stamp_columns(as_of: _dt.datetime) -> list[Column]:
 
 # ---------------------------------------------------------------- address
 
-def postal_split(c) -> tuple[Column, Column]:
-    """5+4 split for 'ddddd-dddd', 'ddddddddd', 'ddddd dddd', 'ddddd-'; else as is / ''."""
+def _verified(flag, value, otherwise: Column) -> Column:
+    return otherwise if flag is None else F.when(_col(flag) == F.lit("Y"), _col(value)).otherwise(otherwise)
+
+
+def postal_split(c, verified_flag=None, v_code=None, v_suffix=None) -> tuple[Column, Column]:
+    """5+4 split for 'ddddd-dddd', 'ddddddddd', 'ddddd dddd', 'ddddd-'; else as is / ''. The verified
+    address's code and suffix come first where its indicator is 'Y'."""
     t = F.trim(_col(c))
-    five_four = t.rlike("^[0-9]{5}-[0-9]{4}$")
-    nine = t.rlike("^[0-9]{9}$")
-    five_sp_four = t.rlike("^[0-9]{5} [0-9]{4}$")
-    five_dash = t.rlike("^[0-9]{5}-$")
+    five_four = t.rlike(r"^[0-9]{5}-[0-9]{4}\z")
+    nine = t.rlike(r"^[0-9]{9}\z")
+    five_sp_four = t.rlike(r"^[0-9]{5} [0-9]{4}\z")
+    five_dash = t.rlike(r"^[0-9]{5}-\z")
     code = (F.when(_col(c).isNull(), F.lit(""))
             .when(five_four | nine | five_sp_four | five_dash, F.substring(t, 1, 5))
             .otherwise(t))
@@ -216,7 +227,7 @@ def postal_split(c) -> tuple[Column, Column]:
               .when(five_four | five_sp_four, F.substring(t, 7, 4))
               .when(nine, F.substring(t, 6, 4))
               .otherwise(F.lit("")))
-    return code, suffix
+    return _verified(verified_flag, v_code, code), _verified(verified_flag, v_suffix, suffix)
 
 
 # Spellings recognised as the United States, and the normalised outputs.
@@ -225,13 +236,14 @@ US_CODE = "USA"
 US_NAME = "UNITED STATES OF AMERICA"
 
 
-def country_norm(c) -> tuple[Column, Column]:
-    """(code, name): strip non-letters, map US synonyms; else upper(trim(c))."""
+def country_norm(c, verified_flag=None, v_code=None, v_name=None) -> tuple[Column, Column]:
+    """(code, name): strip non-letters, map US synonyms; else upper(trim(c)). The verified
+    address's code and name come first where its indicator is 'Y'."""
     up = F.upper(F.trim(_col(c)))
     letters = F.regexp_replace(up, "[^A-Za-z ]", "")
     is_us = letters.isin(list(US_SYNONYMS))
-    return (F.when(is_us, F.lit(US_CODE)).otherwise(up),
-            F.when(is_us, F.lit(US_NAME)).otherwise(up))
+    return (F.upper(_verified(verified_flag, v_code, F.when(is_us, F.lit(US_CODE)).otherwise(up))),
+            _verified(verified_flag, v_name, F.when(is_us, F.lit(US_NAME)).otherwise(up)))
 
 
 def _blank(c) -> Column:
@@ -239,17 +251,13 @@ def _blank(c) -> Column:
 
 
 def corrected_address(l1, l2, l3, verified_flag=None, v1=None, v2=None, v3=None):
-    """Prefer the verified address when its indicator is 'Y'; otherwise shift the
-    first non-blank of three lines up (P13). Returns three Columns."""
-    a1 = F.when(_blank(l1), F.when(_blank(l2), _col(l3)).otherwise(_col(l2))).otherwise(_col(l1))
-    a2 = F.when(_blank(l1), F.when(_blank(l2), F.lit("")).otherwise(_col(l3))) \
-        .otherwise(F.when(_blank(l2), _col(l3)).otherwise(_col(l2)))
-    a3 = F.when(_blank(l1), F.lit("")).otherwise(F.when(_blank(l2), F.lit("")).otherwise(_col(l3)))
-    if verified_flag is None:
-        return a1, a2, a3
-    ok = _col(verified_flag) == F.lit("Y")
-    return (F.when(ok, _col(v1)).otherwise(a1), F.when(ok, _col(v2)).otherwise(a2),
-            F.when(ok, _col(v3)).otherwise(a3))
+    """Prefer the verified address when its indicator is 'Y'; otherwise close the gaps that blank
+    first and second lines leave (P13): the lines in use, then the third as it is, then
+    empty lines. Returns three Columns."""
+    used = F.array_compact(F.array(*[F.when(~_blank(x), _col(x)) for x in (l1, l2)]))
+    lines = F.concat(used, F.array(_col(l3), F.lit(""), F.lit("")))
+    out = [F.get(lines, i) for i in range(3)]
+    return tuple(_verified(verified_flag, v, x) for v, x in zip((v1, v2, v3), out))
 
 
 def geo_point(lat, lon) -> Column:

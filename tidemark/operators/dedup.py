@@ -113,6 +113,6 @@ def cdc_resolve(log: DataFrame, keys, before_keys, ts: str, log_id: str,
     renamed = (attach_scalar(changes, stats)
                       .filter((F.col("_chg_id") >= F.col("_min_id")) | (F.col("_null_ids") > 0)
                               | (F.col("_n") == 0))
-                      .select(*[f"_bk{i}" for i in range(len(keys))]))
+                      .select(*[f"_bk{i}" for i in range(len(keys))]).distinct())
     cond = [dedup[k] == renamed[f"_bk{i}"] for i, k in enumerate(keys)]
     return dedup.join(renamed, reduce(lambda a, b: a & b, cond), "left_anti")

@@ -136,3 +136,17 @@ def with_reprocess(delta_keys: DataFrame, target: DataFrame, key: str, lookup_co
                .join(new.select(key), key, "left_anti")
                .withColumn("PROCESS_TYPE", F.lit("REPROCESS")))
     return new.unionByName(pending)
+
+
+def enrich_with_retry(source: DataFrame, keys: DataFrame, key: str, lookup: DataFrame, source_lookup_key: str,
+                      lookup_key: str, lookup_cols: Sequence[str], lineage: str = "LINEAGE",
+                      names: tuple[str, str] = ("source", "lookup")) -> DataFrame:
+    """Second half of the enrichment retry (K3): the keys of `with_reprocess` go back to the
+    source for their rows, which are enriched again. The lookup's key may differ from the
+    target's; NULL lookup keys match nothing. `lineage` names both tables where the lookup
+    matched, only the source where it did not (P25)."""
+    lk = lookup.select(F.col(lookup_key).alias("_lk"), *lookup_cols, F.lit(True).alias("_hit"))
+    rows = source.join(keys.select(key, "PROCESS_TYPE"), key)
+    out = rows.join(lk, rows[source_lookup_key] == lk["_lk"], "left")
+    text = F.concat(F.lit(names[0]), F.when(F.col("_hit"), F.lit("," + names[1])).otherwise(F.lit("")))
+    return out.select(*source.columns, *lookup_cols, "PROCESS_TYPE", text.alias(lineage))

@@ -23,11 +23,11 @@ OPEN_DATE = _dt.date(9999, 12, 31)
 
 # The format patterns of the reference's checks, anchored as whole-string
 # matches (trap T3), and its accepted state / province codes.
-ID_PATTERN = r"^[A-Za-z0-9]{1,15}$"
-EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
-MIDDLE_INITIAL_PATTERN = r"^[A-Za-z]$"
-PHONE_PATTERN = r"^[0-9]{3}-?[0-9]{3}-?[0-9]{4}$|^\([0-9]{3}\)[0-9]{3}-?[0-9]{4}$|^[0-9]{10}$"
-POSTAL_PATTERN = r"^[0-9]{5}(-[0-9]{4})?$|^[A-Za-z][0-9][A-Za-z] ?[0-9][A-Za-z][0-9]$"
+ID_PATTERN = r"^[A-Za-z0-9]{1,15}\z"
+EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
+MIDDLE_INITIAL_PATTERN = r"^[A-Za-z]\z"
+PHONE_PATTERN = r"^[0-9]{3}-?[0-9]{3}-?[0-9]{4}\z|^\([0-9]{3}\)[0-9]{3}-?[0-9]{4}\z|^[0-9]{10}\z"
+POSTAL_PATTERN = r"^[0-9]{5}(-[0-9]{4})?\z|^[A-Za-z][0-9][A-Za-z] ?[0-9][A-Za-z][0-9]\z"
 STATE_CODES = (
     "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA",
     "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD",
@@ -201,6 +201,20 @@ def gaps(dim, key, eff="EFF_DT", disc="DISC_DT", as_written=False, skew_safe=Fal
     return v.filter(bad)
 
 
+def gap_variants(dim, key, eff="EFF_DT", disc="DISC_DT", skew_safe=False):
+    """Both forms of `gaps` from one pass: a row per hit with its VARIANT (gap / as_written)."""
+    v = _with_next_eff(dim, key, eff, skew_safe)
+    n, d = F.col("NEXT_EFF_DT"), F.col(disc)
+    hits = F.array(F.when(F.datediff(n, d) > 1, F.lit("gap")),
+                   F.when((n <= d) | (F.datediff(d, n) > 1), F.lit("as_written")))
+    return v.select("*", F.explode(F.array_compact(hits)).alias("VARIANT"))
+
+
+def any_out_of_range(df, ranges):
+    """Rows with any (column, low, high) out of its range, once each."""
+    return df.filter(reduce(lambda a, b: a | b, [_c(c).isNotNull() & ~_c(c).between(lo, hi) for c, lo, hi in ranges]))
+
+
 def overlaps(dim, key, eff="EFF_DT", disc="DISC_DT", skew_safe=False):    # Q33
     v = _with_next_eff(dim, key, eff, skew_safe)
     return v.filter(F.col("NEXT_EFF_DT").isNotNull() & (F.col("NEXT_EFF_DT") <= F.col(disc)))
@@ -273,15 +287,21 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
 
 # ------------------------------------------------------------------ suite
 
-def run_suite(checks: Sequence[tuple[str, Callable[[], DataFrame]]], severity: str = "warn") -> DataFrame:
-    """One row per check: (CHECK_NAME, FAILURES, STATUS). Each check is counted by its
-    own aggregate; the union of one-row results is tiny."""
-    rows = []
-    for name, fn in checks:
-        cnt = fn().agg(F.count(F.lit(1)).cast("bigint").alias("FAILURES"))
-        status = F.when(F.col("FAILURES") == 0, F.lit("pass")).otherwise(F.lit(severity))
-        rows.append(cnt.select(F.lit(name).alias("CHECK_NAME"), "FAILURES", status.alias("STATUS")))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+def run_suite(checks: Sequence[tuple[str, Callable[[], DataFrame]]], severity: str = "warn",
+              row_checks: Sequence[tuple[DataFrame, Sequence[tuple[str, Column]]]] = ()) -> DataFrame:
+    """One row per check: (CHECK_NAME, FAILURES, STATUS).
+
+    `row_checks` lists, per table, the checks that look at one row at a time as (name, violated)
+    conditions: all checks of a table are counted in one scan. `checks` are frames of violations
+    (checks that group or join); each is counted by its own aggregate."""
+    counts = [fn().agg(F.count(F.lit(1)).cast("bigint").alias("FAILURES")).select(F.lit(name).alias("CHECK_NAME"), "FAILURES")
+              for name, fn in checks]
+    for df, tests in row_checks:
+        one = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in tests])
+        counts.append(one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("CHECK_NAME"), F.col(n).alias("FAILURES"))
+                                                     for n, _ in tests])).alias("x")).select("x.*"))
+    status = F.when(F.col("FAILURES") == 0, F.lit("pass")).otherwise(F.lit(severity))
+    return reduce(lambda a, b: a.unionByName(b), counts).withColumn("STATUS", status)
 
 
 KNOWN_STATUSES = ("pass", "warn", "error", "fail")

@@ -1,10 +1,9 @@
 """Join helpers: bounded lookups, star joins, one-row scalars, semi/anti joins.
 
-Broadcast policy: a side is broadcast explicitly only when its size is bounded by
-construction (a constant lookup of known length; a domain table such as nation/region
-whose cardinality does not grow with the data). One-row aggregates are attached as
-scalar subqueries, not joins.
-Every other join is left to the planner: AQE reads the real shuffle sizes and turns a
+Broadcast policy: no file is broadcast by a hint; the planner knows the files' sizes. Only an
+inline constant table of known length is. One-row aggregates are attached as scalar
+subqueries, not joins.
+Every join is left to the planner: AQE reads the real shuffle sizes and turns a
 sort-merge join into a broadcast join only when the built side fits
 `spark.sql.adaptive.autoBroadcastJoinThreshold`, and splits skewed partitions otherwise.
 """
@@ -30,28 +29,32 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[s.getField(c).alias(c) for c in cols])
 
 
-def lookup(df: DataFrame, lk: DataFrame, on, how: str = "left", bounded: bool = False) -> DataFrame:
-    """Left lookup join (J2). bounded=True marks a fixed-domain lookup that is broadcast;
-    otherwise AQE decides from runtime sizes."""
-    right = F.broadcast(lk) if bounded else lk
-    return df.join(right, on, how)
+def lookup(df: DataFrame, lk: DataFrame, on, how: str = "left") -> DataFrame:
+    """Left lookup join."""
+    return df.join(lk, on, how)
 
 
-def star_join(driving: DataFrame, sources: Sequence[tuple[DataFrame, object, bool]]) -> DataFrame:
-    """Driving table LEFT JOIN each source on its key (J3). Each source is
-    (df, on, bounded). Sources sharing the driving key reuse one hash partitioning."""
+def star_join(driving: DataFrame, sources: Sequence[tuple[DataFrame, object]]) -> DataFrame:
+    """Driving table LEFT JOIN each source on its key (J3): (df, on), where `on` may name several
+    columns (a composite key). Sources sharing the driving key reuse one hash partitioning."""
     out = driving
-    for src, on, bounded in sources:
-        out = lookup(out, src, on, "left", bounded)
+    for src, on in sources:
+        out = lookup(out, src, on, "left")
     return out
 
 
+def _distinct_keys(keys: DataFrame, on) -> DataFrame:
+    """One row per key, made map side first: the right side of a semi or anti join cannot be
+    split, so a hot key must not arrive there with all its rows."""
+    return keys.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def semi(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    return df.join(_distinct_keys(keys, on), on, "left_semi")
 
 
 def anti(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    return df.join(_distinct_keys(keys, on), on, "left_anti")
 
 
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
@@ -59,7 +62,7 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFra
     right empties the result, and a NULL on the left never qualifies (J14)."""
     right = other.select(F.col(other_col).alias("_ni"))
     nulls = right.agg(F.count(F.when(F.col("_ni").isNull(), 1)).alias("_right_nulls"))
-    base = df.filter(F.col(col).isNotNull()).join(right, F.col(col) == F.col("_ni"), "left_anti")
+    base = df.filter(F.col(col).isNotNull()).join(right.distinct(), F.col(col) == F.col("_ni"), "left_anti")
     return (attach_scalar(base, nulls).filter(F.col("_right_nulls") == 0).drop("_right_nulls"))
 
 

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import surrogate_key
+from tidemark.functions.hashing import md5_concat, surrogate_key
+from tidemark.functions.literals import lit
 
 # Status codes and labels of the event rules.
 TERM_CODES = ("TERM", "T")
@@ -32,6 +33,8 @@ class LifecycleSpec:
     supervisor: str | None = "SUPERVISOR_EIN"
     hire_date: str = "HIRE_DATE"
     sk: str = "EMPLOYEE_SK"
+    source_system: str | None = None      # column with the source system's name
+    data_source: str = "DIM_EMPLOYEE"                # fixed value: name of the dimension read
 
 
 def _u(c: Column) -> Column:
@@ -57,8 +60,10 @@ def _previous_versions(dim: DataFrame, spec: LifecycleSpec, skew_safe: bool) ->
                       F.row_number().over(w).alias("_VERSION_SEQ"))
 
 
-def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec(), skew_safe: bool = False) -> DataFrame:
-    """Compare every version with the previous one of the same key and label it.
+def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec(), skew_safe: bool = False,
+                     batch: int | None = None, run_ts=None) -> DataFrame:
+    """Compare every version with the previous one of the same key and label it. `batch` and
+    `run_ts` stamp the rows (both lineage pairs of a new fact row are equal).
     skew_safe=True takes the previous version from `operators.windows.neighbours`
     (range sort) instead of a per-key window, for keys with very long histories."""
     st, job, div = F.col(spec.status), F.col(spec.job), F.col(spec.division)
@@ -78,7 +83,9 @@ def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec(), skew
             .when(tenure < 1825, F.lit(TENURE_BANDS[2])).otherwise(F.lit(TENURE_BANDS[3])))
     is_term = F.when(F.upper(st).isin(*TERM_CODES) & (pst.isNull() | ~F.upper(pst).isin(*TERM_CODES)),
                      F.lit(True)).otherwise(F.lit(False))
-    both_job = job.isNotNull() & pjob.isNotNull() & (job != pjob)
+    sup = F.col(spec.supervisor) if spec.supervisor else F.lit(None)
+    stamp, loaded = F.lit(batch).cast("decimal(18,0)"), lit(run_ts).cast("timestamp_ntz") if run_ts else F.lit(None).cast("timestamp_ntz")
+    hashed = [spec.key, spec.eff, spec.job, spec.division, *([spec.supervisor] if spec.supervisor else []), spec.status]
     ok = F.col(spec.key).isNotNull() & eff.isNotNull() & F.col(spec.sk).isNotNull()
     cols = [
         surrogate_key(spec.key, spec.eff).alias("LIFECYCLE_SK"),
@@ -97,14 +104,25 @@ def lifecycle_events(dim: DataFrame, spec: LifecycleSpec = LifecycleSpec(), skew
         is_term.alias("IS_TERMINATION"),
         pjob.alias("PREV_JOB_CODE"),
         job.alias("NEW_JOB_CODE"),
-        F.when(both_job & (job > pjob), F.lit(True)).otherwise(F.lit(False)).alias("IS_PROMOTION"),
-        F.when(both_job & (job <= pjob), F.lit(True)).otherwise(F.lit(False)).alias("IS_LATERAL"),
+        F.coalesce(job > pjob, F.lit(False)).alias("IS_PROMOTION"),
+        F.coalesce(job < pjob, F.lit(False)).alias("IS_LATERAL"),
         pdiv.cast("int").alias("PREV_DIVISION_NUMBER"),
         div.cast("int").alias("NEW_DIVISION_NUMBER"),
-        F.when(div.isNotNull() & pdiv.isNotNull() & (div != pdiv), F.lit(True)).otherwise(F.lit(False))
-         .alias("IS_DIVISION_CHANGE"),
+        F.coalesce(div != pdiv, F.lit(False)).alias("IS_DIVISION_CHANGE"),
+        (F.col("PREV_SUP") if spec.supervisor else F.lit(None)).cast("string").alias("PREV_SUPERVISOR_EIN"),
+        sup.cast("string").alias("NEW_SUPERVISOR_EIN"),
+        # not known to the dimension
+        F.lit(None).cast("boolean").alias("IS_VOLUNTARY_TERM"),
+        F.lit(None).cast("string").alias("TERM_REASON_CODE"), F.lit(None).cast("string").alias("TERM_REASON_DESC"),
         F.when(ok, F.lit(100.00)).otherwise(F.lit(0.00)).cast("decimal(5,2)").alias("DQ_SCORE"),
         F.when(ok, F.lit("PASSED")).otherwise(F.lit("FAILED")).alias("DQ_STATUS"),
+        stamp.alias("INS_BATCH_ID"), stamp.alias("UPD_BATCH_ID"),
+        (F.col(spec.source_system) if spec.source_system else F.lit(None)).cast("string").alias("SOURCE_SYSTEM"),
+        F.lit(spec.data_source).alias("PRIMARY_DATA_SOURCE"),
+        loaded.alias("CDM_INSERT_TIMESTAMP"), loaded.alias("CDM_UPDATE_TIMESTAMP"),
+        md5_concat(hashed, "|").alias("HASH_CHANGE"),
+        md5_concat([*hashed[:2], spec.sk, *hashed[2:], spec.hire_date], "|").alias("HASH_FULL"),
+        F.lit("INSERT").alias("OPERATION_TYPE"),
     ]
     return v.select(*cols)
 

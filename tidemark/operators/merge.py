@@ -36,13 +36,22 @@ def drop_action(df: DataFrame) -> DataFrame:
 def assert_unique_source(source: DataFrame, key) -> DataFrame:
     """Rows of `source` whose key occurs more than once (trap T9); empty = fit to merge."""
     keys = _listify(key)
-    return source.groupBy(*keys).count().filter(F.col("count") > 1)
+    keyed = source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))   # NULL never matches
+    return keyed.groupBy(*keys).count().filter(F.col("count") > 1)
+
+
+def _before(a: Sequence, b: Sequence):
+    """a < b as tuples; unknown (a NULL part) counts as not before."""
+    out, same = F.lit(False), F.lit(True)
+    for x, y in zip(a, b):
+        out, same = out | (same & (x < y)), same & (x == y)
+    return F.coalesce(out, F.lit(False))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[str] = (),
                  gate: str | None = "HASH_CHANGE", update_cols: Sequence[str] | None = None,
-                 op_col: str = "OPERATION_TYPE", check_unique: bool = False,
-                 stage_source: bool = False) -> DataFrame:
+                 op_col: str = "OPERATION_TYPE", check_unique: bool = True,
+                 stage_source: bool = True, order_cols: Sequence[str] = ()) -> DataFrame:
     """Hash-gated upsert.
 
     matched and gate differs (NULL never differs)  -> update every column except the key,
@@ -52,8 +61,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     target only                                     -> unchanged
     source only                                     -> inserted as is
     gate=None is the ungated form: every matched row is updated.
-    check_unique=True first runs one aggregate over the source and raises when a key
-    occurs twice (trap T9: a duplicated source key would update a row twice).
+    order_cols (capture time, log id): a source row that comes before the target row in this
+    order never updates it, so a late file or a replay cannot bring an older image back.
+    check_unique=True first runs one aggregate over the staged source and raises when a key
+    occurs twice (trap T9: a duplicated source key would multiply the target's rows).
 
     Plan: `target LEFT JOIN source` for the existing rows plus `source LEFT ANTI target`
     (key column only) for the inserts, instead of one full outer join. When the source
@@ -63,13 +74,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     it is not recomputed for the two joins.
     """
     keys = _listify(key)
+    if stage_source:
+        from tidemark.sources.sinks import cut_lineage
+        source = cut_lineage(source)
     if check_unique:
         dup = assert_unique_source(source, keys).limit(1).collect()
         if dup:
             raise ValueError(f"merge source has duplicate keys, e.g. {dup[0].asDict()}")
-    if stage_source:
-        from tidemark.sources.sinks import cut_lineage
-        source = cut_lineage(source)
     cols = target.columns
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("_s"))
     cond = reduce(lambda a, b: a & b, [target[k] == s[f"s__{k}"] for k in keys])
@@ -79,6 +90,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
         do_update = matched
     else:
         do_update = matched & F.coalesce(F.col(gate) != F.col(f"s__{gate}"), F.lit(False))
+    if order_cols:
+        do_update = do_update & ~_before([F.col(f"s__{c}") for c in order_cols], [F.col(c) for c in order_cols])
     if update_cols is None:
         upd = [c for c in cols if c not in set(no_update) | {op_col} | set(keys)]
     else:
@@ -181,14 +194,22 @@ def propagate_deletes(dim: DataFrame, deleted_src: DataFrame, key: str, flag_col
 
 
 def tombstone_renamed(target: DataFrame, renamed_keys: DataFrame, key: str, run_ts,
-                      batch: int) -> DataFrame:
+                      batch: int, order_cols: Sequence[str] = ()) -> DataFrame:
     """Mark target rows whose key was renamed away as deleted before the merge.
 
     `renamed_keys` holds the key of each PK-change record's before image. The load time
-    goes to the ODS update columns; the source time column is left alone (trap T8)."""
-    hits = renamed_keys.select(F.col(key)).distinct().withColumn("_renamed", F.lit(True))
-    j = target.join(hits, key, "left")
-    hit = F.col("_renamed").isNotNull()
+    goes to the ODS update columns; the source time column is left alone (trap T8).
+    order_cols (capture time, log id, in both frames): a target row that is as new as the
+    key's last rename, or newer, stays; the key was used again."""
+    if order_cols:
+        hits = renamed_keys.groupBy(F.col(key).alias("_rk")).agg(F.max(F.struct(*order_cols)).alias("_r"))
+    else:
+        hits = renamed_keys.select(F.col(key).alias("_rk")).distinct().withColumn("_r", F.lit(True))
+    j = target.join(hits, target[key] == hits["_rk"], "left")
+    hit = F.col("_r").isNotNull()
+    if order_cols:
+        hit = hit & ~_before([F.col("_r")[c] for c in order_cols], [F.col(c) for c in order_cols]) \
+            & ~F.coalesce(reduce(lambda a, b: a & b, [F.col("_r")[c] == F.col(c) for c in order_cols]), F.lit(False))
     repl = {"SRC_ACTION_CD": F.lit("D"), "SRC_DEL_IND": F.lit("Y"),
             "ODS_UPD_BATCH_ID": F.lit(batch).cast("bigint"),
             "ODS_UPDATE_TIMESTAMP": lit(run_ts).cast("timestamp_ntz"),

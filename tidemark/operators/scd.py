@@ -54,28 +54,33 @@ def scd_init(src: DataFrame, as_of: _dt.date, batch: int) -> DataFrame:
 def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch: int,
               late_closeout: bool = False, preserve: Sequence[str] = (),
               type6: Sequence[str] = (), hash2: str = "HASH_SCD2", hash1: str = "HASH_SCD1",
-              stage_source: bool = True, check_unique: bool = False) -> DataFrame:
+              stage_source: bool = True, check_unique: bool = True) -> DataFrame:
     """SCD 1/2/6 merge of a source batch into a dimension (E3-E6). Returns the new
     dimension with an `_action` column. `preserve` lists columns a type-1 / intra-day
     overwrite keeps from the target (default: none, as in the reference).
 
     stage_source=True writes the source batch once (a table in the shared checkpoint
     folder), as the reference stages its temp table before the MERGE: the batch is read
-    three times below, and its exact size lets AQE broadcast it when it is small.
-    check_unique=True fails when the source holds a key twice (trap T9)."""
+    several times below, and its exact size lets AQE broadcast it when it is small.
+    check_unique=True (one aggregate over the batch) fails when it holds a key twice (trap T9).
+
+    Only open rows can change, so only they go through the join with the batch; closed history
+    is passed on as it is."""
+    if stage_source:
+        from tidemark.sources.sinks import cut_lineage
+        src = cut_lineage(src)
     if check_unique:
         from tidemark.operators.merge import assert_unique_source
         dup = assert_unique_source(src, [key]).limit(1).collect()
         if dup:
             raise ValueError(f"SCD source has duplicate keys, e.g. {dup[0].asDict()}")
-    if stage_source:
-        from tidemark.sources.sinks import cut_lineage
-        src = cut_lineage(src)
     cols = dim.columns
     opened = F.lit(OPEN_DATE)
     run_day = F.lit(as_of)
     s = src.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("_s"))
-    j = dim.join(s, dim[key] == s[f"s__{key}"], "left")
+    still_open = dim.filter(F.col("DISC_DT") == opened)
+    closed = dim.filter(~F.coalesce(F.col("DISC_DT") == opened, F.lit(False))).withColumn(ACTION, F.lit("unchanged"))
+    j = still_open.join(s, still_open[key] == s[f"s__{key}"], "left")
 
     is_open = F.col("DISC_DT") == opened
     has_src = F.col("_s").isNotNull()
@@ -112,7 +117,7 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
         out.append(e.otherwise(F.col(c)).alias(c))
     act = (F.when(F.col("_fate") == "keep", F.lit("unchanged"))
            .when(F.col("_fate") == "close", F.lit("close")).otherwise(F.lit("update")))
-    existing = labelled.select(*out, act.alias(ACTION))
+    existing = labelled.select(*out, act.alias(ACTION)).unionByName(closed)
 
     # Per key: does any open row match (d <= EFF_DT), does any open row carry the source
     # hash. Computed from narrow projections (key, dates, hash) so the wide join above is
@@ -141,7 +146,7 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
 
 
 def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame | None = None,
-                   before: DataFrame | None = None) -> DataFrame:
+                   before: DataFrame | None = None, stage: bool = True) -> DataFrame:
     """Type 6 (E6): find which listed columns changed anywhere between the source and the
     current rows (NULL = ''), then copy the open row's value of only those columns onto
     every closed row of the key. Without `src` every listed column is propagated."""
@@ -155,16 +160,19 @@ def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame
     else:
         flags = dim.limit(0).agg(*[F.lit(1).alias(f"_chg_{c}") for c in cols])
     opened = F.lit(OPEN_DATE)
-    # the open row's value reaches every row of its key through one key window (a single
-    # pass over the dimension instead of a self-join); with several open rows, a Q32
-    # violation, the largest value is taken
-    w = Window.partitionBy(key)
-    curr = [F.max(F.when(F.col("DISC_DT") == opened, F.col(c))).over(w).alias(f"o__{c}") for c in cols]
-    j = attach_scalar(dim.select("*", *curr), flags)
+    # The open row's value, NULL included, for keys that have an open row; with several open rows
+    # (a Q32 violation) the largest value is taken. Partial aggregates and a join instead of a
+    # window over each key's whole history; the dimension is staged because both sides read it.
+    if stage:
+        from tidemark.sources.sinks import cut_lineage
+        dim = cut_lineage(dim)
+    curr = dim.filter(F.col("DISC_DT") == opened).groupBy(F.col(key).alias("_k")).agg(
+        F.lit(True).alias("_has_open"), *[F.max(c).alias(f"o__{c}") for c in cols])
+    j = attach_scalar(dim.join(curr, dim[key] == curr["_k"], "left"), flags)
     out = []
     for c in dim.columns:
         if c in cols:
-            take = (F.col(f"_chg_{c}") == 1) & (F.col("DISC_DT") != opened) & F.col(f"o__{c}").isNotNull()
+            take = (F.col(f"_chg_{c}") == 1) & (F.col("DISC_DT") != opened) & F.coalesce("_has_open", F.lit(False))
             out.append(F.when(take, F.col(f"o__{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))

@@ -31,9 +31,10 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: S
     """Add PREV_<c> / NEXT_<c> for every c in `cols`: the value on the previous / next
     row of the same key in `order` (ascending, NULLS FIRST, like a window's default)."""
     keys, order, cols = list(keys), list(order), list(cols)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     carried = list(dict.fromkeys(keys + cols))
-    srt = (df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    # without `partitions`, adaptive execution sizes the range partitions by the data
+    dealt = df.repartitionByRange(partitions, *keys, *order) if partitions else df.repartitionByRange(*keys, *order)
+    srt = (dealt.sortWithinPartitions(*keys, *order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_seq", F.monotonically_increasing_id()))
     srt = cut_lineage(srt)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import ACTION
-from tidemark.operators.scd import scd6_propagate, scd_init, scd_merge
+from tidemark.operators.scd import scd_init, scd_merge
 from tidemark.plans import standins as S
 from tidemark.plans.registry import query
 
@@ -42,14 +42,14 @@ def scd2_from_history(spark, sf):
 
 
 @query("scd_init", sql=f"""
-WITH {S.sql_snapshot_source("src", S.D1, S.BATCH1)}
+WITH {S.sql_snapshot_source("src", None, S.BATCH1, stamp_day=S.D1)}
 SELECT ENTITY_KEY, STATUS, PRIORITY, PRICE_BAND, HASH_SCD2, HASH_SCD1,
        DATE '{S.D1}' AS EFF_DT, DATE '9999-12-31' AS DISC_DT, true AS IS_CURRENT,
        CAST({S.BATCH1} AS BIGINT) AS INS_BATCH_ID, CAST({S.BATCH1} AS BIGINT) AS UPD_BATCH_ID
 FROM src
 """)
 def q_scd_init(spark, sf):
-    src = S.snapshot_source(spark, sf, S.D1, S.BATCH1).select(
+    src = S.snapshot_source(spark, sf, None, S.BATCH1, stamp_day=S.D1).select(
         "ENTITY_KEY", "STATUS", "PRIORITY", "PRICE_BAND", "HASH_SCD2", "HASH_SCD1")
     return scd_init(src, S.D1, S.BATCH1)
 
@@ -58,73 +58,52 @@ def q_scd_init(spark, sf):
 
 def sql_scd_merge(dim: str, src: str, run_day: dt.date, batch: int, late_closeout: bool = False,
                   p: str = "") -> str:
-    """Oracle CTEs `{p}merged` for scd_merge over the stand-in dimension columns."""
-    cols = S.DIM_COLS
-    s_cols = ", ".join(f"s.{c} AS s_{c}" for c in cols)
+    """Oracle CTEs `{p}merged`: the statements of the SCD merge one after the other, each over
+    the table the one before left (MERGE, then close-out, then type-1 overwrite), unlike the
+    one-pass decision table of `operators.scd`."""
+    cols = ", ".join(S.DIM_COLS)
+    s_cols = ", ".join(f"s.{c}" for c in S.DIM_COLS)
+    new_cols = ", ".join("DATE '1900-01-01'" if c == "EFF_DT" else f"s.{c}" for c in S.DIM_COLS)
     day = f"DATE '{run_day.isoformat()}'"
-    close_late = " OR late" if late_closeout else ""
-    out = []
-    for c in cols:
-        e = f"CASE WHEN fate IN ('intraday', 'type1') THEN s_{c}"
-        if c == "DISC_DT":
-            e += f" WHEN fate = 'close' THEN CAST({day} - INTERVAL 1 DAY AS DATE)"
-        elif c == "IS_CURRENT":
-            e += " WHEN fate = 'close' THEN false"
-        elif c == "UPD_BATCH_ID":
-            e += f" WHEN fate = 'close' THEN CAST({batch} AS BIGINT)"
-        out.append(f"{e} ELSE {c} END AS {c}")
-    out_sql = ",\n       ".join(out)
-    ins_cols = ", ".join(
-        "CASE WHEN pk.any_matched IS NULL THEN DATE '1900-01-01' ELSE s.EFF_DT END AS EFF_DT" if c == "EFF_DT"
-        else f"s.{c}" for c in cols)
+    opened = "DISC_DT = DATE '9999-12-31'"
+
+    def batch_day(c: str) -> str:
+        return f"CAST(strptime(substr(CAST({c} AS VARCHAR), 1, 8), '%Y%m%d') AS DATE)"
+
+    sd = batch_day("s.INS_BATCH_ID")
+    matched = f"s.ENTITY_KEY = d.ENTITY_KEY AND d.{opened} AND {sd} <= d.EFF_DT"
+    same_day = f"({sd} = d.EFF_DT OR {batch_day('d.INS_BATCH_ID')} = {day}) AND d.HASH_SCD2 <> s.HASH_SCD2"
+    spared = "" if late_closeout else f" AND NOT {sd} <= m.EFF_DT"
     return f"""
-{p}mj AS (
-  SELECT d.*, {s_cols}, s.ENTITY_KEY IS NOT NULL AS has_src
-  FROM {dim} d LEFT JOIN {src} s ON d.ENTITY_KEY = s.ENTITY_KEY
-),
-{p}mf0 AS (
-  SELECT *,
-    DISC_DT = DATE '9999-12-31' AS is_open,
-    CAST(strptime(substr(CAST(s_INS_BATCH_ID AS VARCHAR), 1, 8), '%Y%m%d') AS DATE) AS sd,
-    CAST(strptime(substr(CAST(INS_BATCH_ID AS VARCHAR), 1, 8), '%Y%m%d') AS DATE) = {day} AS ins_today,
-    coalesce(HASH_SCD2 <> s_HASH_SCD2, false) AS h2_diff,
-    coalesce(HASH_SCD1 <> s_HASH_SCD1, false) AS h1_diff
-  FROM {p}mj
-),
-{p}mf1 AS (
-  SELECT *, has_src AND is_open AND sd <= EFF_DT AS matched FROM {p}mf0
-),
-{p}mf2 AS (
-  SELECT *,
-    matched AND (sd = EFF_DT OR ins_today) AND h2_diff AS intraday,
-    matched AND NOT (sd = EFF_DT OR ins_today) AND h2_diff AS late
-  FROM {p}mf1
-),
-{p}mf AS (
-  SELECT *,
-    CASE WHEN intraday THEN 'intraday'
-         WHEN (has_src AND is_open AND h2_diff AND NOT intraday AND NOT matched){close_late} THEN 'close'
-         WHEN has_src AND is_open AND NOT h2_diff AND h1_diff THEN 'type1'
-         ELSE 'keep' END AS fate
-  FROM {p}mf2
-),
-{p}existing AS (
-  SELECT {out_sql},
-       CASE fate WHEN 'keep' THEN 'unchanged' WHEN 'close' THEN 'close' ELSE 'update' END AS MERGE_ACTION
-  FROM {p}mf
+{p}merge1 AS (
+  SELECT {s_cols}, 'update' AS MERGE_ACTION FROM {dim} d JOIN {src} s ON {matched} AND {same_day}
+  UNION ALL
+  SELECT {cols}, 'unchanged' FROM {dim} d WHERE NOT EXISTS (SELECT 1 FROM {src} s WHERE {matched} AND {same_day})
+  UNION ALL
+  SELECT {new_cols}, 'insert' FROM {src} s WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.ENTITY_KEY = s.ENTITY_KEY)
+  UNION ALL
+  SELECT {s_cols}, 'insert' FROM {src} s
+  WHERE EXISTS (SELECT 1 FROM {dim} d WHERE d.ENTITY_KEY = s.ENTITY_KEY)
+    AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE {matched})
+    AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.ENTITY_KEY = s.ENTITY_KEY AND d.{opened} AND d.HASH_SCD2 = s.HASH_SCD2)
 ),
-{p}per_key AS (
-  SELECT ENTITY_KEY, max(CASE WHEN matched THEN 1 ELSE 0 END) AS any_matched,
-         max(CASE WHEN is_open AND NOT h2_diff THEN 1 ELSE 0 END) AS same_open
-  FROM {p}mf WHERE has_src GROUP BY ENTITY_KEY
+{p}ended AS (
+  SELECT m.*, s.ENTITY_KEY IS NOT NULL AS ends FROM {p}merge1 m
+  LEFT JOIN {src} s ON s.ENTITY_KEY = m.ENTITY_KEY AND m.{opened} AND m.HASH_SCD2 <> s.HASH_SCD2{spared}
 ),
-{p}inserts AS (
-  SELECT {ins_cols}, 'insert' AS MERGE_ACTION
-  FROM {src} s LEFT JOIN {p}per_key pk ON s.ENTITY_KEY = pk.ENTITY_KEY
-  WHERE pk.any_matched IS NULL OR (pk.any_matched = 0 AND pk.same_open = 0)
+{p}closed AS (
+  SELECT * EXCLUDE (ends) REPLACE (
+    CASE WHEN ends THEN CAST({day} - INTERVAL 1 DAY AS DATE) ELSE DISC_DT END AS DISC_DT,
+    CASE WHEN ends THEN false ELSE IS_CURRENT END AS IS_CURRENT,
+    CASE WHEN ends THEN CAST({batch} AS BIGINT) ELSE UPD_BATCH_ID END AS UPD_BATCH_ID,
+    CASE WHEN ends THEN 'close' ELSE MERGE_ACTION END AS MERGE_ACTION) FROM {p}ended
 ),
 {p}merged AS (
-  SELECT * FROM {p}existing UNION ALL SELECT * FROM {p}inserts
+  SELECT * FROM {p}closed m WHERE NOT EXISTS (SELECT 1 FROM {src} s
+    WHERE s.ENTITY_KEY = m.ENTITY_KEY AND m.{opened} AND s.HASH_SCD2 = m.HASH_SCD2 AND s.HASH_SCD1 <> m.HASH_SCD1)
+  UNION ALL
+  SELECT {s_cols}, 'update' FROM {p}closed m JOIN {src} s
+    ON s.ENTITY_KEY = m.ENTITY_KEY AND m.{opened} AND s.HASH_SCD2 = m.HASH_SCD2 AND s.HASH_SCD1 <> m.HASH_SCD1
 )""".strip()
 
 
@@ -134,17 +113,19 @@ def dim_after_run1(spark, sf):
     return cut_lineage(S.dim_history(spark, sf, S.D1, S.BATCH1).select(*S.DIM_COLS))
 
 
-def _merge_d2(spark, sf, late_closeout=False):
-    dim = dim_after_run1(spark, sf)
-    src = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
-    return scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2, late_closeout=late_closeout)
+def _merge_d2(spark, sf, data: dt.date | None = None):
+    """The second run, stamped D2: the latest state of all orders, or of those up to `data`."""
+    src = S.snapshot_source(spark, sf, data, S.BATCH2, stamp_day=S.D2)
+    return scd_merge(dim_after_run1(spark, sf), src, "ENTITY_KEY", S.D2, S.BATCH2)
+
+
+def merge_prefix(data: dt.date | None = None) -> str:
+    return (f"WITH {S.sql_dim_history('dim', S.D1, S.BATCH1)},\n"
+            f"{S.sql_snapshot_source('src', data, S.BATCH2, stamp_day=S.D2)},\n"
+            f"{sql_scd_merge('dim', 'src', S.D2, S.BATCH2)}\n")
 
 
-MERGE_PREFIX = (
-    f"WITH {S.sql_dim_history('dim', S.D1, S.BATCH1)},\n"
-    f"{S.sql_snapshot_source('src', S.D2, S.BATCH2)},\n"
-    f"{sql_scd_merge('dim', 'src', S.D2, S.BATCH2)}\n"
-)
+MERGE_PREFIX = merge_prefix()
 
 
 @query("scd2_merge", headline=True, sql=MERGE_PREFIX + "SELECT * FROM merged")
@@ -164,62 +145,60 @@ def scd1_overwrite(spark, sf):
     return m.filter(F.col("MERGE_ACTION") == "update")
 
 
-@query("scd6_propagate", sql=MERGE_PREFIX + """,
-cur AS (SELECT ENTITY_KEY, PRIORITY AS c_PRIORITY FROM dim WHERE IS_CURRENT),
+# Source rows of one priority carry no value, so the NULL of an open row reaches its history.
+NO_PRIORITY = "4-NOT SPECIFIED"
+
+
+@query("scd6_propagate", sql=f"""WITH {S.sql_dim_history('dim', S.D1, S.BATCH1)},
+{S.sql_snapshot_source('src0', None, S.BATCH2, stamp_day=S.D2)},
+src AS (SELECT * REPLACE (nullif(PRIORITY, '{NO_PRIORITY}') AS PRIORITY) FROM src0),
+{sql_scd_merge('dim', 'src', S.D2, S.BATCH2)},
 flags AS (
-  SELECT coalesce(max(CASE WHEN coalesce(CAST(s.PRIORITY AS VARCHAR), '') <> coalesce(CAST(c.c_PRIORITY AS VARCHAR), '')
-                      THEN 1 ELSE 0 END), 0) AS chg
-  FROM src s JOIN cur c ON s.ENTITY_KEY = c.ENTITY_KEY
+  SELECT coalesce(bool_or(coalesce(s.PRIORITY, '') <> coalesce(c.PRIORITY, '')), false) AS chg
+  FROM src s JOIN dim c ON s.ENTITY_KEY = c.ENTITY_KEY WHERE c.IS_CURRENT
 ),
-opened AS (
-  SELECT *, max(CASE WHEN DISC_DT = DATE '9999-12-31' THEN PRIORITY END) OVER (PARTITION BY ENTITY_KEY) AS o_PRIORITY
-  FROM merged
-)
-SELECT m.ENTITY_SK, m.ENTITY_KEY, m.STATUS,
-       CASE WHEN f.chg = 1 AND m.DISC_DT <> DATE '9999-12-31' AND m.o_PRIORITY IS NOT NULL
-            THEN m.o_PRIORITY ELSE m.PRIORITY END AS PRIORITY,
-       m.PRICE_BAND, m.HASH_SCD2, m.HASH_SCD1, m.EFF_DT, m.DISC_DT, m.IS_CURRENT, m.INS_BATCH_ID,
-       m.UPD_BATCH_ID, m.MERGE_ACTION
-FROM opened m CROSS JOIN flags f
+curr AS (SELECT ENTITY_KEY, PRIORITY FROM merged WHERE DISC_DT = DATE '9999-12-31')
+SELECT h.* FROM merged h, flags
+WHERE NOT chg OR DISC_DT = DATE '9999-12-31' OR h.ENTITY_KEY NOT IN (SELECT ENTITY_KEY FROM curr)
+UNION ALL
+SELECT h.* REPLACE (c.PRIORITY AS PRIORITY) FROM merged h JOIN curr c ON h.ENTITY_KEY = c.ENTITY_KEY, flags
+WHERE chg AND h.DISC_DT <> DATE '9999-12-31'
 """)
 def q_scd6(spark, sf):
     dim = dim_after_run1(spark, sf)
-    src = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
-    m = scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2)
-    return scd6_propagate(m, "ENTITY_KEY", ["PRIORITY"], src=src, before=dim) \
-        .withColumnRenamed(ACTION, "MERGE_ACTION")
+    src = S.snapshot_source(spark, sf, None, S.BATCH2, stamp_day=S.D2) \
+        .withColumn("PRIORITY", F.nullif("PRIORITY", F.lit(NO_PRIORITY)))
+    return scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2, type6=["PRIORITY"]).withColumnRenamed(ACTION, "MERGE_ACTION")
 
 
 # ----------------------------------------------------------------------------- E3 on later runs
-# The dimension after the D2 run is merged again: a second batch of the same day (the
-# intra-day overwrite) and a batch whose data day lies before the open rows (a late
-# source), run one day later, once with the default and once reproducing the close-out.
+# The dimension after the D2 run is merged again: a second batch of the same day, for which the
+# first one held the orders up to MID only (the intra-day overwrite), and a batch whose data day
+# lies before the open rows (a late source), run one day later, once with the default and once
+# reproducing the close-out. The runs of each query together read every order.
 
-SAME_DAY_DATA = dt.date(1999, 6, 30)      # data as of this day, stamped as a second D2 batch
-SAME_DAY_BATCH = 19990101120000000
+SAME_DAY_BATCH = 20020101120000000
 LATE_DATA = dt.date(1998, 6, 1)           # late data, stamped with its own day
 LATE_BATCH = 19980601060000000
-NEXT_RUN = dt.date(1999, 1, 2)
-NEXT_BATCH = 19990102060000000
+NEXT_RUN = dt.date(2002, 1, 2)
+NEXT_BATCH = 20020102060000000
 
 
-def dim_after_run2(spark, sf):
+def dim_after_run2(spark, sf, data: dt.date | None = None):
     from tidemark.sources.sinks import cut_lineage
-    return cut_lineage(_merge_d2(spark, sf).drop(ACTION))
+    return cut_lineage(_merge_d2(spark, sf, data).drop(ACTION))
 
 
-RUN3_PREFIX = (
-    MERGE_PREFIX.rstrip() + ",\n"
-    + "dim2 AS (SELECT * EXCLUDE (MERGE_ACTION) FROM merged),\n"
-)
+def run3_prefix(data: dt.date | None = None) -> str:
+    return merge_prefix(data).rstrip() + ",\ndim2 AS (SELECT * EXCLUDE (MERGE_ACTION) FROM merged),\n"
 
 
-@query("scd2_intraday", sql=RUN3_PREFIX
-       + S.sql_snapshot_source("src3", SAME_DAY_DATA, SAME_DAY_BATCH, stamp_day=S.D2) + ",\n"
+@query("scd2_intraday", sql=run3_prefix(S.MID)
+       + S.sql_snapshot_source("src3", None, SAME_DAY_BATCH, stamp_day=S.D2) + ",\n"
        + sql_scd_merge("dim2", "src3", S.D2, SAME_DAY_BATCH, p="r3_") + "\nSELECT * FROM r3_merged")
 def scd2_intraday(spark, sf):
-    src = S.snapshot_source(spark, sf, SAME_DAY_DATA, SAME_DAY_BATCH, stamp_day=S.D2)
-    return scd_merge(dim_after_run2(spark, sf), src, "ENTITY_KEY", S.D2, SAME_DAY_BATCH) \
+    src = S.snapshot_source(spark, sf, None, SAME_DAY_BATCH, stamp_day=S.D2)
+    return scd_merge(dim_after_run2(spark, sf, S.MID), src, "ENTITY_KEY", S.D2, SAME_DAY_BATCH) \
         .withColumnRenamed(ACTION, "MERGE_ACTION")
 
 
@@ -229,14 +208,14 @@ def _late(spark, sf, closeout):
                      late_closeout=closeout).withColumnRenamed(ACTION, "MERGE_ACTION")
 
 
-@query("scd2_late_source", sql=RUN3_PREFIX
+@query("scd2_late_source", sql=run3_prefix()
        + S.sql_snapshot_source("src3", LATE_DATA, LATE_BATCH) + ",\n"
        + sql_scd_merge("dim2", "src3", NEXT_RUN, NEXT_BATCH, p="r3_") + "\nSELECT * FROM r3_merged")
 def scd2_late_source(spark, sf):
     return _late(spark, sf, False)
 
 
-@query("scd2_late_closeout", sql=RUN3_PREFIX
+@query("scd2_late_closeout", sql=run3_prefix()
        + S.sql_snapshot_source("src3", LATE_DATA, LATE_BATCH) + ",\n"
        + sql_scd_merge("dim2", "src3", NEXT_RUN, NEXT_BATCH, late_closeout=True, p="r3_")
        + "\nSELECT * FROM r3_merged")

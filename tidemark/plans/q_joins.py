@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.expr import pad_left
 from tidemark.operators.joins import anti, attach_scalar, lookup, not_in, semi, star_join
+from tidemark.plans import sqlgen as Q
 from tidemark.plans import standins as S
 from tidemark.plans.registry import query
 
@@ -28,12 +30,12 @@ SELECT c.c_custkey, c.c_nationkey, n.n_name FROM customer c LEFT JOIN nation n O
 def join_left_lookup(spark, sf):
     c = S.t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return lookup(c, n, "c_nationkey", "left", bounded=True)
+    return lookup(c, n, "c_nationkey", "left")
 
 
-def order_rollup(spark, sf):
+def order_rollup(spark, sf, orders=None):
     """G1: pre-aggregate the one-to-many side before the star join (partial aggregation)."""
-    o = S.t(spark, sf, "orders")
+    o = orders if orders is not None else S.t(spark, sf, "orders")
     return o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).cast("bigint").alias("ORDER_COUNT"),
         F.min("o_orderdate").alias("FIRST_ORDER_DATE"), F.max("o_orderdate").alias("LAST_ORDER_DATE"),
@@ -82,9 +84,8 @@ def star_left_join(spark, sf):
                F.sum("_qty").cast("decimal(38,2)").alias("TOTAL_QTY")))
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     r = S.t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    # the customer-keyed sources share one hash partitioning on KEY; the domain lookups broadcast
-    out = star_join(c, [(ro, "KEY", False), (lr, "KEY", False),
-                        (n, "c_nationkey", True), (r, "n_regionkey", True)])
+    # the customer-keyed sources share one hash partitioning on KEY
+    out = star_join(c, [(ro, "KEY"), (lr, "KEY"), (n, "c_nationkey"), (r, "n_regionkey")])
     return out.select("c_custkey", "c_name", "n_name", "r_name", "ORDER_COUNT", "FIRST_ORDER_DATE",
                       "LAST_ORDER_DATE", "TOTAL_PRICE", "OPEN_ORDERS", "LINE_COUNT", "TOTAL_QTY")
 
@@ -98,16 +99,16 @@ def join_left_filtered(spark, sf):
     return c.join(o, c.c_custkey == o.o_custkey, "left").select("c_custkey", "o_orderkey")
 
 
-@query("join_normalised_key", sql="""
+@query("join_normalised_key", sql=f"""
 SELECT p.p_partkey, p.p_brand, s.s_suppkey, s.s_name
 FROM part p LEFT JOIN supplier s
-  ON lpad(trim(split_part(p.p_brand, '#', 2)), 3, '0') = lpad(CAST(s.s_suppkey AS VARCHAR), 3, '0')""")
+  ON {Q.pad_left("trim(split_part(p.p_brand, '#', 2))", 3)} = {Q.pad_left("s.s_suppkey", 3)}""")
 def join_normalised_key(spark, sf):
     p = S.t(spark, sf, "part").select(
         "p_partkey", "p_brand",
-        F.lpad(F.trim(F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2))), 3, "0").alias("_k"))
+        pad_left(F.trim(F.split_part(F.col("p_brand"), F.lit("#"), F.lit(2))), 3).alias("_k"))
     s = S.t(spark, sf, "supplier").select(
-        "s_suppkey", "s_name", F.lpad(F.col("s_suppkey").cast("string"), 3, "0").alias("_k"))
+        "s_suppkey", "s_name", pad_left("s_suppkey", 3).alias("_k"))
     return p.join(s, "_k", "left").select("p_partkey", "p_brand", "s_suppkey", "s_name")
 
 
@@ -123,8 +124,8 @@ def join_chained(spark, sf):
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
     r = S.t(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     j = lookup(li, s, "l_suppkey", "left")
-    j = lookup(j, n, "s_nationkey", "left", bounded=True)
-    j = lookup(j, r, "n_regionkey", "left", bounded=True)
+    j = lookup(j, n, "s_nationkey", "left")
+    j = lookup(j, r, "n_regionkey", "left")
     return j.select("l_orderkey", "l_linenumber", "s_name", "n_name", "r_name")
 
 
@@ -151,7 +152,7 @@ def join_multi_role(spark, sf):
     j = li.join(o, "l_orderkey").join(c, "o_custkey")
     j = lookup(j, s, "l_suppkey", "left")
     for role in (cn, sn, an):
-        j = lookup(j, role, [x for x in role.columns if x.endswith("nationkey")], "left", bounded=True)
+        j = lookup(j, role, [x for x in role.columns if x.endswith("nationkey")], "left")
     return j.select("l_orderkey", "l_linenumber", "CUSTOMER_NATION", "SUPPLIER_NATION", "SUPPLIER_AFRICA_NATION")
 
 

@@ -22,10 +22,11 @@ from tidemark.operators.dedup import cdc_resolve, latest_per_key, purge_duplicat
 from tidemark.operators.delta import delta, watermark_value
 from tidemark.operators.merge import (ACTION, delete_insert, drop_action, mark_deleted, merge_counts,
                                       merge_upsert, tombstone_renamed)
+from tidemark.operators.ods import OdsLoad, load_ods
 from tidemark.plans import sqlgen as Q
 from tidemark.plans import standins as S
 from tidemark.plans.registry import query
-from tidemark.sources.sinks import cut_lineage
+from tidemark.sources.sinks import audit_row, cut_lineage
 from tidemark.sources.tables import load
 from tidemark.spec import TableSpec
 
@@ -79,20 +80,23 @@ def cdc_mark(ods0: DataFrame):
     return watermark_value(ods0, "SRC_LAST_UPDATE_DTM", overlap_minutes=3)
 
 
+def _renamed(log: DataFrame) -> DataFrame:
+    return log.filter(F.col("PRIMARY_KEY_CHANGE") == "Y").select(_cdc_key("BEFORE_KEY").alias("ODS_PK"))
+
+
 def cdc_tombstoned(spark, sf, ods0, mark) -> DataFrame:
-    log = S.cdc_log(spark, sf)
-    renamed = (log.filter((F.col("PRIMARY_KEY_CHANGE") == "Y") & (F.col("CAPTURE_TS") >= lit(mark)))
-               .select(_cdc_key("BEFORE_KEY").alias("ODS_PK")))
-    return tombstone_renamed(ods0, renamed, "ODS_PK", S.CDC_RUN, S.CDC_BATCH)
+    log = S.cdc_log(spark, sf).filter(F.col("CAPTURE_TS") >= lit(mark))
+    return tombstone_renamed(ods0, _renamed(log), "ODS_PK", S.CDC_RUN, S.CDC_BATCH)
+
+
+CDC_LOAD = OdsLoad(key="ODS_PK", resolve=lambda rows: _resolve(rows, None), shape=ods_transform,
+                   source_ts="CAPTURE_TS", target_ts="SRC_LAST_UPDATE_DTM", no_update=CDC_NO_UPDATE,
+                   renamed_keys=_renamed)
 
 
 def cdc_second_run(spark, sf) -> DataFrame:
-    ods0 = cdc_history_ods(spark, sf)
-    mark = cdc_mark(ods0)
-    tomb = drop_action(cdc_tombstoned(spark, sf, ods0, mark))
-    delta_ods = ods_transform(_resolve(S.cdc_log(spark, sf), mark), S.CDC_BATCH, S.CDC_RUN)
-    return merge_upsert(tomb, delta_ods, "ODS_PK", no_update=CDC_NO_UPDATE, gate="HASH_CHANGE",
-                        stage_source=True)
+    """The stored first load, then the second run through `load_ods`."""
+    return load_ods(CDC_LOAD, S.cdc_log(spark, sf), cut_lineage(cdc_history_ods(spark, sf)), S.CDC_BATCH, S.CDC_RUN)
 
 
 # ----------------------------------------------------------------------------- CDC, SQL
@@ -192,7 +196,7 @@ def q_cdc_resolve_unkeyed(spark, sf):
 {SQL_TOMB}
 SELECT * FROM tomb""")
 def q_tombstone(spark, sf):
-    ods0 = cdc_history_ods(spark, sf)
+    ods0 = cut_lineage(cdc_history_ods(spark, sf))
     return cdc_tombstoned(spark, sf, ods0, cdc_mark(ods0)).withColumnRenamed(ACTION, "MERGE_ACTION")
 
 
@@ -212,7 +216,7 @@ upserted AS (
 )
 SELECT * FROM upserted""")
 def q_merge_ungated(spark, sf):
-    ods0 = cdc_history_ods(spark, sf)
+    ods0 = cut_lineage(cdc_history_ods(spark, sf))
     mark = cdc_mark(ods0)
     tomb = drop_action(cdc_tombstoned(spark, sf, ods0, mark))
     delta_ods = ods_transform(_resolve(S.cdc_log(spark, sf), mark), S.CDC_BATCH, S.CDC_RUN)
@@ -230,6 +234,19 @@ def q_merge_counts(spark, sf):
     return merge_counts(cdc_second_run(spark, sf))
 
 
+@query("run_audit", sql=SQL_CDC_RUN + f""",
+n AS (SELECT count(*) FILTER (WHERE MERGE_ACTION = 'insert') AS i, count(*) FILTER (WHERE MERGE_ACTION = 'update') AS u FROM upserted)
+SELECT md5('cdc_to_ods|{S.CDC_BATCH}') AS model_execution_id, 'model.cdc_to_ods' AS unique_id, 'success' AS status,
+       CAST(90.5 AS DOUBLE) AS execution_time, TIMESTAMP '{S.CDC_RUN + dt.timedelta(seconds=90.5)}' AS execute_completed_at,
+       CAST(i + u AS DECIMAL(38,0)) AS rows_affected, CAST(i AS DECIMAL(38,0)) AS rows_inserted,
+       CAST(u AS DECIMAL(38,0)) AS rows_updated, CAST(0 AS DECIMAL(38,0)) AS rows_deleted, CAST(0 AS DECIMAL(38,0)) AS failures FROM n""")
+def q_run_audit(spark, sf):
+    """The audit row of the CDC load, built from its merge result."""
+    row = audit_row(cdc_second_run(spark, sf), "cdc_to_ods", str(S.CDC_BATCH), S.CDC_RUN, S.CDC_RUN + dt.timedelta(seconds=90.5))
+    return row.select("model_execution_id", "unique_id", "status", "execution_time", "execute_completed_at", "rows_affected",
+                      "rows_inserted", "rows_updated", "rows_deleted", "failures")
+
+
 @query("delete_insert", sql=f"""{SQL_CDC_RUN},
 di AS (
   SELECT t.*, 'unchanged' AS MERGE_ACTION FROM tgt t WHERE t.ODS_PK NOT IN (SELECT ODS_PK FROM delta_ods)
@@ -237,7 +254,7 @@ di AS (
 )
 SELECT * FROM di""")
 def q_delete_insert(spark, sf):
-    ods0 = cdc_history_ods(spark, sf)
+    ods0 = cut_lineage(cdc_history_ods(spark, sf))
     mark = cdc_mark(ods0)
     tomb = drop_action(cdc_tombstoned(spark, sf, ods0, mark))
     delta_ods = ods_transform(_resolve(S.cdc_log(spark, sf), mark), S.CDC_BATCH, S.CDC_RUN)
@@ -250,7 +267,7 @@ def q_delete_insert(spark, sf):
 SELECT *, 'history' AS LOAD_PATH FROM ods0
 UNION ALL SELECT *, 'delta' AS LOAD_PATH FROM delta_ods""")
 def q_two_path(spark, sf):
-    ods0 = cdc_history_ods(spark, sf)
+    ods0 = cut_lineage(cdc_history_ods(spark, sf))
     delta_ods = ods_transform(_resolve(S.cdc_log(spark, sf), cdc_mark(ods0)), S.CDC_BATCH, S.CDC_RUN)
     first = load(False, delta_ods, ods0).withColumn("LOAD_PATH", F.lit("history"))
     nxt = load(True, delta_ods, ods0).withColumn("LOAD_PATH", F.lit("delta"))
@@ -321,18 +338,19 @@ def snap_first(spark, sf, stg: DataFrame | None = None) -> DataFrame:
                           SNAP_BATCH1, SNAP_RUN1)
 
 
+def _snap_latest(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, "ENTITY_KEY", ["SYS_LAST_UPDATE_DTM"], ["SRC_ORDERKEY"])
+
+
+SNAP_LOAD = OdsLoad(key="ODS_PK", resolve=_snap_latest, shape=snap_transform, source_ts="STG_INSERT_TIMESTAMP",
+                    target_ts="STG_INSERT_TIMESTAMP", no_update=("ODS_INS_BATCH_ID", "ODS_INSERT_TIMESTAMP"),
+                    snapshot_keys=("ENTITY_KEY",))
+
+
 def snap_second(spark, sf) -> DataFrame:
     stg = purged_staging_table(spark, sf)
-    ods0 = snap_first(spark, sf, stg)
-    d = delta(stg, ods0, "STG_INSERT_TIMESTAMP", "STG_INSERT_TIMESTAMP", overlap_minutes=3)
-    src = snap_transform(latest_per_key(d, "ENTITY_KEY", ["SYS_LAST_UPDATE_DTM"], ["SRC_ORDERKEY"]),
-                         SNAP_BATCH2, SNAP_RUN2)
-    merged = merge_upsert(ods0, src, "ODS_PK", no_update=["ODS_INS_BATCH_ID", "ODS_INSERT_TIMESTAMP"])
-    # the merged target is written before delete marking reads it twice (maxima + rows),
-    # as the reference's post-hook runs on the written table
-    merged = cut_lineage(merged.withColumnRenamed(ACTION, "MERGE_ACTION"))
-    marked = mark_deleted(merged, stg, ["ENTITY_KEY"], "STG_INSERT_TIMESTAMP")
-    return marked.withColumnRenamed(ACTION, "DELETE_ACTION")
+    ods0 = cut_lineage(snap_first(spark, sf, stg))
+    return load_ods(SNAP_LOAD, stg, ods0, SNAP_BATCH2, SNAP_RUN2).withColumnRenamed(ACTION, "DELETE_ACTION")
 
 
 def _sql_purge() -> str:
@@ -461,6 +479,11 @@ def api_transform(rows: DataFrame, batch: int, run_ts: dt.datetime) -> DataFrame
     return shaped.select("*", hash_change(API_SPEC).alias("HASH_CHANGE"), hash_full(API_SPEC).alias("HASH_FULL"))
 
 
+API_LOAD = OdsLoad(key="ODS_PK", resolve=lambda rows: latest_per_key(rows, "ID", ["SYSTEMMODSTAMP"], ["REC_ID"]),
+                   shape=api_transform, source_ts="SYSTEMMODSTAMP", target_ts="SYSTEMMODSTAMP",
+                   overlap_minutes=0, no_update=("ODS_INSERT_TIMESTAMP",))      # `>=` max, no overlap
+
+
 def _sql_api_transform(name: str, src: str, batch: int, run_ts: dt.datetime) -> str:
     ts = f"TIMESTAMP '{run_ts.isoformat(sep=' ')}'"
     key = Q.trim_string("CAST(ID AS VARCHAR)")
@@ -496,10 +519,7 @@ merged AS (
 )
 SELECT * FROM merged""")
 def q_api_to_ods(spark, sf):
-    api = api_extract(spark, sf)
+    api = cut_lineage(api_extract(spark, sf))
     first = api.filter(F.col("SYSTEMMODSTAMP") < lit(API_FIRST_CUT))
-    ods0 = api_transform(latest_per_key(first, "ID", ["SYSTEMMODSTAMP"], ["REC_ID"]), API_BATCH1, API_RUN1)
-    d = delta(api, ods0, "SYSTEMMODSTAMP", "SYSTEMMODSTAMP", overlap_minutes=0)     # `>=` max, no overlap
-    src = api_transform(latest_per_key(d, "ID", ["SYSTEMMODSTAMP"], ["REC_ID"]), API_BATCH2, API_RUN2)
-    return merge_upsert(ods0, src, "ODS_PK", no_update=["ODS_INSERT_TIMESTAMP"], stage_source=True) \
-        .withColumnRenamed(ACTION, "MERGE_ACTION")
+    ods0 = cut_lineage(drop_action(load_ods(API_LOAD, first, None, API_BATCH1, API_RUN1)))
+    return load_ods(API_LOAD, api, ods0, API_BATCH2, API_RUN2).withColumnRenamed(ACTION, "MERGE_ACTION")

@@ -17,6 +17,7 @@ from tidemark.operators.merge import ACTION
 from tidemark.plans import standins as S
 from tidemark.plans.q_changes import MERGE_PREFIX, _merge_d2
 from tidemark.plans.q_joins import star_left_join
+from tidemark.plans.q_projection import _RAW_POST_SQL, _raw_post
 from tidemark.plans.q_relational import SQL_LIFE, lifecycle, q_propagate_deletes
 from tidemark.plans.registry import query
 
@@ -76,22 +77,37 @@ WHERE NEXT_EFF_DT IS NOT NULL AND (NEXT_EFF_DT <= DISC_DT OR datediff('day', NEX
 def q_gaps(spark, sf):
     m = merged_dim(spark, sf)
     cols = ["ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT", "NEXT_EFF_DT"]
-    a = dq.gaps(m, "ENTITY_KEY").select(*cols, F.lit("gap").alias("VARIANT"))
-    b = dq.gaps(m, "ENTITY_KEY", as_written=True).select(*cols, F.lit("as_written").alias("VARIANT"))
-    return a.unionByName(b)
+    return dq.gap_variants(m, "ENTITY_KEY").select(*cols, "VARIANT")       # one pass for both variants
+
+
+# The merge leaves no overlap and no wrong flag, so faults are planted in its result: closed rows
+# of one priority run on for 400 days, and rows of another have their flag turned round.
+RUNS_ON, TURNED = "1-URGENT", "5-LOW"
+SQL_FAULTY = MERGE_PREFIX + f""",
+faulty AS (SELECT ENTITY_KEY, EFF_DT,
+    CASE WHEN PRIORITY = '{RUNS_ON}' AND DISC_DT <> DATE '9999-12-31' THEN DISC_DT + 400 ELSE DISC_DT END AS DISC_DT,
+    CASE WHEN PRIORITY = '{TURNED}' THEN NOT IS_CURRENT ELSE IS_CURRENT END AS IS_CURRENT FROM merged)"""
+
 
+def faulty_dim(spark, sf):
+    open_ = F.col("DISC_DT") == F.lit(dt.date(9999, 12, 31))
+    return merged_dim(spark, sf).select(
+        "ENTITY_KEY", "EFF_DT",
+        F.when((F.col("PRIORITY") == RUNS_ON) & ~open_, F.date_add("DISC_DT", 400)).otherwise(F.col("DISC_DT")).alias("DISC_DT"),
+        F.when(F.col("PRIORITY") == TURNED, ~F.col("IS_CURRENT")).otherwise(F.col("IS_CURRENT")).alias("IS_CURRENT"))
 
-@query("dq_overlaps", sql=SQL_MERGED_LEAD + """
-SELECT ENTITY_KEY, EFF_DT, DISC_DT, NEXT_EFF_DT FROM g WHERE NEXT_EFF_DT IS NOT NULL AND NEXT_EFF_DT <= DISC_DT""")
+
+@query("dq_overlaps", sql=SQL_FAULTY + """
+SELECT ENTITY_KEY, EFF_DT, DISC_DT, NEXT_EFF_DT FROM (
+  SELECT *, lead(EFF_DT) OVER (PARTITION BY ENTITY_KEY ORDER BY EFF_DT) AS NEXT_EFF_DT FROM faulty) WHERE NEXT_EFF_DT <= DISC_DT""")
 def q_overlaps(spark, sf):
-    return dq.overlaps(merged_dim(spark, sf), "ENTITY_KEY").select("ENTITY_KEY", "EFF_DT", "DISC_DT", "NEXT_EFF_DT")
+    return dq.overlaps(faulty_dim(spark, sf), "ENTITY_KEY").select("ENTITY_KEY", "EFF_DT", "DISC_DT", "NEXT_EFF_DT")
 
 
-@query("dq_is_current", sql=MERGE_PREFIX + """
-SELECT ENTITY_KEY, EFF_DT, DISC_DT, IS_CURRENT FROM merged
-WHERE (DISC_DT = DATE '9999-12-31' AND IS_CURRENT <> true) OR (DISC_DT <> DATE '9999-12-31' AND IS_CURRENT = true)""")
+@query("dq_is_current", sql=SQL_FAULTY + """
+SELECT ENTITY_KEY, EFF_DT, DISC_DT, IS_CURRENT FROM faulty WHERE IS_CURRENT <> (DISC_DT = DATE '9999-12-31')""")
 def q_is_current(spark, sf):
-    return dq.is_current_mismatch(merged_dim(spark, sf)).select("ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT")
+    return dq.is_current_mismatch(faulty_dim(spark, sf)).select("ENTITY_KEY", "EFF_DT", "DISC_DT", "IS_CURRENT")
 
 
 @query("scd_integrity", sql=SQL_MERGED_LEAD + """
@@ -176,15 +192,9 @@ PHONE_TOKEN = r"([0-9(][0-9() -]{8,}[0-9])"
 
 
 @query("dq_formats", sql=f"""
-WITH emails AS (SELECT regexp_extract(text, '{EMAIL_TOKEN}', 1) AS v FROM documents),
-phones AS (SELECT regexp_extract(text, '{PHONE_TOKEN}', 1) AS v FROM documents),
-posts AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') ||
-    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '-' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0')
-                      WHEN 'BUILDING' THEN lpad(CAST(c_nationkey AS VARCHAR), 4, '0')
-                      WHEN 'FURNITURE' THEN ' ' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0')
-                      WHEN 'HOUSEHOLD' THEN '-' ELSE 'X' END AS v FROM customer
-)
+WITH emails AS (SELECT unnest(regexp_extract_all(text, '{EMAIL_TOKEN}', 1)) AS v FROM documents),
+phones AS (SELECT unnest(regexp_extract_all(text, '{PHONE_TOKEN}', 1)) AS v FROM documents),
+posts AS (SELECT {_RAW_POST_SQL} AS v FROM customer)
 SELECT 'ein_format' AS CHECK_NAME, r_name AS VALUE FROM region
   WHERE r_name IS NOT NULL AND NOT regexp_matches(r_name, '{dq.ID_PATTERN}')
 UNION ALL SELECT 'email_format', v FROM emails WHERE v <> '' AND NOT regexp_matches(v, '{dq.EMAIL_PATTERN}')
@@ -193,20 +203,21 @@ UNION ALL SELECT 'middle_initial_format', split_part(p_name, ' ', 1) FROM part
 UNION ALL SELECT 'phone_format', v FROM phones WHERE v <> '' AND NOT regexp_matches(v, '{dq.PHONE_PATTERN}')
 UNION ALL SELECT 'postal_code_format', v FROM posts WHERE v IS NOT NULL AND NOT regexp_matches(v, '{dq.POSTAL_PATTERN}')""")
 def q_formats(spark, sf):
-    from tidemark.plans.q_projection import _raw_post
-    docs = S.t(spark, sf, "documents")
-    emails = docs.select(F.regexp_extract("text", EMAIL_TOKEN, 1).alias("VALUE")).filter(F.col("VALUE") != "")
-    phones = docs.select(F.regexp_extract("text", PHONE_TOKEN, 1).alias("VALUE")).filter(F.col("VALUE") != "")
+    # every e-mail and phone of every document, both kinds from one scan
+    tokens = F.array(*[F.struct(F.lit(n).alias("CHECK_NAME"), F.lit(p).alias("_p"),
+                                F.regexp_extract_all("text", F.lit(t), F.lit(1)).alias("_v"))
+                       for n, p, t in (("email_format", dq.EMAIL_PATTERN, EMAIL_TOKEN),
+                                       ("phone_format", dq.PHONE_PATTERN, PHONE_TOKEN))])
+    found = (S.t(spark, sf, "documents").select(F.explode(tokens).alias("x"))
+             .select("x.CHECK_NAME", "x._p", F.explode("x._v").alias("VALUE"))
+             .filter(~F.expr("VALUE RLIKE _p")).select("CHECK_NAME", "VALUE"))
     region = S.t(spark, sf, "region").select(F.col("r_name").alias("VALUE"))
     words = S.t(spark, sf, "part").select(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)).alias("VALUE"))
     posts = S.t(spark, sf, "customer").select(_raw_post().alias("VALUE"))
-    parts = [("ein_format", region, dq.ID_PATTERN), ("email_format", emails, dq.EMAIL_PATTERN),
-             ("middle_initial_format", words, dq.MIDDLE_INITIAL_PATTERN),
-             ("phone_format", phones, dq.PHONE_PATTERN), ("postal_code_format", posts, dq.POSTAL_PATTERN)]
-    out = None
-    for name, df, pat in parts:
-        bad = dq.pattern_mismatch(df, "VALUE", pat).select(F.lit(name).alias("CHECK_NAME"), "VALUE")
-        out = bad if out is None else out.unionByName(bad)
+    out = found
+    for name, df, pat in (("ein_format", region, dq.ID_PATTERN), ("middle_initial_format", words, dq.MIDDLE_INITIAL_PATTERN),
+                          ("postal_code_format", posts, dq.POSTAL_PATTERN)):
+        out = out.unionByName(dq.pattern_mismatch(df, "VALUE", pat).select(F.lit(name).alias("CHECK_NAME"), "VALUE"))
     return out
 
 
@@ -240,14 +251,14 @@ s AS (
 )
 SELECT * FROM s
 WHERE (EMP_STATUS = 'TERMINATED' AND END_DT IS NULL)
-   OR (EMP_STATUS = 'ACTIVE' AND END_DT IS NOT NULL AND END_DT <= DATE '{S.D2}')""")
+   OR (EMP_STATUS = 'ACTIVE' AND END_DT IS NOT NULL AND END_DT <= DATE '{S.MID}')""")
 def q_status_consistency(spark, sf):
     d = S.dim_history(spark, sf, None, S.BATCH2)
     s = d.select("ENTITY_KEY", "EFF_DT",
                  F.when(F.col("STATUS") == "F", F.lit("TERMINATED")).when(F.col("STATUS") == "O", F.lit("ACTIVE"))
                  .otherwise(F.lit("LEAVE")).alias("EMP_STATUS"),
                  F.when(F.col("IS_CURRENT"), F.lit(None)).otherwise(F.col("DISC_DT")).alias("END_DT"))
-    return dq.status_consistency(s, "EMP_STATUS", "END_DT", S.D2)
+    return dq.status_consistency(s, "EMP_STATUS", "END_DT", S.MID)
 
 
 @query("dq_date_order", sql="""
@@ -366,17 +377,22 @@ def q_one_event(spark, sf):
     return dq.exactly_one(lifecycle(spark, sf), "EMPLOYEE_EIN", F.col("EVENT_TYPE") == "TERMINATION")
 
 
+# The fact has no such faults, so they are planted: every role change counts as lateral too, and
+# events of the first quarter carry their tenure in whole years.
 @query("dq_exclusive", sql=SQL_LIFE + """
-SELECT EMPLOYEE_EIN, EVENT_DATE FROM life WHERE IS_PROMOTION = true AND IS_LATERAL = true""")
+SELECT EMPLOYEE_EIN, EVENT_DATE FROM life WHERE IS_PROMOTION AND (IS_LATERAL OR EVENT_TYPE = 'ROLE_CHANGE')""")
 def q_exclusive(spark, sf):
-    return dq.exclusive_flags(lifecycle(spark, sf), "IS_PROMOTION", "IS_LATERAL").select("EMPLOYEE_EIN", "EVENT_DATE")
+    life = lifecycle(spark, sf).withColumn("IS_LATERAL", F.col("IS_LATERAL") | (F.col("EVENT_TYPE") == "ROLE_CHANGE"))
+    return dq.exclusive_flags(life, "IS_PROMOTION", "IS_LATERAL").select("EMPLOYEE_EIN", "EVENT_DATE")
 
 
 @query("dq_tolerance", sql=SQL_LIFE + """
-SELECT EMPLOYEE_EIN, EVENT_DATE, TENURE_DAYS, TENURE_YEARS FROM life
-WHERE abs(CAST(TENURE_YEARS AS DOUBLE) - TENURE_DAYS / 365.25) > 0.01""")
+SELECT EMPLOYEE_EIN, EVENT_DATE, TENURE_DAYS, TENURE_YEARS FROM (
+  SELECT * REPLACE (CAST(CASE WHEN EVENT_QUARTER = 1 THEN floor(TENURE_YEARS) ELSE TENURE_YEARS END AS DECIMAL(10,2)) AS TENURE_YEARS)
+  FROM life) WHERE abs(CAST(TENURE_YEARS AS DOUBLE) - TENURE_DAYS / 365.25) > 0.01""")
 def q_tolerance(spark, sf):
-    life = lifecycle(spark, sf)
+    life = lifecycle(spark, sf).withColumn("TENURE_YEARS", F.when(
+        F.col("EVENT_QUARTER") == 1, F.floor("TENURE_YEARS")).otherwise(F.col("TENURE_YEARS")).cast("decimal(10,2)"))
     chk = life.select("*", (F.col("TENURE_DAYS") / F.lit(365.25)).alias("_years"),
                       F.col("TENURE_YEARS").cast("double").alias("_ty"))
     return dq.tolerance(chk, "_ty", "_years", 0.01).select("EMPLOYEE_EIN", "EVENT_DATE", "TENURE_DAYS", "TENURE_YEARS")
@@ -387,10 +403,7 @@ SELECT EMPLOYEE_EIN, EVENT_DATE, EVENT_FISCAL_YEAR, EVENT_QUARTER, EVENT_MONTH F
 WHERE NOT (EVENT_FISCAL_YEAR BETWEEN 1996 AND 2100) OR NOT (EVENT_QUARTER BETWEEN 1 AND 4) OR NOT (EVENT_MONTH BETWEEN 1 AND 12)""")
 def q_range(spark, sf):
     life = lifecycle(spark, sf).select("EMPLOYEE_EIN", "EVENT_DATE", "EVENT_FISCAL_YEAR", "EVENT_QUARTER", "EVENT_MONTH")
-    y = dq.value_range(life, "EVENT_FISCAL_YEAR", 1996, 2100)
-    q = dq.value_range(life, "EVENT_QUARTER", 1, 4)
-    m = dq.value_range(life, "EVENT_MONTH", 1, 12)
-    return y.unionByName(q).unionByName(m).distinct()
+    return dq.any_out_of_range(life, [("EVENT_FISCAL_YEAR", 1996, 2100), ("EVENT_QUARTER", 1, 4), ("EVENT_MONTH", 1, 12)])
 
 
 @query("dq_flag_consistency", sql=SQL_LIFE + """
@@ -450,6 +463,8 @@ c AS (
   SELECT 'eff_gt_disc' AS CHECK_NAME, CAST((SELECT count(*) FROM versions WHERE DISC_DT < EFF_DT) AS BIGINT) AS FAILURES
   UNION ALL SELECT 'positive_acctbal', CAST((SELECT count(*) FROM customer WHERE c_acctbal <= 0) AS BIGINT)
   UNION ALL SELECT 'unique_orderkey', CAST((SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) AS BIGINT)
+  UNION ALL SELECT 'name_missing', CAST((SELECT count(*) FROM customer WHERE c_name IS NULL) AS BIGINT)
+  UNION ALL SELECT 'negative_discount', CAST((SELECT count(*) FROM lineitem WHERE l_discount < 0) AS BIGINT)
   UNION ALL SELECT 'self_reference', CAST((SELECT count(*) FROM lineitem WHERE l_partkey = l_suppkey) AS BIGINT)
 ),
 r AS (SELECT CHECK_NAME, FAILURES, CASE WHEN FAILURES = 0 THEN 'pass' ELSE 'warn' END AS STATUS FROM c)
@@ -462,8 +477,11 @@ FROM r""")
 def q_summary(spark, sf):
     checks = [
         ("eff_gt_disc", lambda: dq.eff_after_disc(order_versions(spark, sf))),
-        ("positive_acctbal", lambda: dq.positive_values(S.t(spark, sf, "customer"), "c_acctbal")),
         ("unique_orderkey", lambda: dq.duplicates(S.t(spark, sf, "orders"), ["o_orderkey"])),
-        ("self_reference", lambda: dq.self_reference(S.t(spark, sf, "lineitem"), "l_partkey", "l_suppkey")),
     ]
-    return dq.summary(dq.run_suite(checks))
+    row_checks = [
+        (S.t(spark, sf, "customer"), [("positive_acctbal", F.col("c_acctbal") <= 0), ("name_missing", F.col("c_name").isNull())]),
+        (S.t(spark, sf, "lineitem"), [("self_reference", F.col("l_partkey") == F.col("l_suppkey")),
+                                      ("negative_discount", F.col("l_discount") < 0)]),
+    ]
+    return dq.summary(dq.run_suite(checks, row_checks=row_checks))

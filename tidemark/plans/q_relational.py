@@ -5,17 +5,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import lit
-from tidemark.functions.hashing import NO_SCD2_TAGGED, PACKAGE_NULL_TOKEN, hash_change, hash_full, surrogate_key
-from tidemark.operators.delta import KeySource, changed_keys, incremental_star, with_reprocess
+from tidemark.functions.hashing import (
+    NO_SCD2_TAGGED, PACKAGE_NULL_TOKEN, hash_change, hash_full, hash_scd1, hash_scd2, surrogate_key,
+)
+from tidemark.operators.delta import KeySource, changed_keys, enrich_with_retry, incremental_star, with_reprocess
+from tidemark.operators.joins import star_join
 from tidemark.operators.lifecycle import LifecycleSpec, dq_score, lifecycle_events
 from tidemark.operators.merge import propagate_deletes
 from tidemark.plans import standins as S
 from tidemark.plans.q_joins import SQL_ROLLUP, order_rollup, star_left_join
 from tidemark.plans.registry import query
+from tidemark.sources.sinks import cut_lineage
 from tidemark.spec import TableSpec
 
 
@@ -162,19 +165,21 @@ LEFT JOIN (SELECT * FROM line_rollup WHERE o_custkey IN (SELECT CUST_KEY FROM ch
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def q_incremental_star(spark, sf):
     """K2: the driving table and every customer-keyed source are semi-joined to the changed
-    keys before the star join; the nation lookup is a bounded domain table."""
-    keys = _changed(spark, sf).withColumnRenamed("CUST_KEY", "c_custkey")
+    keys before the star join and before they are aggregated."""
+    keys = cut_lineage(_changed(spark, sf).withColumnRenamed("CUST_KEY", "c_custkey"))
     c = S.t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
-    r = order_rollup(spark, sf).withColumnRenamed("o_custkey", "c_custkey") \
+    changed = S.t(spark, sf, "orders").join(keys.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left_semi")
+    r = order_rollup(spark, sf, changed).withColumnRenamed("o_custkey", "c_custkey") \
         .select("c_custkey", "ORDER_COUNT", "LAST_ORDER_DATE", "TOTAL_PRICE")
-    o = S.t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
-    li = S.t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+    # lines of the changed customers' orders only: keys -> orders -> lines, then the aggregate
+    o = changed.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    li = S.t(spark, sf, "lineitem").join(o.select("l_orderkey"), "l_orderkey", "left_semi").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_qty"))
     lr = li.join(o, "l_orderkey").groupBy("c_custkey").agg(
         F.sum("_lines").cast("bigint").alias("LINE_COUNT"), F.sum("_qty").cast("decimal(38,2)").alias("TOTAL_QTY"))
-    star = incremental_star(c, [(r, ["c_custkey"]), (lr, ["c_custkey"])], keys, ["c_custkey"])
+    star = incremental_star(c, [(r, ["c_custkey"]), (lr, ["c_custkey"])], keys, ["c_custkey"], stage_keys=False)
     n = S.t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return star.join(F.broadcast(n), "c_nationkey", "left").select(
+    return star.join(n, "c_nationkey", "left").select(
         "c_custkey", "c_name", "ORDER_COUNT", "LAST_ORDER_DATE", "TOTAL_PRICE", "LINE_COUNT", "TOTAL_QTY", "n_name")
 
 
@@ -185,7 +190,7 @@ WITH first_run AS (
                              WHERE o_orderdate <= TIMESTAMP '{S.D1} 00:00:00' GROUP BY o_custkey) r
     ON c.c_custkey = r.o_custkey
 ), new_keys AS (
-  SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderdate > TIMESTAMP '{S.D2} 00:00:00'
+  SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderdate > TIMESTAMP '{S.MID} 00:00:00'
 ), pending AS (
   SELECT DISTINCT f.c_custkey FROM first_run f
   WHERE f.FIRST_ORDER_DATE IS NULL AND f.c_custkey IN (SELECT o_custkey FROM orders)
@@ -198,7 +203,7 @@ def q_enrich_reprocess(spark, sf):
     first = (o.filter(F.col("o_orderdate") <= lit(dt.datetime.combine(S.D1, dt.time())))
              .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("FIRST_ORDER_DATE")))
     target = S.t(spark, sf, "customer").select("c_custkey").join(first, "c_custkey", "left")
-    delta_keys = o.filter(F.col("o_orderdate") > lit(dt.datetime.combine(S.D2, dt.time()))) \
+    delta_keys = o.filter(F.col("o_orderdate") > lit(dt.datetime.combine(S.MID, dt.time()))) \
         .select(F.col("o_custkey").alias("c_custkey"))
     keys = with_reprocess(delta_keys, target, "c_custkey", "FIRST_ORDER_DATE", o, "o_custkey", "c_custkey")
     # dynamic lineage text: the second table is named only when its lookup matched (P25)
@@ -207,78 +212,138 @@ def q_enrich_reprocess(spark, sf):
     return keys.select("c_custkey", "PROCESS_TYPE", lineage.alias("LINEAGE"))
 
 
+# Customers (lookup key: their nation, unknown where the balance is negative) were first loaded
+# when the lookup held the nations of regions 0 and 1 only.
+@query("enrich_retry", sql=f"""
+WITH source AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS NATION_KEY FROM customer),
+target AS (SELECT c_custkey, NATION_KEY, n_name AS NATION FROM source LEFT JOIN nation ON NATION_KEY = n_nationkey AND n_regionkey < 2),
+new_keys AS (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderdate > TIMESTAMP '{S.MID} 00:00:00'),
+keys AS (
+  SELECT c_custkey, 'NEW' AS PROCESS_TYPE FROM new_keys
+  UNION ALL
+  SELECT c_custkey, 'REPROCESS' FROM target
+  WHERE NATION IS NULL AND NATION_KEY IN (SELECT n_nationkey FROM nation) AND c_custkey NOT IN (SELECT c_custkey FROM new_keys)
+)
+SELECT s.c_custkey, s.c_name, s.NATION_KEY, n.n_name, k.PROCESS_TYPE,
+       CASE WHEN n.n_nationkey IS NULL THEN 'customer' ELSE 'customer,nation' END AS LINEAGE
+FROM source s JOIN keys k USING (c_custkey) LEFT JOIN nation n ON s.NATION_KEY = n.n_nationkey""")
+def q_enrich_retry(spark, sf):
+    nation = S.t(spark, sf, "nation")
+    source = S.t(spark, sf, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")).alias("NATION_KEY"))
+    known = nation.filter(F.col("n_regionkey") < 2).select(F.col("n_nationkey").alias("NATION_KEY"), F.col("n_name").alias("NATION"))
+    target = source.join(known, "NATION_KEY", "left").select("c_custkey", "NATION_KEY", "NATION")
+    delta_keys = S.t(spark, sf, "orders").filter(F.col("o_orderdate") > lit(dt.datetime.combine(S.MID, dt.time()))) \
+        .select(F.col("o_custkey").alias("c_custkey"))
+    keys = with_reprocess(delta_keys, target, "c_custkey", "NATION", nation, "n_nationkey", "NATION_KEY")
+    return enrich_with_retry(source, keys, "c_custkey", nation, "NATION_KEY", "n_nationkey", ["n_name"],
+                             names=("customer", "nation"))
+
+
+# A star on a two-column key (order, supplier) with eleven branches: eight measures on the key
+# itself, two dimensions of its parts, and one reached through a bridge (supplier -> nation).
+STAR_FLAGS = ("R", "A", "N")
+STAR_STATES = ("O", "F")
+_STAR_CELLS = [(f, st) for f in STAR_FLAGS for st in STAR_STATES]
+
+
+@query("star_composite", sql=f"""
+WITH k AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem),
+{", ".join(f"b{i} AS (SELECT l_orderkey, l_suppkey, CAST(count(*) AS BIGINT) AS LINES_{f}{st} FROM lineitem WHERE l_returnflag = '{f}' AND l_linestatus = '{st}' GROUP BY ALL)" for i, (f, st) in enumerate(_STAR_CELLS))},
+ship AS (SELECT l_orderkey, l_suppkey, max(l_shipdate) AS LAST_SHIP FROM lineitem GROUP BY ALL),
+qty AS (SELECT l_orderkey, l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS QTY FROM lineitem GROUP BY ALL)
+SELECT k.*, {", ".join(f"LINES_{f}{st}" for f, st in _STAR_CELLS)}, LAST_SHIP, QTY, o_orderstatus, s_name, n_name
+FROM k {" ".join(f"LEFT JOIN b{i} USING (l_orderkey, l_suppkey)" for i in range(len(_STAR_CELLS)))}
+LEFT JOIN ship USING (l_orderkey, l_suppkey) LEFT JOIN qty USING (l_orderkey, l_suppkey)
+LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey""")
+def q_star_composite(spark, sf):
+    li = S.t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
+    key = ["l_orderkey", "l_suppkey"]
+    cells = [li.filter((F.col("l_returnflag") == f) & (F.col("l_linestatus") == st)).groupBy(*key)
+             .agg(F.count(F.lit(1)).alias(f"LINES_{f}{st}")) for f, st in _STAR_CELLS]
+    ship = li.groupBy(*key).agg(F.max("l_shipdate").alias("LAST_SHIP"))
+    qty = li.groupBy(*key).agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("QTY"))
+    orders = S.t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    bridge = (S.t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey"))
+              .join(S.t(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey", "left").drop("n_nationkey"))
+    # every branch on the composite key is grouped and joined in the same hash partitioning
+    return star_join(li.select(*key).distinct(), [*[(b, key) for b in cells], (ship, key), (qty, key),
+                                                  (orders, "l_orderkey"), (bridge, "l_suppkey")])
+
+
 # ----------------------------------------------------------------------------- F1, F2
 
 LIFE_SPEC = LifecycleSpec(key="ENTITY_KEY", eff="EFF_DT", status="EMPLOYEE_STATUS", job="PRIORITY",
-                          division="PRICE_BAND", supervisor=None, hire_date="HIRE_DATE", sk="ENTITY_SK")
+                          division="PRICE_BAND", supervisor="STATUS", hire_date="HIRE_DATE", sk="ENTITY_SK",
+                          source_system="SOURCE_SYSTEM", data_source="DIM_ENTITY")
 
 
 def lifecycle_input(spark, sf):
     """The fact reads the dimension's non-deleted rows (P20): deletes are propagated to
     every version of a key (C3) and the fact drops those keys (trap T19)."""
     from tidemark.functions.expr import active_only
-    d = active_only(deleted_dim(spark, sf), "IS_DELETED")
-    w = Window.partitionBy("ENTITY_KEY")
+    d = cut_lineage(active_only(deleted_dim(spark, sf), "IS_DELETED"))     # read for the rows and the hire dates
+    first = d.groupBy("ENTITY_KEY").agg(F.min("EFF_DT").alias("HIRE_DATE"))      # map-side, no key window
     status = F.when(F.col("STATUS") == "F", F.lit("TERM")).when(F.col("STATUS") == "P", F.lit("LOA")) \
         .otherwise(F.lit("ACTIVE"))
-    return d.select("*", status.alias("EMPLOYEE_STATUS"), F.min("EFF_DT").over(w).alias("HIRE_DATE"))
+    return d.select("*", status.alias("EMPLOYEE_STATUS"), F.lit("ORDERS").alias("SOURCE_SYSTEM")) \
+        .join(first, "ENTITY_KEY", "left")
 
 
 def lifecycle(spark, sf):
-    return lifecycle_events(lifecycle_input(spark, sf), LIFE_SPEC)
-
-
-SQL_LIFE = DIM_FULL + """,
-latest_status AS (
-  SELECT o_custkey, o_orderstatus FROM orders
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) = 1
-),
-li AS (
-  SELECT *, CASE WHEN STATUS = 'F' THEN 'TERM' WHEN STATUS = 'P' THEN 'LOA' ELSE 'ACTIVE' END AS EMPLOYEE_STATUS,
-         min(EFF_DT) OVER (PARTITION BY ENTITY_KEY) AS HIRE_DATE
-  FROM dim
-  WHERE NOT EXISTS (SELECT 1 FROM latest_status l WHERE l.o_custkey = dim.ENTITY_KEY AND l.o_orderstatus = 'F')
-),
-v AS (
-  SELECT *, lag(EMPLOYEE_STATUS) OVER w AS PREV_STATUS, lag(PRIORITY) OVER w AS PREV_JOB,
-         lag(PRICE_BAND) OVER w AS PREV_DIV, lag(EFF_DT) OVER w AS PREV_EVENT_DATE,
-         row_number() OVER w AS VNUM
-  FROM li WINDOW w AS (PARTITION BY ENTITY_KEY ORDER BY EFF_DT)
+    return lifecycle_events(lifecycle_input(spark, sf), LIFE_SPEC, batch=S.BATCH2, run_ts=S.RUN2)
+
+
+# The events as rules over a version (v), its predecessor (p, none: first version) and the key's
+# first version (f). The event labels in order of precedence, the tenure bands and
+# the divisors.
+LIFE_EVENTS = (
+    ("HIRE", "p.VERSION_NUM IS NULL"),
+    ("TERMINATION", "v.STATE = 'TERM' AND p.STATE <> 'TERM'"),
+    ("LOA", "v.STATE = 'LOA' AND p.STATE <> 'LOA'"),
+    ("RETURN", "p.STATE = 'LOA' AND v.STATE = 'ACTIVE'"),
+    ("ORG_TRANSFER", "v.PRICE_BAND <> p.PRICE_BAND"),
+    ("ROLE_CHANGE", "v.PRIORITY <> p.PRIORITY"),
+    ("PROFILE_UPDATE", "true"),
+)
+LIFE_BANDS = "(0, 364, '<1 year'), (365, 1094, '1-3 years'), (1095, 1824, '3-5 years'), (1825, 1000000, '5+ years')"
+_EVENT = "coalesce(" + ", ".join(f"CASE WHEN {test} THEN '{label}' END" for label, test in LIFE_EVENTS) + ")"
+_STAMP = f"CAST({S.BATCH2} AS DECIMAL(18,0))"
+_LOADED = f"TIMESTAMP '{S.RUN2.isoformat(sep=' ')}'"
+
+SQL_LIFE = DIM_FULL + f""",
+gone AS (SELECT o_custkey FROM (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS s FROM orders GROUP BY o_custkey)
+         WHERE s = 'F'),
+version AS (
+  SELECT *, CASE STATUS WHEN 'F' THEN 'TERM' WHEN 'P' THEN 'LOA' ELSE 'ACTIVE' END AS STATE FROM dim ANTI JOIN gone ON o_custkey = ENTITY_KEY
 ),
 life AS (
-  SELECT md5(coalesce(CAST(ENTITY_KEY AS VARCHAR), '') || '-' || coalesce(CAST(EFF_DT AS VARCHAR), '')) AS LIFECYCLE_SK,
-    ENTITY_SK AS EMPLOYEE_SK, ENTITY_KEY AS EMPLOYEE_EIN, CAST(EFF_DT AS DATE) AS EVENT_DATE,
-    CASE WHEN VNUM = 1 THEN 'HIRE'
-         WHEN upper(trim(EMPLOYEE_STATUS)) IN ('TERM', 'T') AND (PREV_STATUS IS NULL OR upper(trim(PREV_STATUS)) NOT IN ('TERM', 'T')) THEN 'TERMINATION'
-         WHEN upper(trim(EMPLOYEE_STATUS)) = 'LOA' AND (PREV_STATUS IS NULL OR upper(trim(PREV_STATUS)) <> 'LOA') THEN 'LOA'
-         WHEN upper(trim(PREV_STATUS)) = 'LOA' AND upper(trim(EMPLOYEE_STATUS)) NOT IN ('LOA', 'TERM', 'T') THEN 'RETURN'
-         WHEN PRICE_BAND <> PREV_DIV THEN 'ORG_TRANSFER'
-         WHEN PRIORITY <> PREV_JOB THEN 'ROLE_CHANGE'
-         ELSE 'PROFILE_UPDATE' END AS EVENT_TYPE,
-    CAST(year(EFF_DT) AS INTEGER) AS EVENT_FISCAL_YEAR, CAST(quarter(EFF_DT) AS INTEGER) AS EVENT_QUARTER,
-    CAST(month(EFF_DT) AS INTEGER) AS EVENT_MONTH,
-    CAST(datediff('day', HIRE_DATE, EFF_DT) AS INTEGER) AS TENURE_DAYS,
-    CAST(round(datediff('day', HIRE_DATE, EFF_DT) / 30.44, 1) AS DECIMAL(10,1)) AS TENURE_MONTHS,
-    CAST(round(datediff('day', HIRE_DATE, EFF_DT) / 365.25, 2) AS DECIMAL(10,2)) AS TENURE_YEARS,
-    CASE WHEN datediff('day', HIRE_DATE, EFF_DT) < 365 THEN '<1 year'
-         WHEN datediff('day', HIRE_DATE, EFF_DT) < 1095 THEN '1-3 years'
-         WHEN datediff('day', HIRE_DATE, EFF_DT) < 1825 THEN '3-5 years' ELSE '5+ years' END AS TENURE_BAND,
-    CAST(datediff('day', PREV_EVENT_DATE, EFF_DT) AS INTEGER) AS DAYS_SINCE_LAST_EVENT,
-    CASE WHEN upper(EMPLOYEE_STATUS) IN ('TERM', 'T') AND (PREV_STATUS IS NULL OR upper(PREV_STATUS) NOT IN ('TERM', 'T'))
-         THEN true ELSE false END AS IS_TERMINATION,
-    PREV_JOB AS PREV_JOB_CODE, PRIORITY AS NEW_JOB_CODE,
-    CASE WHEN PRIORITY IS NOT NULL AND PREV_JOB IS NOT NULL AND PRIORITY <> PREV_JOB AND PRIORITY > PREV_JOB
-         THEN true ELSE false END AS IS_PROMOTION,
-    CASE WHEN PRIORITY IS NOT NULL AND PREV_JOB IS NOT NULL AND PRIORITY <> PREV_JOB AND PRIORITY <= PREV_JOB
-         THEN true ELSE false END AS IS_LATERAL,
-    CAST(PREV_DIV AS INTEGER) AS PREV_DIVISION_NUMBER, CAST(PRICE_BAND AS INTEGER) AS NEW_DIVISION_NUMBER,
-    CASE WHEN PRICE_BAND IS NOT NULL AND PREV_DIV IS NOT NULL AND PRICE_BAND <> PREV_DIV THEN true ELSE false END
-      AS IS_DIVISION_CHANGE,
-    CAST(CASE WHEN ENTITY_KEY IS NOT NULL AND EFF_DT IS NOT NULL AND ENTITY_SK IS NOT NULL THEN 100.00 ELSE 0.00 END
-         AS DECIMAL(5,2)) AS DQ_SCORE,
-    CASE WHEN ENTITY_KEY IS NOT NULL AND EFF_DT IS NOT NULL AND ENTITY_SK IS NOT NULL THEN 'PASSED' ELSE 'FAILED' END
-      AS DQ_STATUS
-  FROM v
+  SELECT md5(concat(v.ENTITY_KEY, '-', v.EFF_DT)) AS LIFECYCLE_SK, v.ENTITY_SK AS EMPLOYEE_SK,
+    v.ENTITY_KEY AS EMPLOYEE_EIN, v.EFF_DT AS EVENT_DATE, {_EVENT} AS EVENT_TYPE,
+    CAST(extract(year FROM v.EFF_DT) AS INTEGER) AS EVENT_FISCAL_YEAR,
+    CAST(extract(quarter FROM v.EFF_DT) AS INTEGER) AS EVENT_QUARTER,
+    CAST(extract(month FROM v.EFF_DT) AS INTEGER) AS EVENT_MONTH,
+    CAST(v.EFF_DT - f.EFF_DT AS INTEGER) AS TENURE_DAYS,
+    CAST(round((v.EFF_DT - f.EFF_DT) / 30.44, 1) AS DECIMAL(10,1)) AS TENURE_MONTHS,
+    CAST(round((v.EFF_DT - f.EFF_DT) / 365.25, 2) AS DECIMAL(10,2)) AS TENURE_YEARS, b.label AS TENURE_BAND,
+    CAST(v.EFF_DT - p.EFF_DT AS INTEGER) AS DAYS_SINCE_LAST_EVENT,
+    v.STATE = 'TERM' AND p.STATE IS DISTINCT FROM 'TERM' AS IS_TERMINATION,
+    p.PRIORITY AS PREV_JOB_CODE, v.PRIORITY AS NEW_JOB_CODE,
+    coalesce(v.PRIORITY > p.PRIORITY, false) AS IS_PROMOTION, coalesce(v.PRIORITY < p.PRIORITY, false) AS IS_LATERAL,
+    p.PRICE_BAND AS PREV_DIVISION_NUMBER, v.PRICE_BAND AS NEW_DIVISION_NUMBER,
+    coalesce(v.PRICE_BAND <> p.PRICE_BAND, false) AS IS_DIVISION_CHANGE,
+    p.STATUS AS PREV_SUPERVISOR_EIN, v.STATUS AS NEW_SUPERVISOR_EIN, CAST(NULL AS BOOLEAN) AS IS_VOLUNTARY_TERM,
+    CAST(NULL AS VARCHAR) AS TERM_REASON_CODE, CAST(NULL AS VARCHAR) AS TERM_REASON_DESC,
+    CAST(100 AS DECIMAL(5,2)) AS DQ_SCORE, 'PASSED' AS DQ_STATUS,     -- no version lacks a key, a date or a surrogate key
+    {_STAMP} AS INS_BATCH_ID, {_STAMP} AS UPD_BATCH_ID, 'ORDERS' AS SOURCE_SYSTEM, 'DIM_ENTITY' AS PRIMARY_DATA_SOURCE,
+    {_LOADED} AS CDM_INSERT_TIMESTAMP, {_LOADED} AS CDM_UPDATE_TIMESTAMP,
+    md5(concat_ws('|', v.ENTITY_KEY, v.EFF_DT, v.PRIORITY, v.PRICE_BAND, v.STATUS, v.STATE)) AS HASH_CHANGE,
+    md5(concat_ws('|', v.ENTITY_KEY, v.EFF_DT, v.ENTITY_SK, v.PRIORITY, v.PRICE_BAND, v.STATUS, v.STATE, f.EFF_DT)) AS HASH_FULL,
+    'INSERT' AS OPERATION_TYPE
+  FROM version v
+  JOIN version f ON f.ENTITY_KEY = v.ENTITY_KEY AND f.VERSION_NUM = 1
+  LEFT JOIN version p ON p.ENTITY_KEY = v.ENTITY_KEY AND p.VERSION_NUM = v.VERSION_NUM - 1
+  JOIN (VALUES {LIFE_BANDS}) b(lo, hi, label) ON v.EFF_DT - f.EFF_DT BETWEEN lo AND hi
 )"""
 
 
@@ -387,12 +452,20 @@ def _order_hashes(spark, sf):
     return x.select("*", hash_change(ORDER_SPEC).alias("HASH_CHANGE"), hash_full(ORDER_SPEC).alias("HASH_FULL"))
 
 
+ORDER_SCD_SPEC = TableSpec(columns=("ORDER_KEY", "STATUS", "PRIORITY", "PRICE_BAND"), scd2=("STATUS",),
+                           scd1=("PRIORITY", "PRICE_BAND"))
+
+
 @query("hash_scd", sql=f"""
-WITH {S.sql_snapshot_source("src", S.D2, S.BATCH2)}
-SELECT ENTITY_KEY, HASH_SCD2, HASH_SCD1, md5('{NO_SCD2_TAGGED}') AS HASH_UNTAGGED FROM src""")
+SELECT o_orderkey AS ORDER_KEY, md5(coalesce(o_orderstatus, '')) AS HASH_SCD2,
+       md5(coalesce(o_orderpriority, '') || '||' || coalesce(CAST(CAST(floor(o_totalprice / 100000) AS INTEGER) AS VARCHAR), '')) AS HASH_SCD1,
+       md5('{NO_SCD2_TAGGED}') AS HASH_UNTAGGED FROM orders""")
 def q_hash_scd(spark, sf):
-    s = S.snapshot_source(spark, sf, S.D2, S.BATCH2)
-    return s.select("ENTITY_KEY", "HASH_SCD2", "HASH_SCD1", F.md5(F.lit(NO_SCD2_TAGGED)).alias("HASH_UNTAGGED"))
+    o = S.t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("ORDER_KEY"), F.col("o_orderstatus").alias("STATUS"),
+        F.col("o_orderpriority").alias("PRIORITY"), F.floor(F.col("o_totalprice") / 100000).cast("int").alias("PRICE_BAND"))
+    return o.select("ORDER_KEY", hash_scd2(ORDER_SCD_SPEC).alias("HASH_SCD2"), hash_scd1(ORDER_SCD_SPEC).alias("HASH_SCD1"),
+                    hash_scd2(TableSpec(columns=("ORDER_KEY",))).alias("HASH_UNTAGGED"))
 
 
 # ----------------------------------------------------------------------------- C3, A15

@@ -12,7 +12,7 @@ from tidemark.operators.merge import ACTION, append
 from tidemark.plans import standins as S
 from tidemark.plans.q_joins import star_left_join
 from tidemark.plans.registry import query
-from tidemark.sources.sinks import AUDIT_SCHEMA, append_run_audit, conform, enforce_contract
+from tidemark.sources.sinks import AUDIT_SCHEMA, append_run_audit, conform, contract_violations
 from tidemark.sources.tables import lookup_values
 
 # Inline status lookup (code, label, sort order).
@@ -43,18 +43,26 @@ def append_only(spark, sf):
 
 @query("schema_append", sql="""
 SELECT c_custkey AS PARTY_KEY, c_name AS PARTY_NAME, CAST(c_nationkey AS BIGINT) AS NATION_KEY,
-       CAST(NULL AS DECIMAL(18,2)) AS BALANCE
+       CAST(c_acctbal AS DECIMAL(18,2)) AS BALANCE, TIMESTAMP '2025-01-01 06:30:00' AS LOADED,
+       CAST(c_custkey AS BIGINT) AS SEQ, CAST(NULL AS VARCHAR) AS ADDRESS
 FROM customer
 UNION ALL
-SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier""")
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), CAST(CAST(s_acctbal AS INTEGER) AS DECIMAL(18,2)),
+       CAST(DATE '2025-01-02' AS TIMESTAMP), CAST(s_suppkey % 1000 AS BIGINT), s_name FROM supplier""")
 def schema_append(spark, sf):
     target = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("PARTY_KEY"),
                                                F.col("c_name").alias("PARTY_NAME"),
-                                               F.col("c_nationkey").alias("NATION_KEY"))          # int
+                                               F.col("c_nationkey").cast("int").alias("NATION_KEY"),
+                                               F.col("c_acctbal").cast("decimal(18,2)").alias("BALANCE"),
+                                               lit(dt.datetime(2025, 1, 1, 6, 30)).alias("LOADED"),
+                                               F.col("c_custkey").cast("bigint").alias("SEQ"))
     source = S.t(spark, sf, "supplier").select(F.col("s_suppkey").alias("PARTY_KEY"),
                                                F.col("s_name").alias("PARTY_NAME"),
                                                F.col("s_nationkey").cast("bigint").alias("NATION_KEY"),  # wider
-                                               F.col("s_acctbal").cast("decimal(18,2)").alias("BALANCE"))  # new
+                                               F.round("s_acctbal").cast("int").alias("BALANCE"),          # narrower
+                                               F.lit(dt.date(2025, 1, 2)).alias("LOADED"),                 # narrower
+                                               (F.col("s_suppkey") % 1000).cast("smallint").alias("SEQ"),  # narrower
+                                               F.col("s_name").alias("ADDRESS"))                           # new
     t2, s2 = conform(target, source)
     return t2.unionByName(s2)
 
@@ -62,8 +70,10 @@ def schema_append(spark, sf):
 CONTRACT = T.StructType([
     T.StructField("c_custkey", T.LongType(), False),
     T.StructField("ORDER_COUNT", T.LongType(), False),
-    T.StructField("OPEN_ORDERS", T.LongType(), False),
     T.StructField("LINE_COUNT", T.LongType(), True),
+    T.StructField("OPEN_ORDERS", T.LongType(), False),
+    T.StructField("TOTAL_PRICE", T.DecimalType(18, 2), True),
+    T.StructField("REGION_KEY", T.IntegerType(), True),
 ])
 
 
@@ -74,13 +84,16 @@ s AS (
   SELECT c.c_custkey, r.ORDER_COUNT, oo.OPEN_ORDERS
   FROM customer c LEFT JOIN rollup r ON c.c_custkey = r.o_custkey LEFT JOIN open_orders oo ON c.c_custkey = oo.o_custkey
 )
-SELECT CAST(count(*) FILTER (WHERE c_custkey IS NULL) AS BIGINT) AS c_custkey,
-       CAST(count(*) FILTER (WHERE ORDER_COUNT IS NULL) AS BIGINT) AS ORDER_COUNT,
-       CAST(count(*) FILTER (WHERE OPEN_ORDERS IS NULL) AS BIGINT) AS OPEN_ORDERS
-FROM s""")
-def contract_violations(spark, sf):
-    shaped, counts = enforce_contract(star_left_join(spark, sf), CONTRACT)
-    return counts
+SELECT * FROM (VALUES
+  ('REGION_KEY', 'missing', 'int', '-', CAST(NULL AS BIGINT)), ('n_name', 'extra', '-', 'string', NULL),
+  ('TOTAL_PRICE', 'type', 'decimal(18,2)', 'decimal(38,2)', NULL),
+  ('LINE_COUNT', 'order', '2', '3', NULL), ('OPEN_ORDERS', 'order', '3', '2', NULL)) t("column", breach, declared, found, n)
+UNION ALL SELECT 'ORDER_COUNT', 'null', 'not null', 'null', count(*) FROM s WHERE ORDER_COUNT IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'OPEN_ORDERS', 'null', 'not null', 'null', count(*) FROM s WHERE OPEN_ORDERS IS NULL HAVING count(*) > 0""")
+def q_contract_violations(spark, sf):
+    """The star table, with some columns left out, against a contract it breaks in every way."""
+    star = star_left_join(spark, sf).select("c_custkey", "n_name", "ORDER_COUNT", "OPEN_ORDERS", "LINE_COUNT", "TOTAL_PRICE")
+    return contract_violations(star, CONTRACT)
 
 
 AUDIT_AS_OF = dt.datetime(2001, 8, 1)

@@ -14,6 +14,12 @@ def trim_string(expr: str) -> str:
     return f"trim(regexp_replace({expr}, ' +', ' ', 'g'))"
 
 
+def pad_left(expr: str, width: int) -> str:
+    """Zero-padded to `width`; longer texts stay whole (DuckDB's lpad cuts them)."""
+    x = f"CAST({expr} AS VARCHAR)"
+    return f"repeat('0', greatest(0, {width} - length({x}))) || {x}"
+
+
 def md5_concat(cols: Sequence[str], sep: str, null_token: str = "") -> str:
     parts = [f"coalesce(CAST({c} AS VARCHAR), '{null_token}')" for c in cols]
     glue = f" || '{sep}' || " if sep else " || "

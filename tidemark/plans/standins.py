@@ -10,7 +10,8 @@ Mapping of the reference's concepts onto the driver tables:
                        'D' when event_type = 'error', PK change when event_type = 'signup'
                        with the before-image key in props $.k
   staging loads        orders, one load per order year (STG_INSERT_TIMESTAMP = Jan 1st)
-Every stand-in reads whole tables; the dates below only position "runs" in time.
+The first dimension run holds the orders up to D1; every later run reads the whole table, so
+the runs together cover every order. D2 lies past the last order date and only stamps the run.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.scd import OPEN_DATE, scd2_from_history
 from tidemark.sources.tables import read_source
 
-# Fixed run positions (parameters of the scenario, not row filters).
-D1 = dt.date(1998, 1, 1)          # first dimension run
-D2 = dt.date(1999, 1, 1)          # second dimension run
+# Fixed run positions of the scenario.
+D1 = dt.date(1998, 1, 1)          # first dimension run: orders up to this day
+D2 = dt.date(2002, 1, 1)          # second dimension run: all orders, stamped with this day
 RUN1 = dt.datetime(1998, 1, 1, 6, 0, 0)
-RUN2 = dt.datetime(1999, 1, 1, 6, 0, 0)
+RUN2 = dt.datetime(2002, 1, 1, 6, 0, 0)
 BATCH1 = 19980101060000000
-BATCH2 = 19990101060000000
+BATCH2 = 20020101060000000
+MID = dt.date(1999, 1, 1)         # a day inside the data, for checks and deltas as of a day
 CDC_FIRST_LOAD = dt.datetime(2024, 1, 22, 0, 0, 0)   # first (history) load of the CDC target
 CDC_RUN = dt.datetime(2024, 2, 1, 0, 0, 0)
 CDC_BATCH = 20240201000000000
@@ -85,11 +87,14 @@ def dim_history(spark, sf, cutoff: dt.date | None = None, batch: int = BATCH1) -
         "VERSION_NUM")
 
 
-def snapshot_source(spark, sf, day: dt.date, batch: int, stamp_day: dt.date | None = None) -> DataFrame:
-    """Dimension source rows: the latest state per customer as of `day`, stamped as a run
-    on `stamp_day` (default `day`): EFF_DT and the surrogate key use the stamp day."""
+def snapshot_source(spark, sf, day: dt.date | None, batch: int, stamp_day: dt.date | None = None) -> DataFrame:
+    """Dimension source rows: the latest state per customer as of `day` (None: of the whole
+    table), stamped as a run on `stamp_day` (default `day`): EFF_DT and the surrogate key use
+    the stamp day."""
     stamp = stamp_day or day
-    o = t(spark, sf, "orders").filter(F.col("o_orderdate") <= lit(dt.datetime.combine(day, dt.time())))
+    o = t(spark, sf, "orders")
+    if day is not None:
+        o = o.filter(F.col("o_orderdate") <= lit(dt.datetime.combine(day, dt.time())))
     e = o.select(*_entity_cols(), F.col("o_orderdate").alias("_od"))
     snap = _with_scd_hashes(latest_per_key(e, ["ENTITY_KEY"], ["_od"], ["SRC_ORDERKEY"]))
     return snap.select(
@@ -144,8 +149,9 @@ def sql_dim_history(name: str = "dim", cutoff: dt.date | None = None, batch: int
     return SQL_DAILY.format(n=n or name, where=where, name=name, batch=batch).strip()
 
 
-def sql_snapshot_source(name: str, day: dt.date, batch: int, stamp_day: dt.date | None = None) -> str:
+def sql_snapshot_source(name: str, day: dt.date | None, batch: int, stamp_day: dt.date | None = None) -> str:
     stamp = stamp_day or day
+    where = "" if day is None else f"WHERE o_orderdate <= TIMESTAMP '{day.isoformat()} 00:00:00'"
     return f"""
 {name} AS (
   SELECT md5(coalesce(CAST(o_custkey AS VARCHAR), '') || '-' || '{stamp.isoformat()}') AS ENTITY_SK,
@@ -156,7 +162,7 @@ def sql_snapshot_source(name: str, day: dt.date, batch: int, stamp_day: dt.date
              coalesce(CAST(CAST(FLOOR(o_totalprice / 100000) AS INTEGER) AS VARCHAR), '')) AS HASH_SCD1,
          DATE '{stamp.isoformat()}' AS EFF_DT, DATE '9999-12-31' AS DISC_DT, true AS IS_CURRENT,
          CAST({batch} AS BIGINT) AS INS_BATCH_ID, CAST({batch} AS BIGINT) AS UPD_BATCH_ID
-  FROM orders WHERE o_orderdate <= TIMESTAMP '{day.isoformat()} 00:00:00'
+  FROM orders {where}
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST,
                                                            o_orderkey DESC NULLS FIRST) = 1
 )""".strip()

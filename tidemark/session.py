@@ -1,8 +1,9 @@
 """Spark session helpers.
 
 On a cluster the session comes from the launcher; `build_session` is for tests and
-the bench. `checkpoint_dir` reads `spark.checkpoint.dir` from the running session and
-only falls back to a scratch folder when the setting is unset (local runs, tests).
+the bench. `checkpoint_dir` reads `spark.checkpoint.dir` from the running session and fails
+when a cluster leaves it unset; a single-process session (master local[...]), whose driver and
+executors are one machine, then gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tidemark") -> SparkSession:
+                  app_name: str = "tidemark", checkpoint: str | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
@@ -30,8 +31,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "6g"))
     )
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -40,8 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cutting lineage (checkpoint() or written tables).
 
-    Uses the cluster's `spark.checkpoint.dir`. Only when it is unset (tests, local
-    runs) a scratch folder is created and registered on the session.
+    Uses the cluster's `spark.checkpoint.dir`. Without it, tables written by one executor
+    would be lost to the others, so this raises, except in a single-process session.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,6 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc_dir is None:
             sc.setCheckpointDir(conf_dir)      # the cluster's shared folder, set at runtime
         return sc_dir or conf_dir
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that the driver "
+                           "and all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

@@ -23,6 +23,7 @@ from tidemark.session import checkpoint_dir
 
 
 VERSIONS = "_versions"
+VERSION_LOG = "path string, published_at timestamp_ntz, stream string, epoch bigint"
 
 
 def _join(root: str, *parts: str) -> str:
@@ -30,12 +31,13 @@ def _join(root: str, *parts: str) -> str:
 
 
 def write_staged(df: DataFrame, table_dir: str, partition_by: Sequence[str] = (),
-                 mode: str = "overwrite") -> str:
+                 mode: str = "overwrite", stream: str | None = None, epoch: int | None = None) -> str:
     """Full rebuild sink (A4): write the new version to `<table_dir>/v-<time>-<uuid>`, then
     publish it by appending one row to the table's `_versions` log. Both steps are Spark
     jobs, so this works on any file system the cluster uses; each job's commit makes its
     files appear whole, so readers see either the previous or the new version, never a
-    half-written one. Returns the new version's path."""
+    half-written one. `stream` and `epoch` name the micro-batch that the version holds
+    (`last_epoch` reads them). Returns the new version's path."""
     spark = df.sparkSession
     stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     version = _join(table_dir, f"v-{stamp.strftime('%Y%m%d%H%M%S%f')}-{uuid.uuid4().hex[:12]}")
@@ -43,7 +45,7 @@ def write_staged(df: DataFrame, table_dir: str, partition_by: Sequence[str] = ()
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    (spark.createDataFrame([(version, stamp)], "path string, published_at timestamp_ntz")
+    (spark.createDataFrame([(version, stamp, stream, epoch)], VERSION_LOG)
      .write.mode("append").parquet(_join(table_dir, VERSIONS)))
     return version
 
@@ -59,13 +61,55 @@ def _try_read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
 
 def read_current(spark: SparkSession, table_dir: str) -> DataFrame | None:
     """The latest published version of a table written by `write_staged` (None if none)."""
-    log = _try_read(spark, _join(table_dir, VERSIONS), "path string, published_at timestamp_ntz")
+    log = _try_read(spark, _join(table_dir, VERSIONS), VERSION_LOG)
     if log is None:
         return None
     latest = log.orderBy(F.col("published_at").desc(), F.col("path").desc()).limit(1).collect()
     return spark.read.parquet(latest[0]["path"]) if latest else None
 
 
+def last_epoch(spark: SparkSession, table_dir: str, stream: str) -> int | None:
+    """The last micro-batch of `stream` that was published to the table (None: none)."""
+    log = _try_read(spark, _join(table_dir, VERSIONS), VERSION_LOG)
+    return None if log is None else log.filter(F.col("stream") == stream).agg(F.max("epoch")).first()[0]
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop file system and path: works on whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_staged(spark: SparkSession, older_than: _dt.timedelta = _dt.timedelta(days=1)) -> int:
+    """Delete tables that `cut_lineage` left under `<checkpoint>/tables` longer ago than
+    `older_than` (choose more than the longest run that may still read them). Their number."""
+    fs, root = _files(spark, _join(checkpoint_dir(spark), "tables"))
+    if not fs.exists(root):
+        return 0
+    limit = _dt.datetime.now().timestamp() - older_than.total_seconds()
+    old = [s.getPath() for s in fs.listStatus(root) if s.getModificationTime() / 1000 < limit]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
+def vacuum(spark: SparkSession, table_dir: str, keep: int = 2) -> int:
+    """Delete the data of all versions of a `write_staged` table but the `keep` published last,
+    and of versions that were never published before those. The versions log stays whole, as
+    one small row per version. The number of versions deleted."""
+    log = _try_read(spark, _join(table_dir, VERSIONS), VERSION_LOG)
+    if log is None or keep < 1:
+        return 0
+    last = [r["path"].rstrip("/").rsplit("/", 1)[1] for r in
+            log.filter("path IS NOT NULL").orderBy(F.col("published_at").desc(), F.col("path").desc()).limit(keep).collect()]
+    fs, root = _files(spark, table_dir)
+    gone = [s.getPath() for s in fs.listStatus(root)
+            if s.getPath().getName().startswith("v-") and s.getPath().getName() < min(last) and s.getPath().getName() not in last]
+    for p in gone:
+        fs.delete(p, True)
+    return len(gone)
+
+
 def table_path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet table exists at `path`, asked through Spark (any file system)."""
     return _try_read(spark, path) is not None
@@ -82,37 +126,62 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_WIDER = {
-    ("int", "bigint"): "bigint", ("bigint", "int"): "bigint",
-    ("float", "double"): "double", ("double", "float"): "double",
-    ("int", "double"): "double", ("bigint", "double"): "double",
-}
-
-
 def conform(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Append-new-columns schema evolution (A9): the target gains the source's new
     columns (NULL), the source gains the target's missing ones, and shared columns are
-    widened to a common type. Returns (target, source) with identical schemas."""
+    widened to the common type that Spark's own union resolves, so no value is narrowed
+    (string meets string: anything else is turned into its text). Types without a common
+    one fail. Returns (target, source) with identical schemas."""
     tt, st = dict(target.dtypes), dict(source.dtypes)
-    cols = list(target.columns) + [c for c in source.columns if c not in tt]
-    tsel, ssel = [], []
-    for c in cols:
-        a, b = tt.get(c), st.get(c)
-        if a and b and a != b:
-            typ = _WIDER.get((a, b)) or ("string" if "string" in (a, b) else b)
-        else:
-            typ = a or b
-        tsel.append((F.col(c) if a else F.lit(None)).cast(typ).alias(c))
-        ssel.append((F.col(c) if b else F.lit(None)).cast(typ).alias(c))
-    return target.select(*tsel), source.select(*ssel)
+    text = [c for c in tt if c in st and tt[c] != st[c] and "string" in (tt[c], st[c])]
+    target = target.withColumns({c: F.col(c).cast("string") for c in text})
+    source = source.withColumns({c: F.col(c).cast("string") for c in text})
+    common = target.limit(0).unionByName(source.limit(0), allowMissingColumns=True).schema
+
+    def shaped(df):
+        return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in common.fields])
+
+    return shaped(target), shaped(source)
+
+
+def contract_breaches(df: DataFrame, schema: T.StructType) -> list[tuple[str, str, str, str]]:
+    """(column, breach, declared, found) of every missing column, extra column, different type,
+    and column whose place among the shared ones differs. From the schema alone, no job."""
+    declared = {f.name: f.dataType.simpleString() for f in schema.fields}
+    found = dict(df.dtypes)
+    out = [(c, "missing", t, "-") for c, t in declared.items() if c not in found]
+    out += [(c, "extra", "-", t) for c, t in found.items() if c not in declared]
+    out += [(c, "type", t, found[c]) for c, t in declared.items() if c in found and found[c] != t]
+    want, have = [c for c in declared if c in found], [c for c in df.columns if c in declared]
+    out += [(c, "order", str(want.index(c)), str(have.index(c))) for c in want if want.index(c) != have.index(c)]
+    return out
+
+
+def contract_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All breaches of a contract as rows (column, breach, declared, found, n): those of the schema,
+    and per non-nullable column the number of NULLs (breach `null`, only if there are any)."""
+    rows = [(*b, None) for b in contract_breaches(df, schema)]
+    kind = "column string, breach string, declared string, found string, n bigint"
+    listed = df.sparkSession.createDataFrame(rows, kind)
+    req = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    if not req:
+        return listed
+    counts = df.agg(*[F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in req])
+    nulls = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n"))
+                                              for c in req])).alias("x")).select(
+        "x.column", F.lit("null").alias("breach"), F.lit("not null").alias("declared"), F.lit("null").alias("found"),
+        "x.n").filter("n > 0")
+    return listed.unionByName(nulls)
 
 
 def enforce_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Enforce a declared contract (A10): names, order and types (a missing column fails),
-    plus a one-row count of NULLs in every non-nullable column."""
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"contract: missing columns {missing}")
+    """Enforce a declared contract (A10): names, order and types must be as declared (any
+    breach fails, naming all of them), plus a one-row count of NULLs in every non-nullable
+    column. `contract_breaches` lists the breaches without failing."""
+    breaches = contract_breaches(df, schema)
+    if breaches:
+        raise ValueError("contract: " + "; ".join(f"{b}: {c} (declared {e}, found {f})" for c, b, e, f in breaches))
     shaped = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     req = [f.name for f in schema.fields if not f.nullable]
     counts = shaped.agg(*[F.count(F.when(F.col(c).isNull(), 1)).cast("bigint").alias(c) for c in req]) \
@@ -160,6 +229,29 @@ def append_run_audit(audit: DataFrame, rows: DataFrame, as_of: _dt.datetime, kee
     return kept.unionByName(rows.select(*audit.columns))
 
 
+def audit_row(merged: DataFrame, name: str, invocation_id: str, started: _dt.datetime, completed: _dt.datetime,
+              status: str = "success", message: str | None = None, full_refresh: bool = False,
+              materialization: str = "incremental", resource_type: str = "model") -> DataFrame:
+    """The audit row of a finished step (A12): identity, status and timings, and the DML counts of
+    the merge result (`merge_counts`). A failed step has no counts."""
+    from tidemark.operators.merge import merge_counts
+    stamp = lambda t: lit(t).cast("timestamp_ntz")
+    n = merge_counts(merged) if status == "success" else merged.limit(0).agg(
+        *[F.max(F.lit(None).cast("bigint")).alias(c) for c in ("rows_inserted", "rows_updated", "rows_deleted")])
+    known = {
+        "model_execution_id": F.md5(F.lit(f"{name}|{invocation_id}")), "unique_id": F.lit(f"{resource_type}.{name}"),
+        "invocation_id": F.lit(invocation_id), "generated_at": stamp(completed), "created_at": stamp(completed),
+        "name": F.lit(name), "message": F.lit(message), "status": F.lit(status), "resource_type": F.lit(resource_type),
+        "execution_time": F.lit((completed - started).total_seconds()), "execute_started_at": stamp(started),
+        "execute_completed_at": stamp(completed), "full_refresh": F.lit(full_refresh),
+        "rows_affected": F.col("rows_inserted") + F.col("rows_updated") + F.col("rows_deleted"),
+        "rows_inserted": F.col("rows_inserted"), "rows_updated": F.col("rows_updated"),
+        "rows_deleted": F.col("rows_deleted"), "failures": F.lit(0 if status == "success" else 1),
+        "materialization": F.lit(materialization),
+    }
+    return n.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields])
+
+
 # The event-log columns and the four event kinds written around a run.
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_name", T.StringType()), T.StructField("event_timestamp", T.TimestampNTZType()),
@@ -197,8 +289,11 @@ def with_bucket(df: DataFrame, key, buckets: int) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, table_dir: str, key, buckets: int) -> None:
-    """Initial write of a table stored as `<table_dir>/_bucket=<n>/` partitions."""
-    with_bucket(df, key, buckets).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_dir)
+    """Initial write of a table stored as `<table_dir>/_bucket=<n>/` partitions. The rows of a bucket
+    are brought together first, so a bucket gets a few files, not one per task; a bucket that
+    holds a hot key is split again by size."""
+    (with_bucket(df, key, buckets).hint("rebalance", BUCKET_COL)
+     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_dir))
 
 
 def rewrite_buckets(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int, merge_fn,
@@ -211,7 +306,10 @@ def rewrite_buckets(spark: SparkSession, table_dir: str, source: DataFrame, key,
     table scan to those partitions; Spark's dynamic partition overwrite replaces exactly
     those partitions at job commit. Untouched buckets are neither read nor rewritten, so
     the cost follows the batch, not the table. New files go to a staging folder and are
-    only moved in at commit, so a failed job leaves the table as it was. Valid for
+    moved in at job commit: a job that fails before leaves the table as it was. The commit
+    itself replaces one bucket after the other, so a driver lost during it, or a reader at
+    that moment, can meet old and new buckets; repeating the batch mends the table, because
+    the merges are idempotent. Use `write_staged` where readers need one whole version. Valid for
     merges whose result for a key depends only on that key's rows (upserts, SCD 1/2).
 
     `extra_keys` (a frame with the key columns) adds buckets to rewrite and `pre(current)`
@@ -230,7 +328,7 @@ def rewrite_buckets(spark: SparkSession, table_dir: str, source: DataFrame, key,
     if pre is not None:
         current = pre(current)
     merged = merge_fn(current, staged.select(*current.columns))
-    (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.drop("_action").hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(table_dir))
 
 

@@ -42,9 +42,14 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
+INLINE_ROWS = 10_000
+
+
 def lookup_values(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """Inline constant table (A3): a LocalRelation of known size, safe to broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """Inline constant table (A3): its length is known, and it is broadcast if that is small."""
+    rows = list(rows)
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= INLINE_ROWS else table
 
 
 def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:

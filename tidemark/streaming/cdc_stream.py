@@ -8,9 +8,12 @@ Spark form is a Structured Streaming query over the landed log files:
     version of the target with `merge_upsert` (hash gated);
   * the new target version is written to a fresh directory and published through the
     table's versions log (`write_staged`), so a failed batch leaves the previous version intact;
-  * the batch id used for lineage columns is derived from the epoch id, so a replayed
-    epoch (after an executor or driver loss) produces the same rows, and the hash-gated
-    upsert makes the replay a no-op: the effect is exactly once.
+  * the batch id used for lineage columns is derived from the epoch id, so a replayed epoch
+    (after an executor or driver loss) produces the same rows. A full version records its
+    epoch in the versions log, and an epoch that is published already is skipped. With
+    `order_cols` (capture time and log id as target columns), rows and renames older than the
+    target row change nothing, so the replay of a bucket rewrite is a no-op as well, and a log
+    file that lands late cannot bring back an older image.
 The query checkpoint lives in the shared checkpoint folder, never on local disk.
 """
 
@@ -26,7 +29,7 @@ from pyspark.sql.types import StructType
 from tidemark.operators.dedup import cdc_resolve
 from tidemark.operators.merge import drop_action, merge_upsert, tombstone_renamed
 from tidemark.session import checkpoint_dir
-from tidemark.sources.sinks import (read_current, table_path_exists, upsert_bucketed, write_bucketed,
+from tidemark.sources.sinks import (last_epoch, read_current, table_path_exists, upsert_bucketed, write_bucketed,
                                     write_staged)
 
 
@@ -38,7 +41,7 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
                      processing_time: str | None = None,
                      renamed_keys: Callable[[DataFrame], DataFrame] | None = None,
                      tombstone_ts: Callable[[int], object] | None = None,
-                     buckets: int | None = None) -> StreamingQuery:
+                     buckets: int | None = 64, order_cols: Sequence[str] = ()) -> StreamingQuery:
     """Start the streaming load. `transform(resolved, batch_id)` shapes resolved log rows
     into target rows (keys, attributes, lineage and hash columns).
 
@@ -47,14 +50,21 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
     reference's pre-hook (C6). `tombstone_ts(batch_id)` gives the load time written on
     them.
 
-    buckets=N stores the target partitioned by key bucket (sinks.write_bucketed) and
-    rewrites only the buckets a micro-batch touches (sinks.upsert_bucketed) instead of
-    publishing a full new version per batch."""
+    buckets=N (default) stores the target partitioned by key bucket (sinks.write_bucketed) and
+    rewrites only the buckets a micro-batch touches (sinks.upsert_bucketed); buckets=None
+    publishes a full new version per batch, for readers that need one whole version.
+
+    `order_cols` names the target columns that hold the capture time and the log id, in this
+    order; `renamed_keys` then returns them too. Without them a late older file wins."""
     ckpt = checkpoint_dir(spark).rstrip("/") + f"/stream-{name}"
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        if not buckets:
+            done = last_epoch(batch.sparkSession, target_dir, name)
+            if done is not None and epoch_id <= done:
+                return                       # published before the driver was lost
         resolved = cdc_resolve(batch, list(keys), list(before_keys), ts, log_id, change_flag())
         rows = transform(resolved, int(epoch_id))
         if buckets:
@@ -67,10 +77,10 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
             load_ts = (tombstone_ts(int(epoch_id)) if tombstone_ts
                        else batch.agg(F.max(ts)).first()[0])
             current = drop_action(tombstone_renamed(current, renamed_keys(batch), merge_key, load_ts,
-                                                    int(epoch_id)))
+                                                    int(epoch_id), order_cols))
         new = rows if current is None else drop_action(
-            merge_upsert(current, rows, merge_key, no_update=no_update, gate=gate))
-        write_staged(new, target_dir)
+            merge_upsert(current, rows, merge_key, no_update=no_update, gate=gate, order_cols=order_cols))
+        write_staged(new, target_dir, stream=name, epoch=int(epoch_id))
 
     def _apply_bucketed(batch: DataFrame, rows: DataFrame, epoch: int) -> None:
         sess = batch.sparkSession
@@ -83,9 +93,9 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
             load_ts = tombstone_ts(epoch) if tombstone_ts else batch.agg(F.max(ts)).first()[0]
 
             def pre(cur):
-                return drop_action(tombstone_renamed(cur, extra, merge_key, load_ts, epoch))
+                return drop_action(tombstone_renamed(cur, extra, merge_key, load_ts, epoch, order_cols))
         upsert_bucketed(sess, target_dir, rows, merge_key, buckets, extra_keys=extra, pre=pre,
-                        no_update=no_update, gate=gate)
+                        no_update=no_update, gate=gate, order_cols=order_cols)
 
     writer = (spark.readStream.schema(schema).parquet(source_dir)
               .writeStream.queryName(name).foreachBatch(apply_batch)
