@@ -47,7 +47,7 @@ SELECT c_custkey AS PARTY_KEY, c_name AS PARTY_NAME, CAST(c_nationkey AS BIGINT)
        CAST(c_custkey AS BIGINT) AS SEQ, CAST(NULL AS VARCHAR) AS ADDRESS
 FROM customer
 UNION ALL
-SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), CAST(CAST(s_acctbal AS INTEGER) AS DECIMAL(18,2)),
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), CAST(floor(s_acctbal) AS DECIMAL(18,2)),
        CAST(DATE '2025-01-02' AS TIMESTAMP), CAST(s_suppkey % 1000 AS BIGINT), s_name FROM supplier""")
 def schema_append(spark, sf):
     target = S.t(spark, sf, "customer").select(F.col("c_custkey").alias("PARTY_KEY"),
@@ -59,7 +59,7 @@ def schema_append(spark, sf):
     source = S.t(spark, sf, "supplier").select(F.col("s_suppkey").alias("PARTY_KEY"),
                                                F.col("s_name").alias("PARTY_NAME"),
                                                F.col("s_nationkey").cast("bigint").alias("NATION_KEY"),  # wider
-                                               F.round("s_acctbal").cast("int").alias("BALANCE"),          # narrower
+                                               F.floor("s_acctbal").cast("int").alias("BALANCE"),          # narrower
                                                F.lit(dt.date(2025, 1, 2)).alias("LOADED"),                 # narrower
                                                (F.col("s_suppkey") % 1000).cast("smallint").alias("SEQ"),  # narrower
                                                F.col("s_name").alias("ADDRESS"))                           # new
