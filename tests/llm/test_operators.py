@@ -152,10 +152,14 @@ def test_minhash_hot_group(spark):
     assert got == {d: find(texts[t]) for d, t in docs}
 
 
-def test_least_matches_bound():
+def test_least_matches_is_the_posterior_bound():
+    grid = (np.arange(200_000) + 0.5) / 200_000
     for n, least in minhash.least_matches(0.85, 1e-6):
+        for m, goes_on in ((least, True), (least - 1, False)):
+            density = np.exp(m * np.log(grid) + (n - m) * np.log1p(-grid))
+            assert (density[grid >= 0.85].sum() / density.sum() >= 1e-6) == goes_on
         missed = sum(math.comb(n, m) * 0.85 ** m * 0.15 ** (n - m) for m in range(least))
-        assert missed < 1e-5 and least > 0.5 * n
+        assert missed < 1e-5        # links at the threshold that are given up
 
 
 def test_components_against_union_find(spark):

@@ -38,6 +38,7 @@ MIN_MARGINAL = 0.9
 FEATURES = 1 << 12
 ROUNDS = 10
 AGREE = 3.0
+LIKE = 7                      # least length, and last digits compared, of like words
 
 _ANY = re.compile(r"[0-9@]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -136,7 +137,10 @@ def graph(texts: list[str]):
             if 0 <= last_end and start - last_end <= 3 and i:
                 chain.append((i - 1, i))
             digits = _DIGITS.sub("", word)
-            for key in {word.lower(), "#" + digits[-7:] if len(digits) >= 7 else word.lower()}:
+            keys = {word.lower()} if len(word) >= LIKE else set()      # shorter words are alike by chance
+            if len(digits) >= LIKE:
+                keys.add("#" + digits[-LIKE:])
+            for key in keys:
                 if key in seen:               # a word is tied to the last one like it
                     skip.append((seen[key], i))
                 seen[key] = i
@@ -172,13 +176,18 @@ def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int
 
 def fit(words, feats, chain, skip, gold: np.ndarray, steps: int = 300, rate: float = 0.5):
     """Weights by pseudo-likelihood: each word's label given its features and its neighbours'
-    labels, gradient steps scaled per parameter. Like words are held to agree: the skip potentials
+    labels, gradient steps scaled per parameter. The base patterns label from afar: a word that they
+    miss, but that is tied to one they found, is no example of "none" and is left out of the loss. Like words are held to agree: the skip potentials
     are pulled to AGREE for equal labels, all others to 0."""
     n_labels = len(LABELS)
     agree = AGREE * np.eye(n_labels)
     params = [np.zeros((FEATURES, n_labels)), np.zeros((n_labels, n_labels)), agree.copy()]
     scale = [np.full(p.shape, 1e-6) for p in params]
     want = np.eye(n_labels)[gold]
+    found = gold > 0
+    for a, b in [*skip, *reversed(list(skip))]:
+        found[a] = found[b] = found[a] | found[b]
+    counts = ((gold > 0) | ~found)[:, None]
     pairs = [(k, np.array(e, np.int64).reshape(-1, 2)) for k, e in ((1, chain), (2, skip))]
     for _ in range(steps if len(words) else 0):
         score = params[0][feats].sum(1)
@@ -186,7 +195,7 @@ def fit(words, feats, chain, skip, gold: np.ndarray, steps: int = 300, rate: flo
             np.add.at(score, e[:, 0], params[k].T[gold[e[:, 1]]])
             np.add.at(score, e[:, 1], params[k][gold[e[:, 0]]])
         p = np.exp(score - score.max(1, keepdims=True))
-        off = (p / p.sum(1, keepdims=True) - want) / len(words)
+        off = (p / p.sum(1, keepdims=True) - want) * counts / len(words)
         grads = [1e-5 * params[0], 1e-3 * params[1], 1e-3 * (params[2] - agree)]
         for f in range(feats.shape[1]):
             np.add.at(grads[0], feats[:, f], off)
