@@ -131,6 +131,33 @@ def test_nextday_scenario_two_rows_scd2_one_row_scd1(spark):
     assert len(by_key(out, "A")) == 2 and len(by_key(out, "B")) == 1
 
 
+def test_scd6_copies_null_and_leaves_keys_without_open_row(spark):
+    d = dim(spark, [row("A", "J1", "Rome", dt.date(2020, 1, 1), dt.date(2021, 1, 1)), row("A", "J2", None, dt.date(2021, 1, 2)),
+                    row("B", "J1", "Oslo", dt.date(2020, 1, 1), dt.date(2021, 1, 1))])
+    out = scd6_propagate(d, "EIN", ["CITY"])
+    assert [r["CITY"] for r in by_key(out, "A")] == [None, None]      # the open row's NULL is its value
+    assert [r["CITY"] for r in by_key(out, "B")] == ["Oslo"]          # nothing to copy from
+
+
+def test_duplicate_source_keys_fail_by_default(spark):
+    with pytest.raises(ValueError, match="duplicate keys"):
+        scd_merge(dim(spark, [row("A", "J1", "Rome", dt.date(2020, 1, 1))]), src(spark, [("A", "J2", "x"), ("A", "J3", "y")]),
+                  "EIN", RUN, RUN_BATCH)
+
+
+def test_runs_together_read_every_order(spark):
+    """The second run's batch holds a state for every customer, taken from the whole table."""
+    from tidemark.plans import standins as S
+    from tests.conftest import SF_SMALL
+    o = S.t(spark, SF_SMALL, "orders")
+    assert o.agg(F.max("o_orderdate")).first()[0].date() < S.D2
+    got = S.snapshot_source(spark, SF_SMALL, None, S.BATCH2, stamp_day=S.D2)
+    last = o.groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")).alias("x"))
+    j = got.join(last, got["ENTITY_KEY"] == last["o_custkey"], "full")
+    assert j.filter(~F.col("STATUS").eqNullSafe(F.col("x.o_orderstatus"))).count() == 0
+    assert got.count() == o.select("o_custkey").distinct().count()
+
+
 def test_scd6_copies_current_value_to_history(spark):
     d = dim(spark, [row("A", "J1", "X", dt.date(2024, 1, 1), dt.date(2024, 12, 31), False),
                     row("A", "J2", "Y", dt.date(2025, 1, 1))])

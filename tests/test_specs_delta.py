@@ -102,3 +102,36 @@ def test_dq_score_and_cdc_delete_flags(spark):
     rows = {r["USER_KEY"]: r for r in ods_transform(log, 1, dt.datetime(2024, 2, 1)).collect()}
     assert (rows[7]["SRC_ACTION_CD"], rows[7]["SRC_DEL_IND"], rows[7]["OPERATION_TYPE"]) == ("D", "Y", "DELETE")
     assert (rows[8]["SRC_DEL_IND"], rows[8]["OPERATION_TYPE"]) == ("N", "INSERT")
+
+
+def test_enrich_with_retry_goes_back_to_the_source(spark):
+    from tidemark.operators.delta import enrich_with_retry, with_reprocess
+    source = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "z"), (5, "x")], "K int, L string")
+    target = spark.createDataFrame([(1, "x", "X"), (2, "y", None), (3, None, None), (4, "z", None)], "K int, L string, NAME string")
+    lookup = spark.createDataFrame([("x", "X"), ("y", "Y")], "CODE string, NAME string")
+    delta = spark.createDataFrame([(5,), (5,)], "K int")
+    keys = with_reprocess(delta, target, "K", "NAME", lookup, "CODE", "L")
+    out = enrich_with_retry(source, keys, "K", lookup, "L", "CODE", ["NAME"], names=("src", "lk"))
+    assert sorted(map(tuple, out.collect())) == [(2, "y", "Y", "REPROCESS", "src,lk"), (5, "x", "X", "NEW", "src,lk")]
+
+
+def test_audit_row_of_a_step(spark):
+    import datetime as dt
+    from tidemark.sources.sinks import AUDIT_SCHEMA, audit_row
+    merged = spark.createDataFrame([("insert",), ("insert",), ("update",), ("close",), ("unchanged",)], "_action string")
+    t0, t1 = dt.datetime(2025, 1, 1, 6), dt.datetime(2025, 1, 1, 6, 0, 30)
+    ok = audit_row(merged, "m", "run1", t0, t1)
+    assert [f.dataType for f in ok.schema] == [f.dataType for f in AUDIT_SCHEMA] and ok.columns == AUDIT_SCHEMA.names
+    r = ok.collect()[0]
+    assert (r["rows_inserted"], r["rows_updated"], r["rows_deleted"], r["rows_affected"], r["execution_time"]) == (2, 2, 0, 4, 30.0)
+    bad = audit_row(merged, "m", "run1", t0, t1, status="error", message="no").collect()[0]
+    assert bad["rows_inserted"] is None and bad["failures"] == 1 and bad["message"] == "no"
+
+
+def test_run_suite_counts_row_checks_of_a_table_in_one_scan(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import dq
+    df = spark.createDataFrame([(1, None), (None, "x"), (-1, "y")], "a int, b string")
+    got = dq.run_suite([("dups", lambda: dq.duplicates(df, ["a"]))],
+                       row_checks=[(df, [("a_neg", F.col("a") < 0), ("b_null", F.col("b").isNull()), ("none", F.col("a") > 9)])])
+    assert sorted(map(tuple, got.collect())) == [("a_neg", 1, "warn"), ("b_null", 1, "warn"), ("dups", 0, "pass"), ("none", 0, "pass")]
