@@ -8,8 +8,10 @@
    probability of a similarity of THRESHOLD or more is below MISS.
 3. Buckets hand on a spanning forest of the surviving pairs, most similar first, not all of them;
    the forest's pairs are verified on the full shingle sets and the links give first components.
-4. Surviving pairs between different components are then all verified, so no link that would
-   join two components is left out; the components of all links are the result.
+4. Buckets that still hold several components get their members' full sets, and every surviving
+   pair between components is verified inside the bucket, so no link that would join two
+   components is left out; only links that do join some are handed on. The components of all
+   links are the result.
 
 A bucket of more than BLOCK classes is split into blocks, and each pair of blocks is compared in a
 task of its own; no pair is emitted that the signatures rule out. Chance of missing a link at
@@ -108,8 +110,16 @@ def least_matches(threshold: float, miss: float, batch: int = BATCH) -> list[tup
     return out
 
 
+def _holds(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * |x n y| >= percent * |x u y| for sorted distinct hashes."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _bucket_pairs(threshold: float, miss: float, forest: bool):
-    """Rows sorted by bucket (band, lo, hi) with side, key, n, sig and comp -> pairs (a, b)."""
+    """Rows sorted by bucket (band, lo, hi) with side, key, n, sig and comp -> pairs (a, b): a
+    spanning forest of the pairs that survive the signatures, or (`forest` off, rows with the
+    full set) links that join components."""
     steps = least_matches(threshold, miss)
     percent = round(threshold * 100)
 
@@ -145,7 +155,8 @@ def _bucket_pairs(threshold: float, miss: float, forest: bool):
             return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
         return tuple(np.concatenate([o[x] for o in out]) for x in range(3))
 
-    def spanning(i, j, hits):
+    def joining(i, j, hits, label, ok):
+        """Pairs, most matches first, that pass `ok` and join two sets of labels."""
         root: dict[int, int] = {}
 
         def find(x):
@@ -155,9 +166,9 @@ def _bucket_pairs(threshold: float, miss: float, forest: bool):
 
         pick = []
         order = np.argsort(-hits, kind="stable")
-        for k, a, b in zip(order.tolist(), i[order].tolist(), j[order].tolist()):
-            a, b = find(a), find(b)
-            if a != b:
+        for k, x, y in zip(order.tolist(), i[order].tolist(), j[order].tolist()):
+            a, b = find(label[x]), find(label[y])
+            if a != b and ok(x, y):
                 root[a] = b
                 pick.append(k)
         return i[pick], j[pick]
@@ -168,10 +179,21 @@ def _bucket_pairs(threshold: float, miss: float, forest: bool):
         g = np.concatenate([[0], np.cumsum((ids[:, 1:] != ids[:, :-1]).any(0))])
         comp = col["comp"].to_pylist()
         number = {c: i for i, c in enumerate(dict.fromkeys(comp))}
+        comp = [number[c] for c in comp]
         i, j, hits = survivors(g, ids[1] == ids[2], col["side"].to_numpy(), col["n"].to_numpy(),
-                               np.array([number[c] for c in comp]), _fixed(col["sig"], 2 * HASHES, np.uint16))
-        if forest:
-            i, j = spanning(i, j, hits)
+                               np.array(comp), _fixed(col["sig"], 2 * HASHES, np.uint16))
+        if forest:          # each bucket by itself: its forest does not lean on the other buckets' pairs
+            label = list(range(len(comp)))
+            i, j = joining(i, j, hits, label, lambda x, y: True)
+        else:
+            sets: dict[int, np.ndarray] = {}
+
+            def full(x):
+                if x not in sets:
+                    sets[x] = np.frombuffer(col["set"][x].as_py(), np.uint64)
+                return sets[x]
+
+            i, j = joining(i, j, hits, comp, lambda x, y: _holds(full(x), full(y), percent))
         keys = col["key"]
         return pa.RecordBatch.from_arrays([keys.take(pa.array(i)), keys.take(pa.array(j))], ["a", "b"])
 
@@ -205,24 +227,34 @@ def _members(classes: DataFrame) -> DataFrame:
                                    (F.col("mine") > F.col("other")).cast("int").alias("side"), "key"))
 
 
-def _candidates(members: DataFrame, classes: DataFrame, comp: DataFrame, threshold: float, miss: float,
-                forest: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, from the buckets. `comp`: key, comp (pairs within one are skipped)."""
-    rows = members
-    if not forest:       # buckets that hold several components
-        labelled = rows.join(comp, "key")
-        open_ = (labelled.groupBy("band", "lo", "hi").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                 .filter("x <> y").select("band", "lo", "hi"))
-        rows = labelled.join(open_, ["band", "lo", "hi"])
-    else:
-        rows = rows.withColumn("comp", F.col("key"))
-    rows = (rows.join(classes.select("key", "n", "sig"), "key")
-            .select("band", "lo", "hi", "side", "key", "n", "sig", "comp"))
+def _in_buckets(rows: DataFrame, threshold: float, miss: float, forest: bool) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that the buckets hand on."""
     pairs = (rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
              .mapInArrow(_bucket_pairs(threshold, miss, forest), "a binary, b binary"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _candidates(members: DataFrame, classes: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """The buckets' spanning forests."""
+    rows = members.join(classes.select("key", "n", "sig"), "key").select(
+        "band", "lo", "hi", "side", "key", "n", "sig", F.col("key").alias("comp"))
+    return _in_buckets(rows, threshold, miss, True)
+
+
+def _between(members: DataFrame, classes: DataFrame, comp: DataFrame, rows: DataFrame, threshold: float,
+             miss: float) -> DataFrame:
+    """Staged links between components (`comp`: key, comp), from the buckets that hold several."""
+    labelled = members.join(comp, "key")
+    open_ = cut_lineage(labelled.groupBy("band", "lo", "hi").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+                        .filter("x <> y").select("band", "lo", "hi"))
+    inside = cut_lineage(labelled.join(open_, ["band", "lo", "hi"]))
+    texts = _texts_of(inside.select("key").distinct(), classes, rows)
+    sets = texts.mapInArrow(_set_of, "key binary, set binary")
+    full = (inside.join(classes.select("key", "n", "sig"), "key").join(cut_lineage(sets), "key")
+            .select("band", "lo", "hi", "side", "key", "n", "sig", "comp", "set"))
+    return cut_lineage(_in_buckets(full, threshold, miss, False))
+
+
 def _keyed(batches):
     for batch in batches:
         keys = []
@@ -241,21 +273,31 @@ def _verify(percent: int):
             for key, x, y in zip(batch.column(0).to_pylist(), _texts(batch.column(2)), _texts(batch.column(3))):
                 if key != last_key:
                     last_key, last = key, shingles(x)
-                other = shingles(y)
-                both = len(np.intersect1d(last, other, assume_unique=True))
-                ok.append(100 * both >= percent * (len(last) + len(other) - both))
+                ok.append(_holds(last, shingles(y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
+def _set_of(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+            [shingles(data).tobytes() for data in _texts(batch.column(1))], pa.binary())], ["key", "set"])
+
+
+def _texts_of(keys: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Staged (key, text): one text of each class in `keys`. The ids of the classes' smallest
+    documents go to the scan if they are measured to be few; beyond that the join shuffles."""
+    ids = cut_lineage(keys.join(classes, "key").select(F.col("rep").alias("doc_id")).distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    found = rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    return cut_lineage(found.select("text").mapInArrow(_keyed, "key binary, text string")
+                       .join(keys, "key", "left_semi").dropDuplicates(["key"]))
+
+
 def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     """The pairs that hold on the full shingle sets, staged."""
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    ids = cut_lineage(ends.join(classes, "key").select(F.col("rep").alias("doc_id")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    nulls_too = rows.join(ids.withColumn("_there", F.lit(True)), rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    texts = cut_lineage(nulls_too.select("text").mapInArrow(_keyed, "key binary, text string")
-                        .join(ends, "key", "left_semi").dropDuplicates(["key"]))
+    texts = _texts_of(ends, classes, rows)
     both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b"))
     return cut_lineage(both.select("a", "b", "ta", "tb").mapInArrow(_verify(round(100 * threshold)),
@@ -270,14 +312,12 @@ def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
     classes = cut_lineage(feats.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     members = _members(classes)
-    pairs = cut_lineage(_candidates(members, classes, None, threshold, miss, True))
+    pairs = cut_lineage(_candidates(members, classes, threshold, miss))
     found = cut_lineage(components(_links(pairs, classes, rows, threshold)))
     comp = classes.select("key").join(found.withColumnRenamed("node", "key"), "key", "left").select(
         "key", F.coalesce("root", "key").alias("comp"))
-    rest = cut_lineage(_candidates(members, classes, comp, threshold, miss, False)
-                       .join(pairs, ["a", "b"], "left_anti"))
-    if rest.limit(1).count():
-        more = _links(rest, classes, rows, threshold)
+    more = _between(members, classes, comp, rows, threshold, miss)
+    if more.limit(1).count():
         found = cut_lineage(components(
             more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))))
     named = classes.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key", "left").select(
