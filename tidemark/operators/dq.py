@@ -228,19 +228,36 @@ def is_current_mismatch(dim, disc="DISC_DT", cur="IS_CURRENT", both=True):   # Q
     return dim.filter(bad)
 
 
-def attr_changes(dim, key, col, eff="EFF_DT"):    # Q6: a count, always one row
-    w = Window.partitionBy(key).orderBy(eff)
-    v = dim.select(F.col(col), F.lag(col).over(w).alias("_prev"))
+def attr_changes(dim, key, col, eff="EFF_DT", skew_safe=False):    # Q6: a count, always one row
+    if skew_safe:
+        from tidemark.operators.windows import neighbours
+        v = neighbours(dim.select(key, eff, col), [key], [eff], [col], prefix_prev="_P_", prefix_next="_N_") \
+            .withColumn("_prev", F.col(f"_P_{col}"))
+    else:
+        w = Window.partitionBy(key).orderBy(eff)
+        v = dim.select(F.col(col), F.lag(col).over(w).alias("_prev"))
     return v.agg(F.count(F.when(F.col("_prev").isNotNull() & (F.col(col) != F.col("_prev")), 1))
                  .cast("bigint").alias("CHANGE_COUNT"))
 
 
-def scd_integrity(dim, key, eff="EFF_DT", disc="DISC_DT", cur="IS_CURRENT"):   # Q8
+def scd_integrity(dim, key, eff="EFF_DT", disc="DISC_DT", cur="IS_CURRENT", skew_safe=False):   # Q8
     """Q2-Q5 in one pass over the dimension: both windows (key ordered by EFF_DT for LEAD,
     key + DISC_DT for the duplicate count) are satisfied by one hash partitioning on the
     key, and each row emits its error labels through one explode. A duplicate DISC_DT
-    group is reported once, like the GROUP BY of the reference."""
+    group is reported once, like the GROUP BY of the reference.
+    skew_safe=True, for dimensions with very long histories per key, takes the next version
+    from the range-sort `neighbours` and the duplicates from a map-side aggregate."""
     k, e, d = F.col(key), F.col(eff), F.col(disc)
+    if skew_safe:
+        v = _with_next_eff(dim.select(key, eff, disc, cur), key, eff, True)
+        open_, n = d == F.lit(OPEN_DATE), F.col("NEXT_EFF_DT")
+        errors = F.array(F.when(d < e, F.lit("EFF_DT_AFTER_DISC_DT")),
+                         F.when(F.datediff(n, d) > 1, F.lit("GAP_IN_HISTORY")), F.when(n <= d, F.lit("OVERLAPPING_DATES")),
+                         F.when(open_ != F.col(cur), F.lit("IS_CURRENT_MISMATCH")))
+        rows = v.select(k.alias("KEY"), e.alias("EFF_DT"), d.alias("DISC_DT"), F.explode(F.array_compact(errors)).alias("ERROR"))
+        dup = dup_disc(dim, key, disc).select(k.alias("KEY"), d.alias("EFF_DT"), d.alias("DISC_DT"),
+                                              F.lit("DUPLICATE_DISC_DT").alias("ERROR"))
+        return rows.unionByName(dup)
     w_eff = Window.partitionBy(key).orderBy(eff)
     w_disc = Window.partitionBy(key, disc)
     v = dim.select(k.alias("KEY"), e.alias("_eff"), d.alias("_disc"), F.col(cur).alias("_cur"),
