@@ -20,10 +20,12 @@ from tidemark.plans.q_joins import star_left_join
 from tidemark.plans.q_projection import _RAW_POST_SQL, _raw_post
 from tidemark.plans.q_relational import SQL_LIFE, lifecycle, q_propagate_deletes
 from tidemark.plans.registry import query
+from tidemark.sources.sinks import cut_lineage
 
 
 def merged_dim(spark, sf):
-    return _merge_d2(spark, sf).drop(ACTION)
+    """The dimension as stored after the second run: the checks read the table, not the merge."""
+    return cut_lineage(_merge_d2(spark, sf).drop(ACTION))
 
 
 def order_versions(spark, sf):
