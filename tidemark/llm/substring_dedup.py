@@ -156,14 +156,16 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     """(doc, hs): per document the keys of its windows that an earlier document has too. `docs`
     has doc (no NULL) and text. A document's group holds no more than its own windows."""
     found = docs.select("doc", "text").mapInArrow(_anchor_pass(length, seed), "h bigint, doc bigint")
-    shared = (found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-              .filter("lo <> hi").select("h"))
+    # counts are staged before they are joined back: both sides of the join are then shuffles of
+    # their own, and the rows of a hot anchor, window or class can be split over tasks
+    shared = cut_lineage(found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                         .filter("lo <> hi").select("h"))
     seeds = cut_lineage(found.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("seeds")))
     texts = _only(docs.select("doc", "text"), seeds.select("doc"), "left_semi")
     windows = cut_lineage(texts.join(seeds, "doc").select("doc", "text", "seeds")
                           .mapInArrow(_window_pass(length, seed), "h bigint, doc bigint"))
-    first = (windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-             .filter("lo <> hi").select("h", "lo"))
+    first = cut_lineage(windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                        .filter("lo <> hi").select("h", "lo"))
     return windows.join(first, "h").filter("doc > lo").groupBy("doc").agg(F.collect_set("h").alias("hs"))
 
 
@@ -174,7 +176,7 @@ def remove(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
     rows = _input(docs, id_col, text_col)
     told = cut_lineage(rows.mapInArrow(
         _first_pass, "doc bigint, doc_id bigint, n_words bigint, key binary, digest string"))
-    classes = told.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    classes = cut_lineage(told.groupBy("key").agg(F.min("doc").alias("first")))
     told = cut_lineage(told.join(classes, "key").withColumn("copy", F.col("doc") > F.col("first")))
     singles = _only(rows, told.filter("copy").select("doc"), "left_anti")
     gone = cut_lineage(repeats(singles, length, seed))
