@@ -159,7 +159,7 @@ def parse_yyyymmdd(c) -> Column:
     make_date, so invalid inputs never go through a throwing parser: this runs on
     every row of wide tables."""
     s = _col(c).cast("string")
-    ok = s.rlike("^[0-9]{8}$")
+    ok = s.rlike(r"^[0-9]{8}\z")
     y = F.substring(s, 1, 4).try_cast("int")
     m = F.substring(s, 5, 2).try_cast("int")
     d = F.substring(s, 7, 2).try_cast("int")
@@ -172,9 +172,15 @@ def date_check(c, bad: str | None = None, min_year: int | None = None) -> Column
     """Tolerant YYYYMMDD parse with a sentinel for invalid input.
 
     bad=None keeps NULL, 'low' -> 1700-01-01, 'high' -> 4000-12-31 (the two values the
-    silver layer treats as empty). min_year marks earlier years invalid.
+    silver layer treats as empty). min_year marks earlier years invalid. Several forms of one
+    column should share its parse: project `parse_yyyymmdd` once and use `checked_date`.
     """
-    d = parse_yyyymmdd(c)
+    return checked_date(parse_yyyymmdd(c), bad, min_year)
+
+
+def checked_date(parsed, bad: str | None = None, min_year: int | None = None) -> Column:
+    """`date_check` on a date that is parsed already (NULL: invalid)."""
+    d = _col(parsed)
     if min_year is not None:
         d = F.when(F.year(d) >= min_year, d)
     if bad is None:
