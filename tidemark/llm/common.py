@@ -6,13 +6,12 @@ from __future__ import annotations
 import os
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.sinks import cut_lineage
 
-__all__ = ["cut_lineage", "components", "documents", "narrow", "number_rows", "window_hashes", "word_hashes", "mix64"]
-
+BROADCAST_ROWS = 200_000
 ROW_BITS = 33     # monotonically_increasing_id keeps the row's place in its partition in 33 bits
 
 
@@ -37,6 +36,38 @@ def narrow(docs: DataFrame, **casts: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in casts.items()])
 
 
+def text_key(text) -> Column:
+    """16 bytes that stand for a text (NULL as empty): verdicts that follow from the text alone are
+    joined back to the documents by it, whatever their order and partitions."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def few(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """The staged `df`, sent to all tasks if it is measured to have at most `bound` rows; beyond
+    that the same join shuffles."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= bound else df
+
+
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """The input rows in a struct `_in`, so that no column of theirs clashes with `more`."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"),
+                       *[c.alias(name) for name, c in more.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"_in.`{c}`").alias(c) for c in columns])
+
+
+def smallest(df: DataFrame, by: Column, n: int, total: int, *ties) -> DataFrame:
+    """About the `n` rows (at most) with the smallest hashes `by`. Rows beyond twice the share of n
+    in `total` are left out before the sort, so the task that merges the parts reads a few
+    times n rows, whatever the number of partitions."""
+    spread = F.pmod(by, F.lit(1 << 32))
+    share = min(1.0, 2.0 * n / max(total, 1))
+    return df.filter(spread <= F.lit(int(share * (1 << 32)))).orderBy(spread, *ties).limit(n)
+
+
 def number_rows(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
     """Add the global row number (from 0) in the order of the columns `order`, NULL first.
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, narrow
+from tidemark.llm.common import cut_lineage, few, narrow, packed, text_key, unpacked
 
 WINDOW = 13
 LOOKUPS = 2
@@ -43,12 +43,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, SPLIT), "")
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
-    """Staged: _row, doc_id, n_words, w (words); with `carry` the whole input row as _in."""
+def _rows(docs: DataFrame, id_col: str, text_col: str, key: bool = False) -> DataFrame:
+    """Staged: _row, doc_id, n_words, w (words); with `key` the text's `text_key` as _key."""
     cols = [F.monotonically_increasing_id().alias("_row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
             words(F.col(f"`{text_col}`").cast("string")).alias("w")]
-    if carry:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
+    if key:
+        cols.append(text_key(F.col(f"`{text_col}`")).alias("_key"))
     return cut_lineage(docs.select(*cols).withColumn("n_words", F.size("w").cast("bigint")))
 
 
@@ -121,10 +121,10 @@ def _report(rows: DataFrame, items: DataFrame, size: int, text_col: str, item_id
                                 (acc["n"] + F.greatest(F.lit(0), x["start"] + x["n"] - F.greatest(acc["end"], x["start"]))
                                  ).alias("n")), lambda acc: acc["n"])
     per = per.select("_row", covered.cast("bigint").alias("n_hit"), "items")
-    base = rows.select("_row", "doc_id", "n_words")
+    base = rows.drop("w")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0))
     return base.join(per, "_row", "left").select(
-        "_row", "doc_id", "n_words", n_hit.cast("bigint").alias("n_hit"),
+        *base.columns, n_hit.cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
@@ -165,8 +165,9 @@ def proximity(docs: DataFrame, items: DataFrame, slop: int = 30, terms: int = 3,
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
                       text_col: str = "text", item_id: str = "item_id") -> DataFrame:
-    """The input rows that are not contaminated, with all their columns."""
-    rows = _rows(docs, id_col, text_col, carry=True)
-    bad = cut_lineage(_report(rows.drop("_in"), items, size, text_col, item_id).filter("contaminated").select("_row"))
-    return (rows.select("_row", "_in").join(_small(bad, bad.count()), "_row", "left_anti")
-            .select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns]))
+    """The input rows that are not contaminated, with all their columns. The verdict follows from
+    the text, so the contaminated texts' keys are taken out of the input."""
+    rows = _rows(docs, id_col, text_col, key=True)
+    bad = _report(rows, items, size, text_col, item_id).filter("contaminated").select("_key").distinct()
+    all_ = packed(docs, _key=text_key(F.col(f"`{text_col}`")))
+    return unpacked(all_.join(few(bad, BROADCAST_ROWS), "_key", "left_anti"), docs.columns)

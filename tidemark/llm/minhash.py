@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, cut_lineage, mix64, narrow, window_hashes, word_hashes
+from tidemark.llm.common import (
+    components, cut_lineage, few, mix64, narrow, packed, text_key, unpacked, window_hashes, word_hashes,
+)
 from tidemark.llm.substring_dedup import _texts
 
 SHINGLE, THRESHOLD = 5, 0.85
@@ -80,7 +82,7 @@ def _features(batches):
             sigs.append(signature(s).tobytes() if len(s) else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()),
                                           pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                                         ["_row", "doc_id", "n_shingles", "key", "sig"])
+                                         ["tkey", "doc_id", "n_shingles", "key", "sig"])
 
 
 def _fixed(column: pa.Array, width: int, dtype) -> np.ndarray:
@@ -287,8 +289,7 @@ def _set_of(batches):
 def _texts_of(keys: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """Staged (key, text): one text of each class in `keys`. The ids of the classes' smallest
     documents go to the scan if they are measured to be few; beyond that the join shuffles."""
-    ids = cut_lineage(keys.join(classes, "key").select(F.col("rep").alias("doc_id")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    ids = few(keys.join(classes, "key").select(F.col("rep").alias("doc_id")).distinct(), BROADCAST_ROWS)
     found = rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     return cut_lineage(found.select("text").mapInArrow(_keyed, "key binary, text string")
                        .join(keys, "key", "left_semi").dropDuplicates(["key"]))
@@ -305,10 +306,10 @@ def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: flo
 
 
 def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Staged _row, doc_id, n_shingles, root (of the class's component; NULL without shingles)
-    and component_id. `rows` has _row, doc_id and text."""
-    feats = cut_lineage(rows.select("_row", "doc_id", "text").mapInArrow(
-        _features, "_row bigint, doc_id bigint, n_shingles bigint, key binary, sig binary"))
+    """Staged tkey, doc_id, n_shingles, root (of the class's component; NULL without shingles)
+    and component_id. `rows` has tkey (binary, may be NULL), doc_id and text."""
+    feats = cut_lineage(rows.select("tkey", "doc_id", "text").mapInArrow(
+        _features, "tkey binary, doc_id bigint, n_shingles bigint, key binary, sig binary"))
     classes = cut_lineage(feats.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     members = _members(classes)
@@ -324,8 +325,8 @@ def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
         "key", "rep", F.coalesce("root", "key").alias("root"))
     names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     of = cut_lineage(named.select("key", "root").join(names, "root").select("key", "root", "component_id"))
-    return cut_lineage(feats.select("_row", "doc_id", "n_shingles", "key").join(of, "key", "left").select(
-        "_row", "doc_id", "n_shingles", "root",
+    return cut_lineage(feats.select("tkey", "doc_id", "n_shingles", "key").join(of, "key", "left").select(
+        "tkey", "doc_id", "n_shingles", "root",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
@@ -333,7 +334,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id
            text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     rows = narrow(docs, **{id_col: "bigint", text_col: "string"}).select(
-        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
+        F.lit(None).cast("binary").alias("tkey"), F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return _grouped(rows, threshold, miss).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -343,14 +344,21 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, miss: float = MISS,
              text_col: str = "text") -> DataFrame:
     """The input with one row of each component: the one with the smallest id, the first of those
     that share it. Texts without words all stay."""
-    staged = cut_lineage(docs.select(F.monotonically_increasing_id().alias("_row"),
-                                     F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")))
-    rows = staged.select("_row", F.col(f"_in.`{id_col}`").cast("bigint").alias("doc_id"),
-                         F.coalesce(F.col(f"_in.`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    text, doc_id = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`").cast("bigint")
+    rows = docs.select(text_key(text).alias("tkey"), doc_id.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     placed = _grouped(rows, threshold, miss).filter(F.col("root").isNotNull())
-    first = placed.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("x")).select(
-        "root", F.col("x._row").alias("stays"))
-    gone = cut_lineage(placed.join(first, "root").filter("_row <> stays").select("_row"))
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return staged.join(gone, "_row", "left_anti").select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])
+    first = cut_lineage(placed.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey")).alias("x"))
+        .select("root", F.col("x.doc_id").alias("id"), F.col("x.tkey").alias("tk")))
+    stays = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tkey") == F.col("tk"))
+    judged = placed.join(first, "root").select("doc_id", "tkey", stays.alias("stays"))
+    gone = few(judged.filter("NOT stays").select(F.col("doc_id").alias("d"), "tkey").distinct())
+    left = packed(docs, _id=doc_id, _key=text_key(text))
+    left = left.join(gone, (left["_key"] == gone["tkey"]) & left["_id"].eqNullSafe(gone["d"]), "left_anti")
+    # rows that agree in id and text are one document: the first of them stays
+    twice = cut_lineage(judged.filter("stays").groupBy(F.col("doc_id").alias("d"), "tkey").count().filter("count > 1"))
+    if twice.limit(1).count():
+        same = (left["_key"] == twice["tkey"]) & left["_id"].eqNullSafe(twice["d"])
+        left = left.join(twice, same, "left_anti").unionByName(
+            left.join(twice, same, "left_semi").dropDuplicates(["_id", "_key"]))
+    return unpacked(left, docs.columns)

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import cut_lineage, few, packed, text_key, unpacked
 
 SEPARATORS = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
 SYMBOLS = list("#*$%&|<>")
@@ -55,18 +55,18 @@ def _count(text: Column, chars: list[str]) -> Column:
                F.octet_length(text) - F.octet_length(F.replace(text, F.lit(chars[0]))))
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False,
-               more: bool = False) -> DataFrame:
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: bool = False,
+               key: bool = False) -> DataFrame:
     """One row of text statistics per document: doc_id, n_words, word_chars, n_symbols, n_lines,
-    n_dup_lines, n_repeat_words, n_upper, n_bangs; with `carry` the whole input row as _in, with
-    `more` also n_distinct, n_digits, n_stops, n_pipes."""
-    kept = ["_in"] if carry else []
+    n_dup_lines, n_repeat_words, n_upper, n_bangs; with `more` also n_distinct, n_digits, n_stops,
+    n_pipes; with `key` the text's `text_key` as _key."""
+    kept = ["_key"] if key else []
     extra = ["n_distinct", "n_digits", "n_stops", "n_pipes"] if more else []
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     base = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("t"),
         F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "").alias("w"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in")] if carry else []))
+        *([text_key(F.col(f"`{text_col}`")).alias("_key")] if key else []))
     ws = base.select(
         "doc_id", "t", *kept,
         F.size("w").cast("bigint").alias("n_words"),
@@ -154,10 +154,9 @@ def posterior(s: str, prior: float, p: dict) -> float:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          min_posterior: float = MIN_POSTERIOR, carry: bool = False) -> DataFrame:
-    """Statistics, votes (`pattern`), quality_prob, base_failed and kept per document; with `carry`
-    the whole input row as _in."""
-    voted = cut_lineage(statistics(docs, id_col, text_col, carry).withColumn("pattern", pattern_expr()))
+          min_posterior: float = MIN_POSTERIOR, key: bool = False) -> DataFrame:
+    """Statistics, votes (`pattern`), quality_prob, base_failed and kept per document."""
+    voted = cut_lineage(statistics(docs, id_col, text_col, key=key).withColumn("pattern", pattern_expr()))
     counts = [(r["pattern"], r["n"]) for r in
               voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()]
     prior, p = fit(counts)
@@ -174,6 +173,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               min_posterior: float = MIN_POSTERIOR) -> DataFrame:
-    """The input rows that are kept, with all their columns."""
-    return (judge(docs, id_col, text_col, min_posterior, carry=True).filter("kept")
-            .select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns]))
+    """The input rows that are kept, with all their columns. A verdict follows from the text, so
+    the rejected texts' keys are taken out of the input."""
+    bad = judge(docs, id_col, text_col, min_posterior, key=True).filter("NOT kept").select("_key").distinct()
+    rows = packed(docs, _key=text_key(F.col(f"`{text_col}`")))
+    return unpacked(rows.join(few(bad), "_key", "left_anti"), docs.columns)

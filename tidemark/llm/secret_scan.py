@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import cut_lineage, few, packed, text_key
 
 # The base kinds' patterns. A run of [0-9a-f] or of [A-Z0-9] after AKIA is matched
 # whole, so the least lengths may stand in the pattern; `assign` is filtered on group 2.
@@ -66,19 +66,18 @@ def candidates(text: Column) -> Column:
 
 
 def _candidate_rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str,
-                    carry: bool) -> DataFrame:
-    """Staged: _row, doc_id, owner, repo, spans (hash instead of value); with `carry` all columns
-    of the input in a struct."""
+                    key: bool) -> DataFrame:
+    """Staged: _row, doc_id, owner, repo, spans (hash instead of value); with `key` the text's
+    `text_key` as _row, and only texts with spans."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    cols = [F.monotonically_increasing_id().alias("_row"), F.col(f"`{id_col}`").alias("doc_id"),
+    cols = [(text_key(text) if key else F.monotonically_increasing_id()).alias("_row"), F.col(f"`{id_col}`").alias("doc_id"),
             F.coalesce(F.col(f"`{owner_col}`").cast("string"), F.lit("")).alias("owner"),
             F.coalesce(F.col(f"`{repo_col}`").cast("string"), F.lit("")).alias("repo"),
             F.transform(candidates(text), lambda x: F.struct(
                 x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"),
                 F.sha2(x["v"], 256).alias("v"))).alias("spans")]
-    if carry:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
-    return cut_lineage(docs.select(*cols))
+    found = docs.select(*cols)
+    return cut_lineage(found.filter(F.size("spans") > 0) if key else found)
 
 
 def ownership(rows: DataFrame) -> DataFrame:
@@ -91,10 +90,11 @@ def ownership(rows: DataFrame) -> DataFrame:
     return cut_lineage(owners.join(repos, "v"))
 
 
-def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
-    """(_row, spans) for rows with candidates; spans sorted by start, then kind, with `live`;
-    `other` spans that are not live are gone."""
-    one = (rows.filter(F.size("spans") > 0).select("_row", F.explode("spans").alias("x"))
+def _judged(rows: DataFrame, max_owners: int, unique: bool = True) -> DataFrame:
+    """(_row, told) for rows with candidates; spans sorted by start, then kind, with `live`;
+    `other` spans that are not live are gone. Rows that share a _row (not `unique`) have the same spans."""
+    some = rows.filter(F.size("spans") > 0)
+    one = ((some if unique else some.dropDuplicates(["_row"])).select("_row", F.explode("spans").alias("x"))
            .select("_row", F.col("x.v").alias("v"), "x"))
     told = (one.join(ownership(rows), "v")
             .withColumn("live", F.col("n_owners") <= max_owners))
@@ -137,7 +137,7 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id"
     """The input with every reported span replaced: [SECRET] if one of the spans it overlaps looks
     live, [EXAMPLE] otherwise. Texts without spans stay as they are; n_chars, if there, follows."""
     rows = _candidate_rows(docs, id_col, text_col, owner_col, repo_col, True)
-    text = F.col(f"_in.`{text_col}`")
+    text = F.col(f"_in.`{text_col}`").cast("string")
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.lit(0).alias("end"), F.lit(False).alias("live"))
 
     def put(acc):        # the text before the pending span, and the span's mark
@@ -156,15 +156,15 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id"
 
     done = F.aggregate("told", first, step, lambda acc: F.concat(
         put(acc), F.substring(text, acc["end"] + 1, F.length(text))))
-    some = (rows.filter(F.size("spans") > 0).select("_row", "_in").join(_judged(rows, max_owners), "_row")
-            .select("_in", done.alias("_new")))
-    both = some.unionByName(rows.filter(F.size("spans") == 0).select("_in", text.alias("_new")))
+    told = few(_judged(rows, max_owners, unique=False).withColumnRenamed("_row", "_key"))
+    both = (packed(docs, _key=text_key(F.col(f"`{text_col}`"))).join(told, "_key", "left")
+            .select("_in", F.when(F.col("told").isNull(), text).otherwise(done).alias("_new")))
 
     def out(c):
         if c == text_col:
             return F.col("_new").alias(c)
         if c == "n_chars":
-            return F.when(F.col("_new") == F.col(f"_in.`{text_col}`"), F.col("_in.n_chars")).otherwise(
+            return F.when(F.col("_new").eqNullSafe(text), F.col("_in.n_chars")).otherwise(
                 F.length("_new")).cast(docs.schema["n_chars"].dataType).alias(c)
         return F.col(f"_in.`{c}`").alias(c)
 
