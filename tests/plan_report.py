@@ -49,7 +49,7 @@ def main():
     for m in list(sys.modules.values()):
         if getattr(m, "__name__", "").startswith("tidemark") and getattr(m, "cut_lineage", None) is stage:
             m.cut_lineage = recording
-    print("# PLANS - headline queries (sf0.1, local[8], AQE on)\n\nMade by `tests/plan_report.py`. Per query: the tables "
+    print("# PLANS - headline queries (sf0.1, AQE on)\n\nMade by `tests/plan_report.py`. Per query: the tables "
           "that jobs stage while the query is built, as the reference materialises its stored targets, purged staging and "
           "temp sources, with the shuffles of each; then the final adaptive plan (scans, exchanges, joins, aggregates and "
           "windows only). One-row watermark and duplicate-key aggregates are further small jobs.\n\n"
