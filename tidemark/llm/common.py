@@ -59,6 +59,36 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"_in.`{c}`").alias(c) for c in columns])
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_arrow(df: DataFrame, work, schema: str) -> DataFrame:
+    """`mapInArrow` with bounded memory: batches of 16 MB where the session has Spark's default of
+    64 MB (whatever the length of the texts), and freed memory goes back to the system when a
+    task ends, because Spark keeps the worker for the next one."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES) == "67108864b":
+        conf.set(BATCH_BYTES, "16m")
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library: nothing to trim
+        pass
+
+
 def smallest(df: DataFrame, by: Column, n: int, total: int, *ties) -> DataFrame:
     """About the `n` rows (at most) with the smallest hashes `by`. Rows beyond twice the share of n
     in `total` are left out before the sort, so the task that merges the parts reads a few

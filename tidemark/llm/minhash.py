@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    components, cut_lineage, few, mix64, narrow, packed, text_key, unpacked, window_hashes, word_hashes,
+    components, cut_lineage, few, in_arrow, mix64, narrow, packed, text_key, unpacked, window_hashes, word_hashes,
 )
 from tidemark.llm.substring_dedup import _texts
 
@@ -218,7 +218,7 @@ def _bucket_pairs(threshold: float, miss: float, forest: bool):
 
 def _members(classes: DataFrame) -> DataFrame:
     """Staged (band, lo, hi, side, key): the buckets with several classes, in blocks."""
-    bands = classes.select("key", "sig").mapInArrow(_bands, "band bigint, key binary")
+    bands = classes.select("key", "sig").transform(in_arrow, _bands, "band bigint, key binary")
     # staged, so the join with it has shuffles on both sides and a hot bucket can be split
     sizes = cut_lineage(bands.groupBy("band").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
     blocks = F.ceil(F.col("m") / BLOCK)
@@ -232,7 +232,7 @@ def _members(classes: DataFrame) -> DataFrame:
 def _in_buckets(rows: DataFrame, threshold: float, miss: float, forest: bool) -> DataFrame:
     """Distinct pairs (a, b), a < b, that the buckets hand on."""
     pairs = (rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
-             .mapInArrow(_bucket_pairs(threshold, miss, forest), "a binary, b binary"))
+             .transform(in_arrow, _bucket_pairs(threshold, miss, forest), "a binary, b binary"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -251,7 +251,7 @@ def _between(members: DataFrame, classes: DataFrame, comp: DataFrame, rows: Data
                         .filter("x <> y").select("band", "lo", "hi"))
     inside = cut_lineage(labelled.join(open_, ["band", "lo", "hi"]))
     texts = _texts_of(inside.select("key").distinct(), classes, rows)
-    sets = texts.mapInArrow(_set_of, "key binary, set binary")
+    sets = texts.transform(in_arrow, _set_of, "key binary, set binary")
     full = (inside.join(classes.select("key", "n", "sig"), "key").join(cut_lineage(sets), "key")
             .select("band", "lo", "hi", "side", "key", "n", "sig", "comp", "set"))
     return cut_lineage(_in_buckets(full, threshold, miss, False))
@@ -291,7 +291,7 @@ def _texts_of(keys: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     documents go to the scan if they are measured to be few; beyond that the join shuffles."""
     ids = few(keys.join(classes, "key").select(F.col("rep").alias("doc_id")).distinct(), BROADCAST_ROWS)
     found = rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    return cut_lineage(found.select("text").mapInArrow(_keyed, "key binary, text string")
+    return cut_lineage(found.select("text").transform(in_arrow, _keyed, "key binary, text string")
                        .join(keys, "key", "left_semi").dropDuplicates(["key"]))
 
 
@@ -301,14 +301,14 @@ def _links(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: flo
     texts = _texts_of(ends, classes, rows)
     both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b"))
-    return cut_lineage(both.select("a", "b", "ta", "tb").mapInArrow(_verify(round(100 * threshold)),
+    return cut_lineage(both.select("a", "b", "ta", "tb").transform(in_arrow, _verify(round(100 * threshold)),
                                                                     "a binary, b binary"))
 
 
 def _grouped(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Staged tkey, doc_id, n_shingles, root (of the class's component; NULL without shingles)
     and component_id. `rows` has tkey (binary, may be NULL), doc_id and text."""
-    feats = cut_lineage(rows.select("tkey", "doc_id", "text").mapInArrow(
+    feats = cut_lineage(rows.select("tkey", "doc_id", "text").transform(in_arrow, 
         _features, "tkey binary, doc_id bigint, n_shingles bigint, key binary, sig binary"))
     classes = cut_lineage(feats.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import cut_lineage, narrow, number_rows
+from tidemark.llm.common import cut_lineage, in_arrow, narrow, number_rows
 
 CAPACITY = 1024
 END_ID = 2
@@ -91,7 +91,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, capacity: int = CAP
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token pieces of at most `capacity` ids; `with_ids` adds them (little-endian uint32)."""
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
-    return narrow(docs, **{id_col: "bigint", text_col: "string"}).mapInArrow(
+    return narrow(docs, **{id_col: "bigint", text_col: "string"}).transform(in_arrow, 
         _pieces(path, end_id, capacity, with_ids), schema)
 
 

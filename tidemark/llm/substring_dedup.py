@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, narrow, window_hashes, word_hashes
+from tidemark.llm.common import cut_lineage, in_arrow, narrow, window_hashes, word_hashes
 
 LENGTH = 13
 SEED = 5
@@ -155,7 +155,7 @@ def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc, hs): per document the keys of its windows that an earlier document has too. `docs`
     has doc (no NULL) and text. A document's group holds no more than its own windows."""
-    found = docs.select("doc", "text").mapInArrow(_anchor_pass(length, seed), "h bigint, doc bigint")
+    found = docs.select("doc", "text").transform(in_arrow, _anchor_pass(length, seed), "h bigint, doc bigint")
     # counts are staged before they are joined back: both sides of the join are then shuffles of
     # their own, and the rows of a hot anchor, window or class can be split over tasks
     shared = cut_lineage(found.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
@@ -163,7 +163,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     seeds = cut_lineage(found.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("seeds")))
     texts = _only(docs.select("doc", "text"), seeds.select("doc"), "left_semi")
     windows = cut_lineage(texts.join(seeds, "doc").select("doc", "text", "seeds")
-                          .mapInArrow(_window_pass(length, seed), "h bigint, doc bigint"))
+                          .transform(in_arrow, _window_pass(length, seed), "h bigint, doc bigint"))
     first = cut_lineage(windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
                         .filter("lo <> hi").select("h", "lo"))
     return windows.join(first, "h").filter("doc > lo").groupBy("doc").agg(F.collect_set("h").alias("hs"))
@@ -174,7 +174,7 @@ def remove(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
     """doc_id, n_words, n_removed, kept_sha256, and kept_text: the kept words of a text that lost
     some, joined by a space (NULL: nothing lost)."""
     rows = _input(docs, id_col, text_col)
-    told = cut_lineage(rows.mapInArrow(
+    told = cut_lineage(rows.transform(in_arrow, 
         _first_pass, "doc bigint, doc_id bigint, n_words bigint, key binary, digest string"))
     classes = cut_lineage(told.groupBy("key").agg(F.min("doc").alias("first")))
     told = cut_lineage(told.join(classes, "key").withColumn("copy", F.col("doc") > F.col("first")))
@@ -182,7 +182,7 @@ def remove(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str
     gone = cut_lineage(repeats(singles, length, seed))
     texts = _only(singles.select("doc", "text"), gone.select("doc"), "left_semi")
     cut = (texts.join(gone, "doc").select("doc", "text", "hs")
-           .mapInArrow(_cut_pass(length), "doc bigint, digest string, n_cut bigint, kept string, kept_text string")
+           .transform(in_arrow, _cut_pass(length), "doc bigint, digest string, n_cut bigint, kept string, kept_text string")
            .dropDuplicates(["doc", "digest"]))
     whole = F.col("copy") & (F.col("n_words") >= length)       # a later copy loses every word
     return told.join(cut, ["doc", "digest"], "left").select(

@@ -23,7 +23,7 @@ ID = np.dtype("<u4")
 #: entries per worker in each of two generations
 CACHE = 100_000
 #: bytes of text whose distinct pieces are numbered at once, and words put together at once
-SLICE = 12 << 20
+SLICE = 16 << 20
 WORDS = 1 << 17
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: ASCII punctuation but the apostrophe, which starts pre-tokens of its own
