@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import cut_lineage, smallest
 from tidemark.llm.quality_rules import statistics
 
 MAX_ROWS = 20_000
@@ -106,8 +106,9 @@ def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, threshol
         "doc_id", *[F.coalesce(F.expr(e).cast("double"), F.lit(0.0)).alias(n) for n, e in STATS.items()]))
     known = (labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("_y"))
              .filter(F.col("_y").isin(0, 1) & ~held_out(F.col("doc_id"))))
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *stats.columns, "_y").limit(max_rows)
-    intercept, rules = fit(rows.drop("doc_id"), "_y")
+    rows = cut_lineage(stats.join(known, "doc_id"))
+    chosen = smallest(rows, F.xxhash64("doc_id"), max_rows, rows.count(), *stats.columns, "_y")
+    intercept, rules = fit(chosen.drop("doc_id"), "_y")
     value = compiled(intercept, rules)
     return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), value.alias("score")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
