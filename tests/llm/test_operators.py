@@ -67,6 +67,14 @@ def test_pii(spark, small, data):
     assert pii.scan(empty(spark)).count() == 0
 
 
+def test_pii_batches_without_any_digit(spark):
+    """Neither the fit nor a whole batch has a word to label."""
+    got = pii.scan(frame(spark, [(1, "no digits here"), (2, None), (3, "or here")])).collect()
+    assert sorted((r["doc_id"], r["spans"], r["n_added"]) for r in got) == [(1, "", 0), (2, "", 0), (3, "", 0)]
+    mixed = frame(spark, [(i, "only words") for i in range(20)] + [(99, "mail a@b.co")], partitions=8)
+    assert sum(r["n_email"] for r in pii.scan(mixed).collect()) == 1
+
+
 def test_pii_linear_on_long_runs():
     assert pii.base_spans("1" * 300_000) == [] and pii.base_spans("a" * 300_000 + " 1") == []
     assert pii.base_spans("a." * 100_000 + "@x.y") == [(0, 0, 200_004)]

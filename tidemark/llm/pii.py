@@ -29,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import narrow
+from tidemark.llm.common import in_arrow, narrow, smallest
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
 SAMPLE = 3000
 MIN_MARGINAL = 0.9
-FEATURES = 1 << 12
+FEATURES = 1 << 12            # buckets the features are hashed to
+PER_WORD = 9                  # features of a word
 ROUNDS = 10
 AGREE = 3.0
 LIKE = 7                      # least length, and last digits compared, of like words
@@ -147,7 +148,7 @@ def graph(texts: list[str]):
             words.append((t, start, end))
             feats.append(features(text, start, end))
             last_end = end
-    return words, np.array(feats, np.int64).reshape(len(words), -1), chain, list(dict.fromkeys(skip))
+    return words, np.array(feats, np.int64).reshape(len(words), PER_WORD), chain, list(dict.fromkeys(skip))
 
 
 def _lse(x, axis):
@@ -256,18 +257,19 @@ def _sample_words(batches):
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"):
     """Weights from at most `sample` documents; their words' features reach the driver."""
     rows = narrow(docs, **{id_col: "string", text_col: "string"}).filter(F.col(text_col).rlike("[0-9@]"))
-    chosen = rows.orderBy(F.xxhash64(id_col, text_col), id_col, text_col).limit(sample).select(text_col)
+    # a share of all documents that holds enough with a digit; the rows counted are those of the files
+    chosen = smallest(rows, F.xxhash64(id_col, text_col), sample, docs.count() // 4, id_col, text_col).select(text_col)
     feats, gold, chain, skip, n = [], [], [], [], 0
-    for r in chosen.mapInArrow(_sample_words, "f binary, g binary, c binary, s binary").collect():
+    for r in chosen.transform(in_arrow, _sample_words, "f binary, g binary, c binary, s binary").collect():
         g = np.frombuffer(r["g"], np.int64)
-        feats.append(np.frombuffer(r["f"], np.int64).reshape(len(g), -1) if len(g) else None)
+        feats.append(np.frombuffer(r["f"], np.int64).reshape(len(g), PER_WORD))
         gold.append(g)
         chain.append(np.frombuffer(r["c"], np.int64).reshape(-1, 2) + n)
         skip.append(np.frombuffer(r["s"], np.int64).reshape(-1, 2) + n)
         n += len(g)
     if not n:
-        return fit([], np.zeros((0, 1), np.int64), [], [], np.zeros(0, np.int64))
-    return fit(range(n), np.concatenate([f for f in feats if f is not None]), np.concatenate(chain),
+        return fit([], np.zeros((0, PER_WORD), np.int64), [], [], np.zeros(0, np.int64))
+    return fit(range(n), np.concatenate(feats), np.concatenate(chain),
                np.concatenate(skip), np.concatenate(gold))
 
 
@@ -291,7 +293,7 @@ def scan(docs: DataFrame, sample: int = SAMPLE, min_marginal: float = MIN_MARGIN
          text_col: str = "text", params=None) -> DataFrame:
     """Per document: counts and digest of the base spans, all spans, number of added spans."""
     params = params if params is not None else train(docs, sample, id_col, text_col)
-    return narrow(docs, **{id_col: "bigint", text_col: "string"}).mapInArrow(
+    return narrow(docs, **{id_col: "bigint", text_col: "string"}).transform(in_arrow, 
         _scan(params, min_marginal),
         "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
         "spans string, n_added bigint")
