@@ -78,7 +78,7 @@ def lookups(rows: DataFrame, wins: DataFrame, per_window: int) -> DataFrame:
     term_of = wins.select("win_id", F.size("win").alias("n"), F.posexplode("win").alias("off", "term"))
     vocabulary = cut_lineage(term_of.select("term").distinct())
     seen = rows.select(F.explode("w").alias("term")).join(_small(vocabulary, vocabulary.count()), "term")
-    counts = seen.groupBy("term").agg(F.count(F.lit(1)).alias("length"))
+    counts = cut_lineage(seen.groupBy("term").agg(F.count(F.lit(1)).alias("length")))
     ranked = (term_of.join(counts, "term").groupBy("win_id", "n").agg(      # a window's words per group
         F.count(F.lit(1)).alias("known"), F.array_sort(F.collect_list(F.struct("length", "term", "off"))).alias("all")))
     return cut_lineage(ranked.filter(F.col("known") == F.col("n"))
