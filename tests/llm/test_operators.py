@@ -94,6 +94,33 @@ def test_pii_skip_chain_adds_like_words(spark):
     assert "section" not in got[500]["spans"] and got[500]["n_added"] == 1
 
 
+def test_pii_telling_context_reaches_every_repeat():
+    """30 repeats that lean a little to "phone" alone, and one telling context: each gets a span."""
+    weights = np.zeros((pii.FEATURES, 5))
+    for feature, weight in (("bias", 0.2), ("pcall", 8.0)):
+        weights[zlib.crc32(feature.encode()) % pii.FEATURES, 4] = weight
+    params = [weights, np.zeros((5, 5)), pii.AGREE * np.eye(5)]
+    text = "Please call 5551234 now." + " Then see 5551234 there." * 29
+    other = "Then see 5551234 there. " * 3
+    got = pii.added([other, text], [[], []], params, 0.9)
+    assert len(got[1]) == 30 and all(k == 3 and text[s:e] == "5551234" for s, k, e in got[1])
+    assert got[0] == [] and pii.added([text], [[]], params, 0.9) == got[1:]      # batches do not matter
+
+
+def test_evidence_passes_all_like_words():
+    """Only the first of 30 like words has evidence; a hub of two words is as strong as a direct tie."""
+    skip = pii.AGREE * np.eye(5)
+    node = np.zeros((30, 5))
+    node[0, 4] = 8.0
+    edges, pots, hubs = pii.ties([list(range(30))], 30, skip)
+    p = pii.marginals(np.concatenate([node, np.zeros((hubs, 5))]), np.array(edges), pots)
+    assert hubs == 1 and np.ptp(p[1:30, 4]) < 1e-3 and p[29, 4] > 0.7
+    two = pii.marginals(node[:2], np.array([[0, 1]]), skip[None])
+    half = pii.ties([[0, 1, 2]], 3, skip)[1][:2]
+    hub = pii.marginals(np.concatenate([node[:2], np.zeros((1, 5))]), np.array([[0, 2], [1, 2]]), half)
+    assert np.allclose(hub[:2], two, atol=1e-4)
+
+
 def test_marginals_equal_enumeration_on_a_chain():
     rng = np.random.default_rng(0)
     node, pair = rng.normal(size=(4, 3)), rng.normal(size=(3, 3, 3))

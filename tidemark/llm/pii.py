@@ -4,9 +4,11 @@ Only words with a digit or an @ can be personal data of the four kinds; every ot
 label "none" for certain, which cuts the chain of a document into short pieces. The random field
 is over the remaining words: node potentials from features of the word and its neighbours, chain
 potentials between words that stand side by side, and skip potentials between words of a
-document that are equal, or share their last digits, however far apart. Loopy sum-product
-message passing on that graph makes the labels of such words agree; a word whose marginal for a
-kind reaches MIN_MARGINAL and that no base span touches gives an added span.
+document that are equal, or share their last digits, however far apart: three and more like words
+hang on one hub variable, so any two of them are two hops apart however many there are. Loopy
+sum-product message passing on that graph, until a document's messages settle, makes the labels of
+such words agree; a word whose marginal for a kind reaches MIN_MARGINAL and that no base span
+touches gives an added span.
 
 The weights are fitted by pseudo-likelihood on a bounded sample: the SAMPLE documents with the
 smallest hashes among those with a digit or an @, labelled by the base patterns. Everything
@@ -37,7 +39,8 @@ SAMPLE = 3000
 MIN_MARGINAL = 0.9
 FEATURES = 1 << 12            # buckets the features are hashed to
 PER_WORD = 9                  # features of a word
-ROUNDS = 10
+ROUNDS = 1000                 # where the messages of a document never settle
+SETTLED = 1e-5                # largest change of a message that counts as none
 AGREE = 3.0
 LIKE = 7                      # least length, and last digits compared, of like words
 
@@ -128,27 +131,49 @@ def features(text: str, start: int, end: int) -> list[int]:
 
 
 def graph(texts: list[str]):
-    """Live words of all texts: (text, start, end), features, chain edges and skip edges."""
-    words, feats, chain, skip = [], [], [], []
+    """Live words of all texts: (text, start, end), features, chain edges and groups of like words."""
+    words, feats, chain, groups = [], [], [], []
     for t, text in enumerate(texts):
-        last_end, seen = -2, {}
+        last_end, like = -2, {}
         for start, end in live_words(text):
             i = len(words)
             word = text[start:end]
             if 0 <= last_end and start - last_end <= 3 and i:
                 chain.append((i - 1, i))
             digits = _DIGITS.sub("", word)
-            keys = {word.lower()} if len(word) >= LIKE else set()      # shorter words are alike by chance
-            if len(digits) >= LIKE:
-                keys.add("#" + digits[-LIKE:])
-            for key in keys:
-                if key in seen:               # a word is tied to the last one like it
-                    skip.append((seen[key], i))
-                seen[key] = i
+            if len(digits) >= LIKE:           # equal words have equal last digits
+                like.setdefault("#" + digits[-LIKE:], []).append(i)
+            elif len(word) >= LIKE:           # shorter words are alike by chance
+                like.setdefault(word.lower(), []).append(i)
             words.append((t, start, end))
             feats.append(features(text, start, end))
             last_end = end
-    return words, np.array(feats, np.int64).reshape(len(words), PER_WORD), chain, list(dict.fromkeys(skip))
+        groups += [g for g in like.values() if len(g) > 1]
+    return words, np.array(feats, np.int64).reshape(len(words), PER_WORD), chain, groups
+
+
+def paths(groups: list[list[int]]) -> list[tuple[int, int]]:
+    """Each like word with the last one before it: the skip edges of the fit, where labels are known."""
+    return [e for g in groups for e in zip(g, g[1:])]
+
+
+def ties(groups: list[list[int]], n: int, skip: np.ndarray):
+    """Skip edges with their log potentials, and the number of hubs: two like words directly, more through
+    a hub each, numbered from n. A tie to a hub is half a skip: two in a row are as strong as one."""
+    both = np.exp((skip + skip.T) / 2)
+    value, vector = np.linalg.eigh(both)
+    half = np.log(np.maximum((vector * np.sqrt(np.maximum(value, 0))) @ vector.T, 1e-9))
+    edges, direct, hubs = [], [], 0
+    for g in groups:
+        if len(g) == 2:
+            edges.append(tuple(g))
+            direct.append(True)
+        else:
+            edges += [(i, n + hubs) for i in g]
+            direct += [False] * len(g)
+            hubs += 1
+    pots = np.where(np.array(direct, bool)[:, None, None], skip, half)
+    return edges, pots, hubs
 
 
 def _lse(x, axis):
@@ -156,21 +181,33 @@ def _lse(x, axis):
     return (np.log(np.exp(x - top).sum(axis, keepdims=True)) + top).squeeze(axis)
 
 
-def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Loopy sum-product: node (n, L) and pair (e, L, L) log potentials; the marginals (n, L)."""
+def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS,
+              part: np.ndarray | None = None) -> np.ndarray:
+    """Loopy sum-product: node (n, L) and pair (e, L, L) log potentials; the marginals (n, L). `part` numbers
+    the parts (texts) the edges belong to; each runs until its own messages settle, whatever the others."""
     belief = node.copy()
     if len(edges):
         src = np.concatenate([edges[:, 0], edges[:, 1]])
         dst = np.concatenate([edges[:, 1], edges[:, 0]])
         pots = np.concatenate([pair, pair.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+        part = np.zeros(len(src), np.int64) if part is None else np.concatenate([part, part])
         msg = np.zeros((len(src), node.shape[1]))
+        live = np.arange(len(src))
         for _ in range(rounds):
-            new = _lse((belief[src] - msg[back])[:, :, None] + pots, 1)
+            new = _lse((belief[src[live]] - msg[back[live]])[:, :, None] + pots, 1)
             new -= _lse(new, 1)[:, None]
-            msg = 0.5 * msg + 0.5 * new
-            belief = node.copy()
-            np.add.at(belief, dst, msg)
+            step = 0.5 * (new - msg[live])
+            msg[live] += step
+            belief[dst[live]] = node[dst[live]]
+            np.add.at(belief, dst[live], msg[live])
+            moved = np.zeros(part.max() + 1)
+            np.maximum.at(moved, part[live], np.abs(step).max(1))
+            on = moved[part[live]] > SETTLED
+            if not on.all():
+                live, pots = live[on], pots[on]
+            if not len(live):
+                break
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
@@ -223,13 +260,14 @@ def labels_of(words, spans_of: list[list[tuple[int, int, int]]]) -> np.ndarray:
 def added(texts: list[str], base: list[list[tuple[int, int, int]]], params, min_marginal: float):
     """Per text the spans that the field adds to the base ones."""
     out: list[list] = [[] for _ in texts]
-    words, feats, chain, skip = graph(texts)
+    words, feats, chain, groups = graph(texts)
     if not words:
         return out
+    skip, pots, hubs = ties(groups, len(words), params[2])
     edges = np.array([*chain, *skip], np.int64).reshape(-1, 2)
-    pair = np.concatenate([np.broadcast_to(params[1], (len(chain), *params[1].shape)),
-                           np.broadcast_to(params[2], (len(skip), *params[2].shape))])
-    p = marginals(params[0][feats].sum(1), edges, pair)
+    pair = np.concatenate([np.broadcast_to(params[1], (len(chain), *params[1].shape)), pots])
+    node = np.concatenate([params[0][feats].sum(1), np.zeros((hubs, len(LABELS)))])
+    p = marginals(node, edges, pair, part=np.array([t for t, _, _ in words], np.int64)[edges[:, 0]])
     known = labels_of(words, base)
     chained = {b for _, b in chain}
     best = p.argmax(1)
@@ -248,10 +286,10 @@ def _sample_words(batches):
     """Per sampled text: its words' features and labels and the edges."""
     for batch in batches:
         texts = [t or "" for t in batch.column(0).to_pylist()]
-        words, feats, chain, skip = graph(texts)
+        words, feats, chain, groups = graph(texts)
         gold = labels_of(words, [base_spans(t) for t in texts])
         yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
-            feats, gold, np.array(chain, np.int64), np.array(skip, np.int64))], ["f", "g", "c", "s"])
+            feats, gold, np.array(chain, np.int64), np.array(paths(groups), np.int64))], ["f", "g", "c", "s"])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"):
