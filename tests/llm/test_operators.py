@@ -107,6 +107,25 @@ def test_pii_telling_context_reaches_every_repeat():
     assert got[0] == [] and pii.added([text], [[]], params, 0.9) == got[1:]      # batches do not matter
 
 
+def like(text):
+    words, _, _, groups = pii.graph([text], [pii.base_spans(text)])
+    return [[text[words[i][1]:words[i][2]] for i in g] for g in groups]
+
+
+def test_numbers_with_spaces_and_short_addresses_are_tied():
+    assert like("call +1 705 555 1234, or 705.555.1234 then") == [["+1", "705", "555", "1234", "705.555.1234"]]
+    assert like("card 4111 1111 1111 1111 is 4111111111111111.") == [["4111"] + ["1111"] * 3 + ["4111111111111111"]]
+    assert like("in 2019 705 555 1234 40 was +1 (705) 555-1234") == [["705", "555", "1234", "+1", "705", "555-1234"]]
+    assert like("call 705 555 1234 and 705 555 1234 now") == [["705", "555", "1234"] * 2]
+    assert like("from a@b.co or A@b.co, item a1 and a1") == [["a@b.co", "A@b.co"]]
+    assert like("rows 1 2 3 4 5 6 7 8 9 and 4 5, 12 and 12; 10 20 30 40") == []
+
+
+def test_spaced_numbers_take_linear_time():
+    text = "1 2 3 4 5 " * 20_000
+    assert len(pii.graph([text], [pii.base_spans(text)])[0]) == 100_000
+
+
 def test_evidence_passes_all_like_words():
     """Only the first of 30 like words has evidence; a hub of two words is as strong as a direct tie."""
     skip = pii.AGREE * np.eye(5)

@@ -4,7 +4,8 @@ Only words with a digit or an @ can be personal data of the four kinds; every ot
 label "none" for certain, which cuts the chain of a document into short pieces. The random field
 is over the remaining words: node potentials from features of the word and its neighbours, chain
 potentials between words that stand side by side, and skip potentials between words of a
-document that are equal, or share their last digits, however far apart: three and more like words
+document that are equal, or share their last digits, however far apart (a number written with
+spaces counts as a whole: all its words share its last digits): three and more like words
 hang on one hub variable, so any two of them are two hops apart however many there are. Loopy
 sum-product message passing on that graph, until a document's messages settle, makes the labels of
 such words agree; a word whose marginal for a kind reaches MIN_MARGINAL and that no base span
@@ -43,6 +44,7 @@ ROUNDS = 1000                 # where the messages of a document never settle
 SETTLED = 1e-5                # largest change of a message that counts as none
 AGREE = 3.0
 LIKE = 7                      # least length, and last digits compared, of like words
+MOST = 19                     # digits of the longest number
 
 _ANY = re.compile(r"[0-9@]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -52,6 +54,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SPACE = re.compile(r"\s")
 _DIGITS = re.compile(r"[^0-9]+")
+_PLAIN = re.compile(r"\+?[0-9][0-9().-]*")          # a word of a number written with spaces, and what may
+_GAP = re.compile(r"[()]*[\x20\t\xa0]{1,2}[()]*")     # stand between two of them
 
 
 def luhn(digits: str) -> bool:
@@ -130,11 +134,70 @@ def features(text: str, start: int, end: int) -> list[int]:
     return [zlib.crc32(f.encode()) % FEATURES for f in out]
 
 
-def graph(texts: list[str]):
+def _last_words(run: list[int], digits: list[str], most: int) -> int:
+    """How many words at the end of a run have at least LIKE digits, and beyond that at most `most`."""
+    n, total = 0, 0
+    while n < len(run) and (total < LIKE or total + len(digits[-1 - n]) <= most):
+        total += len(digits[-1 - n])
+        n += 1
+    return n if total >= LIKE else 0
+
+
+def spaced(text: str, own: list[tuple[int, int, int]], base: list[tuple[int, int, int]]):
+    """(words, digits) of the numbers of a text that are written in several words: the words that a
+    base span covers, and at each end in a run of digit words side by side the last words, up to
+    MOST digits. `own` has (word, start, end) in order. Linear in the words."""
+    numbers, at, covered = [], 0, set()
+    for s, k, e in sorted(x for x in base if x[1] > 1):          # cards and phones
+        while at < len(own) and own[at][2] <= s:
+            at += 1
+        under, j = [], at
+        while j < len(own) and own[j][1] < e:
+            under.append(own[j][0])
+            j += 1
+        digits = _DIGITS.sub("", text[s:e])
+        if len(under) > 1 and len(digits) >= LIKE:
+            numbers.append((under, [digits], True))
+            covered.update(under)
+    run, parts, last = [], [], 0
+    for i, start, end in own:
+        plain = _PLAIN.fullmatch(text, start, end) and i not in covered
+        if not plain or run and not _GAP.fullmatch(text, last, start):
+            run, parts = [], []
+        if plain:
+            run.append(i)
+            parts.append(_DIGITS.sub("", text[start:end]))
+            n = _last_words(run, parts, MOST)
+            if n > 1:
+                numbers.append((run[-n:], parts[-n:], False))
+            run, parts, last = run[-MOST:], parts[-MOST:], end
+    return numbers
+
+
+def _common(a: str, b: str) -> int:
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def agreed(numbers) -> list[int]:
+    """The words that numbers with the same last digits share: all words of a base span or of one word, and
+    of a run those whose digits end another of the numbers too."""
+    order = sorted(("".join(parts)[::-1], i) for i, (_, parts, _) in enumerate(numbers))
+    out = set()
+    for at, (mine, i) in enumerate(order):
+        run, parts, whole = numbers[i]
+        near = [order[j][0] for j in (at - 1, at + 1) if 0 <= j < len(order)]       # neighbours share the most
+        out.update(run if whole else run[-_last_words(run, parts, max(_common(mine, x) for x in near)):])
+    return sorted(out)
+
+
+def graph(texts: list[str], base: list[list[tuple[int, int, int]]]):
     """Live words of all texts: (text, start, end), features, chain edges and groups of like words."""
     words, feats, chain, groups = [], [], [], []
     for t, text in enumerate(texts):
-        last_end, like = -2, {}
+        last_end, like, numbers, first = -2, {}, {}, len(words)
         for start, end in live_words(text):
             i = len(words)
             word = text[start:end]
@@ -142,13 +205,16 @@ def graph(texts: list[str]):
                 chain.append((i - 1, i))
             digits = _DIGITS.sub("", word)
             if len(digits) >= LIKE:           # equal words have equal last digits
-                like.setdefault("#" + digits[-LIKE:], []).append(i)
-            elif len(word) >= LIKE:           # shorter words are alike by chance
+                numbers.setdefault(digits[-LIKE:], []).append(([i], [digits], True))
+            elif len(word) >= LIKE or 0 < word.find("@") < len(word) - 1:       # other short words are alike by chance
                 like.setdefault(word.lower(), []).append(i)
             words.append((t, start, end))
             feats.append(features(text, start, end))
             last_end = end
-        groups += [g for g in like.values() if len(g) > 1]
+        for number in spaced(text, [(i, *words[i][1:]) for i in range(first, len(words))], base[t]):
+            numbers.setdefault("".join(number[1])[-LIKE:], []).append(number)
+        same = [*like.values(), *(agreed(n) for n in numbers.values() if len(n) > 1)]
+        groups += [list(g) for g in dict.fromkeys(map(tuple, same)) if len(g) > 1]
     return words, np.array(feats, np.int64).reshape(len(words), PER_WORD), chain, groups
 
 
@@ -260,7 +326,7 @@ def labels_of(words, spans_of: list[list[tuple[int, int, int]]]) -> np.ndarray:
 def added(texts: list[str], base: list[list[tuple[int, int, int]]], params, min_marginal: float):
     """Per text the spans that the field adds to the base ones."""
     out: list[list] = [[] for _ in texts]
-    words, feats, chain, groups = graph(texts)
+    words, feats, chain, groups = graph(texts, base)
     if not words:
         return out
     skip, pots, hubs = ties(groups, len(words), params[2])
@@ -286,8 +352,9 @@ def _sample_words(batches):
     """Per sampled text: its words' features and labels and the edges."""
     for batch in batches:
         texts = [t or "" for t in batch.column(0).to_pylist()]
-        words, feats, chain, groups = graph(texts)
-        gold = labels_of(words, [base_spans(t) for t in texts])
+        base = [base_spans(t) for t in texts]
+        words, feats, chain, groups = graph(texts, base)
+        gold = labels_of(words, base)
         yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
             feats, gold, np.array(chain, np.int64), np.array(paths(groups), np.int64))], ["f", "g", "c", "s"])
 
