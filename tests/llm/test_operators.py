@@ -435,6 +435,19 @@ def test_secret_ownership_and_redaction(spark):
     assert edge.count() == len(EDGE) and edge.columns == frame(spark, EDGE).columns
 
 
+def test_vendor_keys_need_no_mixed_case(spark):
+    keys = ["sk_live_abcdefgh1234567890", "xoxp-123456789012-abcdefghij", "ghp_abcdefghijklmnop0123456789",
+            "glpat-ABCDEFGHIJKLMNOPQRST", "auth/ghp_abcdefghijklmnopqrstuvwxyz"]
+    words = ["task-management-system-overview", "disk_live_abcdefghijklmnopqrst", "é" * 3 + " risk-adjusted-returns-analysis",
+             "a-long-title-of-words-only-and-nothing-else"]
+    docs = [(i, f"é use {x} there") for i, x in enumerate(keys + words)] + [(99, keys[0])]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(frame(spark, docs)).collect()}
+    assert [got[i] for i in range(len(keys))] == [f"other:6:{6 + len(x)}" for x in keys]
+    assert got[99] == f"other:0:{len(keys[0])}" and all(got[i] == "" for i in range(len(keys), len(docs) - 1))
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame(spark, docs)).collect()}
+    assert all(clean[i] == "é use [SECRET] there" for i in range(len(keys))) and clean[5] == docs[5][1]
+
+
 @pytest.mark.parametrize("data", ["small", "edge"])
 def test_substring_dedup(spark, small, data):
     docs = small if data == "small" else [(d, t) for d, t in EDGE if d is not None]

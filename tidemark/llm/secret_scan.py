@@ -34,6 +34,9 @@ OTHER = (r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{20,}"
          r"|://[A-Za-z0-9._%-]+:[^\x20\x09-\x0D:/@]{6,}@"
          r"|[A-Za-z0-9+/_-]{32,}")
 MIXED_ONLY = r"^[A-Za-z0-9+/_-]+$"
+#: a vendor-prefixed key in a value, not inside a word ("task-", "disk_live_")
+VENDOR = r"(?:ghp_|gho_|glpat-|sk-|sk_live_|xoxb-|xoxp-)[A-Za-z0-9_-]{16,}"
+VENDOR_FIRST, VENDOR_INSIDE = "^" + VENDOR, "[^A-Za-z0-9]" + VENDOR
 MAX_OWNERS = 2
 
 
@@ -58,10 +61,15 @@ def found(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """All candidate spans of a text, base kinds first."""
+    """All candidate spans of a text, base kinds first. Long strings must mix cases and digits unless
+    they hold a vendor-prefixed key."""
     assign = F.filter(found(text, ASSIGN, 0, 2), lambda x: F.length(x["v"]) >= 6)
+    def vendor(x):       # at the start of the value the character before it counts
+        alone = (x["s"] == 0) | ~F.substring(text, x["s"], F.lit(1)).rlike("[A-Za-z0-9]")
+        return x["v"].rlike(VENDOR_INSIDE) | (x["v"].rlike(VENDOR_FIRST) & alone)
+
     other = F.filter(found(text, OTHER, 3), lambda x: ~x["v"].rlike(MIXED_ONLY) | (
-        x["v"].rlike("[A-Z]") & x["v"].rlike("[a-z]") & x["v"].rlike("[0-9]")))
+        x["v"].rlike("[A-Z]") & x["v"].rlike("[a-z]") & x["v"].rlike("[0-9]")) | vendor(x))
     return F.concat(assign, found(text, ACCESS, 1), found(text, HEX, 2), other)
 
 
