@@ -34,7 +34,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(documents(spark, sf_dir))
+    return secret_scan.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
 
 
 def op7_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 Candidates are the base kinds (assign, access, hex) and, as `other`, wider forms: bearer values,
 web tokens, vendor-prefixed keys, passwords in URLs, and long strings mixing cases and digits.
 The hash of each candidate value is counted over the whole corpus by distinct repositories and
-distinct owners. A value held by at most `max_owners` owners looks live; one found with more
-owners is a widely copied example. Base spans are always reported; `other` spans only if live.
+distinct owners. A value held by at most `max_owners` owners in at most `max_repos` repositories
+looks live; one found with more of either is a widely copied example. Base spans are always reported; `other` spans only if live.
 
 Positions come from the built-in regular expressions: the matches (`regexp_extract_all`) and the
 text between them (`split`) alternate, so the running sum of their lengths gives every start.
@@ -38,6 +38,7 @@ MIXED_ONLY = r"^[A-Za-z0-9+/_-]+$"
 VENDOR = r"(?:ghp_|gho_|glpat-|sk-|sk_live_|xoxb-|xoxp-)[A-Za-z0-9_-]{16,}"
 VENDOR_FIRST, VENDOR_INSIDE = "^" + VENDOR, "[^A-Za-z0-9]" + VENDOR
 MAX_OWNERS = 2
+MAX_REPOS = 10
 
 
 def found(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
@@ -98,16 +99,16 @@ def ownership(rows: DataFrame) -> DataFrame:
     return cut_lineage(owners.join(repos, "v"))
 
 
-def _judged(rows: DataFrame, max_owners: int, unique: bool = True) -> DataFrame:
-    """(_row, told) for rows with candidates; spans sorted by start, then kind, with `live`;
+def _judged(rows: DataFrame, max_owners: int, max_repos: int, unique: bool = True) -> DataFrame:
+    """(_row, told) for rows with candidates; spans sorted by start, then kind, with `live` and both counts;
     `other` spans that are not live are gone. Rows that share a _row (not `unique`) have the same spans."""
     some = rows.filter(F.size("spans") > 0)
     one = ((some if unique else some.dropDuplicates(["_row"])).select("_row", F.explode("spans").alias("x"))
            .select("_row", F.col("x.v").alias("v"), "x"))
     told = (one.join(ownership(rows), "v")
-            .withColumn("live", F.col("n_owners") <= max_owners))
+            .withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)))
     return (told.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("x.s").alias("s"), F.col("x.k").alias("k"), F.col("x.e").alias("e"), "live"))).alias("all"))
+        F.col("x.s").alias("s"), F.col("x.k").alias("k"), F.col("x.e").alias("e"), "live", "n_owners", "n_repos"))).alias("all"))
         .select("_row", F.filter("all", lambda x: (x["k"] < 3) | x["live"]).alias("told")))
 
 
@@ -118,12 +119,13 @@ def _joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
-         owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
-    """Per document: counts and digest of the base spans, all spans, and how many spans look live
-    (n_live) or hold a widely copied value (n_copied)."""
+         owner_col: str = "source", repo_col: str = "doc_id", max_repos: int = MAX_REPOS) -> DataFrame:
+    """Per document: counts and digest of the base spans, all spans, how many spans look live
+    (n_live) or hold a widely copied value (n_copied), and the owners and repositories of each
+    span's value (`owners` and `repos`, in the order of `spans`)."""
     rows = _candidate_rows(docs, id_col, text_col, owner_col, repo_col, False)
-    none = F.expr("CAST(array() AS array<struct<s:int,k:int,e:int,live:boolean>>)")
-    some = rows.filter(F.size("spans") > 0).select("_row", "doc_id").join(_judged(rows, max_owners), "_row")
+    none = F.expr("CAST(array() AS array<struct<s:int,k:int,e:int,live:boolean,n_owners:bigint,n_repos:bigint>>)")
+    some = rows.filter(F.size("spans") > 0).select("_row", "doc_id").join(_judged(rows, max_owners, max_repos), "_row")
     all_ = (some.select("doc_id", "told")
             .unionByName(rows.filter(F.size("spans") == 0).select("doc_id", none.alias("told"))))
 
@@ -137,11 +139,12 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id",
         "doc_id", of(0), of(1), of(2),
         F.sha2(_joined(F.filter("told", lambda x: x["k"] < 3)), 256).alias("base_sha256"),
         _joined(F.col("told")).alias("spans"),
-        n(lambda x: x["live"]).alias("n_live"), n(lambda x: ~x["live"]).alias("n_copied"))
+        n(lambda x: x["live"]).alias("n_live"), n(lambda x: ~x["live"]).alias("n_copied"),
+        F.col("told.n_owners").alias("owners"), F.col("told.n_repos").alias("repos"))
 
 
 def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
-           owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+           owner_col: str = "source", repo_col: str = "doc_id", max_repos: int = MAX_REPOS) -> DataFrame:
     """The input with every reported span replaced: [SECRET] if one of the spans it overlaps looks
     live, [EXAMPLE] otherwise. Texts without spans stay as they are; n_chars, if there, follows."""
     rows = _candidate_rows(docs, id_col, text_col, owner_col, repo_col, True)
@@ -164,7 +167,7 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id"
 
     done = F.aggregate("told", first, step, lambda acc: F.concat(
         put(acc), F.substring(text, acc["end"] + 1, F.length(text))))
-    told = few(_judged(rows, max_owners, unique=False).withColumnRenamed("_row", "_key"))
+    told = few(_judged(rows, max_owners, max_repos, unique=False).withColumnRenamed("_row", "_key"))
     both = (packed(docs, _key=text_key(F.col(f"`{text_col}`"))).join(told, "_key", "left")
             .select("_in", F.when(F.col("told").isNull(), text).otherwise(done).alias("_new")))
 
