@@ -60,15 +60,18 @@ def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL, LARGE = "4m", "16m"
 
 
-def in_arrow(df: DataFrame, work, schema: str) -> DataFrame:
-    """`mapInArrow` with bounded memory: batches of 16 MB where the session has Spark's default of
+def in_arrow(df: DataFrame, work, schema: str, batch: str = SMALL) -> DataFrame:
+    """`mapInArrow` with bounded memory: batches of `batch` where the session has Spark's default of
     64 MB (whatever the length of the texts), and freed memory goes back to the system when a
-    task ends, because Spark keeps the worker for the next one."""
+    task ends, because Spark keeps the worker for the next one. Spark reads the size of the
+    batches when the plan runs, so the session keeps the setting of the last call; a size that the
+    session sets itself is left alone."""
     conf = df.sparkSession.conf
-    if conf.get(BATCH_BYTES) == "67108864b":
-        conf.set(BATCH_BYTES, "16m")
+    if conf.get(BATCH_BYTES) in ("67108864b", SMALL, LARGE):
+        conf.set(BATCH_BYTES, batch)
 
     def run(batches):
         try:
@@ -81,6 +84,7 @@ def in_arrow(df: DataFrame, work, schema: str) -> DataFrame:
 
 def give_back() -> None:
     import pyarrow as pa
+    _POW.clear()
     pa.default_memory_pool().release_unused()
     try:
         import ctypes

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import in_arrow, narrow
+from tidemark.llm.common import LARGE, in_arrow, narrow
 from tidemark.session import checkpoint_dir
 
 BLOCK = 512                   # bits per rank block
@@ -154,7 +154,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, e
             .withColumn("_tie", F.monotonically_increasing_id()))
     keys = [F.col(id_col).asc_nulls_first(), F.col("_crc"), F.col("_tie")]
     (rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(id_col, text_col)
-     .transform(in_arrow, _write(path or tokens.default_path(), end_id, segment), SEGMENTS)
+     .transform(in_arrow, _write(path or tokens.default_path(), end_id, segment), SEGMENTS, LARGE)
      .write.mode("errorifexists").parquet(folder))
     return folder
 

@@ -22,7 +22,8 @@ import pyarrow.compute as pc
 ID = np.dtype("<u4")
 #: entries per worker in each of two generations
 CACHE = 100_000
-#: bytes of text whose distinct pieces are numbered at once, and words put together at once
+#: bytes of text (at most, a batch has its own bound) whose distinct pieces are numbered at once,
+#: and words put together at once
 SLICE = 16 << 20
 WORDS = 1 << 17
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -158,15 +159,14 @@ class Encoder:
         codes = words.indices.to_numpy().copy()
         distinct = words.dictionary.to_pylist()
         del words
-        ids, odd = [], np.zeros(len(distinct), bool)
-        for i, p in enumerate(distinct):
+        ids, odd = list(map(self.pieces.get, distinct)), np.zeros(len(distinct), bool)
+        for i in [i for i, got in enumerate(ids) if got is None]:
             try:
-                if "<|endoftext|>" in p:
+                if "<|endoftext|>" in distinct[i]:
                     raise _Beside
-                ids.append(self.pieces[p])
+                ids[i] = self.pieces[distinct[i]]
             except _Beside:                 # such texts are encoded one by one
-                ids.append(b"")
-                odd[i] = True
+                ids[i], odd[i] = b"", True
         whole = np.logical_or.reduceat(odd[codes], first)
         for i, (head, one_by_one) in enumerate(zip(codes[first].tolist(), whole.tolist())):
             ids.append(self.encode(texts[i].as_py()) if one_by_one else self._head(distinct[head]))
