@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -138,3 +139,90 @@ def contamination(text, items, size=13):
                 hit.update(range(k, k + n))
                 found |= wins[tuple(w[k:k + n])]
     return (len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(w))
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, min_docs=30, top=50):
+    """[(text, lang, source)] -> sorted rows (lang, source, part, item, value, rank)."""
+    docs = [(t or "", g or "", s or "") for t, g, s in docs]
+    counts, seen = collections.Counter(), collections.Counter()
+    for t, g, s in docs:
+        w = TERM.findall(lower(t))
+        counts.update((g, s, x) for x in w)
+        seen.update((g, x) for x in set(w))
+    out = []
+    for g in {x[1] for x in docs}:
+        sources = {s for _, h, s in docs if h == g}
+        kept = [x for (h, x), n in seen.items() if h == g and n >= min_docs]
+        n = {s: {x: counts[g, s, x] for x in kept} for s in sources}
+        whole = {x: sum(n[s][x] for s in sources) for x in kept}
+
+        def p(c, kept=kept):
+            total = sum(c.values())
+            return {x: 1 + 10**9 * (c[x] + 5) // (total + 5 * len(kept)) for x in kept}
+
+        ps, q = {s: p(n[s]) for s in sources}, p(whole)
+        for s in sources:
+            pair = [(-sum(abs(ps[s][x] - ps[o][x]) for x in kept), o) for o in sources if o != s]
+            term = [(q[x] - ps[s][x], x) for x in kept if n[s][x] and ps[s][x] > q[x]]
+            for part, items in (("pair", pair), ("term", sorted(term, key=lambda i: (i[0], i[1].encode()))[:top])):
+                items = sorted(items, key=lambda i: (i[0], i[1].encode()))
+                out += [(g, s, part, item, -v, r + 1) for r, (v, item) in enumerate(items)]
+    return sorted(out)
+
+
+def merkle(rows):
+    """[(doc_id, source, lang, n_chars, text)] -> rows (doc_id, leaf, subroot, root, proof, folded, verified)."""
+    def leaf(r):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    def climb(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][i:i + 8])) for i in range(0, len(out[-1]), 8)])
+        return out
+
+    langs = {}
+    for r in rows:
+        langs.setdefault(r[2], []).append(r)
+    order = sorted(langs, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        langs[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[g] = climb([leaf(r) for r in langs[g]])
+    high = climb([trees[g][-1][0] for g in order]) if order else []
+    out = []
+    for k, g in enumerate(order):
+        for i, r in enumerate(langs[g]):
+            changed = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[4] is not None
+            node, proof = leaf((*r[:4], lower(r[4]))) if changed else leaf(r), ""
+            for tree, at in ((trees[g], i), (high, k)):
+                for level in tree[:-1]:
+                    lo = at - at % 8
+                    before, after = "".join(level[lo:at]), "".join(level[at + 1:lo + 8])
+                    proof, node, at = proof + before + after, sha(before + node + after), at // 8
+            out.append((r[0], leaf(r), trees[g][-1][0], high[-1][0], sha(proof), node, node == high[-1][0]))
+    return sorted(out, key=str)
+
+
+def line_dedup(docs, least=10):
+    """[(id, text)] -> [(id, lines, dropped, sha)]; a NULL id comes last."""
+    def key(line):
+        return lower(line.strip(" \t\n\x0b\x0c\r"))
+
+    def place(d):
+        return (d is None, d or 0)
+
+    first = {}
+    for d, t in docs:
+        for line in (t or "").split("\n"):
+            if len(k := key(line)) >= least:
+                first[k] = min(first.get(k, place(d)), place(d))
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        left = [x for x in lines if len(key(x)) < least or first[key(x)] == place(d)]
+        out.append((d, len(lines), len(lines) - len(left), sha("\n".join(left))))
+    return sorted(out, key=str)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.sinks import cut_lineage
 
 BROADCAST_ROWS = 200_000
+BROADCAST_SIZE = 8 << 20
 ROW_BITS = 33     # monotonically_increasing_id keeps the row's place in its partition in 33 bits
 
 
@@ -42,11 +43,13 @@ def text_key(text) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
-def few(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """The staged `df`, sent to all tasks if it is measured to have at most `bound` rows; beyond
-    that the same join shuffles."""
+def few(df: DataFrame, bound: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
+    """The staged `df`, sent to all tasks if it is measured to have at most `bound` rows, and, where
+    its rows grow with the texts, at most BROADCAST_SIZE elements or bytes as `size` counts them
+    per row; beyond that the same join shuffles."""
     df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= bound else df
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0))).first()
+    return F.broadcast(df) if n <= bound and total <= BROADCAST_SIZE else df
 
 
 def packed(docs: DataFrame, **more: Column) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    dac, decontaminate, minhash, packing, pii, quality_model, quality_rules, secret_scan, shard, sql, substring_dedup,
+    dac, decontaminate, divergence, line_dedup, manifest, minhash, packing, pii, quality_model, quality_rules,
+    secret_scan, shard, sql, sql_audit, substring_dedup,
 )
 from tidemark.llm.common import documents
 
@@ -54,6 +55,18 @@ def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(documents(spark, sf_dir))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_skip_chain_pii": op1_skip_chain_pii,
     "op2_minhash_bayes": op2_minhash_bayes,
@@ -65,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_seed_extend": op9_seed_extend,
     "op10_positional_index": op10_positional_index,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -74,4 +90,7 @@ ORACLES: dict[str, str] = {
     "op8_feistel_shards": sql.shards(),
     "op9_seed_extend": sql.substring_dedup(),
     "op10_positional_index": sql.contamination(),
+    "op11_source_divergence": sql_audit.divergences(),
+    "op12_merkle_manifest": sql_audit.merkle(),
+    "op13_line_dedup": sql_audit.line_dedup_sql(),
 }
