@@ -94,13 +94,11 @@ def test_manifest(spark, data):
     assert manifest.manifest(df.filter("false")).count() == 0
 
 
-def test_manifest_over_several_superblocks(spark, monkeypatch):
-    """Superblocks of 8 leaves: three layers in the hot language, one in a small one; proofs lead to the root."""
-    monkeypatch.setattr(manifest, "LEVELS", 1)
-    monkeypatch.setattr(manifest, "SPAN", 8)
+def test_manifest_over_several_superblocks(spark):
+    """Superblocks of 8 leaves: four layers in the hot language, one in a small one; proofs lead to the root."""
     docs = [(i, "s", "en" if i < 530 else f"l{i % 11}", i, f"Text {i}" if i % 7 else "same TEXT") for i in range(600)]
     df = spark.createDataFrame(docs, "doc_id bigint, source string, lang string, n_chars bigint, text string").repartition(6)
-    found = manifest.manifest(df, with_path=True).collect()
+    found = manifest.manifest(df, with_path=True, high=1).collect()
     assert sorted([tuple(r)[:7] for r in found], key=str) == brute.merkle(docs)
     assert all(manifest.fold(r["leaf"], r["places"], r["siblings"]) == r["root"] for r in found)
     assert {len(r["places"]) for r in found if r["doc_id"] < 530} == {6}      # 530 -> 67 -> 9 -> 2 -> 1, and 12 -> 2 -> 1

@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut_lineage, few, importable, narrow, number_rows
 
 FANOUT, LEVELS = 8, 3
-SPAN = FANOUT ** LEVELS
 HEX = 64                      # characters of a digest
 PATH = "places array<int>, siblings array<string>"
 
@@ -42,11 +41,11 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def levels(nodes: list[str], whole: bool) -> list[list[str]]:
-    """The nodes and the levels above them: LEVELS of them, or (`whole`: the superblock is all its
-    tree has) as many as leave one node."""
+def levels(nodes: list[str], n: int, high: int) -> list[list[str]]:
+    """The nodes of a superblock and the levels above them: `high` of them, or, if the superblock is
+    all of its tree's `n` nodes, as many as leave one."""
     out = [nodes]
-    while len(out[-1]) > 1 if whole else len(out) <= LEVELS:
+    while len(out[-1]) > 1 if n <= FANOUT ** high else len(out) <= high:
         low = out[-1]
         out.append([digest("".join(low[i:i + FANOUT])) for i in range(0, len(low), FANOUT)])
     return out
@@ -96,54 +95,54 @@ def leaves(docs: DataFrame) -> DataFrame:
                                    F.when(hit, leaf(lower_ascii(F.col("text")))).alias("changed")))
 
 
-def _up(nodes: DataFrame) -> DataFrame:
+def _block(high: int) -> Column:
+    return F.expr(f"idx div {FANOUT ** high}").alias("block")
+
+
+def _up(nodes: DataFrame, high: int) -> DataFrame:
     """The next layer: tree, idx, n, node. `nodes` has tree, idx, n (nodes of the tree in this
     layer) and node (32 bytes)."""
     def top(key, pdf):
         pdf = pdf.sort_values("idx")
         n = int(pdf["n"].iloc[0])
-        node = levels([bytes(x).hex() for x in pdf["node"]], n <= SPAN)[-1][0]
-        return pd.DataFrame({"tree": [key[0]], "idx": [key[1]], "n": [-(-n // SPAN)], "node": [bytes.fromhex(node)]})
+        node = levels([bytes(x).hex() for x in pdf["node"]], n, high)[-1][0]
+        return pd.DataFrame({"tree": [key[0]], "idx": [key[1]], "n": [-(-n // FANOUT ** high)], "node": [bytes.fromhex(node)]})
 
-    return cut_lineage(nodes.groupBy("tree", F.floor(F.col("idx") / SPAN).alias("block")).applyInPandas(
+    return cut_lineage(nodes.groupBy("tree", _block(high)).applyInPandas(
         top, "tree bigint, idx bigint, n bigint, node binary"))
 
 
-def _layers(nodes: DataFrame) -> list[DataFrame]:
+def _layers(nodes: DataFrame, high: int) -> list[DataFrame]:
     """All layers of the trees, the last one with a node per tree."""
     most = nodes.agg(F.max("n")).first()[0] or 1
     out = [nodes]
     while most > 1:
-        out.append(_up(out[-1]))
-        most = -(-most // SPAN)
+        out.append(_up(out[-1], high))
+        most = -(-most // FANOUT ** high)
     return out
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("idx") / SPAN))
-
-
-def _down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _down(nodes: DataFrame, outer: DataFrame, high: int) -> DataFrame:
     """(tree, idx, places, siblings) of the nodes; `outer` has those of the layer above."""
     def join(key, own, above):
         own = own.sort_values("idx")
-        tree = levels([bytes(x).hex() for x in own["node"]], int(own["n"].iloc[0]) <= SPAN)
+        tree = levels([bytes(x).hex() for x in own["node"]], int(own["n"].iloc[0]), high)
         places, siblings = list(above["places"].iloc[0]), list(above["siblings"].iloc[0])
         paths = [path(tree, i) for i in range(len(own))]
         return pd.DataFrame({"tree": own["tree"].to_numpy(), "idx": own["idx"].to_numpy(),
                              "places": [p + places for p, _ in paths], "siblings": [s + siblings for _, s in paths]})
 
-    return cut_lineage(_blocks(nodes).groupBy("tree", "block").cogroup(
+    return cut_lineage(nodes.groupBy("tree", _block(high)).cogroup(
         outer.withColumnRenamed("idx", "block").groupBy("tree", "block")).applyInPandas(
         join, f"tree bigint, idx bigint, {PATH}"))
 
 
-def _finish(rows: DataFrame, outer: DataFrame, root: str, with_path: bool) -> DataFrame:
+def _finish(rows: DataFrame, outer: DataFrame, root: str, with_path: bool, high: int) -> DataFrame:
     """Proofs of the leaves joined with their superblocks' outer paths, and folded."""
     def prove(key, own, above):
         own = own.sort_values("idx")
         leaf = [bytes(x).hex() for x in own["node"]]
-        tree = levels(leaf, int(own["n"].iloc[0]) <= SPAN)
+        tree = levels(leaf, int(own["n"].iloc[0]), high)
         up, outside = list(above["places"].iloc[0]), list(above["siblings"].iloc[0])
         tail = "".join(outside)
         proofs, folded, paths = [], [], []
@@ -162,14 +161,14 @@ def _finish(rows: DataFrame, outer: DataFrame, root: str, with_path: bool) -> Da
     # ids pass as text: pandas has no integer column with NULLs
     schema = ("doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, "
               "verified boolean" + f", {PATH}" * with_path)
-    done = (_blocks(rows.withColumn("doc_id", F.col("doc_id").cast("string"))).groupBy("tree", "block")
+    done = (rows.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("tree", _block(high))
             .cogroup(outer.groupBy("tree", "block")).applyInPandas(prove, schema))
     return done.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def manifest(docs: DataFrame, with_path: bool = False) -> DataFrame:
+def manifest(docs: DataFrame, with_path: bool = False, high: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified per row; `with_path` adds the
-    proof itself: `places` and `siblings` per level, for `fold`."""
+    proof itself: `places` and `siblings` per level, for `fold`. A superblock is `high` levels high."""
     spark = docs.sparkSession
     importable(spark)
     placed = number_rows(leaves(docs), ["lang", "doc_id", "leaf"])
@@ -179,20 +178,20 @@ def manifest(docs: DataFrame, with_path: bool = False) -> DataFrame:
     named = few(trees)
     rows = cut_lineage(placed.join(named, placed["lang"].eqNullSafe(named["lang"])).select(
         "tree", (F.col("row_no") - F.col("start")).alias("idx"), "n", F.col("leaf").alias("node"), "doc_id", "changed"))
-    layers = _layers(rows.select("tree", "idx", "n", "node"))
+    layers = _layers(rows.select("tree", "idx", "n", "node"), high)
     subroots = layers[-1].select(F.col("tree").alias("idx"), "node")
     total = trees.count()
     if not total:
-        return spark.createDataFrame([], _finish(rows, rows.select("tree", F.col("idx").alias("block")), "", with_path).schema)
-    forest = _layers(subroots.select(F.lit(0).cast("bigint").alias("tree"), "idx", F.lit(total).cast("bigint").alias("n"), "node"))
+        return spark.createDataFrame([], _finish(rows, rows.select("tree", F.col("idx").alias("block")), "", with_path, high).schema)
+    forest = _layers(subroots.select(F.lit(0).cast("bigint").alias("tree"), "idx", F.lit(total).cast("bigint").alias("n"), "node"), high)
     top = forest[-1].select(F.lower(F.hex("node")).alias("x"), "tree", "idx").first()       # one row
     none = spark.createDataFrame([(0, 0, [], [])], f"tree bigint, idx bigint, {PATH}")
     outer = none
     for layer in reversed(forest[:-1]):
-        outer = _down(layer, outer)
+        outer = _down(layer, outer, high)
     # a language's path starts at its subroot; its layers pass it down
     outer = outer.select(F.col("idx").alias("tree"), F.lit(0).cast("bigint").alias("idx"), "places", "siblings")
     for layer in reversed(layers[1:-1]):
-        outer = _down(layer, outer)
+        outer = _down(layer, outer, high)
     tops = few(subroots.select(F.col("idx").alias("tree"), F.lower(F.hex("node")).alias("subroot")))
-    return _finish(rows, outer.withColumnRenamed("idx", "block").join(tops, "tree"), top["x"], with_path)
+    return _finish(rows, outer.withColumnRenamed("idx", "block").join(tops, "tree"), top["x"], with_path, high)
