@@ -77,6 +77,8 @@ def in_arrow(df: DataFrame, work, schema: str, batch: str = SMALL) -> DataFrame:
         conf.set(BATCH_BYTES, batch)
 
     def run(batches):
+        import pyarrow as pa
+        pa.set_memory_pool(pa.system_memory_pool())     # its freed memory can be given back
         try:
             yield from work(batches)
         finally:
@@ -86,6 +88,7 @@ def in_arrow(df: DataFrame, work, schema: str, batch: str = SMALL) -> DataFrame:
 
 
 def give_back() -> None:
+    """Hand freed memory back to the system, and drop tables that grew with the longest text."""
     import pyarrow as pa
     _POW.clear()
     pa.default_memory_pool().release_unused()

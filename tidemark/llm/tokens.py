@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidemark.llm.common import give_back
+
 ID = np.dtype("<u4")
 #: entries per worker in each of two generations
 CACHE = 100_000
@@ -144,7 +146,7 @@ class Encoder:
             stop = max(row + 1, int(np.searchsorted(ends, before + SLICE)))
             for first, ids, at in self._slice(column.slice(row, stop - row), end_id):
                 yield row + first, ids, at
-            pa.default_memory_pool().release_unused()
+            give_back()
             row = stop
 
     def _slice(self, texts: pa.Array, end_id: int):
@@ -199,6 +201,7 @@ def encoder(path: str) -> Encoder:
     """One per worker process and file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+        give_back()                         # what reading the file took
     return _ENCODERS[path]
 
 
