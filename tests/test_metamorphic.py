@@ -75,5 +75,5 @@ def test_bucketed_scd_fold_equals_whole_table_fold(spark, scratch):
     for day in RUNS[1:]:
         src = S.snapshot_source(spark, SF_SMALL, day, batch_of(day))
         sinks.scd_merge_bucketed(spark, tbl, src, "ENTITY_KEY", 16, day, batch_of(day))
-    got = sorted(tuple(r) for r in spark.read.parquet(tbl).select(*S.DIM_COLS).collect())
+    got = sorted(tuple(r) for r in sinks.read_bucketed(spark, tbl).select(*S.DIM_COLS).collect())
     assert got == sorted(tuple(r) for r in fold(spark).collect())

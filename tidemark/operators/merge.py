@@ -51,7 +51,8 @@ def _before(a: Sequence, b: Sequence):
 def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[str] = (),
                  gate: str | None = "HASH_CHANGE", update_cols: Sequence[str] | None = None,
                  op_col: str = "OPERATION_TYPE", check_unique: bool = True,
-                 stage_source: bool = True, order_cols: Sequence[str] = ()) -> DataFrame:
+                 stage_source: bool = True, order_cols: Sequence[str] = (),
+                 on_schema_change: str = "append_new_columns") -> DataFrame:
     """Hash-gated upsert.
 
     matched and gate differs (NULL never differs)  -> update every column except the key,
@@ -65,6 +66,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     order never updates it, so a late file or a replay cannot bring an older image back.
     check_unique=True first runs one aggregate over the staged source and raises when a key
     occurs twice (trap T9: a duplicated source key would multiply the target's rows).
+    on_schema_change (`sinks.evolve`): new source columns are added to the target and types widened
+    ('append_new_columns'), refused ('fail') or left out ('ignore'). A target column that the
+    source lacks keeps its value on update and is NULL on insert.
 
     Plan: `target LEFT JOIN source` for the existing rows plus `source LEFT ANTI target`
     (key column only) for the inserts, instead of one full outer join. When the source
@@ -74,13 +78,15 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     it is not recomputed for the two joins.
     """
     keys = _listify(key)
+    from tidemark.sources.sinks import cut_lineage, evolve
     if stage_source:
-        from tidemark.sources.sinks import cut_lineage
         source = cut_lineage(source)
     if check_unique:
         dup = assert_unique_source(source, keys).limit(1).collect()
         if dup:
             raise ValueError(f"merge source has duplicate keys, e.g. {dup[0].asDict()}")
+    target, source, missing = evolve(target, source, on_schema_change)
+    no_update = [*no_update, *missing]
     cols = target.columns
     s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("_s"))
     cond = reduce(lambda a, b: a & b, [target[k] == s[f"s__{k}"] for k in keys])
@@ -111,16 +117,20 @@ def merge_upsert(target: DataFrame, source: DataFrame, key, no_update: Sequence[
     return existing.unionByName(inserts)
 
 
-def delete_insert(target: DataFrame, source: DataFrame, key) -> DataFrame:
+def delete_insert(target: DataFrame, source: DataFrame, key, on_schema_change: str = "append_new_columns") -> DataFrame:
     """delete+insert (E2): drop target rows whose key is in the source, insert the source."""
+    from tidemark.sources.sinks import evolve
     keys = _listify(key)
+    target, source, _ = evolve(target, source, on_schema_change)
     kept = target.join(source.select(*keys).distinct(), keys, "left_anti")
     return (kept.withColumn(ACTION, F.lit("unchanged"))
                 .unionByName(source.select(*target.columns).withColumn(ACTION, F.lit("insert"))))
 
 
-def append(target: DataFrame, source: DataFrame) -> DataFrame:
+def append(target: DataFrame, source: DataFrame, on_schema_change: str = "append_new_columns") -> DataFrame:
     """Append-only sink (A7): plain INSERT ... SELECT, by column name."""
+    from tidemark.sources.sinks import evolve
+    target, source, _ = evolve(target, source, on_schema_change)
     return (target.withColumn(ACTION, F.lit("unchanged"))
                   .unionByName(source.select(*target.columns).withColumn(ACTION, F.lit("insert"))))
 
@@ -130,7 +140,7 @@ def upsert(target: DataFrame, source: DataFrame, key, strategy: str = "merge", *
     if strategy == "merge":
         return merge_upsert(target, source, key, **kw)
     if strategy == "delete+insert":
-        return delete_insert(target, source, key)
+        return delete_insert(target, source, key, **kw)
     if strategy == "scd+merge":
         from tidemark.operators.scd import scd_merge
         return scd_merge(target, source, key, **kw)

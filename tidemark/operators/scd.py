@@ -54,7 +54,8 @@ def scd_init(src: DataFrame, as_of: _dt.date, batch: int) -> DataFrame:
 def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch: int,
               late_closeout: bool = False, preserve: Sequence[str] = (),
               type6: Sequence[str] = (), hash2: str = "HASH_SCD2", hash1: str = "HASH_SCD1",
-              stage_source: bool = True, check_unique: bool = True) -> DataFrame:
+              stage_source: bool = True, check_unique: bool = True,
+              on_schema_change: str = "append_new_columns") -> DataFrame:
     """SCD 1/2/6 merge of a source batch into a dimension (E3-E6). Returns the new
     dimension with an `_action` column. `preserve` lists columns a type-1 / intra-day
     overwrite keeps from the target (default: none, as in the reference).
@@ -63,17 +64,22 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
     folder), as the reference stages its temp table before the MERGE: the batch is read
     several times below, and its exact size lets AQE broadcast it when it is small.
     check_unique=True (one aggregate over the batch) fails when it holds a key twice (trap T9).
+    on_schema_change (`sinks.evolve`): new source columns are added to the dimension and types
+    widened, or refused, or left out. A column that the source lacks keeps its value in place and
+    is NULL in new versions.
 
     Only open rows can change, so only they go through the join with the batch; closed history
     is passed on as it is."""
+    from tidemark.sources.sinks import cut_lineage, evolve
     if stage_source:
-        from tidemark.sources.sinks import cut_lineage
         src = cut_lineage(src)
     if check_unique:
         from tidemark.operators.merge import assert_unique_source
         dup = assert_unique_source(src, [key]).limit(1).collect()
         if dup:
             raise ValueError(f"SCD source has duplicate keys, e.g. {dup[0].asDict()}")
+    dim, src, missing = evolve(dim, src, on_schema_change)
+    preserve = [*preserve, *missing]
     cols = dim.columns
     opened = F.lit(OPEN_DATE)
     run_day = F.lit(as_of)
@@ -145,6 +151,24 @@ def scd_merge(dim: DataFrame, src: DataFrame, key: str, as_of: _dt.date, batch:
     return merged
 
 
+def scd6_changed(before: DataFrame, src: DataFrame, key: str, cols: Sequence[str]) -> list[str]:
+    """The listed columns whose value differs (NULL = '') between the source and the current row of
+    any key."""
+    cols = [c for c in cols if c in before.columns and c in src.columns]
+    if not cols:
+        return []
+    row = _type6_flags(before, src, key, cols).first()
+    return [c for c in cols if row[f"_chg_{c}"] == 1]
+
+
+def _type6_flags(before: DataFrame, src: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One row: 1 per column that changed."""
+    cur = before.filter(F.col("IS_CURRENT") == F.lit(True)).select(key, *[F.col(c).alias(f"c__{c}") for c in cols])
+    return src.select(key, *cols).join(cur, key, "inner").agg(
+        *[F.max(F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != F.coalesce(F.col(f"c__{c}").cast("string"), F.lit("")), 1)
+                .otherwise(0)).alias(f"_chg_{c}") for c in cols])
+
+
 def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame | None = None,
                    before: DataFrame | None = None, stage: bool = True) -> DataFrame:
     """Type 6 (E6): find which listed columns changed anywhere between the source and the
@@ -152,11 +176,7 @@ def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame
     every closed row of the key. Without `src` every listed column is propagated."""
     cols = list(cols)
     if src is not None and before is not None:
-        cur = before.filter(F.col("IS_CURRENT") == F.lit(True)).select(key, *[F.col(c).alias(f"c__{c}") for c in cols])
-        cmp = src.select(key, *cols).join(cur, key, "inner")
-        flags = cmp.agg(*[F.max(F.when(F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                       != F.coalesce(F.col(f"c__{c}").cast("string"), F.lit("")), 1)
-                                .otherwise(0)).alias(f"_chg_{c}") for c in cols])
+        flags = _type6_flags(before, src, key, cols)
     else:
         flags = dim.limit(0).agg(*[F.lit(1).alias(f"_chg_{c}") for c in cols])
     opened = F.lit(OPEN_DATE)

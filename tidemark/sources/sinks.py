@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.literals import lit
 from tidemark.session import checkpoint_dir
+from tidemark.sources import commits
+from tidemark.sources.commits import BUCKET_COL, with_bucket  # noqa: F401 - part of this module's interface
 
 
 VERSIONS = "_versions"
@@ -145,6 +147,26 @@ def conform(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]
     return shaped(target), shaped(source)
 
 
+def evolve(target: DataFrame, source: DataFrame, on_schema_change: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """What a merge does about columns and types that differ (A9): (target, source, columns that the
+    source lacks).
+
+    'append_new_columns': both sides get all columns and the wider type of each (`conform`).
+    'fail': a new source column or another type raises. 'ignore': new source columns are left out."""
+    source = source.drop("_action")
+    have, come = dict(target.dtypes), dict(source.dtypes)
+    new = [c for c in come if c not in have and not c.startswith("_action")]
+    other = [c for c in come if c in have and c != "_action" and come[c] != have[c]]
+    missing = [c for c in have if c not in come and c != "_action"]
+    if on_schema_change not in ("append_new_columns", "fail", "ignore"):
+        raise ValueError(f"unknown on_schema_change {on_schema_change!r}")
+    if on_schema_change == "fail" and (new or other):
+        raise ValueError(f"schema change: new columns {new}, other types {other}")
+    if on_schema_change == "append_new_columns" and (new or other or missing):
+        target, source = conform(target, source)
+    return target, source, missing
+
+
 def contract_breaches(df: DataFrame, schema: T.StructType) -> list[tuple[str, str, str, str]]:
     """(column, breach, declared, found) of every missing column, extra column, different type,
     and column whose place among the shared ones differs. From the schema alone, no job."""
@@ -279,74 +301,49 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-BUCKET_COL = "_bucket"
-
-
-def with_bucket(df: DataFrame, key, buckets: int) -> DataFrame:
-    """Add the storage bucket of each row: pmod(xxhash64(key...), buckets)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+def write_bucketed(df: DataFrame, table_dir: str, key, buckets: int, **kw) -> None:
+    """Initial write of a table stored by key bucket, as one commit (`commits.create`)."""
+    commits.create(df, table_dir, key, buckets, **kw)
 
 
-def write_bucketed(df: DataFrame, table_dir: str, key, buckets: int) -> None:
-    """Initial write of a table stored as `<table_dir>/_bucket=<n>/` partitions. The rows of a bucket
-    are brought together first, so a bucket gets a few files, not one per task; a bucket that
-    holds a hot key is split again by size."""
-    (with_bucket(df, key, buckets).hint("rebalance", BUCKET_COL)
-     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(table_dir))
+def read_bucketed(spark: SparkSession, table_dir: str, **kw) -> DataFrame | None:
+    """The table as its newest commit left it; `version=` or `as_of=` read an older one."""
+    return commits.read(spark, table_dir, **kw)
 
 
 def rewrite_buckets(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int, merge_fn,
-                    extra_keys: DataFrame | None = None, pre=None) -> None:
-    """Apply `merge_fn(current_rows, staged_source) -> new_rows` to the buckets a batch
-    touches and replace exactly those partitions.
-
-    The table is stored partitioned by pmod(xxhash64(key), buckets). The batch is staged
-    once; its distinct buckets (at most `buckets` integers, a proven bound) prune the
-    table scan to those partitions; Spark's dynamic partition overwrite replaces exactly
-    those partitions at job commit. Untouched buckets are neither read nor rewritten, so
-    the cost follows the batch, not the table. New files go to a staging folder and are
-    moved in at job commit: a job that fails before leaves the table as it was. The commit
-    itself replaces one bucket after the other, so a driver lost during it, or a reader at
-    that moment, can meet old and new buckets; repeating the batch mends the table, because
-    the merges are idempotent. Use `write_staged` where readers need one whole version. Valid for
-    merges whose result for a key depends only on that key's rows (upserts, SCD 1/2).
-
-    `extra_keys` (a frame with the key columns) adds buckets to rewrite and `pre(current)`
-    transforms the touched rows before the merge, e.g. tombstoning renamed keys."""
-    keys = [key] if isinstance(key, str) else list(key)
-    staged = cut_lineage(with_bucket(source, key, buckets))
-    ids = staged.select(BUCKET_COL)
-    if extra_keys is not None:
-        ids = ids.unionByName(with_bucket(extra_keys.select(*keys), key, buckets).select(BUCKET_COL))
-    touched = [r[0] for r in ids.distinct().collect()]
-    if len(touched) > buckets:
-        raise AssertionError("bucket ids out of range")
-    if not touched:
-        return
-    current = spark.read.parquet(table_dir).filter(F.col(BUCKET_COL).isin(touched))
-    if pre is not None:
-        current = pre(current)
-    merged = merge_fn(current, staged.select(*current.columns))
-    (merged.drop("_action").hint("rebalance", BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(table_dir))
+                    extra_keys: DataFrame | None = None, pre=None, **kw) -> dict | None:
+    """Apply `merge_fn(current_rows, staged_source) -> new_rows` to the buckets a batch touches, in one
+    commit (`commits.rewrite`): untouched buckets are neither read nor rewritten, and readers see
+    the old table or the new one, never a mixture."""
+    return commits.rewrite(spark, table_dir, source, merge_fn, key, buckets, extra_keys, pre, **kw)
 
 
 def upsert_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key, buckets: int,
-                    extra_keys: DataFrame | None = None, pre=None, **merge_kw) -> None:
+                    extra_keys: DataFrame | None = None, pre=None, stream: str | None = None,
+                    epoch: int | None = None, **merge_kw) -> dict | None:
     """Hash-gated upsert (`merge_upsert`) that rewrites only the touched key buckets."""
     from tidemark.operators.merge import merge_upsert
-    rewrite_buckets(spark, table_dir, source, key, buckets,
-                    lambda cur, src: merge_upsert(cur, src, key, **merge_kw), extra_keys, pre)
+    return rewrite_buckets(spark, table_dir, source, key, buckets,
+                           lambda cur, src: merge_upsert(cur, src, key, **merge_kw), extra_keys, pre,
+                           stream=stream, epoch=epoch)
 
 
 def scd_merge_bucketed(spark: SparkSession, table_dir: str, source: DataFrame, key: str, buckets: int,
-                       as_of, batch: int, **scd_kw) -> None:
-    """SCD 1/2 merge (`scd_merge`) that rewrites only the touched key buckets. Type-6
-    propagation decides its columns from the whole batch and touches every key, so it is
-    not offered here."""
-    from tidemark.operators.scd import scd_merge
-    if scd_kw.get("type6"):
-        raise ValueError("type-6 propagation rewrites every key; use scd_merge on the whole table")
-    rewrite_buckets(spark, table_dir, source, key, buckets,
-                    lambda cur, src: scd_merge(cur, src, key, as_of, batch, **scd_kw))
+                       as_of, batch: int, type6: Sequence[str] = (), **scd_kw) -> dict | None:
+    """SCD 1/2/6 merge (`scd_merge`) that rewrites only the touched key buckets. Type 6 decides its
+    columns from the batch, whose keys all lie in touched buckets; the open rows' values of these
+    columns are copied there and in the buckets whose version entry says that closed rows differ
+    from open ones (all buckets for a column whose divergence is not kept yet). In all others
+    the copies would change nothing."""
+    from tidemark.operators.scd import scd6_changed, scd6_propagate, scd_merge
+
+    def also(current, staged, entry):
+        changed = scd6_changed(current, staged, key, type6)
+        marked = [int(b) for b, held in entry["buckets"].items()
+                  if any(held.get("diverged", {}).get(c, True) for c in changed)]
+        return (marked, lambda rows: scd6_propagate(rows, key, changed)) if changed else ((), None)
+
+    return rewrite_buckets(spark, table_dir, source, key, buckets,
+                           lambda cur, src: scd_merge(cur, src, key, as_of, batch, **scd_kw),
+                           also=also if type6 else None, diverge=type6)

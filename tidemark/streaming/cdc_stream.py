@@ -9,11 +9,14 @@ Spark form is a Structured Streaming query over the landed log files:
   * the new target version is written to a fresh directory and published through the
     table's versions log (`write_staged`), so a failed batch leaves the previous version intact;
   * the batch id used for lineage columns is derived from the epoch id, so a replayed epoch
-    (after an executor or driver loss) produces the same rows. A full version records its
-    epoch in the versions log, and an epoch that is published already is skipped. With
+    (after an executor or driver loss) produces the same rows. A version records its epoch, in
+    the versions log or in the bucket commit, and an epoch that is published already is skipped. With
     `order_cols` (capture time and log id as target columns), rows and renames older than the
-    target row change nothing, so the replay of a bucket rewrite is a no-op as well, and a log
-    file that lands late cannot bring back an older image.
+    target row change nothing, so a log file that lands late cannot bring back an older image.
+  * `overlap` (say "3 minutes") is the reference's overlap between polls: log rows that come twice
+    within it are dropped by their log id before they reach a batch, with bounded state. Rows
+    later than that behind the newest capture time are dropped too, as the poll does; without
+    `overlap` every row is taken.
 The query checkpoint lives in the shared checkpoint folder, never on local disk.
 """
 
@@ -29,8 +32,8 @@ from pyspark.sql.types import StructType
 from tidemark.operators.dedup import cdc_resolve
 from tidemark.operators.merge import drop_action, merge_upsert, tombstone_renamed
 from tidemark.session import checkpoint_dir
-from tidemark.sources.sinks import (last_epoch, read_current, table_path_exists, upsert_bucketed, write_bucketed,
-                                    write_staged)
+from tidemark.sources import commits
+from tidemark.sources.sinks import last_epoch, read_current, upsert_bucketed, write_bucketed, write_staged
 
 
 def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, target_dir: str,
@@ -41,7 +44,8 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
                      processing_time: str | None = None,
                      renamed_keys: Callable[[DataFrame], DataFrame] | None = None,
                      tombstone_ts: Callable[[int], object] | None = None,
-                     buckets: int | None = 64, order_cols: Sequence[str] = ()) -> StreamingQuery:
+                     buckets: int | None = 64, order_cols: Sequence[str] = (),
+                     overlap: str | None = None) -> StreamingQuery:
     """Start the streaming load. `transform(resolved, batch_id)` shapes resolved log rows
     into target rows (keys, attributes, lineage and hash columns).
 
@@ -61,10 +65,9 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        if not buckets:
-            done = last_epoch(batch.sparkSession, target_dir, name)
-            if done is not None and epoch_id <= done:
-                return                       # published before the driver was lost
+        done = (commits.last_epoch if buckets else last_epoch)(batch.sparkSession, target_dir, name)
+        if done is not None and epoch_id <= done:
+            return                           # published before the driver was lost
         resolved = cdc_resolve(batch, list(keys), list(before_keys), ts, log_id, change_flag())
         rows = transform(resolved, int(epoch_id))
         if buckets:
@@ -84,8 +87,8 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
 
     def _apply_bucketed(batch: DataFrame, rows: DataFrame, epoch: int) -> None:
         sess = batch.sparkSession
-        if not table_path_exists(sess, target_dir):
-            write_bucketed(rows, target_dir, merge_key, buckets)
+        if commits.head(sess, target_dir) is None:
+            write_bucketed(rows, target_dir, merge_key, buckets, stream=name, epoch=epoch)
             return
         extra, pre = None, None
         if renamed_keys is not None:
@@ -95,10 +98,12 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
             def pre(cur):
                 return drop_action(tombstone_renamed(cur, extra, merge_key, load_ts, epoch, order_cols))
         upsert_bucketed(sess, target_dir, rows, merge_key, buckets, extra_keys=extra, pre=pre,
-                        no_update=no_update, gate=gate, order_cols=order_cols)
+                        stream=name, epoch=epoch, no_update=no_update, gate=gate, order_cols=order_cols)
 
-    writer = (spark.readStream.schema(schema).parquet(source_dir)
-              .writeStream.queryName(name).foreachBatch(apply_batch)
+    rows = spark.readStream.schema(schema).parquet(source_dir)
+    if overlap:
+        rows = rows.withWatermark(ts, overlap).dropDuplicatesWithinWatermark([log_id])
+    writer = (rows.writeStream.queryName(name).foreachBatch(apply_batch)
               .option("checkpointLocation", ckpt))
     if available_now:
         writer = writer.trigger(availableNow=True)
