@@ -475,6 +475,20 @@ def test_substring_dedup_null_ids_and_empty(spark):
     assert substring_dedup.remove(empty(spark)).count() == 0
 
 
+def test_substring_dedup_repeated_ids_with_unlike_texts(spark):
+    """One of two rows of an id is a copy of a smaller document: the other one is compared all the same."""
+    p, q = (" ".join(f"{x}{i}" for i in range(20)) for x in "pq")
+    for docs in ([(1, p), (2, q), (5, p), (5, "x y z " + q)],
+                 [(1, p), (2, p), (2, "x " + q), (3, q + " y"), (3, p), (4, q), (4, "own words only")],
+                 [(d % 7, t) for d, t in EDGE if d is not None]):
+        got = substring_dedup.remove(frame(spark, docs))
+        assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.repeats(docs), key=str)
+    got = {(r["doc_id"], r["n_removed"]): r["repeats"] for r in substring_dedup.remove(
+        frame(spark, [(1, p), (2, "a " + p + " b " + q), (3, p + " c d " + q), (4, q)])).collect()}
+    assert [tuple(x) for x in got[3, 40]] == [(0, 20), (22, 42)] and [tuple(x) for x in got[2, 20]] == [(1, 21)]
+    assert got[1, 0] is None and [tuple(x) for x in got[4, 20]] == [(0, 20)]
+
+
 def test_substring_dedup_hot_passage(spark):
     rng = random.Random(8)
     passage = " ".join(f"p{i}" for i in range(55))
