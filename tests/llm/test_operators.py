@@ -449,6 +449,53 @@ def test_secret_verdict_counts_repositories_too(spark):
     assert {r["n_live"] for r in secret_scan.scan(df).collect()} == {0}       # a repository is a document
 
 
+def test_secret_sql_judges_like_the_operator(spark):
+    """Vendor keys without mixed cases, and values in many repositories of one owner, through both."""
+    mixed = "Ab3" * 12
+    texts = ["sk_live_abcdefgh12345678", "é xoxp-123456789012-abcdefghij", "task-management-system-overview-of-things",
+             "ghp_abcdefghijklmnop0123456789", f"bearer {'q' * 24}", "x https://user:hunter22@host y", mixed, "plain words only"]
+    docs = [(i, f"é {t} and {t}", "own") for i, t in enumerate(texts)]
+    docs += [(100 + i, "token = copied1234567 here", "own") for i in range(15)]
+    docs += [(200 + i, f"see {mixed[::-1]}9", f"o{i}") for i in range(4)] + [(300 + i, "key " + mixed + "x", "own") for i in range(15)]
+    docs += [(400, None, None), (401, "", "own"), (402, "secret: abcdefgh", None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    cols = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied"]
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "int64"}))
+    want = con.sql(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES['op6_secret_ownership']})").fetchall()
+    got = rows(secret_scan.scan(df), *cols)
+    assert got == sorted(want, key=str)
+    found = {r[0]: r for r in got}
+    assert found[0][5] == "other:2:26,other:31:55" and found[2][5] == "" and found[100][6:] == (0, 1) and found[300][5] == ""
+
+
+def test_secrets_take_linear_time(spark):
+    """A text with very many matches: places, redaction and overlaps as in a short one."""
+    import re
+    import time
+    n = 16_000
+    text = " é ".join(f"{i:024x}" for i in range(n))
+    df = frame(spark, [(1, text), (2, "é token=" + "ab12" * 8 + " x")], 1)
+    rows(secret_scan.scan(df.filter("doc_id = 2")), "spans")
+    t0 = time.perf_counter()
+    got = {r["doc_id"]: r for r in secret_scan.scan(df).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(df).collect()}
+    took = time.perf_counter() - t0
+    assert got[1]["n_hex"] == n and got[1]["base_sha256"] == brute.secrets(text)[-1]
+    assert clean[1] == re.sub("[0-9a-f]{24}", "[SECRET]", text) and clean[2] == "é [SECRET] x"
+    assert took < 30      # four passes over the text in all; quadratic steps took minutes
+
+
+def test_running_results_over_arrays(spark):
+    values = [0, 1, 127, 128, 129, 300]
+    df = spark.createDataFrame([([(i * 7) % 11 for i in range(n)],) for n in values], "a array<int>")
+    got = df.select("a", secret_scan.running(F.col("a"), lambda x, y: x + y).alias("s"),
+                    secret_scan.running(F.col("a"), lambda x, y: F.greatest(x, y)).alias("m")).collect()
+    for r in got:
+        assert r["s"] == [sum(r["a"][:i]) for i in range(len(r["a"]))]
+        assert r["m"] == [max([0, *r["a"][:i]]) for i in range(len(r["a"]))]
+
+
 def test_vendor_keys_need_no_mixed_case(spark):
     keys = ["sk_live_abcdefgh1234567890", "xoxp-123456789012-abcdefghij", "ghp_abcdefghijklmnop0123456789",
             "glpat-ABCDEFGHIJKLMNOPQRST", "auth/ghp_abcdefghijklmnopqrstuvwxyz"]

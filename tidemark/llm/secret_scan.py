@@ -50,15 +50,45 @@ def found(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
                          value, lambda a, v: F.struct(a["gap"].alias("gap"), F.length(a["m"]).alias("n"),
                                                       v.alias("v")))
     empty = F.expr("CAST(array() AS array<struct<s:int,k:int,e:int,v:string>>)")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
-        return F.struct((s + x["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
-            s.alias("s"), F.lit(kind).alias("k"), (s + x["n"]).alias("e"), x["v"].alias("v")))).alias("out"))
+    def placed(found: Column) -> Column:
+        ends = running(F.transform(found, lambda x: x["gap"] + x["n"]), lambda a, b: a + b)
+        return F.zip_with(found, ends, lambda x, before: F.struct(
+            (before + x["gap"]).alias("s"), F.lit(kind).alias("k"), (before + x["gap"] + x["n"]).alias("e"), x["v"].alias("v")))
 
-    walked = F.aggregate(F.filter(lengths, lambda x: x["n"].isNotNull()), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    return F.when(text.rlike(pattern), bound(F.filter(lengths, lambda x: x["n"].isNotNull()), placed)).otherwise(empty)
+
+
+STEP = 128          # elements of an array that are taken together by `running`
+CHUNK = 4096        # characters of a text that `redact` takes together
+
+
+def bound(value: Column, use) -> Column:
+    """`use(value)` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op) -> Column:
+    """For each element of an integer array what `op` makes of 0 and all elements before it. Arrays
+    that grow by one element are copied each time, so this is done per STEP elements, and once more
+    over the steps' results."""
+    zero = F.lit(0)
+
+    def within(step: Column, before: Column) -> Column:
+        first = F.struct(before.alias("at"), F.expr("CAST(array() AS array<int>)").alias("out"))
+        return F.aggregate(step, first, lambda a, x: F.struct(
+            op(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    def cut(all_: Column) -> Column:
+        return F.when(F.size(all_) == 0, F.expr("CAST(array() AS array<array<int>>)")).otherwise(F.transform(
+            F.sequence(zero, F.floor((F.size(all_) - 1) / STEP).cast("int")), lambda b: F.slice(all_, b * STEP + 1, F.lit(STEP))))
+
+    def joined(steps: Column) -> Column:
+        sums = F.transform(steps, lambda x: F.aggregate(x, zero, op))
+        before = bound(sums, lambda t: F.transform(t, lambda _, i: F.aggregate(F.slice(t, 1, i), zero, op)))
+        return F.flatten(F.zip_with(steps, before, within))
+
+    return bound(values, lambda v: bound(cut(v), joined))
 
 
 def candidates(text: Column) -> Column:
@@ -149,25 +179,35 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id"
     live, [EXAMPLE] otherwise. Texts without spans stay as they are; n_chars, if there, follows."""
     rows = _candidate_rows(docs, id_col, text_col, owner_col, repo_col, True)
     text = F.col(f"_in.`{text_col}`").cast("string")
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.lit(0).alias("end"), F.lit(False).alias("live"))
-
-    def put(acc):        # the text before the pending span, and the span's mark
-        return F.when(acc["end"] > acc["at"], F.concat(acc["out"], F.when(acc["live"], "[SECRET]").otherwise("[EXAMPLE]"))
-                      ).otherwise(acc["out"])
-
-    def step(acc, x):
-        # at: start of the pending span, end: its end; overlapping spans are one
-        joins = (x["s"] < acc["end"]) & (acc["end"] > acc["at"])
-        return F.when(joins, F.struct(acc["at"].alias("at"), acc["out"].alias("out"),
-                                      F.greatest(acc["end"], x["e"]).alias("end"),
-                                      (acc["live"] | x["live"]).alias("live"))
-                      ).otherwise(F.struct(x["s"].alias("at"), F.concat(
-                          put(acc), F.substring(text, acc["end"] + 1, x["s"] - acc["end"])).alias("out"),
-                          x["e"].alias("end"), x["live"].alias("live")))
-
-    done = F.aggregate("told", first, step, lambda acc: F.concat(
-        put(acc), F.substring(text, acc["end"] + 1, F.length(text))))
-    told = few(_judged(rows, max_owners, max_repos, unique=False).withColumnRenamed("_row", "_key"))
+    mark = {True: F.lit("[SECRET]"), False: F.lit("[EXAMPLE]")}
+
+    def groups(spans: Column) -> Column:
+        """Overlapping spans as one, in order: start, end, live."""
+        ends = running(F.transform(spans, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+        firsts = bound(ends, lambda e: F.filter(F.transform(spans, lambda x, i: F.when(
+            (i == 0) | (x["s"] >= F.get(e, i)), i + 1)), lambda i: i.isNotNull()))
+        one = bound(firsts, lambda f: F.transform(f, lambda i, n: F.slice(
+            spans, i, F.coalesce(F.get(f, n + 1), F.size(spans) + 1) - i)))
+        return F.transform(one, lambda g: F.struct(
+            F.get(g, F.lit(0))["s"].alias("s"), F.array_max(F.transform(g, lambda x: x["e"])).alias("e"),
+            F.exists(g, lambda x: x["live"]).alias("live")))
+
+    def part(chunks: Column, lo: Column, hi: Column) -> Column:
+        """The characters lo .. hi-1 of the text, without counting from its start."""
+        first = F.floor(lo / CHUNK).cast("int")
+        some = F.array_join(F.slice(chunks, first + 1, F.floor(F.greatest(hi - 1, lo) / CHUNK).cast("int") - first + 1), "")
+        return F.when(hi > lo, F.substring(some, lo - first * CHUNK + 1, hi - lo)).otherwise("")
+
+    def put(chunks: Column, spans: Column) -> Column:
+        pieces = F.transform(spans, lambda x, i: F.concat(
+            part(chunks, F.coalesce(F.get(spans, i - 1)["e"], F.lit(0)), x["s"]),
+            F.when(x["live"], mark[True]).otherwise(mark[False])))
+        last = F.element_at(spans, -1)["e"]
+        return F.concat(F.array_join(pieces, ""), part(chunks, last, F.length(text)))
+
+    done = bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)),
+                 lambda chunks: bound(groups(F.col("told")), lambda spans: put(chunks, spans)))
+    told = few(_judged(rows, max_owners, max_repos, unique=False).withColumnRenamed("_row", "_key"), size=F.size("told"))
     both = (packed(docs, _key=text_key(F.col(f"`{text_col}`"))).join(told, "_key", "left")
             .select("_in", F.when(F.col("told").isNull(), text).otherwise(done).alias("_new")))
 

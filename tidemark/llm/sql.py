@@ -163,7 +163,7 @@ FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN its USING (doc_id)
 
 
 def secrets() -> str:
-    """Matches and the text between them give places; owners per value; spans joined per text."""
+    """Matches and the text between them give places; owners and repositories per value; spans joined per text."""
     kinds = [("assign", secret_scan.ASSIGN, 2), ("access", secret_scan.ACCESS, 0), ("hex", secret_scan.HEX, 0),
              ("other", secret_scan.OTHER, 0)]
     parts = " UNION ALL ".join(f"""
@@ -172,18 +172,22 @@ def secrets() -> str:
                                for k, (_, p, g) in enumerate(kinds))
     n = [f"count(*) FILTER (WHERE k = {i})" for i in range(3)]
     return f"""
-WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS u, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS u, doc_id, coalesce(source, '') AS owner,
+  coalesce(doc_id::VARCHAR, '') AS repo, coalesce(text, '') AS t FROM documents),
 found AS ({parts}),
 one AS (SELECT u, k, m[i] AS m, v[i] AS v,
           list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
         FROM found, unnest(range(1, len(m) + 1)) AS r(i)),
-cand AS MATERIALIZED (SELECT u, k, v, s, s + length(m) AS e FROM one
+cand AS MATERIALIZED (SELECT u, k, v, s, s + length(m) AS e FROM one JOIN doc USING (u)
   WHERE (k = 0 AND length(v) >= 6) OR k IN (1, 2) OR (k = 3 AND (NOT regexp_matches(v, {_text(secret_scan.MIXED_ONLY)})
-        OR (regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]'))))),
-own AS (SELECT v, count(DISTINCT owner) AS n FROM cand JOIN doc USING (u) GROUP BY v),
-told AS (SELECT u, k, s, e, n <= {secret_scan.MAX_OWNERS} AS live,
+        OR (regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]'))
+        OR regexp_matches(v, {_text(secret_scan.VENDOR_INSIDE)})
+        OR (regexp_matches(v, {_text(secret_scan.VENDOR_FIRST)}) AND (s = 0 OR NOT regexp_matches(substr(t, s::INT, 1), '[A-Za-z0-9]')))))),
+own AS (SELECT v, count(DISTINCT owner) <= {secret_scan.MAX_OWNERS} AND count(DISTINCT repo) <= {secret_scan.MAX_REPOS} AS live
+        FROM cand JOIN doc USING (u) GROUP BY v),
+told AS (SELECT u, k, s, e, live,
            {_text(secret_scan.KINDS)}[k + 1] || ':' || s::BIGINT || ':' || e::BIGINT AS span
-         FROM cand JOIN own USING (v) WHERE k < 3 OR n <= {secret_scan.MAX_OWNERS}),
+         FROM cand JOIN own USING (v) WHERE k < 3 OR live),
 per AS (SELECT u, {n[0]} AS a, {n[1]} AS b, {n[2]} AS c, string_agg(span, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base,
           string_agg(span, ',' ORDER BY s, k) AS spans, count(*) FILTER (WHERE live) AS n_live,
           count(*) FILTER (WHERE NOT live) AS n_copied FROM told GROUP BY u)
