@@ -76,3 +76,35 @@ def test_integrity_checks_agree_with_and_without_key_windows(spark):
     assert plain == safe and len(plain) > 50
     a, b = (dq.attr_changes(dim, "K", "V", skew_safe=s).collect()[0][0] for s in (False, True))
     assert a == b
+
+
+def test_running_equals_the_window(spark):
+    """A hot key over several partitions, keys that end at partition edges, NULLs in keys and values."""
+    from tidemark.operators.windows import any_hot, running
+    rng = random.Random(4)
+    rows = [(None if k == 3 else k, i, None if rng.random() < .2 else rng.randrange(50))
+            for k, n in ((0, 900), (1, 1), (2, 7), (3, 40), (4, 1), (5, 130)) for i in range(n)]
+    df = spark.createDataFrame(rows, "K int, O int, V int").repartition(5)
+    w = Window.partitionBy("K").orderBy("O").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("*", F.sum("V").over(w).alias("S"), F.max("V").over(w).alias("M"), F.min("V").over(w).alias("L"))
+    for partitions in (1, 3, 11):
+        got = running(df, ["K"], ["O"], {"S": ("sum", "V"), "M": ("max", "V"), "L": ("min", "V")}, partitions)
+        assert rows_of(got) == rows_of(want)
+    assert any_hot(df, ["K"], 899) and not any_hot(df, ["K"], 900)
+
+
+def test_history_scan_equals_the_windows(spark):
+    """The history build in both forms, with a hot key, NULL hashes and single-day keys; no window over a key."""
+    from tidemark.operators import windows
+    from tidemark.operators.scd import scd2_from_history
+    rng = random.Random(9)
+    rows = [(k, dt.date(2000, 1, 1) + dt.timedelta(days=3 * i), rng.choice(["a", "b", None]), rng.randrange(9))
+            for k, n in ((1, 700), (2, 1), (3, 30), (4, 2)) for i in range(n)]
+    daily = spark.createDataFrame(rows, "K int, D date, H string, V int").repartition(4)
+    plain = scd2_from_history(daily, "K", "D", "H", ["V", "H"])
+    safe = scd2_from_history(daily, "K", "D", "H", ["V", "H"], skew_safe=True)
+    assert plain.columns == safe.columns and rows_of(plain) == rows_of(safe)
+    for line in safe._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        assert "Window" not in line or "_pid" in line or "_k" in line
+    assert rows_of(scd2_from_history(daily, "K", "D", "H", ["V", "H"], skew_safe="auto")) == rows_of(plain)
+    assert not windows.any_hot(daily, ["K"])

@@ -200,7 +200,7 @@ def scd6_propagate(dim: DataFrame, key: str, cols: Sequence[str], src: DataFrame
 
 
 def scd2_from_history(daily: DataFrame, key: str, day: str, scd2_hash: str,
-                      keep: Sequence[str]) -> DataFrame:
+                      keep: Sequence[str], skew_safe: bool | str = False) -> DataFrame:
     """Full history build in one pass.
 
     `daily` has at most one row per (key, day) (collapse intra-day changes first).
@@ -211,7 +211,18 @@ def scd2_from_history(daily: DataFrame, key: str, day: str, scd2_hash: str,
     A version is a contiguous run of days, so no aggregation is needed: on the last
     day of each run, the run's start is the running max of change days and the next
     version starts on the next day. Every window shares one partitioning and one sort
-    on (key, day)."""
+    on (key, day).
+
+    A key's rows in the windows are bounded by its days. skew_safe=True is for orders finer than a
+    day: the same values come from `windows.neighbours` and `windows.running` (range sort and
+    prefix scan), so no task takes a whole key; 'auto' does so if a key is measured to have more
+    than `windows.HOT_ROWS` rows."""
+    if skew_safe == "auto":
+        from tidemark.operators.windows import any_hot
+        daily = daily.transform(_staged)
+        skew_safe = any_hot(daily, [key])
+    if skew_safe:
+        return _history_scan(daily, key, day, scd2_hash, keep)
     w = Window.partitionBy(key).orderBy(day)
     marked = daily.select(
         "*", F.coalesce(F.col(scd2_hash) != F.lag(scd2_hash).over(w), F.lit(True)).alias("_chg"))
@@ -227,6 +238,26 @@ def scd2_from_history(daily: DataFrame, key: str, day: str, scd2_hash: str,
                        F.col("_ver").cast("int").alias("VERSION_NUM"))
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    from tidemark.sources.sinks import cut_lineage
+    return cut_lineage(df)
+
+
+def _history_scan(daily: DataFrame, key: str, day: str, scd2_hash: str, keep: Sequence[str]) -> DataFrame:
+    """`scd2_from_history` without a window over a key."""
+    from tidemark.operators.windows import neighbours, running
+    rows = daily.select(key, F.col(day).alias("_day"), F.col(scd2_hash).alias("_h2"), F.lit(1).alias("_one"),
+                        F.struct(*keep).alias("_keep"))
+    near = neighbours(rows, [key], ["_day"], ["_day", "_h2", "_one"])
+    changed = F.coalesce(F.col("_h2") != F.col("PREV__h2"), F.lit(True))
+    ends = F.col("NEXT__one").isNull() | F.coalesce(F.col("NEXT__h2") != F.col("_h2"), F.lit(True))
+    run = running(near.select(key, "_day", "_keep", "NEXT__day", changed.alias("_chg"), ends.alias("_end")), [key], ["_day"],
+                  {"_start": ("max", F.when(F.col("_chg"), F.col("_day"))), "_ver": ("sum", F.col("_chg").cast("int"))})
+    disc = F.coalesce(F.date_sub(F.col("NEXT__day"), 1), F.lit(OPEN_DATE))
+    return run.filter("_end").select(key, *[F.col(f"_keep.`{c}`").alias(c) for c in keep], F.col("_start").alias("EFF_DT"),
+                                     disc.alias("DISC_DT"), F.col("_ver").cast("int").alias("VERSION_NUM"))
+
+
 def backfill_dim(history: DataFrame, lookup: DataFrame | None, key: str, lookup_key: str,
                  columns: Sequence[tuple], spec, exclude_ids: Sequence = ()) -> DataFrame:
     """One-off history migration into a dimension.

@@ -149,7 +149,7 @@ def scd1_overwrite(spark, sf):
 NO_PRIORITY = "4-NOT SPECIFIED"
 
 
-@query("scd6_propagate", sql=f"""WITH {S.sql_dim_history('dim', S.D1, S.BATCH1)},
+SQL_SCD6 = f"""WITH {S.sql_dim_history('dim', S.D1, S.BATCH1)},
 {S.sql_snapshot_source('src0', None, S.BATCH2, stamp_day=S.D2)},
 src AS (SELECT * REPLACE (nullif(PRIORITY, '{NO_PRIORITY}') AS PRIORITY) FROM src0),
 {sql_scd_merge('dim', 'src', S.D2, S.BATCH2)},
@@ -163,12 +163,18 @@ WHERE NOT chg OR DISC_DT = DATE '9999-12-31' OR h.ENTITY_KEY NOT IN (SELECT ENTI
 UNION ALL
 SELECT h.* REPLACE (c.PRIORITY AS PRIORITY) FROM merged h JOIN curr c ON h.ENTITY_KEY = c.ENTITY_KEY, flags
 WHERE chg AND h.DISC_DT <> DATE '9999-12-31'
-""")
+"""
+
+
+def scd6_source(spark, sf):
+    return S.snapshot_source(spark, sf, None, S.BATCH2, stamp_day=S.D2) \
+        .withColumn("PRIORITY", F.nullif("PRIORITY", F.lit(NO_PRIORITY)))
+
+
+@query("scd6_propagate", sql=SQL_SCD6)
 def q_scd6(spark, sf):
     dim = dim_after_run1(spark, sf)
-    src = S.snapshot_source(spark, sf, None, S.BATCH2, stamp_day=S.D2) \
-        .withColumn("PRIORITY", F.nullif("PRIORITY", F.lit(NO_PRIORITY)))
-    return scd_merge(dim, src, "ENTITY_KEY", S.D2, S.BATCH2, type6=["PRIORITY"]).withColumnRenamed(ACTION, "MERGE_ACTION")
+    return scd_merge(dim, scd6_source(spark, sf), "ENTITY_KEY", S.D2, S.BATCH2, type6=["PRIORITY"]).withColumnRenamed(ACTION, "MERGE_ACTION")
 
 
 # ----------------------------------------------------------------------------- E3 on later runs

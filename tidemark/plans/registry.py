@@ -37,6 +37,6 @@ def query(key: str, sql: str | None = None, headline: bool = False):
 
 def load_all() -> dict[str, Entry]:
     # importing the modules registers their queries
-    from tidemark.plans import (q_changes, q_joins, q_ods, q_projection,  # noqa: F401
+    from tidemark.plans import (q_changes, q_commits, q_joins, q_ods, q_projection,  # noqa: F401
                                 q_quality, q_relational, q_sources)
     return REGISTRY

@@ -76,9 +76,9 @@ def daily_states(spark, sf, cutoff: dt.date | None = None) -> DataFrame:
     return _with_scd_hashes(daily)
 
 
-def dim_history(spark, sf, cutoff: dt.date | None = None, batch: int = BATCH1) -> DataFrame:
+def dim_history(spark, sf, cutoff: dt.date | None = None, batch: int = BATCH1, skew_safe: bool | str = False) -> DataFrame:
     v = scd2_from_history(daily_states(spark, sf, cutoff), "ENTITY_KEY", "SNAP_DT", "HASH_SCD2",
-                          ["STATUS", "PRIORITY", "PRICE_BAND", "HASH_SCD2", "HASH_SCD1"])
+                          ["STATUS", "PRIORITY", "PRICE_BAND", "HASH_SCD2", "HASH_SCD1"], skew_safe=skew_safe)
     return v.select(
         surrogate_key("ENTITY_KEY", "EFF_DT").alias("ENTITY_SK"), "ENTITY_KEY", "STATUS", "PRIORITY",
         "PRICE_BAND", "HASH_SCD2", "HASH_SCD1", "EFF_DT", "DISC_DT",
