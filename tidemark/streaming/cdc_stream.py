@@ -102,7 +102,9 @@ def start_cdc_stream(spark: SparkSession, source_dir: str, schema: StructType, t
 
     rows = spark.readStream.schema(schema).parquet(source_dir)
     if overlap:
-        rows = rows.withWatermark(ts, overlap).dropDuplicatesWithinWatermark([log_id])
+        # a watermark needs an instant; only differences between capture times matter here
+        rows = (rows.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", overlap)
+                .dropDuplicatesWithinWatermark([log_id]).drop("_event_time"))
     writer = (rows.writeStream.queryName(name).foreachBatch(apply_batch)
               .option("checkpointLocation", ckpt))
     if available_now:
