@@ -140,6 +140,57 @@ def test_evidence_passes_all_like_words():
     assert np.allclose(hub[:2], two, atol=1e-4)
 
 
+def test_labels_are_those_of_the_first_overlapping_span():
+    rng = random.Random(2)
+    for _ in range(300):
+        spans = sorted((s, rng.randrange(4), s + rng.randrange(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randrange(9))))
+        cuts = sorted(rng.sample(range(70), 2 * rng.randrange(1, 8)))
+        words = [(0, a, b) for a, b in zip(cuts[::2], cuts[1::2])]
+        want = [next((k + 1 for s, k, e in spans if s < b and a < e), 0) for _, a, b in words]
+        assert pii.labels_of(words, [spans]).tolist() == want
+
+
+def test_labels_take_linear_time():
+    import time
+    text = " ".join(f"u{i}@host.example" for i in range(40_000))
+    spans = pii.base_spans(text)
+    words = [(0, a, b) for a, b in pii.live_words(text)]
+    t0 = time.perf_counter()
+    assert (pii.labels_of(words, [spans]) == 1).all() and len(words) == 40_000
+    assert time.perf_counter() - t0 < 2         # all spans for each word took 16 s
+
+
+def test_features_look_at_whole_neighbours():
+    word, long = "555-1234567", "x" * 60
+    for before, after in ((long + "a ", " b" + long), (long + "a\n" + " " * 50, "   b" + long)):
+        text = before + word + after
+        other = text.replace("xa", "xc", 1).replace("bx", "dx", 1)
+        at = len(before)
+        assert pii._neighbours(text, at, at + len(word)) == (before.split()[-1], after.split()[0])
+        assert sum(a != b for a, b in zip(pii.features(text, at, at + len(word)), pii.features(other, at, at + len(word)))) == 2
+    assert pii._neighbours("(5", 1, 2) == ("(", "") and pii._neighbours("5 a", 0, 1) == ("", "a")
+
+
+def test_marginals_on_a_loopy_graph_with_a_hub():
+    """A hub over four words, two of them side by side as well: loopy messages against full enumeration."""
+    import itertools
+    rng = np.random.default_rng(11)
+    node = rng.normal(0, 1, (4, 5))
+    skip = np.eye(5) * 0.8
+    edges, pots, hubs = pii.ties([[0, 1, 2, 3]], 4, skip)
+    edges, chain = np.array([*edges, (0, 1)]), rng.normal(0, .3, (5, 5))
+    pair = np.concatenate([pots, chain[None]])
+    full = np.concatenate([node, np.zeros((hubs, 5))])
+    got = pii.marginals(full, edges, pair)
+    want = np.zeros((5, 5))
+    for labels in itertools.product(range(5), repeat=5):
+        weight = np.exp(sum(full[i, k] for i, k in enumerate(labels)) + sum(pair[e, labels[a], labels[b]] for e, (a, b) in enumerate(edges)))
+        for i, k in enumerate(labels):
+            want[i, k] += weight
+    want /= want.sum(1, keepdims=True)
+    assert np.abs(got[:4] - want[:4]).max() < 0.03 and (got[:4].argmax(1) == want[:4].argmax(1)).all()
+
+
 def test_marginals_equal_enumeration_on_a_chain():
     rng = np.random.default_rng(0)
     node, pair = rng.normal(size=(4, 3)), rng.normal(size=(3, 3, 3))

@@ -12,12 +12,12 @@ such words agree; a word whose marginal for a kind reaches MIN_MARGINAL and that
 touches gives an added span.
 
 The weights are fitted by pseudo-likelihood on a bounded sample: the SAMPLE documents with the
-smallest hashes among those with a digit or an @, labelled by the base patterns. Everything
-else covers all documents and whole texts.
+smallest hashes among those with a digit or an @ and at most SAMPLE_CHARS characters, labelled by
+the base patterns; so the driver gets the features of SAMPLE * SAMPLE_CHARS / 2 words at most.
+Everything else covers all documents and whole texts.
 
 Edge cases: a NULL or empty text has no spans; repeated rows and NULL ids give a result row each;
-an empty table gives an empty result (and no fit); other columns are ignored by `scan` and carried
-by `redact`. All scans are linear in the text, also for long runs without white space.
+an empty table gives an empty result (and no fit); other columns are ignored. All scans are linear in the text, also for long runs without white space.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from tidemark.llm.common import in_arrow, narrow, smallest
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
-SAMPLE = 3000
+SAMPLE, SAMPLE_CHARS = 3000, 20_000
 MIN_MARGINAL = 0.9
 FEATURES = 1 << 12            # buckets the features are hashed to
 PER_WORD = 9                  # features of a word
@@ -53,6 +55,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SPACE = re.compile(r"\s")
+_WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[^0-9]+")
 _PLAIN = re.compile(r"\+?[0-9][0-9().-]*")          # a word of a number written with spaces, and what may
 _GAP = re.compile(r"[()]*[\x20\t\xa0]{1,2}[()]*")     # stand between two of them
@@ -121,16 +124,33 @@ def live_words(text: str) -> Iterator[tuple[int, int]]:
             yield start, start + len(core)
 
 
+def _neighbours(text: str, start: int, end: int) -> tuple[str, str]:
+    """The whole words before and after. A word is looked at by two others at most."""
+    hi = start
+    if hi and not text[hi - 1].isspace():         # punctuation before the word
+        while hi and not text[hi - 1].isspace():
+            hi -= 1
+        before = text[hi:start]
+    else:
+        while hi and text[hi - 1].isspace():
+            hi -= 1
+        lo = hi
+        while lo and not text[lo - 1].isspace():
+            lo -= 1
+        before = text[lo:hi]
+    word = _WORD.search(text, end)
+    return before.lower(), word[0].lower() if word else ""
+
+
 def features(text: str, start: int, end: int) -> list[int]:
     """Hashed binary features of a word and its neighbours."""
-    word = text[start:end][:200]
+    word = text[start:end]
     digits = len(_DIGITS.sub("", word))
     shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", word)))[:40]
-    before = text[max(0, start - 40):start].lower().split()
-    after = text[end:end + 40].lower().split()
+    before, after = _neighbours(text, start, end)
     out = ["bias", f"s{shape}", f"d{min(digits, 24)}", f"l{min(len(word), 30) // 3}", f"at{word.count('@')}",
            f"dot{min(word.count('.'), 5)}", f"plus{text[max(0, start - 1):start + 1].count('+')}",
-           f"p{before[-1].strip(_EDGE) if before else ''}", f"n{after[0].strip(_EDGE) if after else ''}"]
+           f"p{before.strip(_EDGE)}", f"n{after.strip(_EDGE)}"]
     return [zlib.crc32(f.encode()) % FEATURES for f in out]
 
 
@@ -313,13 +333,18 @@ def fit(words, feats, chain, skip, gold: np.ndarray, steps: int = 300, rate: flo
 
 
 def labels_of(words, spans_of: list[list[tuple[int, int, int]]]) -> np.ndarray:
-    """1 + kind for words that a base span of their text overlaps, 0 for the others."""
+    """1 + kind of the first base span of its text that a word overlaps, 0 for the others. The first
+    span that ends behind the word's start is found by bisection: spans are in order of their
+    starts, and where the largest end so far first passes the word's start, that span does."""
     out = np.zeros(len(words), np.int64)
+    reach: dict[int, list[int]] = {}
     for i, (t, start, end) in enumerate(words):
-        for s, k, e in spans_of[t]:
-            if s < end and start < e:
-                out[i] = k + 1
-                break
+        spans = spans_of[t]
+        if t not in reach:
+            reach[t] = list(accumulate((e for _, _, e in spans), max))
+        at = bisect_right(reach[t], start)
+        if at < len(spans) and spans[at][0] < end:
+            out[i] = spans[at][1] + 1
     return out
 
 
@@ -361,7 +386,8 @@ def _sample_words(batches):
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"):
     """Weights from at most `sample` documents; their words' features reach the driver."""
-    rows = narrow(docs, **{id_col: "string", text_col: "string"}).filter(F.col(text_col).rlike("[0-9@]"))
+    rows = narrow(docs, **{id_col: "string", text_col: "string"}).filter(
+        F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= SAMPLE_CHARS))
     # a share of all documents that holds enough with a digit; the rows counted are those of the files
     chosen = smallest(rows, F.xxhash64(id_col, text_col), sample, docs.count() // 4, id_col, text_col).select(text_col)
     feats, gold, chain, skip, n = [], [], [], [], 0
