@@ -28,6 +28,7 @@ from tidemark.llm.common import cut_lineage, few, narrow, packed, text_key, unpa
 
 WINDOW = 13
 LOOKUPS = 2
+SLOP, TERMS = 30, 3            # `proximity`: within so many words, so many of the rarest words
 BROADCAST_ROWS = 100_000
 #: word separators after lower-casing; upper-case letters are word characters before it
 SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -72,23 +73,30 @@ def postings(rows: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     return rows.select("_row", F.posexplode("w").alias("pos", "term")).join(_small(terms, n_terms), "term")
 
 
-def lookups(rows: DataFrame, wins: DataFrame, per_window: int) -> DataFrame:
+def lengths(rows: DataFrame, wins: DataFrame) -> DataFrame:
+    """Staged term, length: how long the postings lists of the windows' words are. Words that the
+    corpus lacks have none."""
+    vocabulary = cut_lineage(wins.select(F.explode("win").alias("term")).distinct())
+    seen = rows.select(F.explode("w").alias("term")).join(_small(vocabulary, vocabulary.count()), "term")
+    return cut_lineage(seen.groupBy("term").agg(F.count(F.lit(1)).alias("length")))
+
+
+def lookups(wins: DataFrame, counts: DataFrame, per_window: int, whole: bool = True) -> DataFrame:
     """Staged win_id, n, term, off: the rarest words of each window, by the length of their
-    postings lists. A window with a word that the corpus lacks cannot occur and is left out."""
+    postings lists. `whole`: a window with a word that the corpus lacks cannot occur and is left
+    out; otherwise one with too few known words is."""
     term_of = wins.select("win_id", F.size("win").alias("n"), F.posexplode("win").alias("off", "term"))
-    vocabulary = cut_lineage(term_of.select("term").distinct())
-    seen = rows.select(F.explode("w").alias("term")).join(_small(vocabulary, vocabulary.count()), "term")
-    counts = cut_lineage(seen.groupBy("term").agg(F.count(F.lit(1)).alias("length")))
     ranked = (term_of.join(counts, "term").groupBy("win_id", "n").agg(      # a window's words per group
         F.count(F.lit(1)).alias("known"), F.array_sort(F.collect_list(F.struct("length", "term", "off"))).alias("all")))
-    return cut_lineage(ranked.filter(F.col("known") == F.col("n"))
+    enough = F.col("known") >= (F.col("n") if whole else F.least(F.col("n"), F.lit(per_window)))
+    return cut_lineage(ranked.filter(enough)
                        .select("win_id", "n", F.explode(F.slice("all", 1, per_window)).alias("x"))
                        .select("win_id", "n", F.col("x.term").alias("term"), F.col("x.off").alias("off")))
 
 
-def matches(rows: DataFrame, wins: DataFrame, per_window: int = LOOKUPS) -> DataFrame:
+def matches(rows: DataFrame, wins: DataFrame, counts: DataFrame, per_window: int = LOOKUPS) -> DataFrame:
     """Exact occurrences: _row, start, n, items."""
-    look = lookups(rows, wins, per_window)
+    look = lookups(wins, counts, per_window)
     terms = look.select("term").distinct()
     index = postings(rows, terms, terms.count())
     places = cut_lineage(
@@ -104,14 +112,24 @@ def matches(rows: DataFrame, wins: DataFrame, per_window: int = LOOKUPS) -> Data
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
-           text_col: str = "text", item_id: str = "item_id") -> DataFrame:
-    """Per document: n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated."""
-    return _report(_rows(docs, id_col, text_col), items, size, text_col, item_id).drop("_row")
+           text_col: str = "text", item_id: str = "item_id", slop: int = SLOP, terms: int = TERMS) -> DataFrame:
+    """Per document: n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated,
+    and n_near, the items with a `proximity` match."""
+    rows = _rows(docs, id_col, text_col)
+    wins, counts = _prepared(rows, items, size, text_col, item_id)
+    near = (_near(rows, wins, counts, slop, terms).select("_row", F.explode("items").alias("item")).distinct()
+            .groupBy("_row").agg(F.count(F.lit(1)).alias("n_near")))
+    return (_report(rows, wins, counts).join(near, "_row", "left")
+            .withColumn("n_near", F.coalesce("n_near", F.lit(0)).cast("bigint")).drop("_row"))
 
 
-def _report(rows: DataFrame, items: DataFrame, size: int, text_col: str, item_id: str) -> DataFrame:
+def _prepared(rows: DataFrame, items: DataFrame, size: int, text_col: str, item_id: str) -> tuple[DataFrame, DataFrame]:
     wins = cut_lineage(windows(items, item_id, text_col, size))
-    hit = matches(rows, wins)
+    return wins, lengths(rows, wins)
+
+
+def _report(rows: DataFrame, wins: DataFrame, counts: DataFrame) -> DataFrame:
+    hit = matches(rows, wins, counts)
     # per document: occurrences sorted by start, joined to covered words; items as a sorted list
     per = hit.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("at"),
                                   F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
@@ -130,22 +148,33 @@ def _report(rows: DataFrame, items: DataFrame, size: int, text_col: str, item_id
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
-def proximity(docs: DataFrame, items: DataFrame, slop: int = 30, terms: int = 3, size: int = WINDOW,
+def proximity(docs: DataFrame, items: DataFrame, slop: int = SLOP, terms: int = TERMS, size: int = WINDOW,
               id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, start, span): the `terms` rarest words of a window of the item, in any
-    order, within `slop` words of the document; the nearest place per document and item. A range
-    of 2 * slop words holds any such place, and blocks of that size, overlapping by half, keep the
-    search linear in the postings."""
+    order, within `slop` words of the document; the nearest place per document and item. Words that
+    the corpus lacks are passed over, so an item with an altered word is found by its others."""
     rows = _rows(docs, id_col, text_col)
-    wins = cut_lineage(windows(items, item_id, text_col, size))
-    look = lookups(rows, wins, terms)
-    needed = look.groupBy("win_id").agg(F.count_distinct("term").alias("need"))
-    vocabulary = look.select("term").distinct()
+    wins, counts = _prepared(rows, items, size, text_col, item_id)
+    return (_near(rows, wins, counts, slop, terms).withColumn("item_id", F.explode("items"))
+            .groupBy("_row", "item_id").agg(F.min(F.struct("span", "start")).alias("s"))
+            .join(rows.select("_row", "doc_id"), "_row")
+            .select("doc_id", "item_id", F.col("s.start").alias("start"), F.col("s.span").alias("span")))
+
+
+def _near(rows: DataFrame, wins: DataFrame, counts: DataFrame, slop: int, terms: int) -> DataFrame:
+    """_row, items, start, span: places with all of a window's rarest words. Windows with the same rarest
+    words are looked up once. A range of 2 * slop words holds any such place, and blocks of that
+    size, overlapping by half, keep the search linear in the postings."""
+    of = lookups(wins, counts, terms, False).groupBy("win_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    sets = cut_lineage(of.join(wins.select("win_id", F.explode("items").alias("item")), "win_id")
+                       .groupBy("terms").agg(F.collect_set("item").alias("items")))
+    look = sets.select("terms", F.size("terms").alias("need"), F.explode("terms").alias("term"))
+    vocabulary = cut_lineage(look.select("term").distinct())
     index = postings(rows, vocabulary, vocabulary.count()).withColumn(
         "block", F.explode(F.array(F.floor(F.col("pos") / slop), F.floor(F.col("pos") / slop) - 1)))
-    near = (index.join(look.select("win_id", "term").distinct(), "term")
-            .groupBy("_row", "block", "win_id").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("at"))
-            .join(needed, "win_id"))
+    near = (index.join(look, "term")
+            .groupBy("_row", "block", "terms", "need").agg(F.collect_list(F.struct("pos", "term")).alias("at"))
+            .filter(F.size(F.array_distinct(F.col("at.term"))) == F.col("need")).withColumn("at", F.array_sort("at")))
     # smallest range from each posting on that holds all needed terms
     spans = F.transform("at", lambda x, i: F.struct(
         F.aggregate(F.filter("at", lambda y: (y["pos"] >= x["pos"])),
@@ -156,11 +185,8 @@ def proximity(docs: DataFrame, items: DataFrame, slop: int = 30, terms: int = 3,
                                y["pos"]).otherwise(acc["end"]).alias("end")),
                     lambda acc: F.when(F.size(acc["seen"]) == F.col("need"), acc["end"] - x["pos"] + 1)).alias("span"),
         x["pos"].alias("start")))
-    best = near.select("_row", "win_id", F.explode(F.filter(spans, lambda s: s["span"] <= slop)).alias("s"))
-    return (best.join(wins.select("win_id", F.explode("items").alias("item_id")), "win_id")
-            .groupBy("_row", "item_id").agg(F.min(F.struct("s.span", "s.start")).alias("s"))
-            .join(rows.select("_row", "doc_id"), "_row")
-            .select("doc_id", "item_id", F.col("s.start").alias("start"), F.col("s.span").alias("span")))
+    best = near.select("_row", "terms", F.explode(F.filter(spans, lambda s: s["span"] <= slop)).alias("s"))
+    return best.join(sets, "terms").select("_row", "items", F.col("s.start").alias("start"), F.col("s.span").alias("span"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
@@ -168,6 +194,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_
     """The input rows that are not contaminated, with all their columns. The verdict follows from
     the text, so the contaminated texts' keys are taken out of the input."""
     rows = _rows(docs, id_col, text_col, key=True)
-    bad = _report(rows, items, size, text_col, item_id).filter("contaminated").select("_key").distinct()
+    bad = _report(rows, *_prepared(rows, items, size, text_col, item_id)).filter("contaminated").select("_key").distinct()
     all_ = packed(docs, _key=text_key(F.col(f"`{text_col}`")))
     return unpacked(all_.join(few(bad, BROADCAST_ROWS), "_key", "left_anti"), docs.columns)
