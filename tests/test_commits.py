@@ -225,3 +225,43 @@ def test_type6_reads_all_buckets_without_marks(spark, scratch):
     got = {(r["K"], r["IS_CURRENT"]): r["A"] for r in sinks.read_bucketed(spark, path).collect()}
     assert got == {(k, o): None if k == 3 else "new" for k in range(40) for o in (True, False)}
     assert commits.head(spark, path)["diverge"] == ["A"]
+
+
+def test_reconciliation_reads_unlike_buckets_only(spark, scratch, monkeypatch):
+    """Equal to a full outer join; buckets with equal digests are not read; order, files and a widened type do not matter."""
+    left, right = os.path.join(scratch, "l"), os.path.join(scratch, "r")
+    rows = [(k, f"v{k % 7}", k if k % 5 else None) for k in range(300)]
+    kind = "K bigint, V string, N int"
+    other = [r for r in rows if r[0] != 17] + [(1000, "n", 1), (1001, None, None)]
+    other = [(k, "changed", n) if k in (5, 250) else (k, v, None) if k == 33 else (k, v, n) for k, v, n in other]
+    sinks.write_bucketed(spark.createDataFrame(rows, kind), left, "K", 32, digest=["V", "N"])
+    sinks.write_bucketed(spark.createDataFrame(other[::-1], kind.replace("N int", "N bigint")).repartition(5), right, "K", 32, digest=["V", "N"])
+    read = []
+    real = commits._rows
+    monkeypatch.setattr(commits, "_rows", lambda s, d, e, b=None: (read.append(set(b)), real(s, d, e, b))[1])
+    got = {(r["K"], r["SIDE"]) for r in commits.reconcile(spark, (left, None), (right, None)).collect()}
+    assert got == {(17, "left_only"), (1000, "right_only"), (1001, "right_only"), (5, "changed"), (250, "changed"), (33, "changed")}
+    keys = spark.createDataFrame([(k,) for k, _ in got], "K bigint")
+    unlike = {r["_bucket"] for r in sinks.with_bucket(keys, "K", 32).collect()}
+    assert read == [unlike, unlike] and len(unlike) < 32
+    assert commits.reconcile(spark, (left, None), (left, None)).count() == 0 and read[-1] == set()
+    with pytest.raises(ValueError, match="digest"):
+        commits.reconcile(spark, (left, None), (table(spark, scratch), None))
+    with pytest.raises(ValueError, match="no such"):
+        commits.reconcile(spark, (left, 9), (right, None))
+
+
+def test_every_step_leaves_an_audit_row(spark, scratch):
+    """Counts of the commit for a step that went through, zeros for one that touched nothing, an error row for one that failed."""
+    path, audit = table(spark, scratch), os.path.join(scratch, "audit")
+    src = batch(spark, (1, "b", 1, "h2", "INSERT"), (900, "n", 1, "h", "INSERT"))
+    sinks.run_step(spark, audit, lambda: sinks.upsert_bucketed(spark, path, src, "K", 16), "ods", "run1")
+    sinks.run_step(spark, audit, lambda: sinks.upsert_bucketed(spark, path, src.filter("false"), "K", 16), "ods", "run2")
+    twice = src.unionByName(src)
+    with pytest.raises(ValueError, match="duplicate"):
+        sinks.run_step(spark, audit, lambda: sinks.upsert_bucketed(spark, path, twice, "K", 16), "ods", "run3")
+    rows = {r["invocation_id"]: r for r in spark.read.parquet(audit).collect()}
+    got = {k: (r["status"], r["rows_inserted"], r["rows_updated"], r["rows_deleted"], r["failures"]) for k, r in rows.items()}
+    assert got == {"run1": ("success", 1, 1, 0, 0), "run2": ("success", 0, 0, 0, 0), "run3": ("error", None, None, None, 1)}
+    assert "duplicate" in rows["run3"]["message"] and rows["run1"]["rows_affected"] == 2
+    assert spark.read.parquet(audit).schema.names == sinks.AUDIT_SCHEMA.names and sinks.read_bucketed(spark, path).count() == 401

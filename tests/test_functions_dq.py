@@ -480,3 +480,14 @@ def test_model_coefficient_cases(spark):
     assert issues([stale]) == ["trained_at_stale_or_null"]
     bad = (good[0], ["x"], {"base": 0.0}, ["s0"], {"s0": 0.5})                      # missing / non-zero
     assert issues([bad]) == ["division_baseline_missing_or_nonzero", "service_baseline_missing_or_nonzero"]
+
+
+def test_variant_parse_is_tolerant(spark):
+    """Broken JSON, wrong types and missing paths give NULL; nested values and numbers in text are read."""
+    rows = [(1, '{"k": 3, "a": {"b": [1, 2.5]}}'), (2, '{"k": 3'), (3, '{"k": "x"}'), (4, None), (5, "[1, 2]"), (6, '{"k": "7"}'), (7, "")]
+    v = spark.createDataFrame(rows, "id int, p string").select("id", X.parse_variant("p").alias("v"))
+    got = {r["id"]: (r["k"], r["b"], r["broken"]) for r in v.select(
+        "id", X.variant_value("v", "$.k", "int").alias("k"), X.variant_value("v", "$.a.b[1]", "double").alias("b"),
+        F.col("v").isNull().alias("broken")).collect()}
+    assert got == {1: (3, 2.5, False), 2: (None, None, True), 3: (None, None, False), 4: (None, None, True),
+                   5: (None, None, False), 6: (7, None, False), 7: (None, None, True)}

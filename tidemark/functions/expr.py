@@ -285,3 +285,16 @@ def action_code(deleted, created, modified) -> Column:
 def status_asof(ts, as_of, active="ACTIVE", inactive="INACTIVE") -> Column:
     """Compare with a fixed run time; NULL goes to the ELSE side."""
     return F.when(_col(ts) >= lit(as_of), F.lit(active)).otherwise(F.lit(inactive))
+
+
+# ------------------------------------------------------------------ semi-structured values
+
+def parse_variant(text) -> Column:
+    """Text as a VARIANT; NULL where it is not valid JSON (the tolerant parse)."""
+    return F.try_parse_json(F.col(text) if isinstance(text, str) else text)
+
+
+def variant_value(value, path, kind: str) -> Column:
+    """The typed value at `path` (text or a Column) of a VARIANT; NULL where the path is missing or the value does
+    not fit the type."""
+    return F.try_variant_get(F.col(value) if isinstance(value, str) else value, path, kind)

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.expr import variant_value
 from tidemark.functions.literals import lit
 from tidemark.operators.joins import attach_scalar, not_in
 
@@ -284,7 +285,9 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
     'trained_at_stale_or_null' when max(trained_at) is NULL or older than max_age_days,
     '<name>_baseline_missing_or_nonzero' per row and per (name, levels, coefficients)
     in `baselines` when the coefficient of the first level is missing, not numeric or not 0.
+    Levels and coefficients are an array and a map, or VARIANT values of these forms.
     All from one aggregate and plain filters."""
+    kinds = dict(df.dtypes)
     stats = df.agg(F.count(F.lit(1)).alias("_n"), F.max(trained_at).alias("_mx"))
     parts = [
         stats.filter(F.col("_n") != 1).select(F.lit("row_count_not_1").alias("FAILURE"),
@@ -294,8 +297,10 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
              .select(F.lit("trained_at_stale_or_null").alias("FAILURE"), F.col("_mx").cast("string").alias("DETAILS")),
     ]
     for name, levels, coef in baselines:
-        first = F.try_element_at(F.col(levels), F.lit(1))
-        base = F.try_element_at(F.col(coef), first).try_cast("double")
+        first = (variant_value(levels, "$[0]", "string") if kinds[levels] == "variant"
+                 else F.try_element_at(F.col(levels), F.lit(1)))
+        base = (variant_value(coef, F.concat(F.lit("$['"), first, F.lit("']")), "double") if kinds[coef] == "variant"
+                else F.try_element_at(F.col(coef), first).try_cast("double"))
         parts.append(df.filter(base.isNull() | (base != 0))
                        .select(F.lit(f"{name}_baseline_missing_or_nonzero").alias("FAILURE"),
                                first.cast("string").alias("DETAILS")))

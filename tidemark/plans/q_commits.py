@@ -35,7 +35,8 @@ def _cdc_table(spark, sf) -> str:
     as a 32-bit integer: the second run brings the column and the wider type."""
     path = _folder(spark, "ods")
     first = O.cdc_history_ods(spark, sf).drop("AMOUNT").withColumn("USER_KEY", F.col("USER_KEY").cast("int"))
-    sinks.write_bucketed(first, path, "ODS_PK", BUCKETS, stats=["SRC_LAST_UPDATE_DTM"])
+    sinks.write_bucketed(first, path, "ODS_PK", BUCKETS, stats=["SRC_LAST_UPDATE_DTM"],
+                         digest=["HASH_CHANGE", "OPERATION_TYPE"])
     return path
 
 
@@ -84,6 +85,18 @@ def bucket_commit_statistics(spark, sf):
     return spark.createDataFrame([row], "rows_inserted bigint, rows_updated bigint, table_rows bigint, watermark timestamp_ntz")
 
 
+@query("bucket_reconcile", sql=O.SQL_CDC_RUN + """
+SELECT coalesce(a.ODS_PK, b.ODS_PK) AS ODS_PK,
+       CASE WHEN b.ODS_PK IS NULL THEN 'left_only' WHEN a.ODS_PK IS NULL THEN 'right_only' ELSE 'changed' END AS SIDE
+FROM ods0 a FULL JOIN upserted b ON a.ODS_PK = b.ODS_PK
+WHERE a.ODS_PK IS NULL OR b.ODS_PK IS NULL OR a.HASH_CHANGE IS DISTINCT FROM b.HASH_CHANGE
+   OR a.OPERATION_TYPE IS DISTINCT FROM b.OPERATION_TYPE""")
+def bucket_reconcile(spark, sf):
+    """The layer before and after the second run, by the digests of its buckets; only unlike ones are read."""
+    path, entry = _cdc_commit(spark, sf)
+    return commits.reconcile(spark, (path, entry["version"] - 1), (path, None))
+
+
 # ----------------------------------------------------------------------------- type 6 on buckets
 
 @query("bucket_commit_type6", sql=C.SQL_SCD6.replace("SELECT h.* REPLACE", "SELECT h.* EXCLUDE (MERGE_ACTION) REPLACE").replace(

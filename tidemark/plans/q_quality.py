@@ -440,7 +440,7 @@ def model_table(spark, sf):
         F.create_map(F.lit("all"), F.lit(0.0)).alias("SERVICE_COEF"))
 
 
-@query("dq_model_coefficients", sql=f"""
+SQL_MODEL = f"""
 WITH g AS (SELECT label, min(vec_id) AS mn, max(vec_id) AS mx FROM embeddings GROUP BY label),
 m AS (SELECT label, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(mx % 60 AS INTEGER)) AS TRAINED_AT,
              CAST(label AS VARCHAR) AS DIV_LEVEL, CAST(mn AS DOUBLE) AS DIV_BASE,
@@ -450,7 +450,10 @@ SELECT 'row_count_not_1' AS FAILURE, CAST(row_count AS VARCHAR) AS DETAILS FROM
 UNION ALL SELECT 'trained_at_stale_or_null', CAST(max_trained_at AS VARCHAR) FROM c
   WHERE max_trained_at IS NULL OR max_trained_at < TIMESTAMP '{MODEL_AS_OF}' - INTERVAL 30 DAY
 UNION ALL SELECT 'division_baseline_missing_or_nonzero', DIV_LEVEL FROM m WHERE DIV_BASE IS NULL OR DIV_BASE <> 0
-UNION ALL SELECT 'service_baseline_missing_or_nonzero', SRV_LEVEL FROM m WHERE SRV_BASE IS NULL OR SRV_BASE <> 0""")
+UNION ALL SELECT 'service_baseline_missing_or_nonzero', SRV_LEVEL FROM m WHERE SRV_BASE IS NULL OR SRV_BASE <> 0"""
+
+
+@query("dq_model_coefficients", sql=SQL_MODEL)
 def q_model_coefficients(spark, sf):
     return dq.model_coefficients(model_table(spark, sf), "TRAINED_AT",
                                  [("division", "DIVISION_XLEVELS", "DIVISION_COEF"),
@@ -458,6 +461,17 @@ def q_model_coefficients(spark, sf):
                                  MODEL_AS_OF, 30)
 
 
+@query("dq_model_variant", sql=SQL_MODEL)
+def q_model_variant(spark, sf):
+    """The same check on a model table whose levels and coefficients are stored as VARIANT."""
+    m = model_table(spark, sf)
+    cols = ["DIVISION_XLEVELS", "DIVISION_COEF", "SERVICE_XLEVELS", "SERVICE_COEF"]
+    return dq.model_coefficients(m.withColumns({c: F.to_variant_object(c) for c in cols}), "TRAINED_AT",
+                                 [("division", "DIVISION_XLEVELS", "DIVISION_COEF"),
+                                  ("service", "SERVICE_XLEVELS", "SERVICE_COEF")],
+                                 MODEL_AS_OF, 30)
+
+
 # ------------------------------------------------------------------ suite summary
 
 @query("dq_summary", sql=f"""WITH {SQL_VERSIONS},

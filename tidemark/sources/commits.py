@@ -10,8 +10,8 @@ removes them). Of two writers the later one finds its version taken: if the othe
 other buckets, its entry is redone on top of that version, otherwise the merge runs again.
 
 A version file holds, per bucket, the commit, the row count, the least and largest value of the
-columns named in `stats`, and for the columns named in `diverge` whether some key's closed rows
-differ from its open row. So it is bounded by the number of buckets, whatever the rows. The
+columns named in `stats`, a digest of the columns named in `digest`, and for the columns named in
+`diverge` whether some key's closed rows differ from its open row. So it is bounded by the number of buckets, whatever the rows. The
 schemas of the commits are kept too: a bucket written before a column was added or widened is
 read under its own schema and cast to the table's newest one, without being rewritten.
 
@@ -172,14 +172,60 @@ def row_count(spark: SparkSession, table_dir: str) -> int:
     return 0 if entry is None else sum(b["n"] for b in entry["buckets"].values())
 
 
-def _measured(written: DataFrame, stats: Sequence[str], diverge: Sequence[str], key: Sequence[str]) -> dict[int, dict]:
-    """Per bucket (at most the table's number of buckets): rows, least and largest values, and the
-    columns in which closed rows differ from the open row of their key."""
+def _row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    """A 64-bit hash of the values as text (so that a widened type hashes alike); absent columns are NULL."""
+    return F.xxhash64(*[(F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string")) for c in cols])
+
+
+def reconcile(spark: SparkSession, left: tuple[str, int | None], right: tuple[str, int | None]) -> DataFrame:
+    """Compare two tables, or two versions of one (folder, version or None for the newest), stored with
+    the same key, buckets and `digest` columns: the key columns and SIDE ('left_only', 'right_only',
+    'changed') of the rows that differ. Keys occur once on each side.
+
+    Row counts and digests of the buckets come from the version files; a digest is the xor of the
+    rows' hashes and their sum, so it does not depend on their order. Only buckets that are
+    unlike are read; buckets held by the same commit are alike without looking."""
+    entries = [head(spark, d, v) for d, v in (left, right)]
+    if any(e is None for e in entries):
+        raise ValueError("no such table or version")
+    a, b = entries
+    if (a["key"], a["n_buckets"], a["digest"]) != (b["key"], b["n_buckets"], b["digest"]) or not a["digest"]:
+        raise ValueError("the tables differ in key, buckets or digest columns, or keep no digest")
+
+    def mark(e, bucket):
+        held = e["buckets"].get(bucket)
+        return None if held is None else (held["n"], held["digest"])
+
+    unlike = sorted(int(x) for x in {*a["buckets"], *b["buckets"]} if mark(a, x) != mark(b, x))
+    keys = a["key"]
+
+    def side(e, folder, name):
+        rows = _rows(spark, folder, e, unlike)
+        return rows.select(*[F.col(k).alias(f"{name}_{i}") for i, k in enumerate(keys)], _row_hash(rows, e["digest"]).alias(f"{name}_h"))
+
+    x, y = side(a, left[0], "l"), side(b, right[0], "r")
+    on = None
+    for i in range(len(keys)):
+        same = x[f"l_{i}"].eqNullSafe(y[f"r_{i}"])
+        on = same if on is None else on & same
+    told = (F.when(F.col("r_h").isNull(), F.lit("left_only")).when(F.col("l_h").isNull(), F.lit("right_only"))
+            .when(F.col("l_h") != F.col("r_h"), F.lit("changed")))
+    return (x.join(y, on, "full_outer").withColumn("SIDE", told).filter(F.col("SIDE").isNotNull())
+            .select(*[F.coalesce(f"l_{i}", f"r_{i}").alias(k) for i, k in enumerate(keys)], "SIDE"))
+
+
+def _measured(written: DataFrame, stats: Sequence[str], diverge: Sequence[str], key: Sequence[str],
+              digest: Sequence[str]) -> dict[int, dict]:
+    """Per bucket (at most the table's number of buckets): rows, least and largest values, a digest of
+    the rows, and the columns in which closed rows differ from the open row of their key."""
     have = [c for c in stats if c in written.columns]
     texts = [F.struct(F.min(c).cast("string").alias("lo"), F.max(c).cast("string").alias("hi")).alias(f"s{i}")
              for i, c in enumerate(have)]
-    out = {r[BUCKET_COL]: {"n": r["n"], "stats": {c: [r[f"s{i}"]["lo"], r[f"s{i}"]["hi"]] for i, c in enumerate(have)}}
-           for r in written.groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("n"), *texts).collect()}
+    hashed = _row_hash(written, [*key, *digest]) if digest else F.lit(0).cast("bigint")
+    sums = [F.concat_ws(":", F.bit_xor("_h").cast("string"), F.sum(F.col("_h").cast("decimal(38,0)")).cast("string")).alias("d")]
+    out = {r[BUCKET_COL]: {"n": r["n"], "stats": {c: [r[f"s{i}"]["lo"], r[f"s{i}"]["hi"]] for i, c in enumerate(have)},
+                           **({"digest": r["d"]} if digest else {})}
+           for r in written.withColumn("_h", hashed).groupBy(BUCKET_COL).agg(F.count(F.lit(1)).alias("n"), *texts, *sums).collect()}
     cols = [c for c in diverge if c in written.columns and "DISC_DT" in written.columns]
     if cols:
         opened = F.col("DISC_DT") == F.lit(OPEN_DATE)
@@ -244,20 +290,21 @@ def _entry(version: int, base: dict | None, commit: str, schema: T.StructType, p
 
 
 def create(df: DataFrame, table_dir: str, key, buckets: int, stats: Sequence[str] = (), diverge: Sequence[str] = (),
-           stream: str | None = None, epoch: int | None = None) -> dict:
-    """Write a table's first version, or replace all of its rows by `df` in one commit. `stats` and
-    `diverge` name the columns whose statistics are kept from then on."""
+           digest: Sequence[str] = (), stream: str | None = None, epoch: int | None = None) -> dict:
+    """Write a table's first version, or replace all of its rows by `df` in one commit. `stats`,
+    `diverge` and `digest` name the columns whose statistics, divergence and digests are kept from
+    then on."""
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     df = df.drop(BUCKET_COL, "_action")
     commit, counts = _write(with_bucket(df, keys, buckets), table_dir)
     own = T.StructType([*df.schema.fields, T.StructField(BUCKET_COL, T.IntegerType())])
-    placed = _measured(spark.read.schema(own).parquet(_join(table_dir, "_data", f"{COMMIT_COL}={commit}")), stats, diverge, keys)
+    placed = _measured(spark.read.schema(own).parquet(_join(table_dir, "_data", f"{COMMIT_COL}={commit}")), stats, diverge, keys, digest)
     while True:
         old = head(spark, table_dir)
         epochs = (old["epochs"] if old else {}) | ({stream: epoch} if stream else {})
         entry = _entry(old["version"] + 1 if old else 0, None, commit, df.schema, placed, [], key=keys, n_buckets=buckets,
-                       stats=list(stats), diverge=list(diverge), epochs=epochs, counts=counts)
+                       stats=list(stats), diverge=list(diverge), digest=list(digest), epochs=epochs, counts=counts)
         if _publish(spark, table_dir, entry):
             return entry
 
@@ -307,7 +354,7 @@ def rewrite(spark: SparkSession, table_dir: str, source: DataFrame, merge_fn: Ca
         written = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET_COL, T.IntegerType())])).parquet(
             _join(table_dir, "_data", f"{COMMIT_COL}={commit}"))
         kept = list(dict.fromkeys([*base["diverge"], *diverge]))
-        placed = _measured(written, base["stats"], kept, keys)
+        placed = _measured(written, base["stats"], kept, keys, base["digest"])
         touched = sorted({*own, *more})
         while True:
             epochs = base["epochs"] | ({stream: epoch} if stream else {})

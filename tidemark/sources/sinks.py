@@ -257,9 +257,43 @@ def audit_row(merged: DataFrame, name: str, invocation_id: str, started: _dt.dat
     """The audit row of a finished step (A12): identity, status and timings, and the DML counts of
     the merge result (`merge_counts`). A failed step has no counts."""
     from tidemark.operators.merge import merge_counts
+    return _audit_row(merge_counts(merged) if status == "success" else _no_counts(merged.sparkSession), name, invocation_id,
+                      started, completed, status, message, full_refresh, materialization, resource_type)
+
+
+COUNTS = "rows_inserted bigint, rows_updated bigint, rows_deleted bigint"
+
+
+def _no_counts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(None, None, None)], COUNTS)
+
+
+def run_step(spark: SparkSession, audit_dir: str, step, name: str, invocation_id: str, **kw):
+    """Run `step()` and append its audit row (A12) to the table at `audit_dir`, whatever happens: status
+    'success' with the DML counts that the step's commit observed while writing (`commits.rewrite`
+    returns them; a step that returns None changed nothing), or 'error' with the message, and then
+    the exception goes on. Returns what the step returned."""
+    now = lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    started, result, failure = now(), None, None
+    try:
+        result = step()
+    except Exception as e:  # noqa: BLE001 - recorded, then raised again
+        failure = e
+    found = (result or {}).get("counts", {}) if isinstance(result, dict) or result is None else {}
+    counts = _no_counts(spark) if failure else spark.createDataFrame(
+        [tuple(found.get(c, 0) for c in ("rows_inserted", "rows_updated", "rows_deleted"))], COUNTS)
+    row = _audit_row(counts, name, invocation_id, started, now(), "error" if failure else "success",
+                     None if failure is None else str(failure)[:2000], **kw)
+    row.write.mode("append").parquet(audit_dir)
+    if failure is not None:
+        raise failure
+    return result
+
+
+def _audit_row(n: DataFrame, name: str, invocation_id: str, started: _dt.datetime, completed: _dt.datetime, status: str,
+               message: str | None = None, full_refresh: bool = False, materialization: str = "incremental",
+               resource_type: str = "model") -> DataFrame:
     stamp = lambda t: lit(t).cast("timestamp_ntz")
-    n = merge_counts(merged) if status == "success" else merged.limit(0).agg(
-        *[F.max(F.lit(None).cast("bigint")).alias(c) for c in ("rows_inserted", "rows_updated", "rows_deleted")])
     known = {
         "model_execution_id": F.md5(F.lit(f"{name}|{invocation_id}")), "unique_id": F.lit(f"{resource_type}.{name}"),
         "invocation_id": F.lit(invocation_id), "generated_at": stamp(completed), "created_at": stamp(completed),
