@@ -1,5 +1,5 @@
 """Registered queries over stored bucketed tables: whole commits, evolution, statistics, type 6 on buckets,
-and the prefix-scan form of the history build (A5, A6, A9, A13, E6, E8, P18, G2, W5).
+digest reconciliation and the prefix-scan form of the history build (A5, A6, A9, A13, E6, E8, P18, G2, Q9, W5).
 
 Each query writes a bucketed table into the shared checkpoint folder, runs its batches as commits and
 returns what a reader of the table then sees.
