@@ -294,6 +294,41 @@ def test_quality_model(spark, small):
     assert sum(held) >= 0.9 * len(held)
 
 
+def plain_statistics(text):
+    """The statistics of the rules, by their definitions."""
+    text = text or ""
+    w = brute.WORD.findall(text)
+    n_words, chars, symbols, dup, again, _ = brute.quality(text)
+    lines = [x for x in text.split("\n") if brute.WORD.search(x)]
+    count = {n: sum(c in cs for c in text) for n, cs in (("bangs", "!?"), ("digits", "0123456789"), ("stops", ".,"), ("pipes", "|"))}
+    upper = sum("A" <= c <= "Z" for c in text)
+    return {"log_words": math.log(1 + n_words), "word_length": chars / max(n_words, 1), "symbols": symbols / max(chars, 1),
+            "bangs": count["bangs"] / max(chars, 1), "upper": upper / max(chars, 1), "dup_lines": dup / max(len(lines), 1),
+            "repeats": again / max(n_words, 1), "line_words": n_words / max(len(lines), 1), "distinct": len(set(w)) / max(n_words, 1),
+            "digits": count["digits"] / max(chars, 1), "stops": count["stops"] / max(n_words, 1), "pipes": count["pipes"] / max(n_words, 1)}
+
+
+@pytest.mark.parametrize("data", ["small", "edge"])
+def test_quality_score_equals_its_rules(spark, small, monkeypatch, data):
+    """The score of every text, recomputed in plain Python from the rules and weights that the fit kept."""
+    import re
+    kept = []
+    real = quality_model.fit
+    monkeypatch.setattr(quality_model, "LASSO", 1e-5)       # keeps more rules than the two that the small table needs
+    monkeypatch.setattr(quality_model, "fit", lambda *a, **k: (kept.append(real(*a, **k)), kept[-1])[1])
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    docs = small if data == "small" else small + [(10_000 + i, t) for i, (_, t) in enumerate(EDGE)]
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(frame(spark, docs), labels).collect()}
+    intercept, rules = kept[0]
+    assert len(rules) > 3 and all(w for w, _ in rules)
+    for d, text in docs:
+        stats, total = plain_statistics(text), intercept
+        for weight, test in rules:
+            conditions = [re.fullmatch(r"(\w+) (<=|>) (\S+)D", c).groups() for c in test.split(" AND ")]
+            total += weight * all(stats[n] <= float(x) if op == "<=" else stats[n] > float(x) for n, op, x in conditions)
+        assert abs(got[d] - 1 / (1 + math.exp(-total))) < 1e-9, d
+
+
 def test_quality_model_edges(spark):
     docs, labels = frame(spark, EDGE), spark.createDataFrame([(6, 1), (7, 1), (99, 0)], "doc_id bigint, quality int")
     got = quality_model.score(docs, labels).collect()      # one class only among known rows

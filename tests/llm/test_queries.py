@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.llm import brute
+from tests.llm.test_operators import EDGE, frame
 from tidemark.llm import queries
 
 TABLES = ["documents", "benchmark", "labels"]
@@ -55,3 +56,26 @@ def test_pipeline(spark):
     step = stages["packing"](spark, docs, SF_SMALL)
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, whole.select(cols).collect())) == sorted(map(tuple, step.select(cols).collect()))
+
+
+def test_pipeline_edge_cases(spark, tmp_path):
+    """NULLs in every column, empty and very long texts, repeated rows, clashing columns, and empty tables."""
+    long = " ".join(f"word{i % 9973} of{i % 7}" for i in range(60_000))
+    rows = [(d, t, None if i % 3 else "en", None if i % 4 else "s", None) for i, (d, t) in enumerate(EDGE)]
+    rows += [(500, long, "en", "s", len(long)), (None, long, None, None, None), (500, long, "en", "s", len(long))]
+    docs = frame(spark, [r[:2] for r in rows])
+    for name, table in (("full", docs), ("none", docs.filter("false"))):
+        folder = tmp_path / name
+        table.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([("b", "unrelated benchmark words that no document holds at all, not even one of them here")],
+                              "item_id string, text string").write.parquet(str(folder / "benchmark.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        if name == "none":
+            assert out == []
+        else:
+            ids = {r["doc_id"] for r in out}
+            assert 500 in ids and ids <= {d for d, *_ in rows}
+            whole = {(r["doc_id"], r["piece"]) for r in out}
+            assert len(whole) == len(out) and sum(r["length"] for r in out if r["doc_id"] == 500) > 100_000
+            places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in out)
+            assert all(o + n <= 1024 and (a != s or o + n == p) for (s, o, n), (a, p, _) in zip(places, places[1:]))
