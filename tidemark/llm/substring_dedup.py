@@ -11,8 +11,8 @@ of walking each pair of documents (a passage in a third of all documents would m
 each two of them), every window that holds a seed is a key, and the smallest document id per key
 tells at once whether an earlier document goes on in the same way. Chains of such windows are the
 maximal repeats (`repeats` in the result, word positions); a document loses the words they
-cover, the smallest document keeps them. A key has 96 bits of two hashes, so that two of 10**12
-windows agree by chance with a probability of about 1e-5.
+cover, the smallest document keeps them. A key is a 64-bit hash of the window's words; among n
+windows that hold a shared seed about n**2 / 2**65 pairs agree by chance.
 
 Texts with the same words are one class: only the class's smallest document is compared, the
 others lose all their words (if there are LENGTH of them).
@@ -40,7 +40,6 @@ from tidemark.llm.common import cut_lineage, in_arrow, narrow, window_hashes, wo
 LENGTH = 13
 SEED = 5
 NO_ID = (1 << 63) - 1         # less a text's CRC: stands for a NULL id in comparisons
-CHECK = np.uint64(0x94D049BB133111EB)     # changes the words' hashes for the second hash of a window
 BROADCAST_ROWS = 200_000      # ids sent to a scan, if so few are measured
 
 
@@ -99,10 +98,10 @@ def _anchor_pass(length, seed):
 
 
 def _window_pass(length, seed):
-    """Both hashes of the windows that hold a seed."""
+    """Keys of the windows that hold a seed."""
     def run(batches):
         for batch in batches:
-            hashes, checks, docs = [], [], []
+            hashes, docs = [], []
             for doc, data, seeds in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2)):
                 words = word_hashes(data)[0]
                 h, at = anchors(words, length, seed)
@@ -111,14 +110,11 @@ def _window_pass(length, seed):
                 mark = np.zeros(len(wins) + 1, np.int32)       # a seed at p lies in windows p-8 .. p
                 np.add.at(mark, np.maximum(at - (length - seed), 0), 1)
                 np.add.at(mark, np.minimum(at, len(wins) - 1) + 1, -1)
-                h, at = np.unique(wins[(held := np.cumsum(mark[:-1]) > 0)], return_index=True)
-                hashes.append(h)
-                checks.append((window_hashes(words ^ CHECK, length)[held][at] >> np.uint64(32)).astype(np.int64))
-                docs.append(np.full(len(h), doc, np.int64))
+                hashes.append(np.unique(wins[np.cumsum(mark[:-1]) > 0]))
+                docs.append(np.full(len(hashes[-1]), doc, np.int64))
             yield pa.RecordBatch.from_arrays([
                 pa.array(_signed(np.concatenate(hashes)) if hashes else [], pa.int64()),
-                pa.array(np.concatenate(checks).astype(np.uint32).view(np.int32) if hashes else [], pa.int32()),
-                pa.array(np.concatenate(docs) if docs else [], pa.int64())], ["h", "c", "doc"])
+                pa.array(np.concatenate(docs) if docs else [], pa.int64())], ["h", "doc"])
     return run
 
 
@@ -174,10 +170,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     seeds = cut_lineage(found.join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("seeds")))
     texts = _only(docs.select("doc", "text"), seeds.select("doc"), "left_semi")
     windows = cut_lineage(texts.join(seeds, "doc").select("doc", "text", "seeds")
-                          .transform(in_arrow, _window_pass(length, seed), "h bigint, c int, doc bigint"))
-    first = cut_lineage(windows.groupBy("h", "c").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-                        .filter("lo <> hi").select("h", "c", "lo"))
-    return windows.join(first, ["h", "c"]).filter("doc > lo").groupBy("doc").agg(F.collect_set("h").alias("hs"))
+                          .transform(in_arrow, _window_pass(length, seed), "h bigint, doc bigint"))
+    first = cut_lineage(windows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                        .filter("lo <> hi").select("h", "lo"))
+    return windows.join(first, "h").filter("doc > lo").groupBy("doc").agg(F.collect_set("h").alias("hs"))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id",
