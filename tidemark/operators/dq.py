@@ -279,6 +279,10 @@ def scd_integrity(dim, key, eff="EFF_DT", disc="DISC_DT", cur="IS_CURRENT", skew
     return hits.select("KEY", eff_out.alias("EFF_DT"), F.col("_disc").alias("DISC_DT"), "ERROR")
 
 
+# The failure labels of the model check.
+ROW_COUNT, STALE, BASELINE = "row_count_not_1", "trained_at_stale_or_null", "_baseline_missing_or_nonzero"
+
+
 def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q42
     """Single-row model table check; one row per failure (FAILURE, DETAILS):
     'row_count_not_1' when the table does not hold exactly one row,
@@ -290,11 +294,11 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
     kinds = dict(df.dtypes)
     stats = df.agg(F.count(F.lit(1)).alias("_n"), F.max(trained_at).alias("_mx"))
     parts = [
-        stats.filter(F.col("_n") != 1).select(F.lit("row_count_not_1").alias("FAILURE"),
+        stats.filter(F.col("_n") != 1).select(F.lit(ROW_COUNT).alias("FAILURE"),
                                               F.col("_n").cast("string").alias("DETAILS")),
         stats.filter(F.col("_mx").isNull()
                      | (F.col("_mx") < lit(as_of) - F.expr(f"INTERVAL {int(max_age_days)} DAYS")))
-             .select(F.lit("trained_at_stale_or_null").alias("FAILURE"), F.col("_mx").cast("string").alias("DETAILS")),
+             .select(F.lit(STALE).alias("FAILURE"), F.col("_mx").cast("string").alias("DETAILS")),
     ]
     for name, levels, coef in baselines:
         first = (variant_value(levels, "$[0]", "string") if kinds[levels] == "variant"
@@ -302,7 +306,7 @@ def model_coefficients(df, trained_at, baselines, as_of, max_age_days=30):   # Q
         base = (variant_value(coef, F.concat(F.lit("$['"), first, F.lit("']")), "double") if kinds[coef] == "variant"
                 else F.try_element_at(F.col(coef), first).try_cast("double"))
         parts.append(df.filter(base.isNull() | (base != 0))
-                       .select(F.lit(f"{name}_baseline_missing_or_nonzero").alias("FAILURE"),
+                       .select(F.lit(name + BASELINE).alias("FAILURE"),
                                first.cast("string").alias("DETAILS")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -32,6 +32,7 @@ from tidemark.spec import TableSpec
 
 CDC_HIST_BATCH = 20240122000000000
 
+# The audit and lineage column names of an ODS table.
 CDC_SPEC = TableSpec(
     columns=("ODS_PK", "ODS_COMPOSITE_KEY", "USER_KEY", "EVENT_TYPE", "AMOUNT", "SRC_CREATE_DTM",
              "SRC_LAST_UPDATE_DTM", "SRC_ACTION_CD", "SRC_DEL_IND", "ODS_INS_BATCH_ID", "ODS_UPD_BATCH_ID",

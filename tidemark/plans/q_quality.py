@@ -446,11 +446,11 @@ m AS (SELECT label, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(mx % 60 AS IN
              CAST(label AS VARCHAR) AS DIV_LEVEL, CAST(mn AS DOUBLE) AS DIV_BASE,
              'all' AS SRV_LEVEL, CAST(0.0 AS DOUBLE) AS SRV_BASE FROM g),
 c AS (SELECT count(*) AS row_count, max(TRAINED_AT) AS max_trained_at FROM m)
-SELECT 'row_count_not_1' AS FAILURE, CAST(row_count AS VARCHAR) AS DETAILS FROM c WHERE row_count <> 1
-UNION ALL SELECT 'trained_at_stale_or_null', CAST(max_trained_at AS VARCHAR) FROM c
+SELECT '{dq.ROW_COUNT}' AS FAILURE, CAST(row_count AS VARCHAR) AS DETAILS FROM c WHERE row_count <> 1
+UNION ALL SELECT '{dq.STALE}', CAST(max_trained_at AS VARCHAR) FROM c
   WHERE max_trained_at IS NULL OR max_trained_at < TIMESTAMP '{MODEL_AS_OF}' - INTERVAL 30 DAY
-UNION ALL SELECT 'division_baseline_missing_or_nonzero', DIV_LEVEL FROM m WHERE DIV_BASE IS NULL OR DIV_BASE <> 0
-UNION ALL SELECT 'service_baseline_missing_or_nonzero', SRV_LEVEL FROM m WHERE SRV_BASE IS NULL OR SRV_BASE <> 0"""
+UNION ALL SELECT 'division{dq.BASELINE}', DIV_LEVEL FROM m WHERE DIV_BASE IS NULL OR DIV_BASE <> 0
+UNION ALL SELECT 'service{dq.BASELINE}', SRV_LEVEL FROM m WHERE SRV_BASE IS NULL OR SRV_BASE <> 0"""
 
 
 @query("dq_model_coefficients", sql=SQL_MODEL)
