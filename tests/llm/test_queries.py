@@ -7,7 +7,7 @@ import corpus_pipeline
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.llm.test_operators import EDGE, frame
-from tidemark.llm import queries
+from tidemark.llm import decontaminate, queries, sql
 
 TABLES = ["documents", "benchmark", "labels"]
 
@@ -25,6 +25,17 @@ def test_oracle(spark, name):
         want.select(", ".join(cols)).fetchall(), key=str)
 
 
+def test_proximity_counts_equal_sql(spark):
+    """n_near of the report against its SQL, over the whole small table."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+    docs, items = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
+    got = sorted(map(tuple, decontaminate.report(docs, items, near=True).select("doc_id", "n_items", "n_near").collect()))
+    assert got == sorted(con.sql(f"SELECT doc_id, n_items, n_near FROM ({sql.proximity()})").fetchall())
+    assert sum(n for _, _, n in got) > 0
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 

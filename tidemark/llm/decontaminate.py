@@ -112,11 +112,14 @@ def matches(rows: DataFrame, wins: DataFrame, counts: DataFrame, per_window: int
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
-           text_col: str = "text", item_id: str = "item_id", slop: int = SLOP, terms: int = TERMS) -> DataFrame:
-    """Per document: n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated,
-    and n_near, the items with a `proximity` match."""
+           text_col: str = "text", item_id: str = "item_id", near: bool = False, slop: int = SLOP,
+           terms: int = TERMS) -> DataFrame:
+    """Per document: n_words, n_hit (words inside an occurrence), n_items, items_sha256, contaminated.
+    `near` adds n_near, the items with a `proximity` match, at several times the cost."""
     rows = _rows(docs, id_col, text_col)
     wins, counts = _prepared(rows, items, size, text_col, item_id)
+    if not near:
+        return _report(rows, wins, counts).drop("_row")
     near = (_near(rows, wins, counts, slop, terms).select("_row", F.explode("items").alias("item")).distinct()
             .groupBy("_row").agg(F.count(F.lit(1)).alias("n_near")))
     return (_report(rows, wins, counts).join(near, "_row", "left")

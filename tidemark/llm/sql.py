@@ -142,9 +142,34 @@ FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
 
 
-def contamination(size: int = 13, slop: int = 30, terms: int = 3) -> str:
-    """All windows of the items joined to all runs of words of the same length; for n_near the rarest
-    words of each window, and the documents that hold them within `slop` words."""
+def contamination(size: int = 13) -> str:
+    """All windows of the items joined to all runs of words of the same length."""
+    return _contamination(size).replace(NEAR_PARTS, "").replace(", coalesce(n_near, 0)::BIGINT AS n_near", "").replace(
+        " LEFT JOIN close USING (doc_id)", "")
+
+
+NEAR_PARTS = """,
+pos AS MATERIALIZED (SELECT doc_id, p, w[p] AS t FROM doc, unnest(range(1, len(w) + 1)) AS r(p)),
+freq AS MATERIALIZED (SELECT t, count(*) AS c FROM pos GROUP BY t),
+part AS (SELECT g, n, o, g[o] AS t FROM (SELECT DISTINCT g, n FROM win), unnest(range(1, n + 1)) AS r(o)),
+rare AS (SELECT g, list_sort(list_distinct(list(t))) AS ts FROM (
+    SELECT g, n, t, row_number() OVER (PARTITION BY g ORDER BY c, t, o) AS k, count(*) OVER (PARTITION BY g) AS known
+    FROM part JOIN freq USING (t)) WHERE k <= 3 AND known >= least(n, 3) GROUP BY g),
+look AS MATERIALIZED (SELECT DISTINCT ts, unnest(ts) AS t, len(ts) AS need FROM rare),
+post AS MATERIALIZED (SELECT doc_id, ts, need, p, t FROM pos JOIN look USING (t)),
+near AS (SELECT DISTINCT doc_id, ts FROM (SELECT a.doc_id, a.ts, a.p, a.t FROM post a JOIN post b
+    ON a.doc_id = b.doc_id AND a.ts = b.ts AND b.p >= a.p AND b.p < a.p + 30 GROUP BY a.doc_id, a.ts, a.p, a.t, a.need
+    HAVING count(DISTINCT b.t) = a.need)),
+close AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near JOIN rare USING (ts) JOIN win USING (g) GROUP BY doc_id)"""
+
+
+def proximity(size: int = 13) -> str:
+    """The same with n_near: the rarest words of each window, and the documents that hold them within
+    30 words."""
+    return _contamination(size)
+
+
+def _contamination(size: int) -> str:
     cut = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
            r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
     return f"""
@@ -156,19 +181,7 @@ run AS (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM doc, (SELECT DISTINCT n FR
 hit AS MATERIALIZED (SELECT doc_id, i, n, item_id FROM run JOIN win USING (g, n)),
 word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
-  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id),
-pos AS MATERIALIZED (SELECT doc_id, p, w[p] AS t FROM doc, unnest(range(1, len(w) + 1)) AS r(p)),
-freq AS MATERIALIZED (SELECT t, count(*) AS c FROM pos GROUP BY t),
-part AS (SELECT g, n, o, g[o] AS t FROM (SELECT DISTINCT g, n FROM win), unnest(range(1, n + 1)) AS r(o)),
-rare AS (SELECT g, list_sort(list_distinct(list(t))) AS ts FROM (
-    SELECT g, n, t, row_number() OVER (PARTITION BY g ORDER BY c, t, o) AS k, count(*) OVER (PARTITION BY g) AS known
-    FROM part JOIN freq USING (t)) WHERE k <= {terms} AND known >= least(n, {terms}) GROUP BY g),
-look AS MATERIALIZED (SELECT DISTINCT ts, unnest(ts) AS t, len(ts) AS need FROM rare),
-post AS MATERIALIZED (SELECT doc_id, ts, need, p, t FROM pos JOIN look USING (t)),
-near AS (SELECT DISTINCT doc_id, ts FROM (SELECT a.doc_id, a.ts, a.p, a.t FROM post a JOIN post b
-    ON a.doc_id = b.doc_id AND a.ts = b.ts AND b.p >= a.p AND b.p < a.p + {slop} GROUP BY a.doc_id, a.ts, a.p, a.t, a.need
-    HAVING count(DISTINCT b.t) = a.need)),
-close AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near JOIN rare USING (ts) JOIN win USING (g) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id){NEAR_PARTS}
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN close USING (doc_id)
