@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -385,6 +386,16 @@ def test_tokens_equal_the_library(small):
         tokens.CACHE = tokens_before
 
 
+def test_tokens_of_a_space_before_a_line_end():
+    from tokenizers import Tokenizer
+    plain, enc = Tokenizer.from_file(tokens.default_path()), tokens.Encoder(tokens.default_path())
+    texts = ["a \nb", "foo bar \nbaz qux", "a\nb \nb", "\nb", " \nb", "b"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(enc.encode(t), "<u4").tolist() for t in texts] == want
+    (_, ids, at), = enc.encode_column(pa.array(texts), 0)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [w + [0] for w in want]
+
+
 def encoded(docs, end):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(tokens.default_path())

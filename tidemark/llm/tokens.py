@@ -122,7 +122,7 @@ class Encoder:
             self.pieces = _Pieces(self._piece, dict(self.pieces))
         pieces = text.split(" ")
         try:
-            if not pieces[0] or pieces[0][-1].isspace():
+            if not pieces[0] or pieces[0][-1].isspace() or " \n" in text:
                 raise _Beside
             return self._full(pieces[0]) + b"".join(map(self.pieces.__getitem__, pieces[1:]))
         except _Beside:                     # cut only between two characters other than white space
