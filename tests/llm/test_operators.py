@@ -396,6 +396,40 @@ def test_tokens_of_a_space_before_a_line_end():
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [w + [0] for w in want]
 
 
+def test_tokens_go_to_the_library_many_at_a_time():
+    """New words of a slice share calls, and words of earlier slices are not encoded again."""
+    from tokenizers import Tokenizer
+    plain, enc = Tokenizer.from_file(tokens.default_path()), tokens.Encoder(tokens.default_path())
+    sent = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return lambda arg, **more: sent.append(arg) or getattr(plain, name)(arg, **more)
+
+    enc.tokenizer, one = Counting(), enc.tokenize
+    enc.tokenize = lambda s: sent.append(s) or one(s)
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in ("nt", "sk", "lle", "ré", "12")]
+    lines = [" ".join(w + mark for w in words) for mark in ("", "!", ",", ")...")]
+    texts = [lines[0] + "\n" + lines[1], lines[2], None, lines[3] + "\n" + lines[0], ""]
+    want = [plain.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for _ in range(3):
+        (_, ids, at), = enc.encode_column(pa.array(texts), 2)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+        assert len(sent) == 1
+    assert sum(map(len, sent[0])) < 2 * sum(map(len, words))
+    # a piece that is longer than the cache keeps, caches that overflow, an empty column
+    long = "x" * 1000 + " " + "y" * 70 + "! z"
+    before, tokens.CACHE = tokens.CACHE, 10
+    try:
+        for t in [long, lines[0], long, lines[3], "a\nb", long]:
+            (_, ids, _), = enc.encode_column(pa.array([t]), 0)
+            assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids + [0]
+            assert len(enc.keys) <= 10 and len(enc.flat) == enc.at[-1]
+    finally:
+        tokens.CACHE = before
+    assert not list(enc.encode_column(pa.array([], pa.string()), 0))
+
+
 def encoded(docs, end):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(tokens.default_path())
